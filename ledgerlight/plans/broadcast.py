@@ -1,0 +1,40 @@
+"""Broadcast only behind a checked size bound.
+
+``checked_rows`` runs one small counting job on a side that is expected to be
+small (a query set, a label list) and raises when it is not, so nothing
+unbounded is ever shipped to every executor or pulled to the driver.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest query set shipped to every task, in rows.
+MAX_BROADCAST_ROWS = 200_000
+
+
+class TooLargeToBroadcast(ValueError):
+    pass
+
+
+def checked_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> int:
+    """Count ``df`` but stop reading after ``limit + 1`` rows."""
+    n = df.limit(limit + 1).count()
+    if n > limit:
+        raise TooLargeToBroadcast(f"{n} rows exceed the broadcast bound {limit}")
+    return n
+
+
+def checked_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast of ``df`` after proving it holds at most ``limit`` rows."""
+    checked_rows(df, limit)
+    return F.broadcast(df)
+
+
+def checked_collect(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> list:
+    """Collect a small, bounded frame (e.g. a query matrix or pivot values)."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise TooLargeToBroadcast(f"more than {limit} rows")
+    return rows
