@@ -169,6 +169,66 @@ _q("order_payments_pivot", "SELECT p.*, o.customer_id, o.order_date, o.status FR
     ", CAST(sum(amount) AS BIGINT) AS total_amount FROM stg_payments GROUP BY order_id) p "
     "JOIN stg_orders o ON p.order_id = o.order_id")
 
+# -- MRR, written as the playbook's SQL: calendar theta join, range left join --
+MRR_START, MRR_AS_OF_MONTH = "1995-01-01", "2002-01-01"
+HELPERS["months_q"] = f"""
+    SELECT CAST(m AS DATE) AS date_month
+    FROM generate_series(TIMESTAMP '{MRR_START}', TIMESTAMP '{MRR_AS_OF_MONTH}', INTERVAL 1 MONTH) t(m)"""
+HELPERS["customers_list_q"] = """
+    SELECT customer_id, CAST(date_trunc('month', min(start_date)) AS DATE) AS date_month_start,
+           CAST(date_trunc('month', max(end_date)) AS DATE) AS date_month_end
+    FROM stg_subscription_periods GROUP BY customer_id"""
+HELPERS["customer_months_q"] = """
+    SELECT c.customer_id, m.date_month FROM customers_list_q c
+    JOIN months_q m ON m.date_month >= c.date_month_start AND m.date_month < c.date_month_end"""
+HELPERS["joined_q"] = """
+    SELECT cm.date_month, cm.customer_id, coalesce(sp.monthly_amount, 0.0::DOUBLE) AS mrr
+    FROM customer_months_q cm LEFT JOIN stg_subscription_periods sp
+      ON cm.customer_id = sp.customer_id AND cm.date_month >= sp.start_date
+     AND (cm.date_month < sp.end_date OR sp.end_date IS NULL)"""
+HELPERS["revenue_by_month_q"] = """
+    SELECT date_month, customer_id, mrr, mrr > 0 AS is_active,
+           min(CASE WHEN mrr > 0 THEN date_month END) OVER (PARTITION BY customer_id) AS first_active_month,
+           max(CASE WHEN mrr > 0 THEN date_month END) OVER (PARTITION BY customer_id) AS last_active_month,
+           CASE WHEN min(CASE WHEN mrr > 0 THEN date_month END) OVER (PARTITION BY customer_id) = date_month
+                THEN true ELSE false END AS is_first_month,
+           CASE WHEN max(CASE WHEN mrr > 0 THEN date_month END) OVER (PARTITION BY customer_id) = date_month
+                THEN true ELSE false END AS is_last_month
+    FROM joined_q"""
+HELPERS["unioned_q"] = """
+    SELECT *, 0 AS churn_row FROM revenue_by_month_q
+    UNION ALL
+    SELECT CAST(date_month + INTERVAL 1 MONTH AS DATE), customer_id, 0.0::DOUBLE, false,
+           first_active_month, last_active_month, false, false, 1
+    FROM revenue_by_month_q WHERE is_last_month"""
+HELPERS["with_changes_q"] = """
+    SELECT *,
+      coalesce(lag(is_active) OVER w, false) AS previous_month_is_active,
+      coalesce(lag(mrr) OVER w, 0.0::DOUBLE) AS previous_month_mrr,
+      mrr - coalesce(lag(mrr) OVER w, 0.0::DOUBLE) AS mrr_change
+    FROM unioned_q
+    WINDOW w AS (PARTITION BY customer_id ORDER BY date_month, churn_row)"""
+
+_q("calendar_months", """
+    SELECT CAST(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH))
+                AS DATE) AS date_month
+    FROM (SELECT min(start_date) AS lo, max(greatest(start_date, coalesce(end_date, start_date))) AS hi
+          FROM stg_subscription_periods)""")
+_q("customer_span", "SELECT * FROM customers_list_q", **HELPERS)
+_q("customer_months", "SELECT * FROM customer_months_q", **HELPERS)
+_q("mrr_monthly", "SELECT * FROM revenue_by_month_q", **HELPERS)
+_q("mrr", """
+    SELECT md5(CAST(customer_id AS VARCHAR)) AS id, date_month, customer_id, mrr, is_active,
+           first_active_month, last_active_month, is_first_month, is_last_month,
+           previous_month_is_active, previous_month_mrr, mrr_change,
+           CASE WHEN is_first_month THEN 'new'
+                WHEN NOT is_active AND previous_month_is_active THEN 'churn'
+                WHEN is_active AND NOT previous_month_is_active THEN 'reactivation'
+                WHEN mrr_change > 0 THEN 'upgrade'
+                WHEN mrr_change < 0 THEN 'downgrade' END AS change_category,
+           least(mrr, previous_month_mrr) AS renewal_amount
+    FROM with_changes_q""", **HELPERS)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

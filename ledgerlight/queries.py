@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.operators import commerce
+from ledgerlight.operators import commerce, revenue
 from ledgerlight.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,5 +54,38 @@ def q_order_payments_pivot(spark, d):
     return commerce.order_payments_pivot(fx.stg_orders(spark, d), fx.stg_payments(spark, d))
 
 
+# -- Q3-Q7: monthly recurring revenue -----------------------------------------
+
+# Calendar of the fixture's subscriptions: the reference runs from 2018-01 to
+# today; the order dates of the driver's data lie in 1995-2001.
+MRR_START = "1995-01-01"
+MRR_AS_OF = "2002-01-31"
+
+
+@query("calendar_months")
+def q_calendar_months(spark, d):
+    return revenue.calendar_spanning(fx.stg_subscription_periods(spark, d))
+
+
+@query("customer_span")
+def q_customer_span(spark, d):
+    return revenue.customer_span(fx.stg_subscription_periods(spark, d))
+
+
+@query("customer_months")
+def q_customer_months(spark, d):
+    return revenue.customer_months(fx.stg_subscription_periods(spark, d), MRR_START, MRR_AS_OF)
+
+
+@query("mrr_monthly")
+def q_mrr_monthly(spark, d):
+    return revenue.mrr_monthly(fx.stg_subscription_periods(spark, d), MRR_START, MRR_AS_OF)
+
+
+@query("mrr")
+def q_mrr(spark, d):
+    return revenue.mrr(fx.stg_subscription_periods(spark, d), MRR_START, MRR_AS_OF)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -31,6 +31,7 @@ def build_session(master: str | None = None, app: str = "ledgerlight",
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.ui.enabled", "false")
+    conf.setdefault("spark.ui.showConsoleProgress", "false")
     conf.setdefault("spark.driver.memory", os.environ.get("LEDGERLIGHT_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
     for key, value in conf.items():
