@@ -229,6 +229,51 @@ _q("mrr", """
            least(mrr, previous_month_mrr) AS renewal_amount
     FROM with_changes_q""", **HELPERS)
 
+# -- Attribution, as the playbook's SQL --------------------------------------
+
+def _touches_sql(days: int) -> str:
+    return f"""
+    SELECT *,
+      CASE WHEN session_index = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS first_touch_points,
+      CASE WHEN session_index = total_sessions THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS last_touch_points,
+      CASE WHEN total_sessions = 1 THEN 1.0::DOUBLE
+           WHEN total_sessions = 2 THEN 0.5::DOUBLE
+           WHEN session_index = 1 THEN 0.4::DOUBLE
+           WHEN session_index = total_sessions THEN 0.4::DOUBLE
+           ELSE 0.2::DOUBLE / (total_sessions - 2) END AS forty_twenty_forty_points,
+      1.0::DOUBLE / total_sessions AS linear_points,
+      revenue * (CASE WHEN session_index = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS first_touch_revenue,
+      revenue * (CASE WHEN session_index = total_sessions THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+          AS last_touch_revenue,
+      revenue * (CASE WHEN total_sessions = 1 THEN 1.0::DOUBLE
+           WHEN total_sessions = 2 THEN 0.5::DOUBLE
+           WHEN session_index = 1 THEN 0.4::DOUBLE
+           WHEN session_index = total_sessions THEN 0.4::DOUBLE
+           ELSE 0.2::DOUBLE / (total_sessions - 2) END) AS forty_twenty_forty_revenue,
+      revenue * (1.0::DOUBLE / total_sessions) AS linear_revenue
+    FROM (
+      SELECT s.session_id, s.customer_id, s.started_at, s.utm_medium, s.utm_source,
+             c.converted_at, c.revenue,
+             count(*) OVER (PARTITION BY s.customer_id) AS total_sessions,
+             row_number() OVER (PARTITION BY s.customer_id
+                                ORDER BY s.started_at, s.session_id, c.converted_at) AS session_index
+      FROM stg_sessions s LEFT JOIN stg_conversions c ON s.customer_id = c.customer_id
+      WHERE s.started_at <= c.converted_at
+        AND s.started_at >= c.converted_at - INTERVAL {days} DAY)"""
+
+
+HELPERS["touches_q"] = _touches_sql(30)
+_q("attribution_touches", "SELECT * FROM touches_q", **HELPERS)
+_q("attribution_touches_1d", _touches_sql(1))
+_q("distinct_mediums", "SELECT DISTINCT coalesce(utm_medium, 'NONE') AS utm_medium FROM touches_q", **HELPERS)
+_q("pres_ad_spend", """
+    SELECT utm_medium AS medium, sum(revenue) AS revenue FROM touches_q
+    WHERE utm_medium IS NOT NULL AND revenue IS NOT NULL GROUP BY utm_medium""", **HELPERS)
+_q("revenue_by_medium", """
+    SELECT * FROM (
+      PIVOT (SELECT utm_source AS source, coalesce(utm_medium, 'NONE') AS utm_medium, revenue FROM touches_q)
+      ON utm_medium USING sum(revenue) GROUP BY source)""", **HELPERS)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlight.plans.lineage import cut_lineage
+
 
 def _slices(df: DataFrame) -> int:
     conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
@@ -36,6 +38,11 @@ def group_index(df: DataFrame, keys: list[str], order: list[Column],
                 .withColumn("_slice", F.spark_partition_id()))
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(*order_exprs)))
+    # The numbered slices feed two branches (sizes and the final join).  Range
+    # bounds come from sampling, so two evaluations could slice differently;
+    # a reliable checkpoint in the shared folder fixes one slicing for both
+    # and also bounds recomputation after an executor loss.
+    local = cut_lineage(local)
 
     sizes = local.groupBy(*keys, "_slice").agg(F.max("_local").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

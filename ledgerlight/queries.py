@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlight.operators import commerce, revenue
+from ledgerlight.operators import attribution, commerce, revenue
 from ledgerlight.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,5 +87,37 @@ def q_mrr(spark, d):
     return revenue.mrr(fx.stg_subscription_periods(spark, d), MRR_START, MRR_AS_OF)
 
 
+# -- Q8, Q10, Q13: attribution -------------------------------------------------
+
+def _touches(spark, d, lookback_days=30):
+    return attribution.attribution_touches(fx.stg_sessions(spark, d), fx.stg_conversions(spark, d),
+                                           lookback_days)
+
+
+@query("attribution_touches")
+def q_attribution_touches(spark, d):
+    return _touches(spark, d)
+
+
+@query("attribution_touches_1d")
+def q_attribution_touches_1d(spark, d):
+    return _touches(spark, d, lookback_days=1)
+
+
+@query("distinct_mediums")
+def q_distinct_mediums(spark, d):
+    return attribution.distinct_mediums(_touches(spark, d))
+
+
+@query("pres_ad_spend")
+def q_pres_ad_spend(spark, d):
+    return attribution.ad_spend(_touches(spark, d))
+
+
+@query("revenue_by_medium")
+def q_revenue_by_medium(spark, d):
+    return attribution.revenue_by_medium(_touches(spark, d))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
