@@ -217,7 +217,7 @@ _q("calendar_months", """
 _q("customer_span", "SELECT * FROM customers_list_q", **HELPERS)
 _q("customer_months", "SELECT * FROM customer_months_q", **HELPERS)
 _q("mrr_monthly", "SELECT * FROM revenue_by_month_q", **HELPERS)
-_q("mrr", """
+HELPERS["mrr_q"] = """
     SELECT md5(CAST(customer_id AS VARCHAR)) AS id, date_month, customer_id, mrr, is_active,
            first_active_month, last_active_month, is_first_month, is_last_month,
            previous_month_is_active, previous_month_mrr, mrr_change,
@@ -227,7 +227,8 @@ _q("mrr", """
                 WHEN mrr_change > 0 THEN 'upgrade'
                 WHEN mrr_change < 0 THEN 'downgrade' END AS change_category,
            least(mrr, previous_month_mrr) AS renewal_amount
-    FROM with_changes_q""", **HELPERS)
+    FROM with_changes_q"""
+_q("mrr", "SELECT * FROM mrr_q", **HELPERS)
 
 # -- Attribution, as the playbook's SQL --------------------------------------
 
@@ -274,6 +275,85 @@ _q("revenue_by_medium", """
       PIVOT (SELECT utm_source AS source, coalesce(utm_medium, 'NONE') AS utm_medium, revenue FROM touches_q)
       ON utm_medium USING sum(revenue) GROUP BY source)""", **HELPERS)
 
+# -- Text cleaning, ids, import -------------------------------------------------
+
+def clean_sql(source: str, cols: list[str], text_col: str, cls: str) -> str:
+    keep = " AND ".join(f"{c} IS NOT NULL AND NOT {blank(c)}" for c in cols)
+    sel = ", ".join(f"replace({c}, chr(10), '') AS {c}" if c == text_col else c for c in cols)
+    return (f"SELECT *, {row_uuid_sql(cls, cols)} AS uuid FROM "
+            f"(SELECT {sel} FROM ({source}) WHERE {keep})")
+
+
+HELPERS["clean_training_q"] = clean_sql(
+    "SELECT doc_id, review_text, label FROM stg_training", ["doc_id", "review_text", "label"],
+    "review_text", "CommentTraining")
+HELPERS["clean_comments_q"] = clean_sql(
+    "SELECT customer_id, review_text, strftime(date, '%Y-%m-%dT%H:%M:%S-00:00') AS date FROM stg_comments",
+    ["customer_id", "review_text", "date"], "review_text", "CustomerComment")
+HELPERS["clean_calls_q"] = clean_sql(
+    "SELECT customer_id, transcript, relative_path FROM stg_calls",
+    ["customer_id", "transcript", "relative_path"], "transcript", "CustomerCall")
+HELPERS["scored_comments_q"] = \
+    "SELECT *, (length(review_text) % 129) / 128.0::DOUBLE AS sentiment FROM clean_comments_q"
+HELPERS["scored_calls_q"] = \
+    "SELECT *, (length(transcript) % 65) / 64.0::DOUBLE AS sentiment FROM clean_calls_q"
+HELPERS["doc_objects_q"] = clean_sql(
+    "SELECT text AS review_text, lang FROM documents", ["review_text", "lang"], "review_text", "Document")
+HELPERS["labelled_objects_q"] = clean_sql(
+    "SELECT text AS review_text, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
+    ["review_text", "lang"], "review_text", "Document")
+
+_q("text_clean_training", "SELECT * FROM clean_training_q", **HELPERS)
+_q("text_clean_comments", "SELECT * FROM clean_comments_q", **HELPERS)
+_q("text_clean_calls", "SELECT * FROM clean_calls_q", **HELPERS)
+_q("uuid5_ids", f"SELECT doc_id, {row_uuid_sql('Document', ['doc_id', 'lang', 'text'])} AS uuid FROM documents")
+_q("import_new_only", """
+    SELECT DISTINCT review_text, lang, uuid FROM doc_objects_q
+    WHERE uuid NOT IN (SELECT uuid FROM labelled_objects_q)""", **HELPERS)
+
+# -- Presentation tables ----------------------------------------------------------
+
+HELPERS["sentiment_q"] = """
+    SELECT cm.customer_id, coalesce(ca.calls_sentiment, 0.0::DOUBLE) AS calls_sentiment,
+           cm.comments_sentiment, score AS sentiment_score,
+           CASE WHEN score < 0 THEN 0 WHEN score >= 1 THEN 11
+                ELSE CAST(floor(score * 10) AS BIGINT) + 1 END AS sentiment_bucket
+    FROM (SELECT customer_id, avg(sentiment) AS calls_sentiment FROM scored_calls_q GROUP BY customer_id) ca
+    RIGHT JOIN (SELECT customer_id, avg(sentiment) AS comments_sentiment
+                FROM scored_comments_q GROUP BY customer_id) cm ON ca.customer_id = cm.customer_id,
+    LATERAL (SELECT round((coalesce(ca.calls_sentiment, 0.0::DOUBLE) + cm.comments_sentiment) / 2, 4) AS score)"""
+HELPERS["churn_q"] = """
+    SELECT m.customer_id, c.first_name || ' ' || c.last_name AS name, c.clv, m.last_active_month,
+           s.sentiment_score
+    FROM (SELECT customer_id, first_name, last_name, round(customer_lifetime_value, 2) AS clv
+          FROM customers_q) c
+    RIGHT JOIN mrr_q m ON c.customer_id = m.customer_id
+    LEFT JOIN sentiment_q s ON m.customer_id = TRY_CAST(s.customer_id AS BIGINT)
+    WHERE c.clv IS NOT NULL AND m.change_category = 'churn'"""
+
+_q("pres_sentiment", "SELECT * FROM sentiment_q", **HELPERS)
+_q("pres_clv", """
+    SELECT c.customer_id, c.first_name || ' ' || c.last_name AS name, c.first_order, c.most_recent_order,
+           c.number_of_orders, round(c.customer_lifetime_value, 2) AS clv, s.sentiment_score
+    FROM customers_q c LEFT JOIN sentiment_q s ON c.customer_id = TRY_CAST(s.customer_id AS BIGINT)
+    WHERE round(c.customer_lifetime_value, 2) IS NOT NULL""", **HELPERS)
+_q("pres_churn", "SELECT * FROM churn_q", **HELPERS)
+_q("calls_drilldown", """
+    SELECT TRY_CAST(customer_id AS BIGINT) AS customer_id, transcript, relative_path, sentiment,
+           row_number() OVER (PARTITION BY TRY_CAST(customer_id AS BIGINT)
+                              ORDER BY sentiment DESC NULLS LAST, relative_path) AS call_rank
+    FROM scored_calls_q
+    WHERE TRY_CAST(customer_id AS BIGINT) IN (SELECT customer_id FROM churn_q)""", **HELPERS)
+_q("comments_top5", """
+    SELECT customer_id, review_text, date, sentiment, comment_rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY sentiment DESC NULLS LAST, uuid)
+                AS comment_rank
+      FROM scored_comments_q) WHERE comment_rank <= 5""", **HELPERS)
+_q("rename_all", """
+    SELECT customer_id AS "CUSTOMER ID", transcript AS "TRANSCRIPT", relative_path AS "RELATIVE PATH",
+           uuid AS "UUID", sentiment AS "SENTIMENT" FROM scored_calls_q""", **HELPERS)
+_q("pred_like", "SELECT * FROM stg_payments WHERE payment_method LIKE 'bank\\_%' ESCAPE '\\'")
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

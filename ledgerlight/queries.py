@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlight.operators import attribution, commerce, revenue
+from ledgerlight.operators import attribution, commerce, presentation, revenue, text
 from ledgerlight.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,5 +120,86 @@ def q_revenue_by_medium(spark, d):
     return attribution.revenue_by_medium(_touches(spark, d))
 
 
+# -- V1-V3, F22, S14: text cleaning, ids, import -----------------------------
+
+@query("text_clean_training")
+def q_text_clean_training(spark, d):
+    return text.clean_training(fx.stg_training(spark, d))
+
+
+@query("text_clean_comments")
+def q_text_clean_comments(spark, d):
+    return text.clean_comments(fx.stg_comments(spark, d))
+
+
+@query("text_clean_calls")
+def q_text_clean_calls(spark, d):
+    return text.clean_calls(fx.stg_calls(spark, d))
+
+
+@query("uuid5_ids")
+def q_uuid5_ids(spark, d):
+    from ledgerlight.functions.hashing import row_uuid
+    docs = fx.read_table(spark, d, "documents")
+    return docs.select("doc_id", row_uuid("Document", ["doc_id", "lang", "text"]).alias("uuid"))
+
+
+def _document_objects(docs):
+    return text.clean_objects(docs.select(F.col("text").alias("review_text"), "lang"),
+                              "review_text", "Document")
+
+
+@query("import_new_only")
+def q_import_new_only(spark, d):
+    docs = fx.read_table(spark, d, "documents")
+    labelled = docs.join(fx.read_table(spark, d, "labels").select("doc_id"), "doc_id", "left_semi")
+    return text.import_new_only(_document_objects(labelled), _document_objects(docs))
+
+
+# -- Q9-Q15: presentation tables and drill-downs -------------------------------
+
+def _sentiment(spark, d):
+    return presentation.sentiment(fx.scored_calls(spark, d), fx.scored_comments(spark, d))
+
+
+def _churn(spark, d):
+    return presentation.churn(q_customers(spark, d), q_mrr(spark, d), _sentiment(spark, d))
+
+
+@query("pres_sentiment")
+def q_pres_sentiment(spark, d):
+    return _sentiment(spark, d)
+
+
+@query("pres_clv")
+def q_pres_clv(spark, d):
+    return presentation.clv(q_customers(spark, d), _sentiment(spark, d))
+
+
+@query("pres_churn")
+def q_pres_churn(spark, d):
+    return _churn(spark, d)
+
+
+@query("calls_drilldown")
+def q_calls_drilldown(spark, d):
+    return presentation.calls_drilldown(fx.scored_calls(spark, d), _churn(spark, d))
+
+
+@query("comments_top5")
+def q_comments_top5(spark, d):
+    return presentation.comments_top(fx.scored_comments(spark, d), 5)
+
+
+@query("rename_all")
+def q_rename_all(spark, d):
+    return presentation.rename_for_display(fx.scored_calls(spark, d))
+
+
+@query("pred_like")
+def q_pred_like(spark, d):
+    return fx.stg_payments(spark, d).where(presentation.like_literal_prefix("payment_method", "bank_"))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ledgerlight.sources.tables import read_table
 
+__all__ = ["read_table"]
+
 # Payment methods in the order a part key selects them
 # (``l_partkey % 5``); the fifth lies outside the reference's pivot list.
 PAYMENT_METHODS = ["credit_card", "coupon", "bank_transfer", "gift_card", "other"]
