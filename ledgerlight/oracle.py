@@ -354,6 +354,50 @@ _q("rename_all", """
            uuid AS "UUID", sentiment AS "SENTIMENT" FROM scored_calls_q""", **HELPERS)
 _q("pred_like", "SELECT * FROM stg_payments WHERE payment_method LIKE 'bank\\_%' ESCAPE '\\'")
 
+# -- Collections and search --------------------------------------------------------
+
+HELPERS["coll_q"] = (f"SELECT {row_uuid_sql('Embedding', ['vec_id', 'label'])} AS uuid, vec_id, label, "
+                     "embedding AS vector FROM embeddings")
+HELPERS["centroid_q"] = """
+    SELECT label AS query_id, list(m ORDER BY pos) AS c FROM (
+      SELECT label, pos, avg(CAST(x AS DOUBLE)) AS m FROM (
+        SELECT label, unnest(embedding) AS x, unnest(generate_series(1, len(embedding))) AS pos
+        FROM embeddings) GROUP BY label, pos) GROUP BY label"""
+HELPERS["topk_q"] = """
+    SELECT query_id, rank, uuid, similarity FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, uuid) AS rank FROM (
+        SELECT c.query_id, e.uuid,
+               round(list_cosine_similarity(CAST(e.vector AS DOUBLE[]), c.c), 6) AS similarity
+        FROM centroid_q c CROSS JOIN coll_q e)) WHERE rank <= 3"""
+HELPERS["doc_tf_q"] = """
+    SELECT doc_id, term, count(*) AS tf FROM (
+      SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\pL\\pN]+')) AS term FROM documents)
+    WHERE length(term) > 0 GROUP BY doc_id, term"""
+HELPERS["doc_df_q"] = "SELECT term, count(*) AS df FROM doc_tf_q GROUP BY term"
+HELPERS["n_docs_q"] = "SELECT CAST(count(*) AS DOUBLE) AS n FROM documents"
+HELPERS["doc_w_q"] = """
+    SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM (
+      SELECT t.doc_id, t.term, t.tf * ln((n.n + 1.0) / (f.df + 1.0)) AS w
+      FROM doc_tf_q t JOIN doc_df_q f ON t.term = f.term CROSS JOIN n_docs_q n)"""
+HELPERS["query_w_q"] = """
+    SELECT item_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS qw FROM (
+      SELECT t.item_id, t.term, t.tf * ln((n.n + 1.0) / (coalesce(f.df, 0) + 1.0)) AS w
+      FROM (SELECT item_id, term, count(*) AS tf FROM (
+              SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^\\pL\\pN]+')) AS term
+              FROM benchmark) WHERE length(term) > 0 GROUP BY item_id, term) t
+      LEFT JOIN doc_df_q f ON t.term = f.term CROSS JOIN n_docs_q n)"""
+
+_q("collection_flatten", "SELECT * FROM coll_q", **HELPERS)
+_q("vector_topk", "SELECT * FROM topk_q", **HELPERS)
+_q("vector_by_id", "SELECT * FROM coll_q WHERE uuid IN (SELECT uuid FROM topk_q WHERE rank = 1)", **HELPERS)
+_q("text_embed", "SELECT doc_id, term, round(weight, 9) AS weight FROM doc_w_q", **HELPERS)
+_q("text_search_top1", """
+    SELECT item_id, rank, doc_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM (
+        SELECT q.item_id, d.doc_id, round(sum(q.qw * d.weight), 6) AS score
+        FROM query_w_q q JOIN doc_w_q d ON q.term = d.term GROUP BY q.item_id, d.doc_id))
+    WHERE rank <= 1""", **HELPERS)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

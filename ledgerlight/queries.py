@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.operators import attribution, commerce, presentation, revenue, text
+from ledgerlight.operators import attribution, commerce, presentation, revenue, text, vectors
 from ledgerlight.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,5 +201,47 @@ def q_pred_like(spark, d):
     return fx.stg_payments(spark, d).where(presentation.like_literal_prefix("payment_method", "bank_"))
 
 
+# -- V4-V8, S15: collections and search -----------------------------------------
+
+def _embedding_collection(spark, d):
+    return vectors.collection(fx.stg_embeddings(spark, d), ["vec_id", "label"], "embedding", "Embedding")
+
+
+def _label_topk(spark, d, k=3):
+    coll = _embedding_collection(spark, d)
+    queries_ = vectors.centroids(fx.stg_embeddings(spark, d), "label", "embedding")
+    return vectors.top_k_similar(queries_, coll, k, "uuid")
+
+
+@query("collection_flatten")
+def q_collection_flatten(spark, d):
+    return vectors.flatten(_embedding_collection(spark, d))
+
+
+@query("vector_topk")
+def q_vector_topk(spark, d):
+    """Three nearest objects to each label's centroid (queries derived from the table)."""
+    return _label_topk(spark, d)
+
+
+@query("vector_by_id")
+def q_vector_by_id(spark, d):
+    """Objects fetched by the ids the search returned first (V5)."""
+    best = _label_topk(spark, d).where(F.col("rank") == 1)
+    return vectors.flatten(vectors.lookup(_embedding_collection(spark, d), best))
+
+
+@query("text_embed")
+def q_text_embed(spark, d):
+    weights, _, _ = vectors.text_vectors(fx.stg_documents(spark, d), "doc_id", "text")
+    return weights.withColumn("weight", F.round("weight", 9))
+
+
+@query("text_search_top1")
+def q_text_search_top1(spark, d):
+    """Best document for each benchmark passage (V6 retrieval)."""
+    return vectors.search_text(fx.stg_benchmark(spark, d), fx.stg_documents(spark, d), k=1)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
