@@ -398,6 +398,24 @@ _q("text_search_top1", """
         FROM query_w_q q JOIN doc_w_q d ON q.term = d.term GROUP BY q.item_id, d.doc_id))
     WHERE rank <= 1""", **HELPERS)
 
+# -- Taxi ----------------------------------------------------------------------------
+
+HELPERS["taxi_q"] = """
+    SELECT trip_id, CAST(pickup_location_id AS VARCHAR) AS pickup_location_id,
+           CAST(dropoff_location_id AS VARCHAR) AS dropoff_location_id,
+           CAST(hour(pickup_datetime) AS INTEGER) AS hour, trip_distance,
+           date_diff('second', pickup_datetime, dropoff_datetime) AS trip_duration_sec
+    FROM stg_taxi"""
+_q("taxi_transform", "SELECT * FROM taxi_q", **HELPERS)
+_q("taxi_scaled", """
+    SELECT trip_id, trip_distance, trip_distance / (SELECT max(abs(trip_distance)) FROM taxi_q)
+           AS trip_distance_scaled FROM taxi_q""", **HELPERS)
+_q("split_hash", """
+    SELECT trip_id, b AS split_bucket, b < 70 AS is_train FROM (
+      SELECT trip_id, CAST(CAST('0x' || substr(md5(CAST(trip_id AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 100
+                           AS INTEGER) AS b
+      FROM taxi_q)""", **HELPERS)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

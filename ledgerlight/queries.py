@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.operators import attribution, commerce, presentation, revenue, text, vectors
+from ledgerlight.operators import (attribution, commerce, presentation, registry, revenue, sentiment,
+                                   taxi, text, vectors)
 from ledgerlight.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,5 +244,87 @@ def q_text_search_top1(spark, d):
     return vectors.search_text(fx.stg_benchmark(spark, d), fx.stg_documents(spark, d), k=1)
 
 
+# -- Q16, M1-M7, M11: taxi regression and registry --------------------------------
+
+def _taxi(spark, d):
+    return taxi.transform(fx.stg_taxi(spark, d))
+
+
+def _metrics_frame(spark, name, version, metrics):
+    return spark.createDataFrame(
+        [(name, version, k, float(v)) for k, v in sorted(metrics.items())],
+        "name string, version string, metric string, value double")
+
+
+@query("taxi_transform")
+def q_taxi_transform(spark, d):
+    return _taxi(spark, d)
+
+
+@query("taxi_scaled")
+def q_taxi_scaled(spark, d):
+    return taxi.scaled_distance(_taxi(spark, d))
+
+
+@query("split_hash")
+def q_split_hash(spark, d):
+    return taxi.with_split(_taxi(spark, d), "trip_id", taxi.SPLIT_SEED)
+
+
+@query("taxi_features")
+def q_taxi_features(spark, d):
+    return taxi.fit_features(_taxi(spark, d))
+
+
+@query("taxi_model")
+def q_taxi_model(spark, d):
+    _, metrics = taxi.train(_taxi(spark, d))
+    return _metrics_frame(spark, "trip_duration_estimator", "run", metrics)
+
+
+@query("taxi_predict")
+def q_taxi_predict(spark, d):
+    features = _taxi(spark, d)
+    model, _ = taxi.train(features)
+    return taxi.predict(model, features)
+
+
+@query("registry_roundtrip")
+def q_registry_roundtrip(spark, d):
+    """Train, log with tags, set metrics, reload by version and read the metrics back."""
+    from pyspark.ml import PipelineModel
+    features = _taxi(spark, d)
+    model, metrics = taxi.train(features)
+    reg = registry.Registry(spark)
+    name, version = "trip_duration_estimator", taxi.new_version()
+    reg.log_model(model, name, version, {"stage": "dev", "model_type": "LinearRegression"})
+    for k, v in metrics.items():
+        reg.set_metric(name, version, k, v)
+    reloaded = reg.load_model(PipelineModel, name, version)
+    n_pred = taxi.predict(reloaded, features).count()
+    reg.set_metric(name, version, "rows_scored", n_pred)
+    return reg.metrics(name, version)
+
+
+# -- M8-M10: sentiment classifier ------------------------------------------------
+
+def _labelled_embeddings(spark, d):
+    emb = fx.stg_embeddings(spark, d)
+    return sentiment.labelled_vectors(emb, "vec_id", "embedding", F.col("label") >= 5)
+
+
+@query("sentiment_model")
+def q_sentiment_model(spark, d):
+    _, metrics = sentiment.train(_labelled_embeddings(spark, d), "vec_id")
+    return _metrics_frame(spark, "sentiment_classifier", "run", metrics)
+
+
+@query("sentiment_score")
+def q_sentiment_score(spark, d):
+    data = _labelled_embeddings(spark, d)
+    model, _ = sentiment.train(data, "vec_id")
+    return sentiment.score(model, data, "vec_id")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
