@@ -416,6 +416,17 @@ _q("split_hash", """
                            AS INTEGER) AS b
       FROM taxi_q)""", **HELPERS)
 
+# -- Sources, sinks, catalog: the data read back equals its source ------------------
+
+_q("src_csv_roundtrip", "SELECT * FROM stg_customers")
+_q("src_csv_multi", "SELECT * FROM stg_taxi")
+_q("src_file_listing", """
+    SELECT relative_path, customer_id, strlen(transcript) + 1 AS size FROM stg_calls""")
+_q("sink_overwrite", "SELECT * FROM customers_q", **HELPERS)
+_q("catalog_ddl", "SELECT * FROM stg_customers")
+_q("catalog_cleanup", "SELECT * FROM customers_q", **HELPERS)
+_q("snapshot_restore", "SELECT * FROM coll_q", **HELPERS)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ledgerlight.operators import (attribution, commerce, presentation, registry, revenue, sentiment,
                                    taxi, text, vectors)
+from ledgerlight.plans.lineage import scratch_path
+from ledgerlight.sources import catalog, files
 from ledgerlight.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -326,5 +328,75 @@ def q_sentiment_score(spark, d):
     return sentiment.score(model, data, "vec_id")
 
 
+# -- S1-S16: sources, sinks, catalog -------------------------------------------
+
+@query("src_csv_roundtrip")
+def q_src_csv_roundtrip(spark, d):
+    """Customers written as CSV and loaded back with an explicit schema."""
+    df = fx.stg_customers(spark, d)
+    path = files.write_csv(df, scratch_path(spark, "csv-customers"))
+    return files.read_csv(spark, path, df.schema)
+
+
+@query("src_csv_multi")
+def q_src_csv_multi(spark, d):
+    """Trips written as one CSV file per pickup day, all files loaded into one table."""
+    trips = fx.stg_taxi(spark, d)
+    root = files.write_csv(trips.withColumn("pickup_day", F.to_date("pickup_datetime")),
+                           scratch_path(spark, "csv-trips"), partition_by=["pickup_day"])
+    return files.read_csv(spark, files.csv_files(spark, root), trips.schema)
+
+
+@query("src_file_listing")
+def q_src_file_listing(spark, d):
+    """Call files listed by metadata only; customer id read from the file name."""
+    root = files.write_text_files(fx.stg_calls(spark, d), scratch_path(spark, "call-files"),
+                                  "relative_path", "transcript")
+    return files.list_files(spark, root).select("relative_path", "customer_id", "size")
+
+
+@query("sink_overwrite")
+def q_sink_overwrite(spark, d):
+    """The customer rollup saved twice with overwrite; the table holds one copy."""
+    name = f"{catalog.work_database(spark)}.customers"
+    result = q_customers(spark, d)
+    catalog.save_table(result, name, "overwrite")
+    return catalog.save_table(result, name, "overwrite")
+
+
+@query("catalog_ddl")
+def q_catalog_ddl(spark, d):
+    """Database and NOT NULL table created if missing, then filled."""
+    name = f"{catalog.work_database(spark)}.dim_customers"
+    catalog.create_table_if_not_exists(
+        spark, name, "customer_id BIGINT NOT NULL, first_name STRING NOT NULL, last_name STRING NOT NULL")
+    return catalog.insert_overwrite(fx.stg_customers(spark, d), name)
+
+
+@query("catalog_cleanup")
+def q_catalog_cleanup(spark, d):
+    """Steps materialised under a prefix, final table written, intermediates dropped."""
+    db = catalog.work_database(spark)
+    orders, payments = fx.stg_orders(spark, d), fx.stg_payments(spark, d)
+    per_customer = catalog.materialize_step(commerce.customer_orders(orders), "tmp__", "customer_orders", db)
+    paid = catalog.materialize_step(commerce.customer_payments(payments, orders), "tmp__",
+                                    "customer_payments", db)
+    final = (fx.stg_customers(spark, d).join(per_customer, "customer_id", "left")
+             .join(paid, "customer_id", "left")
+             .withColumnRenamed("total_amount", "customer_lifetime_value"))
+    table = catalog.save_table(final, f"{db}.customers_final", "overwrite")
+    catalog.drop_tables_with_prefix(spark, db, "tmp__")
+    return table
+
+
+@query("snapshot_restore")
+def q_snapshot_restore(spark, d):
+    """Collection written as a snapshot, restored over the live table, read back."""
+    snap = catalog.write_snapshot({"embedding_collection": _embedding_collection(spark, d)},
+                                  scratch_path(spark, "snapshot"))
+    table = catalog.restore_snapshot(spark, snap, ["embedding_collection"])["embedding_collection"]
+    return vectors.flatten(spark.table(table))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
