@@ -10,12 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlight.plans.lineage import scratch_path
+
 WORK_DB_CONF = "ledgerlight.work.database"
 
 
 def work_database(spark: SparkSession) -> str:
+    """The database for written results, created on first use.
+
+    A new database gets its own fresh location under the shared folder, so
+    folders left by an earlier session (whose catalog is gone) can never
+    collide with a managed table of this one; a database a persistent
+    catalog already knows keeps its location.
+    """
     db = spark.conf.get(WORK_DB_CONF, None) or "ledgerlight_work"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    if not spark.catalog.databaseExists(db):
+        location = scratch_path(spark, f"warehouse-{db}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{location}'")
     return db
 
 
