@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 # The payment methods given their own column.
 PAYMENT_TYPES = ["credit_card", "coupon", "bank_transfer", "gift_card"]
 
-_CENTS = F.lit(100.0)
+
+def _cents():
+    return F.lit(100.0)
 
 
 def customer_orders(orders: DataFrame) -> DataFrame:
@@ -36,7 +38,7 @@ def customer_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
     paid = payments.select("order_id", "amount").join(
         orders.select("order_id", "customer_id"), "order_id", "left")
     return paid.groupBy("customer_id").agg(
-        (F.sum("amount") / _CENTS).alias("total_amount"))
+        (F.sum("amount") / _cents()).alias("total_amount"))
 
 
 def customers(customers_: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
@@ -56,10 +58,10 @@ def _payment_sums(payments: DataFrame, in_cents: bool) -> DataFrame:
             # pivot semantics: NULL when the order has no payment of the method
             aggs.append(F.sum(F.when(hit, F.col("amount"))).alias(f"{m}_amount"))
         else:
-            aggs.append((F.sum(F.when(hit, F.col("amount")).otherwise(F.lit(0))) / _CENTS)
+            aggs.append((F.sum(F.when(hit, F.col("amount")).otherwise(F.lit(0))) / _cents())
                         .alias(f"{m}_amount"))
     total = F.sum("amount")
-    aggs.append((total if in_cents else total / _CENTS).alias("total_amount"))
+    aggs.append((total if in_cents else total / _cents()).alias("total_amount"))
     return payments.groupBy("order_id").agg(*aggs)
 
 

@@ -26,7 +26,9 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_MONTH = F.expr("INTERVAL 1 MONTH")
+
+def _month_step() -> Column:
+    return F.expr("INTERVAL 1 MONTH")
 
 
 def _date(v) -> Column:
@@ -40,7 +42,7 @@ def _date(v) -> Column:
 def calendar(spark: SparkSession, start_month, as_of) -> DataFrame:
     """Month starts from ``start_month`` through the month of ``as_of`` (Q3)."""
     return spark.range(1).select(F.explode(F.sequence(
-        F.trunc(_date(start_month), "MM"), F.trunc(_date(as_of), "MM"), _MONTH)).alias("date_month"))
+        F.trunc(_date(start_month), "MM"), F.trunc(_date(as_of), "MM"), _month_step())).alias("date_month"))
 
 
 def calendar_spanning(periods: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ def calendar_spanning(periods: DataFrame) -> DataFrame:
     last = F.greatest(F.col("start_date"), F.coalesce(F.col("end_date"), F.col("start_date")))
     bounds = periods.agg(F.min("start_date").alias("lo"), F.max(last).alias("hi"))
     return bounds.select(F.explode(F.sequence(
-        F.trunc("lo", "MM"), F.trunc("hi", "MM"), _MONTH)).alias("date_month"))
+        F.trunc("lo", "MM"), F.trunc("hi", "MM"), _month_step())).alias("date_month"))
 
 
 def customer_span(periods: DataFrame) -> DataFrame:
@@ -64,11 +66,14 @@ def customer_span(periods: DataFrame) -> DataFrame:
 
 def customer_months(periods: DataFrame, start_month, as_of) -> DataFrame:
     """(customer, month) for months in [span start, span end) within the calendar (Q4)."""
-    lo = F.greatest(F.col("date_month_start"), F.trunc(_date(start_month), "MM"))
-    hi = F.least(F.add_months("date_month_end", -1), F.trunc(_date(as_of), "MM"))
+    # greatest/least skip NULLs; a NULL span end must leave the customer out
+    lo = F.when(F.col("date_month_start").isNotNull(),
+                F.greatest(F.col("date_month_start"), F.trunc(_date(start_month), "MM")))
+    hi = F.when(F.col("date_month_end").isNotNull(),
+                F.least(F.add_months("date_month_end", -1), F.trunc(_date(as_of), "MM")))
     span = customer_span(periods).select("customer_id", lo.alias("lo"), hi.alias("hi"))
     return (span.where(F.col("lo") <= F.col("hi"))
-                .select("customer_id", F.explode(F.sequence("lo", "hi", _MONTH)).alias("date_month")))
+                .select("customer_id", F.explode(F.sequence("lo", "hi", _month_step())).alias("date_month")))
 
 
 def period_months(periods: DataFrame, start_month, as_of) -> DataFrame:
@@ -77,11 +82,12 @@ def period_months(periods: DataFrame, start_month, as_of) -> DataFrame:
              .otherwise(F.add_months(F.trunc("start_date", "MM"), 1))
     cal_lo, cal_hi = F.trunc(_date(start_month), "MM"), F.trunc(_date(as_of), "MM")
     last = F.coalesce(F.trunc(F.date_sub("end_date", 1), "MM"), cal_hi)
-    lo, hi = F.greatest(first, cal_lo), F.least(last, cal_hi)
+    lo = F.when(first.isNotNull(), F.greatest(first, cal_lo))   # no start: covers nothing
+    hi = F.least(last, cal_hi)
     return (periods.select("customer_id", "monthly_amount", lo.alias("lo"), hi.alias("hi"))
                    .where(F.col("lo") <= F.col("hi"))
                    .select("customer_id", "monthly_amount",
-                           F.explode(F.sequence("lo", "hi", _MONTH)).alias("date_month")))
+                           F.explode(F.sequence("lo", "hi", _month_step())).alias("date_month")))
 
 
 def mrr_monthly(periods: DataFrame, start_month, as_of) -> DataFrame:
@@ -103,11 +109,12 @@ def mrr_monthly(periods: DataFrame, start_month, as_of) -> DataFrame:
                         F.coalesce(F.col("last_active_month") == F.col("date_month"), F.lit(False))))
 
 
-_CATEGORY = (F.when(F.col("is_first_month"), "new")
-              .when(~F.col("is_active") & F.col("previous_month_is_active"), "churn")
-              .when(F.col("is_active") & ~F.col("previous_month_is_active"), "reactivation")
-              .when(F.col("mrr_change") > 0, "upgrade")
-              .when(F.col("mrr_change") < 0, "downgrade"))
+def _category() -> Column:
+    return (F.when(F.col("is_first_month"), "new")
+             .when(~F.col("is_active") & F.col("previous_month_is_active"), "churn")
+             .when(F.col("is_active") & ~F.col("previous_month_is_active"), "reactivation")
+             .when(F.col("mrr_change") > 0, "upgrade")
+             .when(F.col("mrr_change") < 0, "downgrade"))
 
 
 def mrr(periods: DataFrame, start_month, as_of) -> DataFrame:
@@ -130,7 +137,7 @@ def mrr(periods: DataFrame, start_month, as_of) -> DataFrame:
             .withColumn("previous_month_mrr",
                         F.coalesce(F.lag("mrr").over(by_month), F.lit(0.0)))
             .withColumn("mrr_change", F.col("mrr") - F.col("previous_month_mrr"))
-            .withColumn("change_category", _CATEGORY)
+            .withColumn("change_category", _category())
             .withColumn("renewal_amount", F.least("mrr", "previous_month_mrr"))
             .withColumn("id", F.md5(F.col("customer_id").cast("string")))
             .drop("_churn_row"))
