@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 
 from ledgerlight.functions.hashing import row_uuid
 from ledgerlight.functions.text import tokens
-from ledgerlight.plans.broadcast import checked_broadcast, checked_collect
+from ledgerlight.plans.broadcast import checked_collect, checked_rows
+from ledgerlight.plans.lineage import cut_lineage
+from ledgerlight.plans.parallelism import spread
 
 SCORE_DIGITS = 6
 
@@ -119,8 +121,9 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, term, tf) over the whole text."""
-    return (docs.select(id_col, F.explode(tokens(F.col(text_col))).alias("term"))
-                .groupBy(id_col, "term").agg(F.count("*").alias("tf")))
+    return (spread(docs.select(id_col, text_col))
+            .select(id_col, F.explode(tokens(F.col(text_col))).alias("term"))
+            .groupBy(id_col, "term").agg(F.count("*").alias("tf")))
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
@@ -141,7 +144,7 @@ def _normalise(weights: DataFrame, id_col: str) -> DataFrame:
 
 def text_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """Unit-length TF-IDF vectors in long form plus the fitted (term, df) table and N."""
-    tf = term_counts(docs, id_col, text_col)
+    tf = cut_lineage(term_counts(docs, id_col, text_col))   # tokenised once, read by both uses
     dfs = document_frequency(tf)
     n_docs = docs.select(F.count("*").cast("double")).scalar()
     w = tf.join(dfs, "term").select(id_col, "term", (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
@@ -162,16 +165,34 @@ def search_text(queries: DataFrame, docs: DataFrame, k: int = 1,
                 max_query_terms: int = 2_000_000) -> DataFrame:
     """Top-``k`` documents per query text by TF-IDF cosine (V6 retrieval, V7).
 
-    Query terms are few (checked) and broadcast; each task joins them to its
-    document terms and pre-aggregates the per-(query, doc) sums before the
-    shuffle.  Ties go to the smaller document id.
+    cosine(q, d) = sum_t qw_t * tf_dt * idf_t / |d|, with ``qw`` the unit
+    query weights.  Query terms are few (checked) and broadcast with their
+    idf, so scoring joins them to the document term counts without a
+    shuffle of the documents and pre-aggregates the per-(query, doc) sums.
+    Document norms are one partial aggregation over the (term-joined)
+    counts; no per-document window over all terms is needed.  Ties go to
+    the smaller document id.
     """
-    doc_vecs, dfs, n_docs = text_vectors(docs, doc_id, text_col)
-    q_vecs = query_vectors(queries.select(query_id, text_col), dfs, n_docs, query_id, text_col)
-    q_small = checked_broadcast(q_vecs.withColumnRenamed("weight", "qw"), max_query_terms)
-    scores = (doc_vecs.join(q_small, "term")
-              .groupBy(query_id, doc_id)
-              .agg(F.round(F.sum(F.col("qw") * F.col("weight")), SCORE_DIGITS).alias("score")))
+    # the corpus is tokenised once: three branches read the counts
+    tf = cut_lineage(term_counts(docs, doc_id, text_col))
+    dfs = document_frequency(tf)
+    n_docs = docs.select(F.count("*").cast("double")).scalar()
+    norms = (tf.join(dfs, "term")
+               .select(doc_id, (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
+               .groupBy(doc_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")))
+    # bound proven on the query side alone; the join to the corpus document
+    # frequencies keeps at most one row per query term
+    q_tf = term_counts(queries.select(query_id, text_col), query_id, text_col)
+    checked_rows(q_tf, max_query_terms)
+    q_terms = (_normalise(q_tf.join(dfs, "term", "left").select(
+                   query_id, "term", "df",
+                   (F.col("tf") * _idf(F.coalesce(F.col("df"), F.lit(0)), n_docs)).alias("w")), query_id)
+               .where(F.col("df").isNotNull())
+               .select(query_id, "term", (F.col("weight") * _idf(F.col("df"), n_docs)).alias("qwi")))
+    dots = (tf.join(F.broadcast(q_terms), "term")
+              .groupBy(query_id, doc_id).agg(F.sum(F.col("qwi") * F.col("tf")).alias("dot")))
+    scores = dots.join(norms, doc_id).select(
+        query_id, doc_id, F.round(F.col("dot") / F.col("norm"), SCORE_DIGITS).alias("score"))
     rank = F.row_number().over(Window.partitionBy(query_id)
                                .orderBy(F.col("score").desc(), F.col(doc_id)))
     return (scores.withColumn("rank", rank).where(F.col("rank") <= k)
