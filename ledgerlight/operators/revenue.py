@@ -118,20 +118,26 @@ def _category() -> Column:
 
 
 def mrr(periods: DataFrame, start_month, as_of) -> DataFrame:
-    """MRR movements: new, churn, reactivation, upgrade, downgrade (Q6, Q7)."""
-    monthly = mrr_monthly(periods, start_month, as_of).withColumn("_churn_row", F.lit(0))
-    churn = monthly.where("is_last_month").select(
-        F.add_months("date_month", 1).alias("date_month"),
-        "customer_id",
-        F.lit(0.0).alias("mrr"),
-        F.lit(False).alias("is_active"),
-        "first_active_month",
-        "last_active_month",
-        F.lit(False).alias("is_first_month"),
-        F.lit(False).alias("is_last_month"),
-        F.lit(1).alias("_churn_row"))
+    """MRR movements: new, churn, reactivation, upgrade, downgrade (Q6, Q7).
+
+    The churn row (month after the last active month, worth 0.0) is emitted
+    next to its source row by one ``explode`` -- the union of the playbook
+    without a second pass over the monthly rows -- so the rows stay in the
+    customer partitioning of the first window and ``lag`` needs no shuffle.
+    """
+    monthly = mrr_monthly(periods, start_month, as_of)
+    real = F.struct(F.col("date_month"), F.col("mrr"), F.col("is_active"),
+                    F.col("is_first_month"), F.col("is_last_month"), F.lit(0).alias("_churn_row"))
+    churn = F.struct(F.add_months("date_month", 1).alias("date_month"), F.lit(0.0).alias("mrr"),
+                     F.lit(False).alias("is_active"), F.lit(False).alias("is_first_month"),
+                     F.lit(False).alias("is_last_month"), F.lit(1).alias("_churn_row"))
+    rows = monthly.select(
+        "customer_id", "first_active_month", "last_active_month",
+        F.explode(F.when(F.col("is_last_month"), F.array(real, churn)).otherwise(F.array(real))).alias("r"))
+    unioned = rows.select("r.date_month", "customer_id", "r.mrr", "r.is_active", "first_active_month",
+                          "last_active_month", "r.is_first_month", "r.is_last_month", "r._churn_row")
     by_month = Window.partitionBy("customer_id").orderBy("date_month", "_churn_row")
-    return (monthly.unionByName(churn)
+    return (unioned
             .withColumn("previous_month_is_active",
                         F.coalesce(F.lag("is_active").over(by_month), F.lit(False)))
             .withColumn("previous_month_mrr",
