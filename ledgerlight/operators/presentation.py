@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlight.plans.ordering import group_index
+
 
 def _numeric_customer(df: DataFrame) -> DataFrame:
     return df.withColumn("customer_id", F.col("customer_id").try_cast("long"))
@@ -78,9 +80,10 @@ def calls_drilldown(scored_calls: DataFrame, customers_of_interest: DataFrame) -
     """
     wanted = customers_of_interest.select("customer_id").distinct()
     calls = _numeric_customer(scored_calls).join(wanted, "customer_id", "left_semi").drop("uuid")
-    rank = F.row_number().over(Window.partitionBy("customer_id")
-                               .orderBy(F.col("sentiment").desc_nulls_last(), F.col("relative_path")))
-    return calls.withColumn("call_rank", rank)
+    # every call is ranked (no limit), so a customer with a large share of
+    # the calls is ranked over range slices rather than in one task
+    order = [F.col("sentiment").desc_nulls_last(), F.col("relative_path")]
+    return group_index(calls, ["customer_id"], order, "call_rank")
 
 
 def comments_top(scored_comments: DataFrame, k: int = 5) -> DataFrame:
