@@ -18,12 +18,22 @@ _CONF = "spark.checkpoint.dir"
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediates."""
-    current = spark.conf.get(_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if not current:
-        # Unset: only happens in local runs and tests.
-        current = tempfile.mkdtemp(prefix="ledgerlight-ckpt-")
+    sc = spark.sparkContext
+    current = spark.conf.get(_CONF, None) or sc.getConf().get(_CONF, None)
+    if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return current.rstrip("/")
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing.rstrip("/")
+    # Unset everywhere: only happens in local runs and tests.
+    current = tempfile.mkdtemp(prefix="ledgerlight-ckpt-")
+    sc.setCheckpointDir(current)
+    try:
         spark.conf.set(_CONF, current)
-    spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # core settings may be read-only at runtime
+        pass
     return current.rstrip("/")
 
 
