@@ -31,8 +31,10 @@ def sentiment(scored_calls: DataFrame, scored_comments: DataFrame) -> DataFrame:
     return (calls.join(comments, "customer_id", "right")
             .na.fill(0.0, subset=["calls_sentiment"])
             .withColumn("sentiment_score", score)
+            # the built-in called by name, as the reference does
             .withColumn("sentiment_bucket",
-                        F.width_bucket(F.col("sentiment_score"), F.lit(0.0), F.lit(1.0), F.lit(10))))
+                        F.call_function("width_bucket", F.col("sentiment_score"),
+                                        F.lit(0.0), F.lit(1.0), F.lit(10))))
 
 
 def _name() -> Column:

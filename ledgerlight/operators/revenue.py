@@ -41,8 +41,10 @@ def _date(v) -> Column:
 
 def calendar(spark: SparkSession, start_month, as_of) -> DataFrame:
     """Month starts from ``start_month`` through the month of ``as_of`` (Q3)."""
+    # one row per month: ordering it is free and gives the calendar in order (O1)
     return spark.range(1).select(F.explode(F.sequence(
-        F.trunc(_date(start_month), "MM"), F.trunc(_date(as_of), "MM"), _month_step())).alias("date_month"))
+        F.trunc(_date(start_month), "MM"), F.trunc(_date(as_of), "MM"), _month_step())).alias("date_month")) \
+        .orderBy("date_month")
 
 
 def calendar_spanning(periods: DataFrame) -> DataFrame:
@@ -50,7 +52,7 @@ def calendar_spanning(periods: DataFrame) -> DataFrame:
     last = F.greatest(F.col("start_date"), F.coalesce(F.col("end_date"), F.col("start_date")))
     bounds = periods.agg(F.min("start_date").alias("lo"), F.max(last).alias("hi"))
     return bounds.select(F.explode(F.sequence(
-        F.trunc("lo", "MM"), F.trunc("hi", "MM"), _month_step())).alias("date_month"))
+        F.trunc("lo", "MM"), F.trunc("hi", "MM"), _month_step())).alias("date_month")).orderBy("date_month")
 
 
 def customer_span(periods: DataFrame) -> DataFrame:

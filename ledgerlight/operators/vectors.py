@@ -151,15 +151,6 @@ def text_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return _normalise(w, id_col), dfs, n_docs
 
 
-def query_vectors(queries: DataFrame, dfs: DataFrame, n_docs: Column,
-                  id_col: str, text_col: str) -> DataFrame:
-    """Query texts weighted with the corpus IDF; an unseen term has df 0."""
-    tf = term_counts(queries, id_col, text_col)
-    w = tf.join(dfs, "term", "left").select(
-        id_col, "term", (F.col("tf") * _idf(F.coalesce(F.col("df"), F.lit(0)), n_docs)).alias("w"))
-    return _normalise(w, id_col)
-
-
 def search_text(queries: DataFrame, docs: DataFrame, k: int = 1,
                 query_id: str = "item_id", doc_id: str = "doc_id", text_col: str = "text",
                 max_query_terms: int = 2_000_000) -> DataFrame:

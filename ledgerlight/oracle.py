@@ -97,10 +97,6 @@ CTES: dict[str, str] = {
 }
 
 
-def _uses(sql: str) -> list[str]:
-    return [name for name in CTES if re.search(rf"\b{name}\b", sql)]
-
-
 def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
     """Prefix ``body`` with every adapter / helper CTE it needs, in order."""
     defs = dict(CTES)
