@@ -97,7 +97,7 @@ def comments_top(scored_comments: DataFrame, k: int = 5) -> DataFrame:
     """
     rank = F.row_number().over(Window.partitionBy("customer_id")
                                .orderBy(F.col("sentiment").desc_nulls_last(), F.col("uuid")))
-    return (scored_comments.withColumn("comment_rank", rank)
+    return (scored_comments.withColumn("comment_rank", rank.cast("long"))
             .where(F.col("comment_rank") <= k).drop("uuid"))
 
 

@@ -76,7 +76,7 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
                   vector_col: str = "vector", max_queries: int = 20_000) -> DataFrame:
     """The ``k`` corpus rows most cosine-similar to each query.
 
-    ``queries``: (query_id long, vector array).  Ties on the rounded score go
+    ``queries``: (query_id integral, vector array).  Ties on the rounded score go
     to the smaller id.  Output: query_id, rank, <id_col>, similarity.
     """
     rows = checked_collect(queries.select("query_id", "vector"), max_queries)
@@ -86,7 +86,8 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
     spark = corpus.sparkSession
     bq = spark.sparkContext.broadcast((qids, qmat))
     id_type = corpus.schema[id_col].dataType
-    out_schema = T.StructType([T.StructField("query_id", T.LongType()),
+    qid_type = queries.schema["query_id"].dataType
+    out_schema = T.StructType([T.StructField("query_id", qid_type),
                                T.StructField(id_col, id_type),
                                T.StructField("similarity", T.DoubleType())])
 

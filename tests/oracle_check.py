@@ -64,6 +64,28 @@ def rows_of(cols, records):
     return [tuple(norm(r[i]) for i in order) for r in records], [cols[i] for i in order]
 
 
+def spark_types(df) -> dict:
+    from pyspark.sql import types as T
+    names = {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.ShortType: "SMALLINT",
+             T.ByteType: "TINYINT", T.DoubleType: "DOUBLE", T.FloatType: "FLOAT",
+             T.StringType: "VARCHAR", T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP",
+             T.TimestampType: "TIMESTAMP WITH TIME ZONE", T.BooleanType: "BOOLEAN",
+             T.BinaryType: "BLOB"}
+
+    def name(dt):
+        if isinstance(dt, T.DecimalType):
+            return f"DECIMAL({dt.precision},{dt.scale})"
+        if isinstance(dt, T.ArrayType):
+            return name(dt.elementType) + "[]"
+        return names.get(type(dt), dt.simpleString())
+    return {f.name: name(f.dataType) for f in df.schema.fields}
+
+
+def duck_types(con, sql) -> dict:
+    rel = con.sql(sql)
+    return {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
 def spark_result(df):
     cols = df.columns
     recs = [tuple(r) for r in df.collect()]
@@ -79,7 +101,9 @@ def duck_result(con, sql):
 
 def compare(spark, con, key, sf_dir, fn, sql):
     t0 = time.time()
-    s_rows, s_cols = spark_result(fn(spark, sf_dir))
+    sdf = fn(spark, sf_dir)
+    s_types = spark_types(sdf)
+    s_rows, s_cols = spark_result(sdf)
     t1 = time.time()
     d_rows, d_cols = duck_result(con, sql)
     out = {"key": key, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
@@ -88,6 +112,11 @@ def compare(spark, con, key, sf_dir, fn, sql):
         out["status"] = "COLUMNS"
         out["detail"] = f"spark={s_cols} oracle={d_cols}"
         return out
+    d_types = duck_types(con, sql)
+    if s_types != d_types:
+        diff = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                if s_types.get(c) != d_types.get(c)}
+        out["types"] = f"type differences (spark, oracle): {diff}"
     cs, cd = Counter(s_rows), Counter(d_rows)
     if cs == cd:
         out["status"] = "OK"
@@ -122,6 +151,8 @@ def main(argv):
               f"t={r.get('spark_sec')}")
         if "detail" in r:
             print("  " + r["detail"])
+        if "types" in r:
+            print("  " + r["types"])
     print("FAILED" if bad else "ALL OK", bad)
     return bad
 
