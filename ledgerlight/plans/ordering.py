@@ -5,15 +5,17 @@ When one key may hold a large share of all rows (one customer with a third
 of all sessions), that task becomes the job.  ``group_index`` gives the same
 ``row_number`` and group ``count`` without that bottleneck:
 
-1. range-partition the rows by ``(keys, order)``; the sampled bounds split a
-   hot key over many slices, each a contiguous run of the global order;
-2. number rows inside each (slice, key) -- groups bounded by slice size;
-3. per (key, slice), rows before it = running sum over earlier slices of the
-   same key (at most one row per slice, so this window is tiny);
-4. join the offsets back: ``index = local + offset``.
-
-The order must be total (end it with a unique column) for a deterministic
-result, as with any ``row_number``.
+1. range-partition the rows by ``(keys, order)`` and sort each slice; the
+   sampled bounds split a hot key over many slices, each a contiguous run
+   of the global order;
+2. ``monotonically_increasing_id`` numbers the rows of a slice in that order;
+3. per (key, slice): first position and row count (a small aggregate), and
+   rows of the key in earlier slices (a running sum over at most one row per
+   slice);
+4. join back: ``index = position - first + 1 + earlier``.
+
+Full-data shuffles: the range exchange and the join back.  The order must be
+total (end it with a unique column), as with any deterministic ``row_number``.
 """
 
 from __future__ import annotations
@@ -35,23 +37,24 @@ def group_index(df: DataFrame, keys: list[str], order: list[Column],
     n = slices or _slices(df)
     order_exprs = list(order)
     ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order_exprs)
-                .withColumn("_slice", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(*order_exprs)))
-    # The numbered slices feed two branches (sizes and the final join).  Range
+                .sortWithinPartitions(*[F.col(k) for k in keys], *order_exprs)
+                .withColumn("_slice", F.spark_partition_id())
+                .withColumn("_pos", F.monotonically_increasing_id()))
+    # The numbered slices feed two branches (sizes and the join back).  Range
     # bounds come from sampling, so two evaluations could slice differently;
     # a reliable checkpoint in the shared folder fixes one slicing for both
     # and also bounds recomputation after an executor loss.
-    local = cut_lineage(local)
+    ranged = cut_lineage(ranged)
 
-    sizes = local.groupBy(*keys, "_slice").agg(F.max("_local").alias("_n"))
+    sizes = ranged.groupBy(*keys, "_slice").agg(F.min("_pos").alias("_first"),
+                                                F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     if count_col:
         offsets = offsets.withColumn(count_col, F.sum("_n").over(Window.partitionBy(*keys)))
     offsets = offsets.drop("_n")
 
-    out = (local.join(offsets, [*keys, "_slice"], "inner")
-                .withColumn(index_col, (F.col("_local") + F.col("_offset")).cast("long"))
-                .drop("_slice", "_local", "_offset"))
-    return out
+    index = F.col("_pos") - F.col("_first") + F.lit(1) + F.col("_offset")
+    return (ranged.join(offsets, [*keys, "_slice"], "inner")
+                  .withColumn(index_col, index.cast("long"))
+                  .drop("_slice", "_pos", "_first", "_offset"))
