@@ -133,7 +133,8 @@ def main(argv):
     keys = argv[2:]
     from ledgerlight.session import build_session
     import __spark_entry__ as entry
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=int(os.environ.get("CHECK_PARTITIONS", "8")),
+                          extra={"spark.sql.session.timeZone": os.environ.get("CHECK_TZ", "UTC")})
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
