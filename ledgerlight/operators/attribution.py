@@ -23,6 +23,15 @@ from ledgerlight.plans.ordering import group_index
 NULL_MEDIUM = "NONE"
 
 
+def _money_sum(c: str) -> Column:
+    """Exact sum of amounts with up to 6 decimals (as DECIMAL), returned as DOUBLE.
+
+    Summing doubles depends on the order the rows arrive in; the decimal sum
+    does not, so the result is the same on any cluster layout.
+    """
+    return F.sum(F.col(c).cast("decimal(38,6)")).cast("double")
+
+
 def _share(idx: Column, total: Column) -> Column:
     return (F.when(total == 1, F.lit(1.0))
              .when(total == 2, F.lit(0.5))
@@ -72,7 +81,7 @@ def distinct_mediums(touches: DataFrame) -> DataFrame:
 def ad_spend(touches: DataFrame) -> DataFrame:
     """Full revenue per touch summed by medium; rows with a NULL dropped."""
     return (touches.select("utm_medium", "revenue").na.drop("any")
-            .groupBy("utm_medium").agg(F.sum("revenue").cast("decimal(38,2)").alias("revenue"))
+            .groupBy("utm_medium").agg(_money_sum("revenue").alias("revenue"))
             .withColumnRenamed("utm_medium", "medium"))
 
 
@@ -85,6 +94,5 @@ def revenue_by_medium(touches: DataFrame, max_mediums: int = 1000) -> DataFrame:
     filled = touches.select("utm_source", F.coalesce("utm_medium", F.lit(NULL_MEDIUM)).alias("utm_medium"),
                             "revenue")
     values = sorted(r[0] for r in checked_collect(distinct_mediums(touches), max_mediums))
-    pivoted = filled.groupBy("utm_source").pivot("utm_medium", values).agg(F.sum("revenue"))
-    return pivoted.select(F.col("utm_source").alias("source"),
-                          *[F.col(f"`{v}`").cast("decimal(38,2)").alias(v) for v in values])
+    pivoted = filled.groupBy("utm_source").pivot("utm_medium", values).agg(_money_sum("revenue"))
+    return pivoted.withColumnRenamed("utm_source", "source")

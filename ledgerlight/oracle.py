@@ -75,7 +75,7 @@ CTES: dict[str, str] = {
         FROM events""",
     "stg_conversions": """
         SELECT user_id AS customer_id, max(ts) AS converted_at,
-               CAST(round(arg_max(value, (ts, event_id)) * 100) / 100 AS DECIMAL(12,2)) AS revenue
+               round(arg_max(value, (ts, event_id)) * 100) / 100 AS revenue
         FROM events WHERE event_type = 'purchase' GROUP BY user_id""",
     "stg_comments": """
         SELECT CAST(conv_id AS VARCHAR) AS customer_id, text AS review_text,
@@ -264,12 +264,12 @@ _q("attribution_touches", "SELECT * FROM touches_q", **HELPERS)
 _q("attribution_touches_1d", _touches_sql(1))
 _q("distinct_mediums", "SELECT DISTINCT coalesce(utm_medium, 'NONE') AS utm_medium FROM touches_q", **HELPERS)
 _q("pres_ad_spend", """
-    SELECT utm_medium AS medium, sum(revenue) AS revenue FROM touches_q
+    SELECT utm_medium AS medium, CAST(sum(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE) AS revenue FROM touches_q
     WHERE utm_medium IS NOT NULL AND revenue IS NOT NULL GROUP BY utm_medium""", **HELPERS)
 _q("revenue_by_medium", """
     SELECT * FROM (
       PIVOT (SELECT utm_source AS source, coalesce(utm_medium, 'NONE') AS utm_medium, revenue FROM touches_q)
-      ON utm_medium USING sum(revenue) GROUP BY source)""", **HELPERS)
+      ON utm_medium USING CAST(sum(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE) GROUP BY source)""", **HELPERS)
 
 # -- Text cleaning, ids, import -------------------------------------------------
 

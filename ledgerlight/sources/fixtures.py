@@ -96,7 +96,7 @@ def stg_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stg_conversions(spark: SparkSession, d: str) -> DataFrame:
-    """Latest purchase of each user; revenue in whole cents as DECIMAL(12,2)."""
+    """Latest purchase of each user; revenue rounded to whole cents."""
     e = read_table(spark, d, "events").where(F.col("event_type") == "purchase")
     latest = e.groupBy("user_id").agg(
         F.max("ts").alias("converted_at"),
@@ -104,7 +104,7 @@ def stg_conversions(spark: SparkSession, d: str) -> DataFrame:
     return latest.select(
         F.col("user_id").alias("customer_id"),
         "converted_at",
-        (F.round(F.col("value") * 100) / 100).cast("decimal(12,2)").alias("revenue"),
+        (F.round(F.col("value") * 100) / 100).alias("revenue"),
     )
 
 

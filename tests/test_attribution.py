@@ -1,6 +1,5 @@
 import datetime as dt
 import random
-from decimal import Decimal
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -10,7 +9,7 @@ from ledgerlight.plans.ordering import group_index
 
 T = dt.datetime
 SESSIONS = "session_id long, customer_id long, started_at timestamp_ntz, utm_medium string, utm_source string"
-CONV = "customer_id long, converted_at timestamp_ntz, revenue decimal(12,2)"
+CONV = "customer_id long, converted_at timestamp_ntz, revenue double"
 
 
 def _run(spark, sessions, conversions, days=30):
@@ -30,7 +29,7 @@ def test_one_two_three_sessions_and_edges(spark):
         (7, 3, conv_at - dt.timedelta(days=30, seconds=1), "x", "s"),       # just outside
         (8, 3, conv_at + dt.timedelta(seconds=1), "x", "s"),                # after conversion
     ]
-    convs = [(c, conv_at, Decimal(100)) for c in (1, 2, 3)]
+    convs = [(c, conv_at, 100.0) for c in (1, 2, 3)]
     out = {r.session_id: r for r in _run(spark, sessions, convs)}
     assert set(out) == {1, 2, 3, 4, 5, 6}
     assert out[1].forty_twenty_forty_points == 1.0 and out[1].linear_points == 1.0
@@ -59,7 +58,7 @@ def test_revenue_by_medium_names_null_medium(spark):
     conv_at = T(2024, 1, 31)
     sessions = [(1, 1, T(2024, 1, 20), None, "s1"), (2, 1, T(2024, 1, 21), "web", "s2")]
     touches = attribution.attribution_touches(
-        spark.createDataFrame(sessions, SESSIONS), spark.createDataFrame([(1, conv_at, Decimal(10))], CONV))
+        spark.createDataFrame(sessions, SESSIONS), spark.createDataFrame([(1, conv_at, 10.0)], CONV))
     piv = {r.source: r for r in attribution.revenue_by_medium(touches).collect()}
     assert float(piv["s1"]["NONE"]) == 10.0 and piv["s1"]["web"] is None
     spend = {r.medium: float(r.revenue) for r in attribution.ad_spend(touches).collect()}
