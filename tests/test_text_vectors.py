@@ -61,3 +61,20 @@ def test_centroids(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [0.0, 1.0])], "label int, v array<float>")
     got = {r.query_id: list(r.vector) for r in vectors.centroids(df, "label", "v").collect()}
     assert got == {1: [2.0, 3.0], 2: [0.0, 1.0]}
+
+
+
+def test_score_with_local_model(spark):
+    import os
+
+    from ledgerlight.operators.sentiment import score_with_model
+    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(__file__), "local_models.py"))
+    from local_models import Logistic
+
+    rows = [(i, [float(i % 3) - 1.0, 0.5]) for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    model = Logistic([2.0, 0.0])
+    got = {r.id: r.sentiment for r in score_with_model(df, model, "id", "v").collect()}
+    want = {i: float(model.predict_proba(np.array([v]))[0, 1]) for i, v in rows}
+    assert got.keys() == want.keys()
+    assert all(abs(got[i] - want[i]) < 1e-12 for i in got)
