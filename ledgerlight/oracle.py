@@ -424,5 +424,41 @@ _q("catalog_cleanup", "SELECT * FROM customers_q", **HELPERS)
 _q("snapshot_restore", "SELECT * FROM coll_q", **HELPERS)
 
 
+def _near_text_sql(prefix: str, corpus: str, k: int) -> tuple[str, dict]:
+    """TF-IDF cosine top-k of benchmark passages over ``corpus`` (uuid, text)."""
+    h = {
+        f"{prefix}_tf": f"""
+            SELECT uuid, term, count(*) AS tf FROM (
+              SELECT uuid, unnest(regexp_split_to_array(lower(text), '[^\\pL\\pN]+')) AS term
+              FROM ({corpus})) WHERE length(term) > 0 GROUP BY uuid, term""",
+        f"{prefix}_df": f"SELECT term, count(*) AS df FROM {prefix}_tf GROUP BY term",
+        f"{prefix}_n": f"SELECT CAST(count(*) AS DOUBLE) AS n FROM ({corpus})",
+        f"{prefix}_w": f"""
+            SELECT uuid, term, w / sqrt(sum(w * w) OVER (PARTITION BY uuid)) AS weight FROM (
+              SELECT t.uuid, t.term, t.tf * ln((n.n + 1.0) / (f.df + 1.0)) AS w
+              FROM {prefix}_tf t JOIN {prefix}_df f ON t.term = f.term CROSS JOIN {prefix}_n n)""",
+        f"{prefix}_q": f"""
+            SELECT item_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS qw FROM (
+              SELECT t.item_id, t.term, t.tf * ln((n.n + 1.0) / (coalesce(f.df, 0) + 1.0)) AS w
+              FROM (SELECT item_id, term, count(*) AS tf FROM (
+                      SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^\\pL\\pN]+')) AS term
+                      FROM benchmark) WHERE length(term) > 0 GROUP BY item_id, term) t
+              LEFT JOIN {prefix}_df f ON t.term = f.term CROSS JOIN {prefix}_n n)""",
+    }
+    body = f"""
+        SELECT item_id, rank, uuid, score FROM (
+          SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, uuid) AS rank FROM (
+            SELECT q.item_id, d.uuid, round(sum(q.qw * d.weight), 6) AS score
+            FROM {prefix}_q q JOIN {prefix}_w d ON q.term = d.term GROUP BY q.item_id, d.uuid))
+        WHERE rank <= {k}"""
+    return body, h
+
+
+_body, _h = _near_text_sql("cnt", "SELECT uuid, review_text AS text FROM clean_comments_q", 3)
+_q("comments_near_text", _body, **HELPERS, **_h)
+_body, _h = _near_text_sql("knt", "SELECT uuid, transcript AS text FROM clean_calls_q", 3)
+_q("calls_near_text", _body, **HELPERS, **_h)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

@@ -398,5 +398,20 @@ def q_snapshot_restore(spark, d):
     return vectors.flatten(spark.table(table))
 
 
+@query("comments_near_text")
+def q_comments_near_text(spark, d):
+    """Three nearest comments to each benchmark passage (V4 near-text, limit 3)."""
+    corpus = text.clean_comments(fx.stg_comments(spark, d)).select(
+        "uuid", F.col("review_text").alias("text"))
+    return vectors.search_text(fx.stg_benchmark(spark, d), corpus, k=3, doc_id="uuid")
+
+
+@query("calls_near_text")
+def q_calls_near_text(spark, d):
+    """Three nearest call transcripts to each benchmark passage (V4 near-text, limit 3)."""
+    corpus = text.clean_calls(fx.stg_calls(spark, d)).select("uuid", F.col("transcript").alias("text"))
+    return vectors.search_text(fx.stg_benchmark(spark, d), corpus, k=3, doc_id="uuid")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
