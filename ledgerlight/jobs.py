@@ -82,8 +82,8 @@ def taxi_regression(spark: SparkSession, sf_dir: str, database: str | None = Non
     features = taxi.transform(trips)
     model, metrics = taxi.train(features)
     reg = registry.Registry(spark)
-    name, version = "trip_duration_estimator", taxi.new_version()
-    reg.log_model(model, name, version, {"stage": "dev", "model_type": "LinearRegression"})
+    name, version = taxi.MODEL_NAME, taxi.new_version()
+    reg.log_model(model, name, version, taxi.MODEL_TAGS)
     for metric, value in metrics.items():
         reg.set_metric(name, version, metric, value)
     catalog.save_table(taxi.predict(model, features), f"{db}.taxi_pred", write_mode)

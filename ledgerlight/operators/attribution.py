@@ -20,6 +20,8 @@ from ledgerlight.functions.dates import add_days
 from ledgerlight.plans.broadcast import checked_collect
 from ledgerlight.plans.ordering import group_index
 
+# The lookback window in days and the name shown for a missing medium.
+LOOKBACK_DAYS = 30
 NULL_MEDIUM = "NONE"
 
 
@@ -41,7 +43,7 @@ def _share(idx: Column, total: Column) -> Column:
 
 
 def attribution_touches(sessions: DataFrame, conversions: DataFrame,
-                        lookback_days: int = 30) -> DataFrame:
+                        lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Sessions within ``lookback_days`` before (and up to) the conversion, with points.
 
     Both window ends are inclusive; the lower end keeps the time of day.

@@ -14,6 +14,13 @@ from pyspark.sql import functions as F
 
 from ledgerlight.plans.ordering import group_index
 
+# Score rounding digits, bucket range and count, value rounding
+# digits, and the number of comments shown per customer.
+SCORE_DIGITS = 4
+BUCKET_LOW, BUCKET_HIGH, BUCKETS = 0.0, 1.0, 10
+CLV_DIGITS = 2
+TOP_COMMENTS = 5
+
 
 def _numeric_customer(df: DataFrame) -> DataFrame:
     return df.withColumn("customer_id", F.col("customer_id").try_cast("long"))
@@ -27,14 +34,14 @@ def sentiment(scored_calls: DataFrame, scored_comments: DataFrame) -> DataFrame:
     """
     calls = scored_calls.groupBy("customer_id").agg(F.avg("sentiment").alias("calls_sentiment"))
     comments = scored_comments.groupBy("customer_id").agg(F.avg("sentiment").alias("comments_sentiment"))
-    score = F.round((F.col("calls_sentiment") + F.col("comments_sentiment")) / 2, 4)
+    score = F.round((F.col("calls_sentiment") + F.col("comments_sentiment")) / 2, SCORE_DIGITS)
     return (calls.join(comments, "customer_id", "right")
             .na.fill(0.0, subset=["calls_sentiment"])
             .withColumn("sentiment_score", score)
             # the built-in called by name, as the reference does
             .withColumn("sentiment_bucket",
                         F.call_function("width_bucket", F.col("sentiment_score"),
-                                        F.lit(0.0), F.lit(1.0), F.lit(10))))
+                                        F.lit(BUCKET_LOW), F.lit(BUCKET_HIGH), F.lit(BUCKETS))))
 
 
 def _name() -> Column:
@@ -42,7 +49,7 @@ def _name() -> Column:
 
 
 def with_clv(customers: DataFrame) -> DataFrame:
-    return customers.withColumn("clv", F.round("customer_lifetime_value", 2))
+    return customers.withColumn("clv", F.round("customer_lifetime_value", CLV_DIGITS))
 
 
 def clv(customers: DataFrame, sentiment_: DataFrame) -> DataFrame:
@@ -88,7 +95,7 @@ def calls_drilldown(scored_calls: DataFrame, customers_of_interest: DataFrame) -
     return group_index(calls, ["customer_id"], order, "call_rank")
 
 
-def comments_top(scored_comments: DataFrame, k: int = 5) -> DataFrame:
+def comments_top(scored_comments: DataFrame, k: int = TOP_COMMENTS) -> DataFrame:
     """The ``k`` highest-sentiment comments of every customer (Q15).
 
     ``row_number() <= k`` is planned as a window group limit: each task keeps

@@ -27,10 +27,15 @@ from pyspark.sql import functions as F
 from ledgerlight.functions.dates import seconds_between
 from ledgerlight.functions.hashing import in_train, split_bucket
 
+# Encoded columns, label and prediction names, the 70/30 split
+# with seed 42, and the model name and tags the registry records.
 CATEGORIES = ["pickup_location_id", "dropoff_location_id", "hour_of_day"]
 LABEL = "trip_duration_sec"
 PREDICTION = "trip_duration_sec_pred"
 SPLIT_SEED = 42
+TRAIN_PERCENT = 70
+MODEL_NAME = "trip_duration_estimator"
+MODEL_TAGS = {"stage": "dev", "model_type": "LinearRegression"}
 
 
 def transform(trips: DataFrame) -> DataFrame:
@@ -79,7 +84,7 @@ def featurise_input(features: DataFrame) -> DataFrame:
 
 
 def split(features: DataFrame, seed: int = SPLIT_SEED):
-    flag = in_train(F.col("trip_id"), seed)
+    flag = in_train(F.col("trip_id"), seed, TRAIN_PERCENT)
     return features.where(flag), features.where(~flag)
 
 

@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from ledgerlight.functions.hashing import row_uuid
 from ledgerlight.functions.text import COMMENT_DATE_FORMAT, blank_to_null, drop_newlines
 
+# The object class names ids are derived within.
+TRAINING_CLASS = "CommentTraining"
+COMMENT_CLASS = "CustomerComment"
+CALL_CLASS = "CustomerCall"
+
 
 def clean_objects(df: DataFrame, text_col: str, class_name: str, id_col: str = "uuid") -> DataFrame:
     cols = df.columns
@@ -26,7 +31,7 @@ def clean_objects(df: DataFrame, text_col: str, class_name: str, id_col: str = "
 def clean_training(training: DataFrame) -> DataFrame:
     """Labelled training text (V1): label as text."""
     df = training.withColumn("label", F.col("label").cast("string"))
-    return clean_objects(df, "review_text", "CommentTraining")
+    return clean_objects(df, "review_text", TRAINING_CLASS)
 
 
 def clean_comments(comments: DataFrame) -> DataFrame:
@@ -35,14 +40,14 @@ def clean_comments(comments: DataFrame) -> DataFrame:
         F.col("customer_id").cast("string").alias("customer_id"),
         "review_text",
         F.date_format("date", COMMENT_DATE_FORMAT).alias("date"))
-    return clean_objects(df, "review_text", "CustomerComment")
+    return clean_objects(df, "review_text", COMMENT_CLASS)
 
 
 def clean_calls(calls: DataFrame) -> DataFrame:
     """Call transcripts (V3)."""
     df = calls.select(F.col("customer_id").cast("string").alias("customer_id"),
                       "transcript", "relative_path")
-    return clean_objects(df, "transcript", "CustomerCall")
+    return clean_objects(df, "transcript", CALL_CLASS)
 
 
 def import_new_only(existing: DataFrame, incoming: DataFrame, key: str = "uuid") -> DataFrame:

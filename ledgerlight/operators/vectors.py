@@ -27,6 +27,10 @@ from ledgerlight.plans.broadcast import checked_collect, checked_rows
 from ledgerlight.plans.lineage import cut_lineage
 from ledgerlight.plans.parallelism import spread
 
+# Search depth of near-text (3) and question (1) search.
+NEAR_TEXT_K = 3
+QUESTION_K = 1
+
 SCORE_DIGITS = 6
 
 

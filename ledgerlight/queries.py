@@ -191,7 +191,7 @@ def q_calls_drilldown(spark, d):
 
 @query("comments_top5")
 def q_comments_top5(spark, d):
-    return presentation.comments_top(fx.scored_comments(spark, d), 5)
+    return presentation.comments_top(fx.scored_comments(spark, d))
 
 
 @query("rename_all")
@@ -210,7 +210,7 @@ def _embedding_collection(spark, d):
     return vectors.collection(fx.stg_embeddings(spark, d), ["vec_id", "label"], "embedding", "Embedding")
 
 
-def _label_topk(spark, d, k=3):
+def _label_topk(spark, d, k=vectors.NEAR_TEXT_K):
     coll = _embedding_collection(spark, d)
     queries_ = vectors.centroids(fx.stg_embeddings(spark, d), "label", "embedding")
     return vectors.top_k_similar(queries_, coll, k, "uuid")
@@ -243,7 +243,7 @@ def q_text_embed(spark, d):
 @query("text_search_top1")
 def q_text_search_top1(spark, d):
     """Best document for each benchmark passage (V6 retrieval)."""
-    return vectors.search_text(fx.stg_benchmark(spark, d), fx.stg_documents(spark, d), k=1)
+    return vectors.search_text(fx.stg_benchmark(spark, d), fx.stg_documents(spark, d), k=vectors.QUESTION_K)
 
 
 # -- Q16, M1-M7, M11: taxi regression and registry --------------------------------
@@ -281,7 +281,7 @@ def q_taxi_features(spark, d):
 @query("taxi_model")
 def q_taxi_model(spark, d):
     _, metrics = taxi.train(_taxi(spark, d))
-    return _metrics_frame(spark, "trip_duration_estimator", "run", metrics)
+    return _metrics_frame(spark, taxi.MODEL_NAME, "run", metrics)
 
 
 @query("taxi_predict")
@@ -298,8 +298,8 @@ def q_registry_roundtrip(spark, d):
     features = _taxi(spark, d)
     model, metrics = taxi.train(features)
     reg = registry.Registry(spark)
-    name, version = "trip_duration_estimator", taxi.new_version()
-    reg.log_model(model, name, version, {"stage": "dev", "model_type": "LinearRegression"})
+    name, version = taxi.MODEL_NAME, taxi.new_version()
+    reg.log_model(model, name, version, taxi.MODEL_TAGS)
     for k, v in metrics.items():
         reg.set_metric(name, version, k, v)
     reloaded = reg.load_model(PipelineModel, name, version)
@@ -403,14 +403,14 @@ def q_comments_near_text(spark, d):
     """Three nearest comments to each benchmark passage (V4 near-text, limit 3)."""
     corpus = text.clean_comments(fx.stg_comments(spark, d)).select(
         "uuid", F.col("review_text").alias("text"))
-    return vectors.search_text(fx.stg_benchmark(spark, d), corpus, k=3, doc_id="uuid")
+    return vectors.search_text(fx.stg_benchmark(spark, d), corpus, k=vectors.NEAR_TEXT_K, doc_id="uuid")
 
 
 @query("calls_near_text")
 def q_calls_near_text(spark, d):
     """Three nearest call transcripts to each benchmark passage (V4 near-text, limit 3)."""
     corpus = text.clean_calls(fx.stg_calls(spark, d)).select("uuid", F.col("transcript").alias("text"))
-    return vectors.search_text(fx.stg_benchmark(spark, d), corpus, k=3, doc_id="uuid")
+    return vectors.search_text(fx.stg_benchmark(spark, d), corpus, k=vectors.NEAR_TEXT_K, doc_id="uuid")
 
 
 def queries() -> dict[str, Query]:
