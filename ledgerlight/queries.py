@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlight.functions.hashing import row_uuid
 from ledgerlight.operators import (attribution, commerce, presentation, registry, revenue, sentiment,
                                    taxi, text, vectors)
 from ledgerlight.plans.lineage import scratch_path
@@ -93,7 +94,7 @@ def q_mrr(spark, d):
 
 # -- Q8, Q10, Q13: attribution -------------------------------------------------
 
-def _touches(spark, d, lookback_days=30):
+def _touches(spark, d, lookback_days=attribution.LOOKBACK_DAYS):
     return attribution.attribution_touches(fx.stg_sessions(spark, d), fx.stg_conversions(spark, d),
                                            lookback_days)
 
@@ -142,7 +143,6 @@ def q_text_clean_calls(spark, d):
 
 @query("uuid5_ids")
 def q_uuid5_ids(spark, d):
-    from ledgerlight.functions.hashing import row_uuid
     docs = fx.read_table(spark, d, "documents")
     return docs.select("doc_id", row_uuid("Document", ["doc_id", "lang", "text"]).alias("uuid"))
 
