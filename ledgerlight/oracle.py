@@ -460,5 +460,32 @@ _body, _h = _near_text_sql("knt", "SELECT uuid, transcript AS text FROM clean_ca
 _q("calls_near_text", _body, **HELPERS, **_h)
 
 
+# Day-valued result columns are presented as midnight timestamps (see
+# ``ledgerlight.queries.present``).
+DATE_COLUMNS = {
+    "customer_orders": ["first_order", "most_recent_order"],
+    "customers": ["first_order", "most_recent_order"],
+    "order_payments": ["order_date"],
+    "order_payments_pivot": ["order_date"],
+    "calendar_months": ["date_month"],
+    "customer_span": ["date_month_start", "date_month_end"],
+    "customer_months": ["date_month"],
+    "mrr_monthly": ["date_month", "first_active_month", "last_active_month"],
+    "mrr": ["date_month", "first_active_month", "last_active_month"],
+    "pres_clv": ["first_order", "most_recent_order"],
+    "pres_churn": ["last_active_month"],
+    "sink_overwrite": ["first_order", "most_recent_order"],
+    "catalog_cleanup": ["first_order", "most_recent_order"],
+}
+
+
+def _presented(key: str, sql: str) -> str:
+    cols = DATE_COLUMNS.get(key)
+    if not cols:
+        return sql
+    casts = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({casts}) FROM (\n{sql}\n)"
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(Q)
+    return {k: _presented(k, v) for k, v in Q.items()}

@@ -8,10 +8,12 @@ file and catalog round trips) are checked by rows.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from ledgerlight.functions.hashing import row_uuid
 from ledgerlight.operators import (attribution, commerce, presentation, registry, revenue, sentiment,
@@ -24,9 +26,26 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+def present(df: DataFrame) -> DataFrame:
+    """Dates as midnight TIMESTAMP_NTZ, the driver tables' own convention.
+
+    The operators compute with DATE; only the registered results present
+    day-valued columns the way the source tables store days (``o_orderdate``
+    is a timestamp), so they reach Arrow and pandas alike from any engine.
+    """
+    dates = {f.name for f in df.schema.fields if isinstance(f.dataType, DateType)}
+    if not dates:
+        return df
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in dates else F.col(c)
+                       for c in df.columns])
+
+
 def query(name: str):
     def register(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        @functools.wraps(fn)
+        def presented(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return present(fn(spark, sf_dir))
+        REGISTRY[name] = presented
         return fn
     return register
 
