@@ -72,8 +72,9 @@ def _payment_sums(payments: DataFrame, in_cents: bool) -> DataFrame:
     for m in PAYMENT_TYPES:
         hit = F.col("payment_method") == m
         if in_cents:
-            # pivot semantics: NULL when the order has no payment of the method
-            aggs.append(F.sum(F.when(hit, F.col("amount"))).alias(f"{m}_amount"))
+            # pivot semantics: NULL when the order has no payment of the method;
+            # as DOUBLE (exact for whole cents) so the NULLs survive any client
+            aggs.append(F.sum(F.when(hit, F.col("amount"))).cast("double").alias(f"{m}_amount"))
         else:
             aggs.append((F.sum(F.when(hit, F.col("amount")).otherwise(F.lit(0))) / _cents())
                         .alias(f"{m}_amount"))

@@ -161,7 +161,7 @@ _q("order_payments", """
            s.bank_transfer_amount, s.gift_card_amount, s.amount
     FROM stg_orders o LEFT JOIN order_sums_q s ON o.order_id = s.order_id""", **HELPERS)
 _q("order_payments_pivot", "SELECT p.*, o.customer_id, o.order_date, o.status FROM (SELECT order_id, " + ", ".join(
-    f"CAST(sum(CASE WHEN payment_method = '{m}' THEN amount END) AS BIGINT) AS {m}_amount" for m in _methods) +
+    f"CAST(sum(CASE WHEN payment_method = '{m}' THEN amount END) AS DOUBLE) AS {m}_amount" for m in _methods) +
     ", CAST(sum(amount) AS BIGINT) AS total_amount FROM stg_payments GROUP BY order_id) p "
     "JOIN stg_orders o ON p.order_id = o.order_id")
 
