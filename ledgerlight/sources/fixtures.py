@@ -12,9 +12,10 @@ correctness check.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlight.plans.ordering import group_lead
 from ledgerlight.sources.tables import read_table
 
 __all__ = ["read_table"]
@@ -74,14 +75,17 @@ def stg_subscription_periods(spark: SparkSession, d: str) -> DataFrame:
         start.alias("start_date"),
         (F.lit(10.0) * (F.col("o_orderkey") % 5 + 1)).alias("monthly_amount"),
     )
-    nxt = F.lead("start_date").over(
-        Window.partitionBy("customer_id").orderBy("start_date", "subscription_id"))
+    # next start of the same customer; a customer may hold a large share of
+    # all orders, so the successor comes from the skew-safe group lead
+    with_next = group_lead(base, ["customer_id"], [F.col("start_date"), F.col("subscription_id")],
+                           "start_date", "_next")
+    nxt = F.col("_next")
     term_end = F.add_months("start_date", (F.col("subscription_id") % 6 + 1).cast("int"))
     end = (F.when(nxt.isNull() & (F.col("customer_id") % 10 == 0), F.lit(None).cast("date"))
              .when(nxt.isNull(), term_end)
              .otherwise(F.least(nxt, term_end)))
-    return base.select("subscription_id", "customer_id", "start_date",
-                       end.alias("end_date"), "monthly_amount")
+    return with_next.select("subscription_id", "customer_id", "start_date",
+                            end.alias("end_date"), "monthly_amount")
 
 
 def stg_sessions(spark: SparkSession, d: str) -> DataFrame:

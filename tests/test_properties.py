@@ -109,3 +109,18 @@ def test_mrr_equals_brute_force(spark, periods):
 
 def revenue_schema():
     return "subscription_id long, customer_id long, start_date date, end_date date, monthly_amount double"
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20)), min_size=1, max_size=200))
+def test_group_lead_both_paths_equal_window(spark, rows):
+    from ledgerlight.plans.ordering import group_lead
+    data = [(i, k, t) for i, (k, t) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k long, t long")
+    order = [F.col("t"), F.col("id")]
+    want = sorted((r.id, r.nxt) for r in df.withColumn(
+        "nxt", F.lead("id").over(Window.partitionBy("k").orderBy(*order))).collect())
+    for bound in (10**9, 1):              # plain window, then the skew-safe path
+        got = sorted((r.id, r.nxt) for r in group_lead(df, ["k"], order, "id", "nxt",
+                                                       max_group_rows=bound).collect())
+        assert got == want
