@@ -6,9 +6,11 @@ lookback window before the conversion and gives each first-touch, last-touch,
 
 Plan notes: the session/conversion join is an equi-join on the customer
 with the window as a join condition (AQE splits a skewed customer).  The
-per-customer ``row_number`` and ``count`` come from ``group_index``, which
-range-partitions by (customer, start time) so one customer with a large
-share of the sessions is numbered by many tasks instead of one.
+per-customer ``row_number`` and ``count`` come from ``group_number``: a
+bound on the largest customer's touches (sessions x conversions) is measured
+first; a bounded group takes a plain window, a larger one ``group_index``,
+which range-partitions by (customer, start time) so one customer with a
+large share of the sessions is numbered by many tasks instead of one.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.functions.dates import add_days
 from ledgerlight.plans.broadcast import checked_collect
-from ledgerlight.plans.ordering import group_index
+from ledgerlight.plans.ordering import group_number
 
 # The lookback window in days and the name shown for a missing medium.
 LOOKBACK_DAYS = 30
@@ -42,6 +44,17 @@ def _share(idx: Column, total: Column) -> Column:
              .otherwise(F.lit(0.2) / (total - 2)))
 
 
+def _largest_touch_group(sessions: DataFrame, conversions: DataFrame) -> int:
+    """Upper bound on the touches of one customer: its sessions times its conversions.
+
+    Two partial aggregations and a join of per-customer counts; far cheaper
+    than evaluating the session/conversion join to count it.
+    """
+    s = sessions.groupBy("customer_id").agg(F.count(F.lit(1)).alias("s"))
+    c = conversions.groupBy("customer_id").agg(F.count(F.lit(1)).alias("c"))
+    return s.join(c, "customer_id").agg(F.max(F.col("s") * F.col("c"))).first()[0] or 0
+
+
 def attribution_touches(sessions: DataFrame, conversions: DataFrame,
                         lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Sessions within ``lookback_days`` before (and up to) the conversion, with points.
@@ -56,7 +69,8 @@ def attribution_touches(sessions: DataFrame, conversions: DataFrame,
     joined = s.join(c, cond, "inner").select(
         "s.*", *[F.col(f"c.{x}") for x in conversions.columns if x != "customer_id"])
     order = [F.col("started_at"), F.col("session_id"), F.col("converted_at")]
-    touches = group_index(joined, ["customer_id"], order, "session_index", "total_sessions")
+    touches = group_number(joined, ["customer_id"], order, "session_index", "total_sessions",
+                           largest=_largest_touch_group(sessions, conversions))
 
     idx, total, revenue = F.col("session_index"), F.col("total_sessions"), F.col("revenue")
     first = F.when(idx == 1, F.lit(1.0)).otherwise(F.lit(0.0))

@@ -124,3 +124,15 @@ def test_group_lead_both_paths_equal_window(spark, rows):
         got = sorted((r.id, r.nxt) for r in group_lead(df, ["k"], order, "id", "nxt",
                                                        max_group_rows=bound).collect())
         assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20)), min_size=1, max_size=200))
+def test_group_number_both_paths_agree(spark, rows):
+    from ledgerlight.plans.ordering import group_number
+    df = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(rows)], "id long, k long, t long")
+    order = [F.col("t"), F.col("id")]
+    small = group_number(df, ["k"], order, "idx", "n")
+    hot = group_number(df, ["k"], order, "idx", "n", max_group_rows=1)
+    assert sorted((r.id, r.idx, r.n) for r in small.collect()) == \
+        sorted((r.id, r.idx, r.n) for r in hot.collect())
