@@ -53,15 +53,21 @@ def score_with_model(data: DataFrame, model, key: str, vector_col: str,
     Arrow batches of stacked vectors, the vectorised form of scoring a local
     model; rows never pass through Python one at a time.
     """
-    import numpy as np
-    import pandas as pd
+    from pyspark import cloudpickle
     from pyspark.sql import types as T
 
-    bmodel = data.sparkSession.sparkContext.broadcast(model)
+    # cloudpickle keeps classes defined in a notebook or script (by value),
+    # so the model needs no package installed on the executors
+    bmodel = data.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     schema = T.StructType([data.schema[key], T.StructField(out_col, T.DoubleType())])
 
     def apply(batches):
-        m = bmodel.value
+        import pickle
+
+        import numpy as np
+        import pandas as pd
+
+        m = pickle.loads(bmodel.value)
         for pdf in batches:
             if pdf.empty:
                 continue

@@ -95,14 +95,23 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
                                T.StructField(id_col, id_type),
                                T.StructField("similarity", T.DoubleType())])
 
+    digits = SCORE_DIGITS
+
+    # Runs on the Python workers: self-contained (numpy, pandas and captured
+    # values only), so it pickles by value and needs no package on executors.
     def score(batches):
+        import numpy as np
+        import pandas as pd
+
         q_ids, q = bq.value
         for pdf in batches:
             if pdf.empty or len(q_ids) == 0:
                 continue
             ids = pdf[id_col].to_numpy()
-            x = _unit_rows(np.stack(pdf[vector_col].to_numpy()).astype(np.float64))
-            sims = np.round(x @ q.T, SCORE_DIGITS)          # (rows, queries)
+            x = np.stack(pdf[vector_col].to_numpy()).astype(np.float64)
+            norms = np.linalg.norm(x, axis=1, keepdims=True)
+            norms[norms == 0] = np.nan
+            sims = np.round((x / norms) @ q.T, digits)       # (rows, queries)
             keep_j, keep_i = [], []
             take = min(k, len(ids))
             for j in range(len(q_ids)):
