@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # checkpoints written for lineage cuts are removed once no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
