@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.functions.dates import add_days
 from ledgerlight.plans.broadcast import checked_collect
+from ledgerlight.plans.lineage import cut_lineage
 from ledgerlight.plans.ordering import group_number
 
 # The lookback window in days and the name shown for a missing medium.
@@ -105,10 +106,12 @@ def revenue_by_medium(touches: DataFrame, max_mediums: int = 1000) -> DataFrame:
     """Revenue by source (rows) and medium (columns); NULL medium as ``NONE``.
 
     The medium list is read from the data (a distinct on one column, checked
-    to stay small) so that the pivot is planned as one aggregation.
+    to stay small) so that the pivot is planned as one aggregation; the
+    three needed columns of the touches are checkpointed once for both jobs.
     """
-    filled = touches.select("utm_source", F.coalesce("utm_medium", F.lit(NULL_MEDIUM)).alias("utm_medium"),
-                            "revenue")
-    values = sorted(r[0] for r in checked_collect(distinct_mediums(touches), max_mediums))
+    # the touches feed two jobs (the medium list and the pivot): written once
+    filled = cut_lineage(touches.select(
+        "utm_source", F.coalesce("utm_medium", F.lit(NULL_MEDIUM)).alias("utm_medium"), "revenue"))
+    values = sorted(r[0] for r in checked_collect(filled.select("utm_medium").distinct(), max_mediums))
     pivoted = filled.groupBy("utm_source").pivot("utm_medium", values).agg(_money_sum("revenue"))
     return pivoted.withColumnRenamed("utm_source", "source")
