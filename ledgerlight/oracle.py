@@ -458,6 +458,10 @@ _body, _h = _near_text_sql("cnt", "SELECT uuid, review_text AS text FROM clean_c
 _q("comments_near_text", _body, **HELPERS, **_h)
 _body, _h = _near_text_sql("knt", "SELECT uuid, transcript AS text FROM clean_calls_q", 3)
 _q("calls_near_text", _body, **HELPERS, **_h)
+_body, _h = _near_text_sql("cqa", "SELECT uuid, review_text AS text FROM clean_comments_q", 1)
+_q("comments_question_top1", _body, **HELPERS, **_h)
+_body, _h = _near_text_sql("kqa", "SELECT uuid, transcript AS text FROM clean_calls_q", 1)
+_q("calls_question_top1", _body, **HELPERS, **_h)
 
 
 # Day-valued result columns are presented as midnight timestamps (see

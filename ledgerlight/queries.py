@@ -432,5 +432,20 @@ def q_calls_near_text(spark, d):
     return vectors.search_text(fx.stg_benchmark(spark, d), corpus, k=vectors.NEAR_TEXT_K, doc_id="uuid")
 
 
+@query("comments_question_top1")
+def q_comments_question_top1(spark, d):
+    """Best comment for each benchmark passage (V6 question search, retrieval half, limit 1)."""
+    corpus = text.clean_comments(fx.stg_comments(spark, d)).select(
+        "uuid", F.col("review_text").alias("text"))
+    return vectors.search_text(fx.stg_benchmark(spark, d), corpus, k=vectors.QUESTION_K, doc_id="uuid")
+
+
+@query("calls_question_top1")
+def q_calls_question_top1(spark, d):
+    """Best call transcript for each benchmark passage (V6 question search, limit 1)."""
+    corpus = text.clean_calls(fx.stg_calls(spark, d)).select("uuid", F.col("transcript").alias("text"))
+    return vectors.search_text(fx.stg_benchmark(spark, d), corpus, k=vectors.QUESTION_K, doc_id="uuid")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
