@@ -13,10 +13,12 @@ Plan notes
   becomes an equi-join on ``(customer_id, date_month)``.  Both sides hash on
   the pair, so a customer with many rows spreads over many tasks, and no
   pair is produced that the result does not contain.
-* The two windows are partitioned by customer.  Periods of a customer do not
-  overlap, so a customer has at most one row per calendar month plus its
-  churn rows: the window groups are bounded by the calendar length, not by
-  the data volume.
+* Per-customer steps (first/last active month, ``lag``) use windows when a
+  cheap bound on any customer's rows (span months + covered months) stays
+  under ``MAX_GROUP_ROWS`` -- always so for non-overlapping periods, where a
+  customer has at most one row per calendar month.  Beyond it they use an
+  aggregation joined back and a range-sliced index joined to its
+  predecessor, so no task receives an unbounded customer.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerlight.plans.ordering import MAX_GROUP_ROWS, group_index
+
 
 def _month_step() -> Column:
     return F.expr("INTERVAL 1 MONTH")
@@ -78,33 +82,68 @@ def customer_months(periods: DataFrame, start_month, as_of) -> DataFrame:
                 .select("customer_id", F.explode(F.sequence("lo", "hi", _month_step())).alias("date_month")))
 
 
-def period_months(periods: DataFrame, start_month, as_of) -> DataFrame:
-    """Month starts m with start_date <= m < end_date (or open), within the calendar."""
+def period_months(periods: DataFrame, start_month, as_of, bounds_only: bool = False) -> DataFrame:
+    """Month starts m with start_date <= m < end_date (or open), within the calendar.
+
+    ``bounds_only``: the first and last covered month per period, unexploded.
+    """
     first = F.when(F.col("start_date") == F.trunc("start_date", "MM"), F.col("start_date")) \
              .otherwise(F.add_months(F.trunc("start_date", "MM"), 1))
     cal_lo, cal_hi = F.trunc(_date(start_month), "MM"), F.trunc(_date(as_of), "MM")
     last = F.coalesce(F.trunc(F.date_sub("end_date", 1), "MM"), cal_hi)
     lo = F.when(first.isNotNull(), F.greatest(first, cal_lo))   # no start: covers nothing
     hi = F.least(last, cal_hi)
-    return (periods.select("customer_id", "monthly_amount", lo.alias("lo"), hi.alias("hi"))
-                   .where(F.col("lo") <= F.col("hi"))
-                   .select("customer_id", "monthly_amount",
+    spans = (periods.select("customer_id", "monthly_amount", lo.alias("lo"), hi.alias("hi"))
+                    .where(F.col("lo") <= F.col("hi")))
+    if bounds_only:
+        return spans
+    return (spans.select("customer_id", "monthly_amount",
                            F.explode(F.sequence("lo", "hi", _month_step())).alias("date_month")))
 
 
-def mrr_monthly(periods: DataFrame, start_month, as_of) -> DataFrame:
-    """Revenue per customer month with activity flags (Q5)."""
+def largest_customer_rows(periods: DataFrame, start_month, as_of) -> int:
+    """Upper bound on the monthly rows of one customer, without exploding anything.
+
+    A customer has one row per month of its span plus one per extra period
+    covering a month: span months + covered months of all its periods.
+    Two partial aggregations over the periods and a join of per-customer sums.
+    """
+    lo = F.greatest(F.col("date_month_start"), F.trunc(_date(start_month), "MM"))
+    span = customer_span(periods).select(
+        "customer_id", F.coalesce(F.months_between(F.add_months("date_month_end", -1), lo) + 1,
+                                  F.lit(0)).alias("span_m"))
+    bounds = period_months(periods, start_month, as_of, bounds_only=True)
+    covered = bounds.groupBy("customer_id").agg(
+        F.sum(F.months_between("hi", "lo") + 1).alias("cov_m"))
+    total = span.join(covered, "customer_id", "left").select(
+        (F.greatest(F.col("span_m"), F.lit(0)) + F.coalesce(F.col("cov_m"), F.lit(0))).alias("n"))
+    return int(total.agg(F.max("n")).first()[0] or 0) + 1          # + the churn row
+
+
+def mrr_monthly(periods: DataFrame, start_month, as_of, windowed: bool = True) -> DataFrame:
+    """Revenue per customer month with activity flags (Q5).
+
+    ``windowed``: first/last active month by a window over the customer
+    (groups bounded by the calendar); otherwise by an aggregation joined
+    back, which spreads a customer with very many rows over many tasks.
+    """
     months = customer_months(periods, start_month, as_of)
     covered = period_months(periods, start_month, as_of)
     joined = months.join(covered, ["customer_id", "date_month"], "left").select(
         "date_month", "customer_id",
         F.coalesce(F.col("monthly_amount"), F.lit(0.0)).alias("mrr"))
-    whole = Window.partitionBy("customer_id")
     active_month = F.when(F.col("mrr") > 0, F.col("date_month"))
-    return (joined
-            .withColumn("is_active", F.col("mrr") > 0)
-            .withColumn("first_active_month", F.min(active_month).over(whole))
-            .withColumn("last_active_month", F.max(active_month).over(whole))
+    if windowed:
+        whole = Window.partitionBy("customer_id")
+        flagged = (joined.withColumn("first_active_month", F.min(active_month).over(whole))
+                         .withColumn("last_active_month", F.max(active_month).over(whole)))
+    else:
+        spans = joined.groupBy("customer_id").agg(F.min(active_month).alias("first_active_month"),
+                                                  F.max(active_month).alias("last_active_month"))
+        flagged = joined.join(spans, "customer_id", "left")
+    return (flagged
+            .select("date_month", "customer_id", "mrr", (F.col("mrr") > 0).alias("is_active"),
+                    "first_active_month", "last_active_month")
             .withColumn("is_first_month",
                         F.coalesce(F.col("first_active_month") == F.col("date_month"), F.lit(False)))
             .withColumn("is_last_month",
@@ -119,7 +158,7 @@ def _category() -> Column:
              .when(F.col("mrr_change") < 0, "downgrade"))
 
 
-def mrr(periods: DataFrame, start_month, as_of) -> DataFrame:
+def mrr(periods: DataFrame, start_month, as_of, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """MRR movements: new, churn, reactivation, upgrade, downgrade (Q6, Q7).
 
     The churn row (month after the last active month, worth 0.0) is emitted
@@ -127,7 +166,8 @@ def mrr(periods: DataFrame, start_month, as_of) -> DataFrame:
     without a second pass over the monthly rows -- so the rows stay in the
     customer partitioning of the first window and ``lag`` needs no shuffle.
     """
-    monthly = mrr_monthly(periods, start_month, as_of)
+    windowed = largest_customer_rows(periods, start_month, as_of) <= max_group_rows
+    monthly = mrr_monthly(periods, start_month, as_of, windowed=windowed)
     real = F.struct(F.col("date_month"), F.col("mrr"), F.col("is_active"),
                     F.col("is_first_month"), F.col("is_last_month"), F.lit(0).alias("_churn_row"))
     churn = F.struct(F.add_months("date_month", 1).alias("date_month"), F.lit(0.0).alias("mrr"),
@@ -138,12 +178,25 @@ def mrr(periods: DataFrame, start_month, as_of) -> DataFrame:
         F.explode(F.when(F.col("is_last_month"), F.array(real, churn)).otherwise(F.array(real))).alias("r"))
     unioned = rows.select("r.date_month", "customer_id", "r.mrr", "r.is_active", "first_active_month",
                           "last_active_month", "r.is_first_month", "r.is_last_month", "r._churn_row")
-    by_month = Window.partitionBy("customer_id").orderBy("date_month", "_churn_row")
-    return (unioned
-            .withColumn("previous_month_is_active",
-                        F.coalesce(F.lag("is_active").over(by_month), F.lit(False)))
-            .withColumn("previous_month_mrr",
-                        F.coalesce(F.lag("mrr").over(by_month), F.lit(0.0)))
+    # month, real row before the churn row, then amount (ties only arise when
+    # periods overlap; the amount keeps the order total)
+    order = [F.col("date_month"), F.col("_churn_row"), F.col("mrr")]
+    if windowed:
+        by_month = Window.partitionBy("customer_id").orderBy(*order)
+        with_prev = (unioned.withColumn("_prev_active", F.lag("is_active").over(by_month))
+                            .withColumn("_prev_mrr", F.lag("mrr").over(by_month)))
+    else:
+        # lag without one task per customer: index the rows over range slices
+        # and join each to its predecessor on (customer, index - 1)
+        indexed = group_index(unioned, ["customer_id"], order, "_i")
+        previous = indexed.select("customer_id", (F.col("_i") + 1).alias("_i"),
+                                  F.col("is_active").alias("_prev_active"),
+                                  F.col("mrr").alias("_prev_mrr"))
+        with_prev = indexed.join(previous, ["customer_id", "_i"], "left").drop("_i")
+    return (with_prev
+            .withColumn("previous_month_is_active", F.coalesce(F.col("_prev_active"), F.lit(False)))
+            .withColumn("previous_month_mrr", F.coalesce(F.col("_prev_mrr"), F.lit(0.0)))
+            .drop("_prev_active", "_prev_mrr")
             .withColumn("mrr_change", F.col("mrr") - F.col("previous_month_mrr"))
             .withColumn("change_category", _category())
             .withColumn("renewal_amount", F.least("mrr", "previous_month_mrr"))
