@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlight.plans.lineage import cut_lineage
 from ledgerlight.plans.ordering import group_lead
 from ledgerlight.sources.tables import read_table
 
@@ -84,8 +85,11 @@ def stg_subscription_periods(spark: SparkSession, d: str) -> DataFrame:
     end = (F.when(nxt.isNull() & (F.col("customer_id") % 10 == 0), F.lit(None).cast("date"))
              .when(nxt.isNull(), term_end)
              .otherwise(F.least(nxt, term_end)))
-    return with_next.select("subscription_id", "customer_id", "start_date",
-                            end.alias("end_date"), "monthly_amount")
+    periods = with_next.select("subscription_id", "customer_id", "start_date",
+                               end.alias("end_date"), "monthly_amount")
+    # staged once, as the reference loads this input into a table before the
+    # transforms read it several times
+    return cut_lineage(periods)
 
 
 def stg_sessions(spark: SparkSession, d: str) -> DataFrame:
