@@ -102,11 +102,12 @@ def period_months(periods: DataFrame, start_month, as_of, bounds_only: bool = Fa
 
 
 def largest_customer_rows(periods: DataFrame, start_month, as_of) -> int:
-    """Upper bound on the monthly rows of one customer, without exploding anything.
+    """Upper bound on the rows of one customer, without exploding anything.
 
-    A customer has one row per month of its span plus one per extra period
-    covering a month: span months + covered months of all its periods.
-    Two partial aggregations over the periods and a join of per-customer sums.
+    A customer has one monthly row per month of its span plus one per extra
+    period covering a month (span months + covered months of its periods),
+    and at most as many churn rows again.  Two partial aggregations over the
+    periods and a join of per-customer sums.
     """
     lo = F.greatest(F.col("date_month_start"), F.trunc(_date(start_month), "MM"))
     span = customer_span(periods).select(
@@ -117,7 +118,8 @@ def largest_customer_rows(periods: DataFrame, start_month, as_of) -> int:
         F.sum(F.months_between("hi", "lo") + 1).alias("cov_m"))
     total = span.join(covered, "customer_id", "left").select(
         (F.greatest(F.col("span_m"), F.lit(0)) + F.coalesce(F.col("cov_m"), F.lit(0))).alias("n"))
-    return int(total.agg(F.max("n")).first()[0] or 0) + 1          # + the churn row
+    # churn rows add at most one per monthly row: twice the monthly rows bounds all
+    return 2 * int(total.agg(F.max("n")).first()[0] or 0)
 
 
 def mrr_monthly(periods: DataFrame, start_month, as_of, windowed: bool = True) -> DataFrame:
@@ -163,8 +165,11 @@ def mrr(periods: DataFrame, start_month, as_of, max_group_rows: int = MAX_GROUP_
 
     The churn row (month after the last active month, worth 0.0) is emitted
     next to its source row by one ``explode`` -- the union of the SQL form
-    without a second pass over the monthly rows -- so the rows stay in the
-    customer partitioning of the first window and ``lag`` needs no shuffle.
+    without a second pass over the monthly rows.  On the window path the
+    rows stay in the customer partitioning of the first window and ``lag``
+    needs no shuffle; when the measured bound on a customer's rows exceeds
+    ``max_group_rows``, ``lag`` comes from a range-sliced index joined to its
+    predecessor instead.
     """
     windowed = largest_customer_rows(periods, start_month, as_of) <= max_group_rows
     monthly = mrr_monthly(periods, start_month, as_of, windowed=windowed)
