@@ -20,6 +20,12 @@ def in_fold(modulus: int, remainder: int, column: str = "doc_id") -> Column:
     return F.coalesce(fold(modulus, column) == remainder, F.lit(False))
 
 
+def let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once per row, however often ``then`` refers to it
+    and wherever the optimizer moves the expression; a lambda would else repeat it at each step."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have, in any case of its letters."""
     taken = {c.lower() for c in df.columns}
