@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import fresh
+from ledgerlight.llm.common import fresh, let
 
 ROUNDS = 10
 #: Only for tests and trials: give a real run a secret key of its own.
@@ -32,10 +32,14 @@ EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2
 IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
 DATE = _EDGE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})" + _END
 SSN = _EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _END
-PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?<![0-9])\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z.-])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])|" + _EDGE + r"[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}" + _END
+PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
+PLAIN_PHONE = r"\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])|" + _EDGE + r"[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}" + _END
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9])(?<![0-9][ .-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-ANY = "|".join((EMAIL, IBAN, DATE, SSN, PHONE, IP, CARD))
+#: Values start where a word starts (but for a phone number's bracket), which keeps the search linear.
+ANY = PHONE + "|(?<![0-9A-Za-z])(?:" + "|".join((EMAIL, IBAN, DATE, SSN, PLAIN_PHONE, IP, CARD)) + ")"
+#: Cheap to look for, and part of every value.
+HINT = "[0-9]{2}|[0-9][.][0-9]|@"
 
 #: First day of the blocks of dates, and days in a block (270 * 270).
 _DAY_0, _SIDE = "1900-01-01", 270
@@ -78,9 +82,8 @@ def _shifted(text: Column, hexes: Column, sign: int) -> Column:
         in_ = lambda first, size: F.char(first + F.pmod(c - first + by, F.lit(size)))
         return F.when(c < 58, in_(48, 10)).when(c < 91, in_(65, 26)).otherwise(in_(97, 26))
 
-    n = F.length(text)
-    return F.when(n == 0, F.lit("")).otherwise(
-        F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), move), ""))
+    return F.when(F.length(text) == 0, F.lit("")).otherwise(
+        F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), move), ""))
 
 
 def _string(text: Column, key: str, kind: str, back: bool) -> Column:
@@ -90,13 +93,12 @@ def _string(text: Column, key: str, kind: str, back: bool) -> Column:
     def turn(s: Column, r: Column) -> Column:
         even = (r % 2) == 0
         return F.struct(
-            F.when(even, _shifted(s["a"], _digest(key, kind, r, s["b"]), sign)).otherwise(s["a"]).alias("a"),
-            F.when(even, s["b"]).otherwise(_shifted(s["b"], _digest(key, kind, r, s["a"]), sign)).alias("b"))
+            F.when(even, let(_digest(key, kind, r, s["b"]), lambda h: _shifted(s["a"], h, sign))).otherwise(s["a"]).alias("a"),
+            F.when(even, s["b"]).otherwise(let(_digest(key, kind, r, s["a"]), lambda h: _shifted(s["b"], h, sign))).alias("b"))
 
     zero = F.struct(F.coalesce(F.substring(text, F.lit(1), half), F.lit("")).alias("a"),
                     F.coalesce(F.substring(text, half + 1, F.length(text)), F.lit("")).alias("b"))
-    out = F.aggregate(_rounds(back), zero, turn)
-    return F.concat(out["a"], out["b"])
+    return let(F.aggregate(_rounds(back), zero, turn), lambda out: F.concat(out["a"], out["b"]))
 
 
 def _bare(value: Column) -> Column:
@@ -127,47 +129,57 @@ def _luhn_sum(digits: Column, double_last: bool) -> Column:
 
 def _mod97(text: Column) -> Column:
     """Remainder of an IBAN's letters-as-numbers modulo 97, its first four characters moved to the end."""
-    moved = F.concat(F.substring(text, F.lit(5), F.length(text)), F.substring(text, 1, 4))
 
-    def add(r: Column, i: Column) -> Column:
-        c = F.ascii(F.substring(moved, i, F.lit(1)))
-        return F.when(c < 58, (r * 10 + c - 48) % 97).otherwise((r * 100 + c - 55) % 97)
+    def remainder(moved: Column) -> Column:
+        def add(r: Column, i: Column) -> Column:
+            c = F.ascii(F.substring(moved, i, F.lit(1)))
+            return F.when(c < 58, (r * 10 + c - 48) % 97).otherwise((r * 100 + c - 55) % 97)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add)
+        return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add)
+
+    return let(F.concat(F.substring(text, F.lit(5), F.length(text)), F.substring(text, 1, 4)), remainder)
 
 
 def _card(v: Column, key: str, back: bool) -> Column:
-    digits = _bare(v)
-    body = _string(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card", back)
-    check = F.pmod(-_luhn_sum(body, True), F.lit(10))
-    return F.when(_luhn_sum(digits, False) % 10 == 0, _filled(v, F.concat(body, check.cast("string")))).otherwise(v)
+    def new(digits: Column) -> Column:
+        body = _string(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card", back)
+        checked = let(body, lambda d: F.concat(d, F.pmod(-_luhn_sum(d, True), F.lit(10)).cast("string")))
+        return F.when(_luhn_sum(digits, False) % 10 == 0, let(checked, lambda bare: _filled(v, bare))).otherwise(v)
+
+    return let(_bare(v), new)
 
 
 def _iban(v: Column, key: str, back: bool) -> Column:
-    bare = _bare(v)
-    body = _string(F.substring(bare, F.lit(5), F.length(bare)), key, "iban", back)
-    country = F.substring(bare, 1, 2)
-    check = F.lpad((98 - _mod97(F.concat(country, F.lit("00"), body))).cast("string"), 2, "0")
-    return F.when(_mod97(bare) == 1, _filled(v, F.concat(country, check, body))).otherwise(v)
+    def new(bare: Column) -> Column:
+        country = F.substring(bare, 1, 2)
+        check = lambda body: F.lpad((98 - _mod97(F.concat(country, F.lit("00"), body))).cast("string"), 2, "0")
+        body = _string(F.substring(bare, F.lit(5), F.length(bare)), key, "iban", back)
+        whole = let(body, lambda b: F.concat(country, check(b), b))
+        return F.when(_mod97(bare) == 1, let(whole, lambda w: _filled(v, w))).otherwise(v)
+
+    return let(_bare(v), new)
+
+
+def _kept_form(own: Column, key: str, kind: str, back: bool) -> Column:
+    return let(_string(_bare(own), key, kind, back), lambda bare: _filled(own, bare))
 
 
 def _email(v: Column, key: str, back: bool) -> Column:
     local = F.substring_index(v, "@", 1)
-    rest = F.substring(v, F.length(local) + 1, F.length(v))
-    return F.concat(_filled(local, _string(_bare(local), key, "email", back)), rest)
+    return F.concat(let(local, lambda own: _kept_form(own, key, "email", back)), F.substring(v, F.length(local) + 1, F.length(v)))
 
 
 def _phone(v: Column, key: str, back: bool) -> Column:
     country = F.regexp_extract(v, r"^\+[0-9]{1,3}[ .-]?", 0)
     own = F.substring(v, F.length(country) + 1, F.length(v))
-    return F.concat(country, _filled(own, _string(_bare(own), key, "phone", back)))
+    return F.concat(country, let(own, lambda o: _kept_form(o, key, "phone", back)))
 
 
 def _ip(v: Column, key: str, back: bool) -> Column:
     part = [F.split_part(v, F.lit("."), F.lit(k)).cast("int") for k in (1, 2, 3, 4)]
-    out = _pair(part[0] * 256 + part[1], part[2] * 256 + part[3], (65536, 65536), key, "ip", back)
-    a, b = out["a"], out["b"]
-    new = F.concat_ws(".", *[x.cast("string") for x in (F.floor(a / 256), a % 256, F.floor(b / 256), b % 256)])
+    pair = _pair(part[0] * 256 + part[1], part[2] * 256 + part[3], (65536, 65536), key, "ip", back)
+    new = let(pair, lambda p: F.concat_ws(".", *[x.cast("string") for x in (
+        F.floor(p["a"] / 256), p["a"] % 256, F.floor(p["b"] / 256), p["b"] % 256)]))
     return F.when(F.greatest(*part) < 256, new).otherwise(v)
 
 
@@ -176,31 +188,33 @@ def _ssn(v: Column, key: str, back: bool) -> Column:
     area, group, serial = (F.split_part(v, F.lit("-"), F.lit(k)).cast("int") for k in (1, 2, 3))
     valid = (area > 0) & (area < 900) & (area != 666) & (group > 0) & (serial > 0)
     number = area - 1 - F.when(area > 666, 1).otherwise(0)
-    out = _pair(number * 99 + group - 1, serial - 1, (898 * 99, 9999), key, "ssn", back)
-    area2 = F.floor(out["a"] / 99) + 1
-    area2 = area2 + F.when(area2 >= 666, 1).otherwise(0)
-    new = F.concat_ws("-", F.lpad(area2.cast("string"), 3, "0"), F.lpad((out["a"] % 99 + 1).cast("string"), 2, "0"),
-                      F.lpad((out["b"] + 1).cast("string"), 4, "0"))
-    return F.when(valid, new).otherwise(v)
+
+    def new(p: Column) -> Column:
+        a = F.floor(p["a"] / 99) + 1
+        a = a + F.when(a >= 666, 1).otherwise(0)
+        return F.concat_ws("-", F.lpad(a.cast("string"), 3, "0"), F.lpad((p["a"] % 99 + 1).cast("string"), 2, "0"),
+                           F.lpad((p["b"] + 1).cast("string"), 4, "0"))
+
+    pair = _pair(number * 99 + group - 1, serial - 1, (898 * 99, 9999), key, "ssn", back)
+    return F.when(valid, let(pair, new)).otherwise(v)
 
 
 def _date(v: Column, key: str, back: bool) -> Column:
     """Days of the calendar, permuted within blocks of 72,900 days; day.month.year, month/day/year
     (day/month/year where only that is a date) and ISO; the same day is the same value in each."""
+    block_days = F.lit(_SIDE**2).cast("bigint")
 
-    def one(form: str) -> tuple[Column, Column]:
-        day = F.try_to_timestamp(v, F.lit(form)).cast("date")
-        n = F.datediff(day, F.lit(_DAY_0).cast("date")).cast("bigint")
-        block, within = F.floor(n / _SIDE**2), F.pmod(n, F.lit(_SIDE**2).cast("bigint"))
-        out = _pair(F.floor(within / _SIDE), within % _SIDE, (_SIDE, _SIDE), key, "date", back)
-        new = F.date_add(F.lit(_DAY_0).cast("date"), (block * _SIDE**2 + out["a"] * _SIDE + out["b"]).cast("int"))
-        return day, F.date_format(new, form)
+    def new(n: Column) -> Column:
+        block, within = F.floor(n / block_days), F.pmod(n, block_days)
+        pair = _pair(F.floor(within / _SIDE), within % _SIDE, (_SIDE, _SIDE), key, "date", back)
+        return let(pair, lambda p: F.date_add(F.lit(_DAY_0).cast("date"), (block * block_days + p["a"] * _SIDE + p["b"]).cast("int")))
 
     out = v
     for form, like in (("dd/MM/yyyy", "__/__/____"), ("MM/dd/yyyy", "__/__/____"), ("dd.MM.yyyy", "__.__.____"), ("yyyy-MM-dd", "____-__-__")):
-        day, new = one(form)
+        day = F.try_to_timestamp(v, F.lit(form)).cast("date")
         fits = v.like(like) & day.between(F.lit("1700-06-01").cast("date"), F.lit("2099-08-05").cast("date"))
-        out = F.when(fits, new).otherwise(out)
+        moved = let(F.datediff(day, F.lit(_DAY_0).cast("date")).cast("bigint"), new)
+        out = F.when(fits, F.date_format(moved, form)).otherwise(out)
     return out
 
 
@@ -211,7 +225,7 @@ def _value(v: Column, key: str, back: bool) -> Column:
             .when(whole(SSN), _ssn(v, key, back))
             .when(whole(IP), _ip(v, key, back))
             .when(whole(IBAN), _iban(v, key, back))
-            .when(whole(PHONE), _phone(v, key, back))
+            .when(whole(PHONE + "|" + PLAIN_PHONE), _phone(v, key, back))
             .when(whole(CARD), _card(v, key, back)).otherwise(v))
 
 
@@ -220,7 +234,7 @@ def _replaced(documents: DataFrame, key: str, back: bool, count: str | None) ->
     columns = [c for c in documents.columns if count is None or c.lower() != count.lower()]
     found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)),
                         lambda v: F.struct(v.alias("old"), _value(v, key, back).alias("new")))
-    rows = documents.withColumn(pairs, F.when(text.rlike(ANY), found))
+    rows = documents.withColumn(pairs, F.when(text.rlike(HINT) & text.rlike(ANY), found))
     joined = F.array_join(F.zip_with(F.split(text, ANY, -1), F.col(pairs), lambda gap, p: F.concat(
         F.coalesce(gap, F.lit("")), F.coalesce(p["new"], F.lit("")))), "")
     new = F.when(F.col(pairs).isNull(), text).otherwise(joined)
