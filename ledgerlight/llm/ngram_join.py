@@ -108,12 +108,11 @@ def _records(column: pa.Array) -> pa.Array:
 
 
 def _sets(column: pa.Array) -> pa.Array:
-    rows, tokens = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    count, tokens = np.zeros(len(column), np.int64), [np.zeros(0, np.uint32)]
     for row, token, _ in shingle_sets(column):
-        rows.append(row)
+        count += np.bincount(row, minlength=len(column))
         tokens.append(token.astype(np.uint32))
-    row = np.concatenate(rows)
-    offsets = np.searchsorted(row, np.arange(len(column) + 1)).astype(np.int32)
+    offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(tokens).view(np.int32)))
 
 

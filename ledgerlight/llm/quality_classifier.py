@@ -15,6 +15,7 @@ score is the smoothed share of label 1.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,9 +43,8 @@ class Model:
     intercept: float
 
 
-def features(column) -> list[tuple[np.ndarray, np.ndarray]]:
+def features(column) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row, feature) pairs of an Arrow string column, distinct within a row, by chunk."""
-    out = []
     for w in words(column, lower=False, split_symbols=True):
         grams = [(w.row, w.hash)]
         if len(w.hash) > 1:
@@ -60,16 +60,16 @@ def features(column) -> list[tuple[np.ndarray, np.ndarray]]:
                 grams.append((w.row[:len(run)][run], np.full(int(run.sum()), REPEATS[n])))
         row = np.concatenate([g[0] for g in grams])
         hashed = np.concatenate([g[1] for g in grams]) >> U64(64 - BITS)
-        out.append(np.divmod(np.unique((row.astype(np.int64) << BITS) | hashed.astype(np.int64)), 1 << BITS))
-    return out
+        yield np.divmod(np.unique((row.astype(np.int64) << BITS) | hashed.astype(np.int64)), 1 << BITS)
 
 
 def _feature_lists(text: pa.Array) -> pa.Array:
-    parts = features(text)
-    row = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
-    val = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
-    offsets = np.searchsorted(row, np.arange(len(text) + 1)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(val.astype(np.int32)))
+    count, parts = np.zeros(len(text), np.int64), [np.zeros(0, np.int32)]
+    for row, feature in features(text):
+        count += np.bincount(row, minlength=len(text))
+        parts.append(feature.astype(np.int32))
+    offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts)))
 
 
 def ftrl(examples: list[np.ndarray], labels: np.ndarray, updates: int = UPDATES, alpha: float = 2.0,
