@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight.llm.common import fresh
@@ -37,8 +37,8 @@ N_GRAM = 5
 ABOVE, BELOW = 4, 5
 RUNS = 4
 ROOT_CHILDREN, NODE_CHILDREN = 2.5, 1.5
-#: Classes that a task brute-forces at once.
-BUCKET = 512
+#: Classes of a bucket that isn't split, and of a block of a bucket that can't be.
+BUCKET, BLOCK = 512, 1024
 #: A child that keeps this share of its parent has stopped shrinking.
 STUCK = 0.5
 MAX_DEPTH = 8
@@ -147,7 +147,7 @@ def _common(offsets: np.ndarray, values: np.ndarray) -> np.ndarray:
         m = np.zeros((g, width), np.float32)
         m[owner[a:b], column[a:b] - low] = 1
         total += m @ m.T
-    return total.astype(np.int64)
+    return total.astype(np.int32)
 
 
 def brute_force(bucket: int, block: np.ndarray, own: tuple, met: tuple, cross: bool) -> tuple | None:
@@ -155,7 +155,7 @@ def brute_force(bucket: int, block: np.ndarray, own: tuple, met: tuple, cross: b
 
     ``own``: offsets and values of the shingle sets; ``met``: of the lists of buckets.
     In a cross cell only classes of different blocks are compared."""
-    size = np.diff(own[0])
+    size = np.diff(own[0]).astype(np.int32)
     low, high = np.minimum(size[:, None], size), np.maximum(size[:, None], size)
     possible = BELOW * low >= ABOVE * high
     np.fill_diagonal(possible, False)
@@ -167,12 +167,14 @@ def brute_force(bucket: int, block: np.ndarray, own: tuple, met: tuple, cross: b
     hit = possible & (BELOW * common >= ABOVE * (size[:, None] + size - common))
     if not hit.any():
         return None
+    del low, high, possible, common
     earlier = met[1] < bucket
     offsets = np.concatenate([[0], np.cumsum(earlier)])[met[0]]
     counted = hit & (_common(offsets, met[1][earlier]) == 0)
-    least = np.arange(len(size))
+    least = np.arange(len(size), dtype=np.int32)
+    none = np.int32(len(size))
     while True:
-        new = np.minimum(least, np.where(hit, least, len(size)).min(axis=1))
+        new = np.minimum(least, np.where(hit, least, none).min(axis=1))
         new = new[new]
         if (new == least).all():
             return counted.sum(axis=1), least
@@ -253,30 +255,58 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("v"), "root")
 
 
-def _split(texts: DataFrame, sets: DataFrame) -> DataFrame:
-    """(bucket, size, ka, kb) of the final buckets of all paths."""
-    rows = texts.select(F.explode("paths").alias("bucket"), "ka", "kb").withColumn("parent", F.lit(None).cast("bigint"))
-    leaves = None
+def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, nodes) of one level: the rows (bucket, band, ka, kb) that may have a partner, and the
+    buckets to go on with (node, bucket, low, high, size, parent and a signature of the classes).
+
+    ``band`` is the logarithm of a set's size to the base 1.25: sets of Jaccard
+    similarity 0.8 lie in the same or in neighbouring bands.  A bucket is cut
+    where a band is empty, and parts of one class go."""
+    sums = (rows.groupBy("bucket").agg(F.count("*").alias("size"), F.bit_or(F.expr("shiftleft(1L, band)")).alias("bands"))
+            .where("size > 1 AND (bit_count(bands) < size OR (bands & shiftleft(bands, 1)) != 0)").select("bucket"))
+    rows = materialize(rows.join(materialize(sums, "buckets"), "bucket"), "rows")
+    bands = (rows.groupBy("bucket", "band")
+             .agg(F.count("*").alias("c"), F.first("parent").alias("parent"),
+                  F.bit_xor(F.xxhash64("ka", "kb")).alias("s1"), F.bit_xor(F.xxhash64("kb", "ka", F.lit(1))).alias("s2")))
+    order = Window.partitionBy("bucket").orderBy("band")
+    gap = F.coalesce(F.col("band") - F.lag("band").over(order) > 1, F.lit(True))
+    part = F.sum(F.col("gap").cast("int")).over(order)
+    nodes = (bands.withColumn("gap", gap).withColumn("part", part).groupBy("bucket", "part")
+             .agg(F.sum("c").alias("size"), F.first("parent").alias("parent"), F.min("band").alias("low"), F.max("band").alias("high"),
+                  F.bit_xor("s1").alias("s1"), F.bit_xor("s2").alias("s2"))
+             .where("size > 1").withColumn("node", F.xxhash64("bucket", "low")))
+    return rows, materialize(nodes, "nodes")
+
+
+def _of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(bucket, size, ka, kb) of the members of ``nodes``."""
+    places = nodes.select("node", "size", F.col("bucket").alias("b"), F.explode(F.sequence("low", "high")).alias("d"))
+    return (rows.join(places, (F.col("bucket") == F.col("b")) & (F.col("band") == F.col("d")))
+            .select(F.col("node").alias("bucket"), "size", "ka", "kb", "band"))
+
+
+def _split(texts: DataFrame, build_sets) -> tuple[DataFrame, DataFrame]:
+    """((bucket, size, ka, kb) of the final buckets of all paths, the sets of their classes)."""
+    band = F.least(F.lit(62), F.floor(F.log(F.col("n")) / F.log(F.lit(BELOW / ABOVE)) + 1e-9)).cast("int")
+    rows = texts.select(F.explode("paths").alias("bucket"), "ka", "kb", band.alias("band"), F.lit(None).cast("bigint").alias("parent"))
+    leaves = sets = None
     for depth in range(1, MAX_DEPTH + 1):
-        sums = (rows.groupBy("bucket")
-                .agg(F.count("*").alias("size"), F.first("parent").alias("parent"),
-                     F.bit_xor(F.xxhash64("ka", "kb")).alias("s1"), F.bit_xor(F.xxhash64("kb", "ka", F.lit(1))).alias("s2"))
-                .where("size > 1"))
-        sums = materialize(sums, "buckets")
+        rows, nodes = _nodes(rows)
+        if sets is None:
+            sets = build_sets(materialize(_of(rows, nodes).select("ka", "kb").distinct(), "wanted"))
         final = (F.col("size") <= BUCKET) | (F.col("size") >= STUCK * F.coalesce("parent", F.lit(float("inf")))) | F.lit(depth == MAX_DEPTH)
         # buckets of the same classes are one
-        kept = sums.where(final).groupBy("size", "s1", "s2").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-        part = rows.select("bucket", "ka", "kb").join(materialize(kept, "kept"), "bucket")
+        first = nodes.where(final).groupBy("size", "s1", "s2").agg(F.min_by(F.struct("node", "bucket", "low", "high"), "node").alias("x"))
+        part = _of(rows, materialize(first.select("size", "x.*"), "kept"))
         leaves = part if leaves is None else leaves.unionByName(part)
-        hot = sums.where(~final).select("bucket", "size")
+        hot = nodes.where(~final)
         if hot.isEmpty():
             break
-        hot = rows.select("bucket", "ka", "kb").join(hot, "bucket")
-        rows = (hot.join(sets(), ["ka", "kb"])
-                .select("ka", "kb", F.col("size").alias("parent"),
+        rows = (_of(rows, hot).join(sets, ["ka", "kb"])
+                .select("ka", "kb", "band", F.col("size").alias("parent"),
                         F.explode(F.arrow_udf(_children, "array<bigint>")("bucket", "tokens")).alias("bucket")))
         rows = materialize(rows, "paths")
-    return materialize(leaves, "leaves")
+    return materialize(leaves.drop("band"), "leaves"), sets
 
 
 def join(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -288,28 +318,21 @@ def join(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     records = materialize(docs.select("doc_id", "t", record("text").alias("r")).select("doc_id", "t", "r.*"), "records")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t")
     texts = (records.where("n > 0").groupBy("ka", "kb")
-             .agg(F.min(first).alias("first"), F.first("paths").alias("paths"), F.count("*").alias("copies")))
+             .agg(F.min(first).alias("first"), F.first("paths").alias("paths"), F.first("n").alias("n"), F.count("*").alias("copies")))
     texts = materialize(texts, "texts")
-    made: list[DataFrame] = []
-
-    def sets() -> DataFrame:
-        # of the classes that share any bucket; built once, when first asked for
-        if not made:
-            rows = texts.select(F.explode("paths").alias("bucket"), "ka", "kb", "first")
-            shared = materialize(rows.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket"), "shared")
-            wanted = (rows.join(shared, "bucket", "left_semi").select("ka", "kb", "first").distinct()
-                      .select("ka", "kb", F.col("first.doc_id").alias("w"), F.col("first.t").alias("wt")))
-            found = (docs.join(materialize(wanted, "wanted"), F.col("doc_id").eqNullSafe(F.col("w")) & (F.col("t") == F.col("wt")))
-                     .dropDuplicates(["doc_id", "t"]))
-            made.append(materialize(found.select("ka", "kb", F.arrow_udf(_sets, "array<int>")("text").alias("tokens")), "sets"))
-        return made[0]
-
-    leaves = _split(texts, sets)
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        named = texts.join(wanted, ["ka", "kb"], "left_semi").select("ka", "kb", F.col("first.doc_id").alias("w"), F.col("first.t").alias("wt"))
+        found = (docs.join(materialize(named, "named"), F.col("doc_id").eqNullSafe(F.col("w")) & (F.col("t") == F.col("wt")))
+                 .dropDuplicates(["doc_id", "t"]))
+        return materialize(found.select("ka", "kb", F.arrow_udf(_sets, "array<int>")("text").alias("tokens")), "sets")
+
+    leaves, tokens = _split(texts, sets)
     met = leaves.groupBy("ka", "kb").agg(F.collect_set("bucket").alias("buckets"))
-    members = materialize(sets().join(met, ["ka", "kb"]), "members")
-    n = F.ceil(F.col("size") / BUCKET).cast("int")
-    cells = (leaves.withColumn("block", F.when(F.col("size") <= BUCKET, F.lit(0)).otherwise(F.pmod(F.xxhash64("ka", "kb"), n).cast("int")))
-             .withColumn("k", F.explode(F.when(F.col("size") <= BUCKET, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1))))
+    members = tokens.join(met, ["ka", "kb"])
+    n = F.ceil(F.col("size") / BLOCK).cast("int")
+    cells = (leaves.withColumn("block", F.when(F.col("size") <= BLOCK, F.lit(0)).otherwise(F.pmod(F.xxhash64("ka", "kb"), n).cast("int")))
+             .withColumn("k", F.explode(F.when(F.col("size") <= BLOCK, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1))))
              .select("bucket", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "ka", "kb"))
     cells = (cells.join(members, ["ka", "kb"])
              .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket", "i", "j")
@@ -326,7 +349,7 @@ def join(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def _classes(texts: DataFrame, links: DataFrame) -> DataFrame:
     """(ka, kb, first row of the text, its copies, links, first row of its near-duplicate class)."""
-    joined = (texts.drop("paths").join(links, ["ka", "kb"], "left")
+    joined = (texts.drop("paths", "n").join(links, ["ka", "kb"], "left")
               .withColumn("links", F.coalesce("links", F.lit(0).cast("bigint")))
               .withColumn("root", F.coalesce("root", F.struct(F.col("ka").alias("a"), F.col("kb").alias("b")))))
     joined = materialize(joined, "joined")
