@@ -35,6 +35,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def row_key(*columns) -> list[Column]:
+    """A 128-bit key of columns as two longs, nulls told apart: rows dealt by it stay together for
+    what follows (no second shuffle), where null-safe conditions would each become a key."""
+    nulls = F.concat_ws("", *[F.col(c).isNull().cast("string") for c in columns])
+    return [F.xxhash64(F.lit(seed), nulls, *columns) for seed in (1, 2)]
+
+
 def labelled_sample(labels: DataFrame, column: str, train: Column, max_rows: int) -> DataFrame:
     """(doc_id, label) of at most about ``max_rows`` labelled training rows.
 

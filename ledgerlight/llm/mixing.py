@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import WORD, salted_join
+from ledgerlight.llm.common import WORD, fresh, row_key, salted_join
 from ledgerlight.plans.lineage import materialize
 from ledgerlight.plans.ordering import group_index
 
@@ -180,11 +180,13 @@ def mixed(documents: DataFrame) -> DataFrame:
     own = [c for c in documents.columns if c.lower() not in ("size", "copies", "taken")]
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     rows = documents.select(*own, size.alias("size"))
-    hit = (rows["doc_id"].eqNullSafe(F.col("__id")) & rows["source"].cast("string").eqNullSafe(F.col("__source"))
-           & (rows["size"] == F.col("__size")))
-    joined = rows.join(units.where("taken_copies > 0"), hit)
-    # the join has dealt and sorted the rows by these keys; equal rows are numbered as they lie
-    nth = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy("__id"))
+    names, source = [fresh(rows, "k1"), fresh(rows, "k2")], fresh(rows, "source")
+    units = units.where("taken_copies > 0").select("m", "taken_copies", *[
+        k.alias(n) for k, n in zip(row_key("__id", "__source", "__size"), names, strict=True)])
+    rows = rows.withColumn(source, F.col("source").cast("string"))
+    rows = rows.withColumns(dict(zip(names, row_key("doc_id", source, "size"), strict=True))).drop(source)
+    joined = rows.join(units, names)
+    nth = F.row_number().over(Window.partitionBy(*names).orderBy(*names))
     copies = _share(F.col("__r"))
     return (joined.withColumn("__r", nth).select(*own, "size", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
             .where("copies > 0"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import fresh
+from ledgerlight.llm.common import fresh, row_key
 from ledgerlight.llm.words import U64, mix, multipliers, words
 from ledgerlight.plans.lineage import materialize
 
@@ -289,7 +289,7 @@ def _split(texts: DataFrame, build_sets) -> tuple[DataFrame, DataFrame]:
     """((bucket, size, ka, kb) of the final buckets of all paths, the sets of their classes)."""
     band = F.least(F.lit(62), F.floor(F.log(F.col("n")) / F.log(F.lit(BELOW / ABOVE)) + 1e-9)).cast("int")
     rows = texts.select(F.explode("paths").alias("bucket"), "ka", "kb", band.alias("band"), F.lit(None).cast("bigint").alias("parent"))
-    leaves = sets = None
+    leaves = sets = splitting = None
     for depth in range(1, MAX_DEPTH + 1):
         rows, nodes = _nodes(rows)
         if sets is None:
@@ -302,7 +302,11 @@ def _split(texts: DataFrame, build_sets) -> tuple[DataFrame, DataFrame]:
         hot = nodes.where(~final)
         if hot.isEmpty():
             break
-        rows = (_of(rows, hot).join(sets, ["ka", "kb"])
+        members = materialize(_of(rows, hot), "hot")
+        # classes of deeper buckets are among those of the first ones that are split
+        if splitting is None:
+            splitting = materialize(sets.join(members.select("ka", "kb").distinct(), ["ka", "kb"], "left_semi"), "splitting")
+        rows = (members.join(splitting, ["ka", "kb"])
                 .select("ka", "kb", "band", F.col("size").alias("parent"),
                         F.explode(F.arrow_udf(_children, "array<bigint>")("bucket", "tokens")).alias("bucket")))
         rows = materialize(rows, "paths")
@@ -323,8 +327,10 @@ def join(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
     def sets(wanted: DataFrame) -> DataFrame:
         named = texts.join(wanted, ["ka", "kb"], "left_semi").select("ka", "kb", F.col("first.doc_id").alias("w"), F.col("first.t").alias("wt"))
-        found = (docs.join(materialize(named, "named"), F.col("doc_id").eqNullSafe(F.col("w")) & (F.col("t") == F.col("wt")))
-                 .dropDuplicates(["doc_id", "t"]))
+        k1, k2 = row_key("w", "wt")
+        named = materialize(named.select("ka", "kb", k1.alias("k1"), k2.alias("k2")), "named")
+        k1, k2 = row_key("doc_id", "t")
+        found = docs.select(k1.alias("k1"), k2.alias("k2"), "text").join(named, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
         return materialize(found.select("ka", "kb", F.arrow_udf(_sets, "array<int>")("text").alias("tokens")), "sets")
 
     leaves, tokens = _split(texts, sets)
@@ -384,6 +390,8 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     alone = records.where("n = 0").select("doc_id", "t").distinct()
     keep = materialize(heads.unionByName(alone), "keep").select(F.col("doc_id").alias("__keep"), F.col("t").alias("__keep_t"))
     columns, t = documents.columns, fresh(documents, "t")
+    names = [fresh(documents, "k1"), fresh(documents, "k2")]
+    keep = keep.select(*[k.alias(n) for k, n in zip(row_key("__keep", "__keep_t"), names, strict=True)])
     rows = documents.withColumn(t, F.xxhash64("text"))
-    kept = rows.join(keep, rows["doc_id"].eqNullSafe(F.col("__keep")) & (rows[t] == F.col("__keep_t")))
-    return kept.dropDuplicates(["doc_id", t]).select(*columns)
+    rows = rows.withColumns(dict(zip(names, row_key("doc_id", t), strict=True)))
+    return rows.join(keep, names).dropDuplicates(names).select(*columns)
