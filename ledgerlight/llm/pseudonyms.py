@@ -35,7 +35,7 @@ SSN = _EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _END
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
 PLAIN_PHONE = r"\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])|" + _EDGE + r"[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}" + _END
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
-CARD = r"(?<![0-9])(?<![0-9][ .-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 #: Values start where a word starts (but for a phone number's bracket), which keeps the search linear.
 ANY = PHONE + "|(?<![0-9A-Za-z])(?:" + "|".join((EMAIL, IBAN, DATE, SSN, PLAIN_PHONE, IP, CARD)) + ")"
 #: Cheap to look for, and part of every value.
