@@ -231,7 +231,7 @@ def test_statistics_match_brute_force(docs):
 
 
 def test_rules_learn_a_threshold(spark):
-    rows = [(k, " ".join(["word", "of", "text"] + [f"u{k}x{j}" for j in range(30)] + (["**"] * (5 + k % 7) if k % 4 == 0 else [])), int(k % 4 > 0)) for k in range(200)]
+    rows = [(k, " ".join(["word", "of", "text"] + [f"u{k}x{j}" for j in range(30 + k % 11)] + (["**"] * (5 + k % 7) if k % 4 == 0 else [])), int(k % 4 > 0)) for k in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
     rules = quality_rules.train(docs.drop("quality"), docs.drop("text"))
     assert rules and any(c.feature == "symbols" for c in rules[0])
