@@ -81,9 +81,12 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
     """The ``k`` corpus rows most cosine-similar to each query.
 
     ``queries``: (query_id integral, vector array).  Ties on the rounded score go
-    to the smaller id.  Output: query_id, rank, <id_col>, similarity.
+    to the smaller id.  A null or zero vector has no direction: it is similar
+    to nothing, as a query and as a corpus row.  Output: query_id, rank,
+    <id_col>, similarity.
     """
-    rows = checked_collect(queries.select("query_id", "vector"), max_queries)
+    rows = checked_collect(queries.select("query_id", "vector").where("vector IS NOT NULL"), max_queries)
+    rows = [r for r in rows if any(r[1])]
     qids = np.array([r[0] for r in rows], dtype=np.int64)
     qmat = _unit_rows(np.array([list(r[1]) for r in rows], dtype=np.float64)) if rows else \
         np.zeros((0, 0))
@@ -110,7 +113,9 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
             ids = pdf[id_col].to_numpy()
             x = np.stack(pdf[vector_col].to_numpy()).astype(np.float64)
             norms = np.linalg.norm(x, axis=1, keepdims=True)
-            norms[norms == 0] = np.nan
+            ids, x, norms = ids[norms[:, 0] > 0], x[norms[:, 0] > 0], norms[norms[:, 0] > 0]
+            if not len(ids):
+                continue
             sims = np.round((x / norms) @ q.T, digits)       # (rows, queries)
             keep_j, keep_i = [], []
             take = min(k, len(ids))
@@ -124,7 +129,7 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
             cj, ri = np.concatenate(keep_j), np.concatenate(keep_i)
             yield pd.DataFrame({"query_id": q_ids[cj], id_col: ids[ri], "similarity": sims[ri, cj]})
 
-    partial = corpus.select(id_col, vector_col).mapInPandas(score, out_schema)
+    partial = corpus.select(id_col, vector_col).where(F.col(vector_col).isNotNull()).mapInPandas(score, out_schema)
     rank = F.row_number().over(Window.partitionBy("query_id")
                                .orderBy(F.col("similarity").desc(), F.col(id_col)))
     return (partial.withColumn("rank", rank).where(F.col("rank") <= k)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings the plans rely on: adaptive re-planning (partition coalescing and
@@ -23,6 +24,16 @@ DEFAULTS = {
 }
 
 
+def _given() -> set[str]:
+    """Settings that a running session or a submitting launcher has set already."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return set(dict(active.sparkContext.getConf().getAll())) | set(active.conf.getAll)
+    if SparkContext._gateway is not None or "PYSPARK_GATEWAY_PORT" in os.environ:
+        return set(dict(SparkConf().getAll()))
+    return set()
+
+
 def build_session(master: str | None = None, app: str = "ledgerlight",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -35,6 +46,10 @@ def build_session(master: str | None = None, app: str = "ledgerlight",
     conf.setdefault("spark.ui.enabled", "false")
     conf.setdefault("spark.ui.showConsoleProgress", "false")
     conf.setdefault("spark.driver.memory", os.environ.get("LEDGERLIGHT_DRIVER_MEMORY", "8g"))
+    given = _given()
+    conf = {k: v for k, v in conf.items() if k not in given}
+    if shuffle_partitions is not None:     # what the caller names counts
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -12,13 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.errors import AnalysisException
+
 from ledgerlight.operators.text import import_new_only
 
 
 def _existing(spark: SparkSession, target: str, schema) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(target)
-    except Exception:  # first batch: nothing imported yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # first batch: nothing imported yet
         return spark.createDataFrame([], schema)
 
 
