@@ -23,9 +23,9 @@ RESULT_TABLES = ["pres_sentiment", "pres_ad_spend", "pres_clv", "pres_churn", "p
                  "pred_twitter_comments", "attribution_touches"]
 
 
-def customer_analytics(spark: SparkSession, sf_dir: str, start_month: str = "1995-01-01",
-                       as_of: str = "2002-01-31", database: str | None = None,
+def customer_analytics(spark: SparkSession, sf_dir: str, start_month=None, as_of=None, database: str | None = None,
                        staging_prefix: str = "stg_", temp_prefix: str = "tmp__") -> dict[str, str]:
+    """``start_month`` and ``as_of`` bound the calendar; by default it covers every period."""
     db = database or catalog.work_database(spark)
 
     def table(name: str) -> str:
@@ -45,8 +45,9 @@ def customer_analytics(spark: SparkSession, sf_dir: str, start_month: str = "199
     customers = catalog.materialize_step(
         commerce.customers(staged["customers"], staged["orders"], staged["payments"]),
         temp_prefix, "customers", db)
+    first, last = revenue.calendar_bounds(staged["subscription_periods"])
     mrr = catalog.materialize_step(
-        revenue.mrr(staged["subscription_periods"], start_month, as_of), temp_prefix, "mrr", db)
+        revenue.mrr(staged["subscription_periods"], start_month or first, as_of or last), temp_prefix, "mrr", db)
     touches = catalog.materialize_step(
         attribution.attribution_touches(staged["sessions"], staged["customer_conversions"]),
         temp_prefix, "attribution_touches", db)

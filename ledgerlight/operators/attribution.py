@@ -4,24 +4,20 @@
 lookback window before the conversion and gives each first-touch, last-touch,
 40-20-40 and linear points and revenue shares.
 
-Plan notes: the session/conversion join is an equi-join on the customer
-with the window as a join condition (AQE splits a skewed customer).  The
-per-customer ``row_number`` and ``count`` come from ``group_number``: a
-bound on the largest customer's touches (sessions x conversions) is measured
-first; a bounded group takes a plain window, a larger one ``group_index``,
-which range-partitions by (customer, start time) so one customer with a
-large share of the sessions is numbered by many tasks instead of one.
+Plan notes: each conversion is exploded into the days of its window and
+sessions join it on (customer, day), so a customer with a large share of all
+sessions spreads over as many tasks as it has days.  Sessions are numbered
+within their day, on the join's own partitioning; the sessions of earlier days
+come from per-day counts, of which a customer has one per calendar day.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.dates import add_days
-from ledgerlight.plans.broadcast import checked_collect
 from ledgerlight.plans.lineage import cut_lineage
-from ledgerlight.plans.ordering import group_number
 
 # The lookback window in days and the name shown for a missing medium.
 LOOKBACK_DAYS = 30
@@ -45,40 +41,48 @@ def _share(idx: Column, total: Column) -> Column:
              .otherwise(F.lit(0.2) / (total - 2)))
 
 
-def _largest_touch_group(sessions: DataFrame, conversions: DataFrame) -> int:
-    """Upper bound on the touches of one customer: its sessions times its conversions.
+def window_sessions(sessions: DataFrame, conversions: DataFrame,
+                    lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    """Sessions within ``lookback_days`` before (and up to) the conversion, with its columns.
 
-    Two partial aggregations and a join of per-customer counts; far cheaper
-    than evaluating the session/conversion join to count it.
+    Both window ends are inclusive; the lower end keeps the time of day.
     """
-    s = sessions.groupBy("customer_id").agg(F.count(F.lit(1)).alias("s"))
-    c = conversions.groupBy("customer_id").agg(F.count(F.lit(1)).alias("c"))
-    return s.join(c, "customer_id").agg(F.max(F.col("s") * F.col("c"))).first()[0] or 0
+    return _by_day(sessions, conversions, lookback_days).drop("_day")
+
+
+def _by_day(sessions: DataFrame, conversions: DataFrame, lookback_days: int) -> DataFrame:
+    opens = add_days(F.col("converted_at"), -lookback_days)
+    s = sessions.withColumn("_day", F.to_date("started_at"))
+    c = conversions.withColumn("_opens", opens).withColumn(
+        "_day", F.explode(F.sequence(F.to_date("_opens"), F.to_date("converted_at"), F.expr("INTERVAL 1 DAY"))))
+    inside = F.col("started_at").between(F.col("_opens"), F.col("converted_at"))
+    return s.join(c, ["customer_id", "_day"]).where(inside).select(
+        *sessions.columns, *[x for x in conversions.columns if x != "customer_id"], "_day")
 
 
 def attribution_touches(sessions: DataFrame, conversions: DataFrame,
                         lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Sessions within ``lookback_days`` before (and up to) the conversion, with points.
+    """``window_sessions`` numbered per customer, with points and revenue shares.
 
-    Both window ends are inclusive; the lower end keeps the time of day.
     Sessions of a customer are ordered by start time, then session id.
     """
-    s, c = sessions.alias("s"), conversions.alias("c")
-    cond = ((F.col("s.customer_id") == F.col("c.customer_id"))
-            & (F.col("s.started_at") <= F.col("c.converted_at"))
-            & (F.col("s.started_at") >= add_days(F.col("c.converted_at"), -lookback_days)))
-    joined = s.join(c, cond, "inner").select(
-        "s.*", *[F.col(f"c.{x}") for x in conversions.columns if x != "customer_id"])
-    order = [F.col("started_at"), F.col("session_id"), F.col("converted_at")]
-    touches = group_number(joined, ["customer_id"], order, "session_index", "total_sessions",
-                           largest=_largest_touch_group(sessions, conversions))
+    joined = _by_day(sessions, conversions, lookback_days)
+    day = Window.partitionBy("customer_id", "_day")
+    whole = Window.partitionBy("customer_id")
+    earlier = whole.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = (joined.groupBy("customer_id", "_day").agg(F.count(F.lit(1)).alias("_n"))
+            .select("customer_id", "_day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_earlier"),
+                    F.sum("_n").over(whole).alias("total_sessions")))
+    in_day = F.row_number().over(day.orderBy("started_at", "session_id", "converted_at"))
+    touches = (joined.withColumn("_in_day", in_day).join(days, ["customer_id", "_day"])
+               .withColumn("session_index", F.col("_earlier") + F.col("_in_day")))
 
     idx, total, revenue = F.col("session_index"), F.col("total_sessions"), F.col("revenue")
     first = F.when(idx == 1, F.lit(1.0)).otherwise(F.lit(0.0))
     last = F.when(idx == total, F.lit(1.0)).otherwise(F.lit(0.0))
     linear = F.lit(1.0) / total
     return touches.select(
-        *joined.columns, "total_sessions", "session_index",
+        *[x for x in joined.columns if x != "_day"], "total_sessions", "session_index",
         first.alias("first_touch_points"),
         last.alias("last_touch_points"),
         _share(idx, total).alias("forty_twenty_forty_points"),
@@ -102,16 +106,16 @@ def ad_spend(touches: DataFrame) -> DataFrame:
             .withColumnRenamed("utm_medium", "medium"))
 
 
-def revenue_by_medium(touches: DataFrame, max_mediums: int = 1000) -> DataFrame:
+def revenue_by_medium(touches: DataFrame) -> DataFrame:
     """Revenue by source (rows) and medium (columns); NULL medium as ``NONE``.
 
-    The medium list is read from the data (a distinct on one column, checked
-    to stay small) so that the pivot is planned as one aggregation; the
-    three needed columns of the touches are checkpointed once for both jobs.
+    The touches are summed per (source, medium) before the mediums become
+    columns, so the pivot reads that small table, checkpointed once for the
+    list of mediums (each a column of the result) and the pivot itself.
     """
-    # the touches feed two jobs (the medium list and the pivot): written once
-    filled = cut_lineage(touches.select(
-        "utm_source", F.coalesce("utm_medium", F.lit(NULL_MEDIUM)).alias("utm_medium"), "revenue"))
-    values = sorted(r[0] for r in checked_collect(filled.select("utm_medium").distinct(), max_mediums))
-    pivoted = filled.groupBy("utm_source").pivot("utm_medium", values).agg(_money_sum("revenue"))
-    return pivoted.withColumnRenamed("utm_source", "source")
+    sums = cut_lineage(touches.groupBy(
+        "utm_source", F.coalesce("utm_medium", F.lit(NULL_MEDIUM)).alias("utm_medium"))
+        .agg(_money_sum("revenue").alias("revenue")))
+    mediums = [r[0] for r in sums.select("utm_medium").distinct().orderBy("utm_medium").collect()]
+    return (sums.groupBy(F.col("utm_source").alias("source"))
+            .pivot("utm_medium", mediums).agg(F.first("revenue")))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlight.plans.ordering import group_number
+from ledgerlight.plans.ordering import group_index
 
 # Score rounding digits, bucket range and count, value rounding
 # digits, and the number of comments shown per customer.
@@ -89,10 +89,10 @@ def calls_drilldown(scored_calls: DataFrame, customers_of_interest: DataFrame) -
     """
     wanted = customers_of_interest.select("customer_id").distinct()
     calls = _numeric_customer(scored_calls).join(wanted, "customer_id", "left_semi").drop("uuid")
-    # every call is ranked (no limit): a customer with more calls than one
-    # task should order is ranked over range slices instead
+    # every call is ranked (no limit), over range slices: a customer with a
+    # large share of the calls is ranked by many tasks
     order = [F.col("sentiment").desc_nulls_last(), F.col("relative_path")]
-    return group_number(calls, ["customer_id"], order, "call_rank")
+    return group_index(calls, ["customer_id"], order, "call_rank")
 
 
 def comments_top(scored_comments: DataFrame, k: int = TOP_COMMENTS) -> DataFrame:

@@ -13,12 +13,14 @@ Plan notes
   becomes an equi-join on ``(customer_id, date_month)``.  Both sides hash on
   the pair, so a customer with many rows spreads over many tasks, and no
   pair is produced that the result does not contain.
-* Per-customer steps (first/last active month, ``lag``) use windows when a
-  cheap bound on any customer's rows (span months + covered months) stays
-  under ``MAX_GROUP_ROWS`` -- always so for non-overlapping periods, where a
-  customer has at most one row per calendar month.  Beyond it they use an
-  aggregation joined back and a range-sliced index joined to its
-  predecessor, so no task receives an unbounded customer.
+* First and last active month are worked out on one row per customer before
+  its months are exploded, from its covered month ranges (at most one per
+  calendar month), so no window gathers a customer's rows.
+* The previous month's value is carried forward: every row also travels to the
+  next month, where it precedes that month's rows in a window over
+  ``(customer_id, date_month)``.  A customer's months are contiguous, so this
+  equals ``lag`` over the customer, and a customer with very many rows spreads
+  over as many tasks as it has months.
 """
 
 from __future__ import annotations
@@ -28,8 +30,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlight.plans.ordering import MAX_GROUP_ROWS, group_index
-
 
 def _month_step() -> Column:
     return F.expr("INTERVAL 1 MONTH")
@@ -59,6 +59,12 @@ def calendar_spanning(periods: DataFrame) -> DataFrame:
         F.trunc("lo", "MM"), F.trunc("hi", "MM"), _month_step())).alias("date_month")).orderBy("date_month")
 
 
+def calendar_bounds(periods: DataFrame) -> tuple[Column, Column]:
+    """First and last day of the calendar that covers the periods, as scalar subqueries."""
+    last = F.greatest(F.col("start_date"), F.coalesce(F.col("end_date"), F.col("start_date")))
+    return periods.select(F.min("start_date")).scalar(), periods.select(F.max(last)).scalar()
+
+
 def customer_span(periods: DataFrame) -> DataFrame:
     """First start month and last end month per customer (A3).
 
@@ -70,16 +76,21 @@ def customer_span(periods: DataFrame) -> DataFrame:
         F.trunc(F.max("end_date"), "MM").alias("date_month_end"))
 
 
-def customer_months(periods: DataFrame, start_month, as_of) -> DataFrame:
-    """(customer, month) for months in [span start, span end) within the calendar (Q4)."""
+def _clipped_span(periods: DataFrame, start_month, as_of) -> DataFrame:
+    """(customer_id, lo, hi): first and last month of each customer within the calendar."""
     # greatest/least skip NULLs; a NULL span end must leave the customer out
     lo = F.when(F.col("date_month_start").isNotNull(),
                 F.greatest(F.col("date_month_start"), F.trunc(_date(start_month), "MM")))
     hi = F.when(F.col("date_month_end").isNotNull(),
                 F.least(F.add_months("date_month_end", -1), F.trunc(_date(as_of), "MM")))
-    span = customer_span(periods).select("customer_id", lo.alias("lo"), hi.alias("hi"))
-    return (span.where(F.col("lo") <= F.col("hi"))
-                .select("customer_id", F.explode(F.sequence("lo", "hi", _month_step())).alias("date_month")))
+    return (customer_span(periods).select("customer_id", lo.alias("lo"), hi.alias("hi"))
+            .where(F.col("lo") <= F.col("hi")))
+
+
+def customer_months(periods: DataFrame, start_month, as_of) -> DataFrame:
+    """(customer, month) for months in [span start, span end) within the calendar (Q4)."""
+    return _clipped_span(periods, start_month, as_of).select(
+        "customer_id", F.explode(F.sequence("lo", "hi", _month_step())).alias("date_month"))
 
 
 def period_months(periods: DataFrame, start_month, as_of, bounds_only: bool = False) -> DataFrame:
@@ -101,55 +112,25 @@ def period_months(periods: DataFrame, start_month, as_of, bounds_only: bool = Fa
                            F.explode(F.sequence("lo", "hi", _month_step())).alias("date_month")))
 
 
-def largest_customer_rows(periods: DataFrame, start_month, as_of) -> int:
-    """Upper bound on the rows of one customer, without exploding anything.
-
-    A customer has one monthly row per month of its span plus one per extra
-    period covering a month (span months + covered months of its periods),
-    and at most as many churn rows again.  Two partial aggregations over the
-    periods and a join of per-customer sums.
-    """
-    lo = F.greatest(F.col("date_month_start"), F.trunc(_date(start_month), "MM"))
-    span = customer_span(periods).select(
-        "customer_id", F.coalesce(F.months_between(F.add_months("date_month_end", -1), lo) + 1,
-                                  F.lit(0)).alias("span_m"))
-    bounds = period_months(periods, start_month, as_of, bounds_only=True)
-    covered = bounds.groupBy("customer_id").agg(
-        F.sum(F.months_between("hi", "lo") + 1).alias("cov_m"))
-    total = span.join(covered, "customer_id", "left").select(
-        (F.greatest(F.col("span_m"), F.lit(0)) + F.coalesce(F.col("cov_m"), F.lit(0))).alias("n"))
-    # churn rows add at most one per monthly row: twice the monthly rows bounds all
-    return 2 * int(total.agg(F.max("n")).first()[0] or 0)
-
-
-def mrr_monthly(periods: DataFrame, start_month, as_of, windowed: bool = True) -> DataFrame:
-    """Revenue per customer month with activity flags (Q5).
-
-    ``windowed``: first/last active month by a window over the customer
-    (groups bounded by the calendar); otherwise by an aggregation joined
-    back, which spreads a customer with very many rows over many tasks.
-    """
-    months = customer_months(periods, start_month, as_of)
+def mrr_monthly(periods: DataFrame, start_month, as_of) -> DataFrame:
+    """Revenue per customer month with activity flags (Q5)."""
+    # paid month ranges per customer: at most one per first month
+    paid = (period_months(periods, start_month, as_of, bounds_only=True).where("monthly_amount > 0")
+            .groupBy("customer_id", "lo").agg(F.max("hi").alias("hi"))
+            .groupBy("customer_id").agg(F.collect_list(F.struct("lo", "hi")).alias("paid")))
+    reached = F.filter("paid", lambda r: r["lo"] <= F.col("hi"))
+    months = _clipped_span(periods, start_month, as_of).join(paid, "customer_id", "left").select(
+        "customer_id",
+        F.array_min(F.transform(reached, lambda r: r["lo"])).alias("first_active_month"),
+        F.array_max(F.transform(reached, lambda r: F.least(r["hi"], F.col("hi")))).alias("last_active_month"),
+        F.explode(F.sequence("lo", "hi", _month_step())).alias("date_month"))
     covered = period_months(periods, start_month, as_of)
-    joined = months.join(covered, ["customer_id", "date_month"], "left").select(
-        "date_month", "customer_id",
-        F.coalesce(F.col("monthly_amount"), F.lit(0.0)).alias("mrr"))
-    active_month = F.when(F.col("mrr") > 0, F.col("date_month"))
-    if windowed:
-        whole = Window.partitionBy("customer_id")
-        flagged = (joined.withColumn("first_active_month", F.min(active_month).over(whole))
-                         .withColumn("last_active_month", F.max(active_month).over(whole)))
-    else:
-        spans = joined.groupBy("customer_id").agg(F.min(active_month).alias("first_active_month"),
-                                                  F.max(active_month).alias("last_active_month"))
-        flagged = joined.join(spans, "customer_id", "left")
-    return (flagged
-            .select("date_month", "customer_id", "mrr", (F.col("mrr") > 0).alias("is_active"),
-                    "first_active_month", "last_active_month")
-            .withColumn("is_first_month",
-                        F.coalesce(F.col("first_active_month") == F.col("date_month"), F.lit(False)))
-            .withColumn("is_last_month",
-                        F.coalesce(F.col("last_active_month") == F.col("date_month"), F.lit(False))))
+    mrr_ = F.coalesce(F.col("monthly_amount"), F.lit(0.0))
+    return months.join(covered, ["customer_id", "date_month"], "left").select(
+        "date_month", "customer_id", mrr_.alias("mrr"), (mrr_ > 0).alias("is_active"),
+        "first_active_month", "last_active_month",
+        F.col("first_active_month").eqNullSafe(F.col("date_month")).alias("is_first_month"),
+        F.col("last_active_month").eqNullSafe(F.col("date_month")).alias("is_last_month"))
 
 
 def _category() -> Column:
@@ -160,50 +141,36 @@ def _category() -> Column:
              .when(F.col("mrr_change") < 0, "downgrade"))
 
 
-def mrr(periods: DataFrame, start_month, as_of, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def mrr(periods: DataFrame, start_month, as_of) -> DataFrame:
     """MRR movements: new, churn, reactivation, upgrade, downgrade (Q6, Q7).
 
     The churn row (month after the last active month, worth 0.0) is emitted
-    next to its source row by one ``explode`` -- the union of the SQL form
-    without a second pass over the monthly rows.  On the window path the
-    rows stay in the customer partitioning of the first window and ``lag``
-    needs no shuffle; when the measured bound on a customer's rows exceeds
-    ``max_group_rows``, ``lag`` comes from a range-sliced index joined to its
-    predecessor instead.
+    next to its source row, and each row's copy for the next month next to it,
+    by one ``explode``: the union and ``lag`` of the SQL form in one shuffle on
+    ``(customer_id, date_month)``.  Within a month rows go by carried first,
+    churn row last, then amount (ties only arise when periods overlap).
     """
-    windowed = largest_customer_rows(periods, start_month, as_of) <= max_group_rows
-    monthly = mrr_monthly(periods, start_month, as_of, windowed=windowed)
-    real = F.struct(F.col("date_month"), F.col("mrr"), F.col("is_active"),
-                    F.col("is_first_month"), F.col("is_last_month"), F.lit(0).alias("_churn_row"))
-    churn = F.struct(F.add_months("date_month", 1).alias("date_month"), F.lit(0.0).alias("mrr"),
-                     F.lit(False).alias("is_active"), F.lit(False).alias("is_first_month"),
-                     F.lit(False).alias("is_last_month"), F.lit(1).alias("_churn_row"))
-    rows = monthly.select(
+    def row(months: int, amount: Column, first: Column, last: Column, churn: int, own: int) -> Column:
+        return F.struct(F.add_months("date_month", months).alias("date_month"), amount.alias("mrr"),
+                        first.alias("is_first_month"), last.alias("is_last_month"),
+                        F.lit(churn).alias("_churn"), F.lit(own).alias("_own"))
+
+    no, none = F.lit(False), F.lit(0.0)
+    value, first, last = F.col("mrr"), F.col("is_first_month"), F.col("is_last_month")
+    plain = F.array(row(0, value, first, last, 0, 1), row(1, value, no, no, 0, 0))
+    closing = F.array(row(0, value, first, last, 0, 1), row(1, value, no, no, 0, 0),
+                      row(1, none, no, no, 1, 1), row(2, none, no, no, 1, 0))
+    rows = mrr_monthly(periods, start_month, as_of).select(
         "customer_id", "first_active_month", "last_active_month",
-        F.explode(F.when(F.col("is_last_month"), F.array(real, churn)).otherwise(F.array(real))).alias("r"))
-    unioned = rows.select("r.date_month", "customer_id", "r.mrr", "r.is_active", "first_active_month",
-                          "last_active_month", "r.is_first_month", "r.is_last_month", "r._churn_row")
-    # month, real row before the churn row, then amount (ties only arise when
-    # periods overlap; the amount keeps the order total)
-    order = [F.col("date_month"), F.col("_churn_row"), F.col("mrr")]
-    if windowed:
-        by_month = Window.partitionBy("customer_id").orderBy(*order)
-        with_prev = (unioned.withColumn("_prev_active", F.lag("is_active").over(by_month))
-                            .withColumn("_prev_mrr", F.lag("mrr").over(by_month)))
-    else:
-        # lag without one task per customer: index the rows over range slices
-        # and join each to its predecessor on (customer, index - 1)
-        indexed = group_index(unioned, ["customer_id"], order, "_i")
-        previous = indexed.select("customer_id", (F.col("_i") + 1).alias("_i"),
-                                  F.col("is_active").alias("_prev_active"),
-                                  F.col("mrr").alias("_prev_mrr"))
-        with_prev = indexed.join(previous, ["customer_id", "_i"], "left").drop("_i")
-    return (with_prev
-            .withColumn("previous_month_is_active", F.coalesce(F.col("_prev_active"), F.lit(False)))
-            .withColumn("previous_month_mrr", F.coalesce(F.col("_prev_mrr"), F.lit(0.0)))
-            .drop("_prev_active", "_prev_mrr")
+        F.inline(F.when(last, closing).otherwise(plain)))
+    before = Window.partitionBy("customer_id", "date_month").orderBy("_own", "_churn", "mrr")
+    return (rows
+            .withColumn("previous_month_mrr", F.coalesce(F.lag("mrr").over(before), none))
+            .where("_own = 1")
+            .withColumn("is_active", F.col("mrr") > 0)
+            .withColumn("previous_month_is_active", F.col("previous_month_mrr") > 0)
             .withColumn("mrr_change", F.col("mrr") - F.col("previous_month_mrr"))
             .withColumn("change_category", _category())
             .withColumn("renewal_amount", F.least("mrr", "previous_month_mrr"))
             .withColumn("id", F.md5(F.col("customer_id").cast("string")))
-            .drop("_churn_row"))
+            .drop("_churn", "_own"))

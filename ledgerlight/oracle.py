@@ -132,144 +132,151 @@ def _q(key: str, body: str, **helpers: str) -> None:
     Q[key] = with_ctes(body, helpers or None)
 
 
-HELPERS["customer_orders_q"] = """
-    SELECT customer_id, min(order_date) AS first_order, max(order_date) AS most_recent_order,
-           count(order_id) AS number_of_orders
-    FROM stg_orders GROUP BY customer_id"""
-HELPERS["customer_payments_q"] = """
-    SELECT o.customer_id, CAST(sum(p.amount) AS BIGINT) / 100.0::DOUBLE AS total_amount
-    FROM stg_payments p LEFT JOIN stg_orders o ON p.order_id = o.order_id
-    GROUP BY o.customer_id"""
+# -- Order rollups ------------------------------------------------------------
+# Payments are totalled per order first; every rollup then reads those totals.
+
+_methods = ["credit_card", "coupon", "bank_transfer", "gift_card"]
+HELPERS["paid_q"] = "SELECT order_id, map_from_entries(list((payment_method, cents))) AS by_method, " \
+    "CAST(sum(cents) AS BIGINT) AS cents FROM (SELECT order_id, payment_method, CAST(sum(amount) AS BIGINT) " \
+    "AS cents FROM stg_payments GROUP BY ALL) GROUP BY order_id"
+HELPERS["order_facts_q"] = """
+    SELECT customer_id, order_id, order_date, status, by_method, cents
+    FROM stg_orders FULL JOIN paid_q USING (order_id)"""
 HELPERS["customers_q"] = """
-    SELECT c.customer_id, c.first_name, c.last_name, co.first_order, co.most_recent_order,
-           co.number_of_orders, cp.total_amount AS customer_lifetime_value
-    FROM stg_customers c
-    LEFT JOIN customer_orders_q co ON c.customer_id = co.customer_id
-    LEFT JOIN customer_payments_q cp ON c.customer_id = cp.customer_id"""
-
-_q("customer_orders", "SELECT * FROM customer_orders_q", **HELPERS)
-_q("customer_payments", "SELECT * FROM customer_payments_q", **HELPERS)
+    SELECT customer_id, any_value(c.first_name) AS first_name, any_value(c.last_name) AS last_name,
+           min(f.order_date) AS first_order, max(f.order_date) AS most_recent_order,
+           nullif(count(f.order_date), 0) AS number_of_orders,
+           CAST(sum(f.cents) AS BIGINT) / 100.0::DOUBLE AS customer_lifetime_value
+    FROM stg_customers c LEFT JOIN order_facts_q f USING (customer_id) GROUP BY customer_id"""
+
+_q("customer_orders", """
+    SELECT customer_id, list_min(days) AS first_order, list_max(days) AS most_recent_order,
+           CAST(len(days) AS BIGINT) AS number_of_orders
+    FROM (SELECT customer_id, list(order_date) AS days FROM stg_orders GROUP BY customer_id)""")
+_q("customer_payments", """
+    SELECT customer_id, CAST(sum(cents) AS BIGINT) / 100.0::DOUBLE AS total_amount
+    FROM order_facts_q WHERE cents IS NOT NULL GROUP BY customer_id""", **HELPERS)
 _q("customers", "SELECT * FROM customers_q", **HELPERS)
 
-_methods = ["credit_card", "coupon", "bank_transfer", "gift_card"]
-HELPERS["order_sums_q"] = "SELECT order_id, " + ", ".join(
-    f"CAST(sum(CASE WHEN payment_method = '{m}' THEN amount ELSE 0 END) AS BIGINT) / 100.0::DOUBLE "
-    f"AS {m}_amount" for m in _methods) + \
-    ", CAST(sum(amount) AS BIGINT) / 100.0::DOUBLE AS amount FROM stg_payments GROUP BY order_id"
-_q("order_payments", """
-    SELECT o.order_id, o.customer_id, o.order_date, o.status, s.credit_card_amount, s.coupon_amount,
-           s.bank_transfer_amount, s.gift_card_amount, s.amount
-    FROM stg_orders o LEFT JOIN order_sums_q s ON o.order_id = s.order_id""", **HELPERS)
-_q("order_payments_pivot", "SELECT p.*, o.customer_id, o.order_date, o.status FROM (SELECT order_id, " + ", ".join(
-    f"CAST(sum(CASE WHEN payment_method = '{m}' THEN amount END) AS DOUBLE) AS {m}_amount" for m in _methods) +
-    ", CAST(sum(amount) AS BIGINT) AS total_amount FROM stg_payments GROUP BY order_id) p "
-    "JOIN stg_orders o ON p.order_id = o.order_id")
-
-# -- MRR, in the SQL form: calendar theta join, range left join ---------------
-MRR_START, MRR_AS_OF_MONTH = "1995-01-01", "2002-01-01"
-HELPERS["months_q"] = f"""
-    SELECT CAST(m AS DATE) AS date_month
-    FROM generate_series(TIMESTAMP '{MRR_START}', TIMESTAMP '{MRR_AS_OF_MONTH}', INTERVAL 1 MONTH) t(m)"""
-HELPERS["customers_list_q"] = """
-    SELECT customer_id, CAST(date_trunc('month', min(start_date)) AS DATE) AS date_month_start,
-           CAST(date_trunc('month', max(end_date)) AS DATE) AS date_month_end
+_q("order_payments", "SELECT order_id, customer_id, order_date, status, " + ", ".join(
+    f"CASE WHEN cents IS NOT NULL THEN coalesce(by_method['{m}'], 0) / 100.0::DOUBLE END AS {m}_amount"
+    for m in _methods) + ", cents / 100.0::DOUBLE AS amount FROM order_facts_q WHERE status IS NOT NULL", **HELPERS)
+_q("order_payments_pivot", "SELECT order_id, customer_id, order_date, status, " + ", ".join(
+    f"CAST(by_method['{m}'] AS DOUBLE) AS {m}_amount" for m in _methods) +
+    ", cents AS total_amount FROM order_facts_q WHERE status IS NOT NULL AND cents IS NOT NULL", **HELPERS)
+
+# -- MRR, from its definitions -------------------------------------------------
+# A customer's months are unnested from its own span; a period pays for the
+# month starts it holds; the previous month is looked up by date.  Periods of
+# a customer never overlap (see stg_subscription_periods), so a customer has
+# one value per month.
+
+HELPERS["span_q"] = """
+    SELECT customer_id, date_trunc('month', min(start_date))::DATE AS date_month_start,
+           date_trunc('month', max(end_date))::DATE AS date_month_end
     FROM stg_subscription_periods GROUP BY customer_id"""
-HELPERS["customer_months_q"] = """
-    SELECT c.customer_id, m.date_month FROM customers_list_q c
-    JOIN months_q m ON m.date_month >= c.date_month_start AND m.date_month < c.date_month_end"""
-HELPERS["joined_q"] = """
-    SELECT cm.date_month, cm.customer_id, coalesce(sp.monthly_amount, 0.0::DOUBLE) AS mrr
-    FROM customer_months_q cm LEFT JOIN stg_subscription_periods sp
-      ON cm.customer_id = sp.customer_id AND cm.date_month >= sp.start_date
-     AND (cm.date_month < sp.end_date OR sp.end_date IS NULL)"""
-HELPERS["revenue_by_month_q"] = """
-    SELECT date_month, customer_id, mrr, mrr > 0 AS is_active,
-           min(CASE WHEN mrr > 0 THEN date_month END) OVER (PARTITION BY customer_id) AS first_active_month,
-           max(CASE WHEN mrr > 0 THEN date_month END) OVER (PARTITION BY customer_id) AS last_active_month,
-           CASE WHEN min(CASE WHEN mrr > 0 THEN date_month END) OVER (PARTITION BY customer_id) = date_month
-                THEN true ELSE false END AS is_first_month,
-           CASE WHEN max(CASE WHEN mrr > 0 THEN date_month END) OVER (PARTITION BY customer_id) = date_month
-                THEN true ELSE false END AS is_last_month
-    FROM joined_q"""
-HELPERS["unioned_q"] = """
-    SELECT *, 0 AS churn_row FROM revenue_by_month_q
-    UNION ALL
-    SELECT CAST(date_month + INTERVAL 1 MONTH AS DATE), customer_id, 0.0::DOUBLE, false,
-           first_active_month, last_active_month, false, false, 1
-    FROM revenue_by_month_q WHERE is_last_month"""
-HELPERS["with_changes_q"] = """
-    SELECT *,
-      coalesce(lag(is_active) OVER w, false) AS previous_month_is_active,
-      coalesce(lag(mrr) OVER w, 0.0::DOUBLE) AS previous_month_mrr,
-      mrr - coalesce(lag(mrr) OVER w, 0.0::DOUBLE) AS mrr_change
-    FROM unioned_q
-    WINDOW w AS (PARTITION BY customer_id ORDER BY date_month, churn_row)"""
+HELPERS["span_months_q"] = """
+    SELECT customer_id, (date_month_start + to_months(CAST(i AS INTEGER)))::DATE AS date_month
+    FROM (SELECT *, unnest(range(date_diff('month', date_month_start, date_month_end))) AS i FROM span_q)"""
+HELPERS["paid_months_q"] = """
+    SELECT p.customer_id, p.monthly_amount,
+           unnest(generate_series(date_trunc('month', p.start_date + INTERVAL 1 MONTH - INTERVAL 1 DAY)::TIMESTAMP,
+                                  coalesce(p.end_date, s.date_month_end) - INTERVAL 1 DAY,
+                                  INTERVAL 1 MONTH))::DATE AS date_month
+    FROM stg_subscription_periods p JOIN span_q s USING (customer_id)"""
+HELPERS["month_value_q"] = """
+    SELECT customer_id, date_month, coalesce(monthly_amount, 0.0::DOUBLE) AS mrr
+    FROM span_months_q LEFT JOIN paid_months_q USING (customer_id, date_month)"""
+HELPERS["active_q"] = """
+    SELECT customer_id, list_min(m) AS first_active_month, list_max(m) AS last_active_month
+    FROM (SELECT customer_id, list(date_month) FILTER (mrr > 0) AS m FROM month_value_q GROUP BY customer_id)"""
 
 _q("calendar_months", """
     SELECT CAST(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH))
                 AS DATE) AS date_month
     FROM (SELECT min(start_date) AS lo, max(greatest(start_date, coalesce(end_date, start_date))) AS hi
           FROM stg_subscription_periods)""")
-_q("customer_span", "SELECT * FROM customers_list_q", **HELPERS)
-_q("customer_months", "SELECT * FROM customer_months_q", **HELPERS)
-_q("mrr_monthly", "SELECT * FROM revenue_by_month_q", **HELPERS)
+_q("calendar_from_to", """
+    SELECT (lo + to_months(CAST(unnest(range(date_diff('month', lo, hi) + 1)) AS INTEGER)))::DATE AS date_month
+    FROM (SELECT date_trunc('month', min(o_orderdate))::DATE AS lo, date_trunc('month', max(o_orderdate))::DATE AS hi
+          FROM orders)""")
+_q("customer_span", "SELECT * FROM span_q", **HELPERS)
+_q("customer_months", "SELECT * FROM span_months_q", **HELPERS)
+_q("mrr_monthly", """
+    SELECT v.date_month, customer_id, v.mrr, v.mrr > 0 AS is_active, a.first_active_month, a.last_active_month,
+           a.first_active_month IS NOT DISTINCT FROM v.date_month AS is_first_month,
+           a.last_active_month IS NOT DISTINCT FROM v.date_month AS is_last_month
+    FROM month_value_q v JOIN active_q a USING (customer_id)""", **HELPERS)
+# a customer's month against the month before; the row that closes its activity
+# (worth 0 in the month after the last active one) follows that month's own
+# value where there is one, else the last active month's
+HELPERS["movement_q"] = """
+    SELECT v.customer_id, v.date_month, v.mrr, coalesce(b.mrr, 0.0::DOUBLE) AS before,
+           v.date_month IS NOT DISTINCT FROM a.first_active_month AS opens,
+           v.date_month IS NOT DISTINCT FROM a.last_active_month AS closes, a.first_active_month, a.last_active_month
+    FROM month_value_q v JOIN active_q a USING (customer_id)
+    LEFT JOIN month_value_q b ON b.customer_id = v.customer_id AND b.date_month = v.date_month - INTERVAL 1 MONTH
+    UNION ALL BY NAME
+    SELECT a.customer_id, (a.last_active_month + INTERVAL 1 MONTH)::DATE AS date_month, 0.0::DOUBLE AS mrr,
+           coalesce(same.mrr, latest.mrr) AS before, false AS opens, false AS closes,
+           a.first_active_month, a.last_active_month
+    FROM active_q a
+    JOIN month_value_q latest ON latest.customer_id = a.customer_id AND latest.date_month = a.last_active_month
+    LEFT JOIN month_value_q same
+      ON same.customer_id = a.customer_id AND same.date_month = a.last_active_month + INTERVAL 1 MONTH"""
 HELPERS["mrr_q"] = """
-    SELECT md5(CAST(customer_id AS VARCHAR)) AS id, date_month, customer_id, mrr, is_active,
-           first_active_month, last_active_month, is_first_month, is_last_month,
-           previous_month_is_active, previous_month_mrr, mrr_change,
-           CASE WHEN is_first_month THEN 'new'
-                WHEN NOT is_active AND previous_month_is_active THEN 'churn'
-                WHEN is_active AND NOT previous_month_is_active THEN 'reactivation'
-                WHEN mrr_change > 0 THEN 'upgrade'
-                WHEN mrr_change < 0 THEN 'downgrade' END AS change_category,
-           least(mrr, previous_month_mrr) AS renewal_amount
-    FROM with_changes_q"""
+    SELECT md5(customer_id::VARCHAR) AS id, date_month, customer_id, mrr, mrr > 0 AS is_active,
+           first_active_month, last_active_month, opens AS is_first_month, closes AS is_last_month,
+           before > 0 AS previous_month_is_active, before AS previous_month_mrr, mrr - before AS mrr_change,
+           -- by what the customer pays now (0: nothing) and paid before
+           CASE sign(mrr)::INT * 2 + sign(before)::INT
+                WHEN 1 THEN 'churn'
+                WHEN 2 THEN if(opens, 'new', 'reactivation')
+                WHEN 3 THEN if(opens, 'new', ['downgrade', NULL, 'upgrade'][sign(mrr - before)::INT + 2])
+           END AS change_category,
+           list_min([mrr, before]) AS renewal_amount
+    FROM movement_q"""
 _q("mrr", "SELECT * FROM mrr_q", **HELPERS)
 
-# -- Attribution, in the SQL form ----------------------------------------------
+# -- Attribution: a conversion's path as one ordered list ------------------------
 
-def _touches_sql(days: int) -> str:
+def _paths_sql(days: int) -> str:
+    """One row per conversion: its sessions of the last ``days`` days, oldest first."""
     return f"""
-    SELECT *,
-      CASE WHEN session_index = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS first_touch_points,
-      CASE WHEN session_index = total_sessions THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS last_touch_points,
-      CASE WHEN total_sessions = 1 THEN 1.0::DOUBLE
-           WHEN total_sessions = 2 THEN 0.5::DOUBLE
-           WHEN session_index = 1 THEN 0.4::DOUBLE
-           WHEN session_index = total_sessions THEN 0.4::DOUBLE
-           ELSE 0.2::DOUBLE / (total_sessions - 2) END AS forty_twenty_forty_points,
-      1.0::DOUBLE / total_sessions AS linear_points,
-      revenue * (CASE WHEN session_index = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS first_touch_revenue,
-      revenue * (CASE WHEN session_index = total_sessions THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
-          AS last_touch_revenue,
-      revenue * (CASE WHEN total_sessions = 1 THEN 1.0::DOUBLE
-           WHEN total_sessions = 2 THEN 0.5::DOUBLE
-           WHEN session_index = 1 THEN 0.4::DOUBLE
-           WHEN session_index = total_sessions THEN 0.4::DOUBLE
-           ELSE 0.2::DOUBLE / (total_sessions - 2) END) AS forty_twenty_forty_revenue,
-      revenue * (1.0::DOUBLE / total_sessions) AS linear_revenue
-    FROM (
-      SELECT s.session_id, s.customer_id, s.started_at, s.utm_medium, s.utm_source,
-             c.converted_at, c.revenue,
-             count(*) OVER (PARTITION BY s.customer_id) AS total_sessions,
-             row_number() OVER (PARTITION BY s.customer_id
-                                ORDER BY s.started_at, s.session_id, c.converted_at) AS session_index
-      FROM stg_sessions s LEFT JOIN stg_conversions c ON s.customer_id = c.customer_id
-      WHERE s.started_at <= c.converted_at
-        AND s.started_at >= c.converted_at - INTERVAL {days} DAY)"""
-
-
-HELPERS["touches_q"] = _touches_sql(30)
-_q("attribution_touches", "SELECT * FROM touches_q", **HELPERS)
-_q("attribution_touches_1d", _touches_sql(1))
-_q("distinct_mediums", "SELECT DISTINCT coalesce(utm_medium, 'NONE') AS utm_medium FROM touches_q", **HELPERS)
+    SELECT c.customer_id, c.converted_at, c.revenue,
+           list({{'id': s.session_id, 'at': s.started_at, 'medium': s.utm_medium, 'source': s.utm_source}}
+                ORDER BY s.started_at, s.session_id) AS path
+    FROM stg_conversions c JOIN stg_sessions s
+      ON s.customer_id = c.customer_id
+     AND s.started_at BETWEEN c.converted_at - to_days({days}) AND c.converted_at
+    GROUP BY ALL"""
+
+
+# the share of each step of a path of n steps: ends 40 %, the steps between share 20 %
+HELPERS["touches_q"] = """
+    SELECT t.id AS session_id, customer_id, t.at AS started_at, t.medium AS utm_medium, t.source AS utm_source,
+           converted_at, revenue, n AS total_sessions, i AS session_index,
+           (i = 1)::INT::DOUBLE AS first_touch_points, (i = n)::INT::DOUBLE AS last_touch_points,
+           w AS forty_twenty_forty_points, 1.0::DOUBLE / n AS linear_points,
+           if(i = 1, revenue, 0.0::DOUBLE) AS first_touch_revenue,
+           if(i = n, revenue, 0.0::DOUBLE) AS last_touch_revenue,
+           revenue * w AS forty_twenty_forty_revenue, revenue * (1.0::DOUBLE / n) AS linear_revenue
+    FROM (SELECT *, if(n <= 2, 1.0::DOUBLE / n, if(i IN (1, n), 0.4::DOUBLE, 0.2::DOUBLE / (n - 2))) AS w
+          FROM (SELECT customer_id, converted_at, revenue, unnest(path) AS t,
+                       CAST(generate_subscripts(path, 1) AS BIGINT) AS i, CAST(len(path) AS BIGINT) AS n
+                FROM paths_q))"""
+_month = HELPERS | {"paths_q": _paths_sql(30)}
+_q("attribution_touches", "SELECT * FROM touches_q", **_month)
+_q("attribution_touches_1d", "SELECT * FROM touches_q", **HELPERS | {"paths_q": _paths_sql(1)})
+_q("distinct_mediums", "SELECT DISTINCT coalesce(utm_medium, 'NONE') AS utm_medium FROM touches_q", **_month)
 _q("pres_ad_spend", """
     SELECT utm_medium AS medium, CAST(sum(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE) AS revenue FROM touches_q
-    WHERE utm_medium IS NOT NULL AND revenue IS NOT NULL GROUP BY utm_medium""", **HELPERS)
-_q("revenue_by_medium", """
-    SELECT * FROM (
-      PIVOT (SELECT utm_source AS source, coalesce(utm_medium, 'NONE') AS utm_medium, revenue FROM touches_q)
-      ON utm_medium USING CAST(sum(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE) GROUP BY source)""", **HELPERS)
+    WHERE utm_medium IS NOT NULL AND revenue IS NOT NULL GROUP BY utm_medium""", **_month)
+# The mediums of the events (a view can't hold a pivot over found values).
+_mediums = ["NONE", "click", "purchase", "signup", "view"]
+_q("revenue_by_medium", "SELECT utm_source AS source, " + ", ".join(
+    f"CAST(sum(CAST(revenue AS DECIMAL(38,6))) FILTER (coalesce(utm_medium, 'NONE') = '{m}') AS DOUBLE) AS \"{m}\""
+    for m in _mediums) + " FROM touches_q GROUP BY utm_source", **_month)
 
 # -- Text cleaning, ids, import -------------------------------------------------
 
@@ -472,6 +479,7 @@ DATE_COLUMNS = {
     "order_payments": ["order_date"],
     "order_payments_pivot": ["order_date"],
     "calendar_months": ["date_month"],
+    "calendar_from_to": ["date_month"],
     "customer_span": ["date_month_start", "date_month_end"],
     "customer_months": ["date_month"],
     "mrr_monthly": ["date_month", "first_active_month", "last_active_month"],

@@ -58,49 +58,3 @@ def group_index(df: DataFrame, keys: list[str], order: list[Column],
     return (ranged.join(offsets, [*keys, "_slice"], "inner")
                   .withColumn(index_col, index.cast("long"))
                   .drop("_slice", "_pos", "_first", "_offset"))
-
-
-# Largest group one task is allowed to order on its own (rows).
-MAX_GROUP_ROWS = 1_000_000
-
-
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows in the biggest group: one partial+final aggregation, one number back."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
-def group_number(df: DataFrame, keys: list[str], order: list[Column], index_col: str,
-                 count_col: str | None = None, largest: int | None = None,
-                 max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """``row_number`` (and group ``count``) within ``keys``, by measured group size.
-
-    ``largest`` is the size of the biggest group or an upper bound on it
-    (measured on ``df`` when not given).  Up to ``max_group_rows`` a plain
-    window is exact and cheapest (one shuffle); beyond it ``group_index``
-    spreads a hot key over range slices.
-    """
-    if largest is None:
-        largest = largest_group(df, keys)
-    if largest > max_group_rows:
-        return group_index(df, keys, order, index_col, count_col)
-    w = Window.partitionBy(*keys)
-    out = df.withColumn(index_col, F.row_number().over(w.orderBy(*order)).cast("long"))
-    if count_col:
-        out = out.withColumn(count_col, F.count(F.lit(1)).over(w))
-    return out
-
-
-def group_lead(df: DataFrame, keys: list[str], order: list[Column], col: str, out: str,
-               max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """``lead(col)`` within ``keys`` by ``order``, never giving one task an unbounded group.
-
-    The largest group is measured first.  Up to ``max_group_rows`` a plain
-    window is cheapest.  Beyond it, rows are indexed with ``group_index`` and
-    joined to their successors on (keys, index + 1): every join key is then
-    unique, so no key is hot however many rows share ``keys``.
-    """
-    if largest_group(df, keys) <= max_group_rows:
-        return df.withColumn(out, F.lead(col).over(Window.partitionBy(*keys).orderBy(*order)))
-    indexed = group_index(df, keys, order, "_i")
-    successor = indexed.select(*keys, (F.col("_i") - 1).alias("_i"), F.col(col).alias(out))
-    return indexed.join(successor, [*keys, "_i"], "left").drop("_i")

@@ -80,10 +80,10 @@ def q_order_payments_pivot(spark, d):
 
 # -- Q3-Q7: monthly recurring revenue -----------------------------------------
 
-# Calendar of the fixture's subscriptions: the reference runs from 2018-01 to
-# today; the order dates of the driver's data lie in 1995-2001.
-MRR_START = "1995-01-01"
-MRR_AS_OF = "2002-01-31"
+def _periods(spark, d):
+    """The subscription periods and the calendar bounds that cover them."""
+    periods = fx.stg_subscription_periods(spark, d)
+    return periods, *revenue.calendar_bounds(periods)
 
 
 @query("calendar_months")
@@ -91,6 +91,14 @@ def q_calendar_months(spark, d):
     return revenue.calendar_spanning(fx.stg_subscription_periods(spark, d))
 
 
+@query("calendar_from_to")
+def q_calendar_from_to(spark, d):
+    """The calendar from given parameters: the months from the first to the last order."""
+    days = fx.stg_orders(spark, d)
+    return revenue.calendar(spark, days.select(F.min("order_date")).scalar(),
+                            days.select(F.max("order_date")).scalar())
+
+
 @query("customer_span")
 def q_customer_span(spark, d):
     return revenue.customer_span(fx.stg_subscription_periods(spark, d))
@@ -98,17 +106,17 @@ def q_customer_span(spark, d):
 
 @query("customer_months")
 def q_customer_months(spark, d):
-    return revenue.customer_months(fx.stg_subscription_periods(spark, d), MRR_START, MRR_AS_OF)
+    return revenue.customer_months(*_periods(spark, d))
 
 
 @query("mrr_monthly")
 def q_mrr_monthly(spark, d):
-    return revenue.mrr_monthly(fx.stg_subscription_periods(spark, d), MRR_START, MRR_AS_OF)
+    return revenue.mrr_monthly(*_periods(spark, d))
 
 
 @query("mrr")
 def q_mrr(spark, d):
-    return revenue.mrr(fx.stg_subscription_periods(spark, d), MRR_START, MRR_AS_OF)
+    return revenue.mrr(*_periods(spark, d))
 
 
 # -- Q8, Q10, Q13: attribution -------------------------------------------------
@@ -118,6 +126,10 @@ def _touches(spark, d, lookback_days=attribution.LOOKBACK_DAYS):
                                            lookback_days)
 
 
+def _window_sessions(spark, d):
+    return attribution.window_sessions(fx.stg_sessions(spark, d), fx.stg_conversions(spark, d))
+
+
 @query("attribution_touches")
 def q_attribution_touches(spark, d):
     return _touches(spark, d)
@@ -130,17 +142,17 @@ def q_attribution_touches_1d(spark, d):
 
 @query("distinct_mediums")
 def q_distinct_mediums(spark, d):
-    return attribution.distinct_mediums(_touches(spark, d))
+    return attribution.distinct_mediums(_window_sessions(spark, d))
 
 
 @query("pres_ad_spend")
 def q_pres_ad_spend(spark, d):
-    return attribution.ad_spend(_touches(spark, d))
+    return attribution.ad_spend(_window_sessions(spark, d))
 
 
 @query("revenue_by_medium")
 def q_revenue_by_medium(spark, d):
-    return attribution.revenue_by_medium(_touches(spark, d))
+    return attribution.revenue_by_medium(_window_sessions(spark, d))
 
 
 # -- V1-V3, F22, S14: text cleaning, ids, import -----------------------------
