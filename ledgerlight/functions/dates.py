@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 
-def month_start(c: Column | str) -> Column:
-    """First day of the month, as DATE (``date_trunc`` would give a TIMESTAMP)."""
-    return F.trunc(F.to_date(c), "MM")
-
-
 def add_days(ts: Column | str, days: int) -> Column:
     """Shift a timestamp by whole days keeping the time of day.
 

@@ -61,13 +61,13 @@ class Registry:
         """Latest value of each metric of a model version."""
         m = (self.spark.read.schema(METRIC_SCHEMA).parquet(f"{self.root}/metrics")
              .where((F.col("name") == name) & (F.col("version") == version)))
-        latest = Window.partitionBy("metric").orderBy(F.col("logged").desc())
+        latest = Window.partitionBy("metric").orderBy(F.col("logged").desc(), F.col("value").desc())
         return (m.withColumn("_r", F.row_number().over(latest)).where("_r = 1")
                  .select("name", "version", "metric", "value"))
 
     def path_of(self, name: str, version: str) -> str:
         rows = (self.entries().where((F.col("name") == name) & (F.col("version") == version))
-                .select("path").limit(1).collect())
+                .orderBy(F.col("created").desc(), F.col("path").desc()).select("path").limit(1).collect())
         if not rows:
             raise KeyError(f"{name} {version}")
         return rows[0][0]

@@ -43,35 +43,3 @@ def score(model: GBTClassificationModel, data: DataFrame, key: str) -> DataFrame
     """Probability of the positive class per object."""
     return model.transform(data).select(
         key, vector_to_array("probability")[1].alias("sentiment"))
-
-
-def score_with_model(data: DataFrame, model, key: str, vector_col: str,
-                     out_col: str = "sentiment") -> DataFrame:
-    """Probability of class 1 from any fitted object with ``predict_proba``.
-
-    The model is shipped once per executor (a broadcast) and applied to whole
-    Arrow batches of stacked vectors, the vectorised form of scoring a local
-    model; rows never pass through Python one at a time.
-    """
-    from pyspark import cloudpickle
-    from pyspark.sql import types as T
-
-    # cloudpickle keeps classes defined in a notebook or script (by value),
-    # so the model needs no package installed on the executors
-    bmodel = data.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
-    schema = T.StructType([data.schema[key], T.StructField(out_col, T.DoubleType())])
-
-    def apply(batches):
-        import pickle
-
-        import numpy as np
-        import pandas as pd
-
-        m = pickle.loads(bmodel.value)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf[vector_col].to_numpy()).astype(np.float64)
-            yield pd.DataFrame({key: pdf[key].to_numpy(), out_col: m.predict_proba(x)[:, 1]})
-
-    return data.select(key, vector_col).mapInPandas(apply, schema)

@@ -58,5 +58,4 @@ def import_new_only(existing: DataFrame, incoming: DataFrame, key: str = "uuid")
     partial+final aggregation: copies collapse map-side before the shuffle,
     so a value copied millions of times costs one row per task.
     """
-    known = existing.select(key).distinct()
-    return incoming.dropDuplicates([key]).join(known, key, "left_anti")
+    return incoming.dropDuplicates([key]).join(existing.select(key), key, "left_anti")

@@ -4,28 +4,29 @@ The reference keeps objects (properties + vector + id) in a vector store and
 asks it for the nearest objects to a text.  Here a collection is a table
 ``(uuid, properties struct, vector array<float>)`` and search is a Spark job:
 
-* dense top-k (``top_k_similar``): the query set is small and its size is
-  checked; every task scores its slice of the collection against all
-  queries with one matrix product and keeps its own top-k per query, so the
-  shuffle carries ``k x queries`` rows per task, never the pairs;
+* dense top-k (``top_k_similar``): queries go in tiles of a fixed size; every
+  task scores its slice of the collection against a tile with matrix products
+  and keeps its own top-k per query, so the shuffle carries ``k x queries``
+  rows per task, never the pairs;
 * text retrieval (``text_vectors`` / ``search_text``): TF-IDF weights in long
-  form ``(doc, term, weight)``, scored by joining query terms to document
-  terms on the term (an inverted index as a join) and summing per pair.
+  form ``(doc, term, weight)``.  Texts are dealt by document before they are
+  split into terms, so term counts and scores of a document stay in its task.
+  Joins on a term are salted by document: a word that most documents hold is
+  spread over ``SALTS`` tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlight.functions.hashing import row_uuid
 from ledgerlight.functions.text import tokens
-from ledgerlight.plans.broadcast import checked_collect, checked_rows
-from ledgerlight.plans.lineage import cut_lineage
-from ledgerlight.plans.parallelism import spread
+from ledgerlight.plans.lineage import cut_lineage, materialize
 
 # Search depth of near-text (3) and question (1) search.
 NEAR_TEXT_K = 3
@@ -33,6 +34,11 @@ QUESTION_K = 1
 
 SCORE_DIGITS = 6
 
+#: Queries shipped to the tasks at a time, and corpus rows scored at a time.
+QUERY_TILE, ROW_TILE = 4096, 1024
+#: Parts that a term's rows are spread over in joins on the term.
+SALTS = 16
+
 
 # -- collections --------------------------------------------------------------
 
@@ -70,35 +76,53 @@ def centroids(df: DataFrame, group_col: str, vector_col: str) -> DataFrame:
                           F.transform("pm", lambda s: s["m"]).alias("vector"))
 
 
-def _unit_rows(mat: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(mat, axis=1, keepdims=True)
-    norms[norms == 0] = np.nan
-    return mat / norms
+def _query_tiles(queries: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, unit vectors) of up to ``QUERY_TILE`` queries at a time; null and zero vectors left out."""
+    def unit(tile):
+        mat = np.array([v for _, v in tile], dtype=np.float64)
+        return np.array([q for q, _ in tile], dtype=np.int64), mat / np.linalg.norm(mat, axis=1, keepdims=True)
+
+    tile = []
+    for q, v in queries.select("query_id", "vector").where("vector IS NOT NULL").toLocalIterator():
+        if any(v):
+            tile.append((q, list(v)))
+        if len(tile) == QUERY_TILE:
+            yield unit(tile)
+            tile = []
+    if tile:
+        yield unit(tile)
 
 
 def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
-                  vector_col: str = "vector", max_queries: int = 20_000) -> DataFrame:
+                  vector_col: str = "vector") -> DataFrame:
     """The ``k`` corpus rows most cosine-similar to each query.
 
-    ``queries``: (query_id integral, vector array).  Ties on the rounded score go
-    to the smaller id.  A null or zero vector has no direction: it is similar
-    to nothing, as a query and as a corpus row.  Output: query_id, rank,
+    ``queries``: (query_id integral, vector array), any number: each tile of
+    them is one pass over the corpus.  Ties on the rounded score go to the
+    smaller id.  A null or zero vector has no direction: it is similar to
+    nothing, as a query and as a corpus row.  Output: query_id, rank,
     <id_col>, similarity.
     """
-    rows = checked_collect(queries.select("query_id", "vector").where("vector IS NOT NULL"), max_queries)
-    rows = [r for r in rows if any(r[1])]
-    qids = np.array([r[0] for r in rows], dtype=np.int64)
-    qmat = _unit_rows(np.array([list(r[1]) for r in rows], dtype=np.float64)) if rows else \
-        np.zeros((0, 0))
     spark = corpus.sparkSession
-    bq = spark.sparkContext.broadcast((qids, qmat))
-    id_type = corpus.schema[id_col].dataType
-    qid_type = queries.schema["query_id"].dataType
-    out_schema = T.StructType([T.StructField("query_id", qid_type),
-                               T.StructField(id_col, id_type),
-                               T.StructField("similarity", T.DoubleType())])
+    schema = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType),
+                           T.StructField(id_col, corpus.schema[id_col].dataType),
+                           T.StructField("similarity", T.DoubleType())])
+    rows = corpus.select(id_col, vector_col).where(F.col(vector_col).isNotNull())
+    partial = None
+    for tile in _query_tiles(queries):
+        best = rows.mapInPandas(_scorer(spark.sparkContext.broadcast(tile), k, id_col, vector_col), schema)
+        partial = best if partial is None else partial.unionByName(best)
+    if partial is None:
+        partial = spark.createDataFrame([], schema)
+    rank = F.row_number().over(Window.partitionBy("query_id")
+                               .orderBy(F.col("similarity").desc(), F.col(id_col)))
+    return (partial.withColumn("rank", rank).where(F.col("rank") <= k)
+                   .select("query_id", F.col("rank").cast("long").alias("rank"), id_col, "similarity"))
 
-    digits = SCORE_DIGITS
+
+def _scorer(tile, k: int, id_col: str, vector_col: str):
+    """A task's top ``k`` rows per query of the tile, folded over its batches."""
+    digits, step = SCORE_DIGITS, ROW_TILE
 
     # Runs on the Python workers: self-contained (numpy, pandas and captured
     # values only), so it pickles by value and needs no package on executors.
@@ -106,41 +130,39 @@ def top_k_similar(queries: DataFrame, corpus: DataFrame, k: int, id_col: str,
         import numpy as np
         import pandas as pd
 
-        q_ids, q = bq.value
+        query_ids, queries = tile.value
+        floor = np.full(len(query_ids), -np.inf)          # a query's k-th best so far
+        kept_j, kept_id, kept_s = np.zeros(0, np.int64), np.zeros(0, object), np.zeros(0)
         for pdf in batches:
-            if pdf.empty or len(q_ids) == 0:
-                continue
-            ids = pdf[id_col].to_numpy()
-            x = np.stack(pdf[vector_col].to_numpy()).astype(np.float64)
-            norms = np.linalg.norm(x, axis=1, keepdims=True)
-            ids, x, norms = ids[norms[:, 0] > 0], x[norms[:, 0] > 0], norms[norms[:, 0] > 0]
-            if not len(ids):
-                continue
-            sims = np.round((x / norms) @ q.T, digits)       # (rows, queries)
-            keep_j, keep_i = [], []
-            take = min(k, len(ids))
-            for j in range(len(q_ids)):
-                s = sims[:, j]
-                kth = np.partition(s, len(s) - take)[len(s) - take]
-                cand = np.nonzero(s >= kth)[0]
-                best = cand[np.lexsort((ids[cand], -s[cand]))][:take]
-                keep_j.append(np.full(len(best), j))
-                keep_i.append(best)
-            cj, ri = np.concatenate(keep_j), np.concatenate(keep_i)
-            yield pd.DataFrame({"query_id": q_ids[cj], id_col: ids[ri], "similarity": sims[ri, cj]})
-
-    partial = corpus.select(id_col, vector_col).where(F.col(vector_col).isNotNull()).mapInPandas(score, out_schema)
-    rank = F.row_number().over(Window.partitionBy("query_id")
-                               .orderBy(F.col("similarity").desc(), F.col(id_col)))
-    return (partial.withColumn("rank", rank).where(F.col("rank") <= k)
-                   .select("query_id", F.col("rank").cast("long").alias("rank"), id_col, "similarity"))
+            for at in range(0, len(pdf), step):
+                part = pdf.iloc[at:at + step]
+                ids, x = part[id_col].to_numpy(), np.stack(part[vector_col].to_numpy()).astype(np.float64)
+                norms = np.linalg.norm(x, axis=1)
+                ids, x = ids[norms > 0], x[norms > 0] / norms[norms > 0, None]
+                if not len(ids):
+                    continue
+                sims = np.round(queries @ x.T, digits)    # (queries, rows)
+                if len(ids) > k:
+                    floor = np.maximum(floor, np.partition(sims, len(ids) - k, axis=1)[:, len(ids) - k])
+                j, i = np.nonzero(sims >= floor[:, None])
+                j, found, s = (np.concatenate(c) for c in ((kept_j, j), (kept_id, ids[i]), (kept_s, sims[j, i])))
+                order = np.lexsort((found, -s, j))
+                j, found, s = j[order], found[order], s[order]
+                place = np.arange(len(j)) - np.searchsorted(j, j)
+                kept_j, kept_id, kept_s = j[place < k], found[place < k], s[place < k]
+                last = np.flatnonzero(place == k - 1)
+                floor[j[last]] = s[last]
+        if len(kept_j):
+            yield pd.DataFrame({"query_id": query_ids[kept_j], id_col: kept_id, "similarity": kept_s})
+
+    return score
 
 
 # -- text retrieval ----------------------------------------------------------------
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term, tf) over the whole text."""
-    return (spread(docs.select(id_col, text_col))
+    """(id, term, tf) over the whole text, a document's rows in one partition."""
+    return (docs.select(id_col, text_col).repartition(id_col)
             .select(id_col, F.explode(tokens(F.col(text_col))).alias("term"))
             .groupBy(id_col, "term").agg(F.count("*").alias("tf")))
 
@@ -154,6 +176,17 @@ def _idf(df_col: Column, n_docs: Column) -> Column:
     return F.ln((n_docs + F.lit(1.0)) / (df_col + F.lit(1.0)))
 
 
+def _join_term(tf: DataFrame, per_term: DataFrame, id_col: str, how: str = "inner") -> DataFrame:
+    """``tf`` joined to a table by term, a term's rows spread over ``SALTS`` parts by their document.
+
+    ``per_term`` is a written table: Spark knows its size, broadcasts it where it is
+    small and else shuffles both sides by (term, part).
+    """
+    parts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
+    return (tf.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
+            .join(per_term.withColumn("_part", parts), ["term", "_part"], how).drop("_part"))
+
+
 def _normalise(weights: DataFrame, id_col: str) -> DataFrame:
     # a document's rows are its distinct terms: the window group is bounded
     # by the vocabulary of one text, not by the data size
@@ -161,46 +194,42 @@ def _normalise(weights: DataFrame, id_col: str) -> DataFrame:
     return weights.withColumn("weight", F.col("w") / norm).drop("w")
 
 
+def _fitted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, Column]:
+    """Term counts (checkpointed), document frequencies (written) and the number of documents."""
+    tf = cut_lineage(term_counts(docs, id_col, text_col))   # tokenised once, read by every use
+    return tf, materialize(document_frequency(tf), "df"), docs.select(F.count("*").cast("double")).scalar()
+
+
 def text_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """Unit-length TF-IDF vectors in long form plus the fitted (term, df) table and N."""
-    tf = cut_lineage(term_counts(docs, id_col, text_col))   # tokenised once, read by both uses
-    dfs = document_frequency(tf)
-    n_docs = docs.select(F.count("*").cast("double")).scalar()
-    w = tf.join(dfs, "term").select(id_col, "term", (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
+    tf, dfs, n_docs = _fitted(docs, id_col, text_col)
+    w = _join_term(tf, dfs, id_col).select(id_col, "term", (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
     return _normalise(w, id_col), dfs, n_docs
 
 
 def search_text(queries: DataFrame, docs: DataFrame, k: int = 1,
-                query_id: str = "item_id", doc_id: str = "doc_id", text_col: str = "text",
-                max_query_terms: int = 2_000_000) -> DataFrame:
+                query_id: str = "item_id", doc_id: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Top-``k`` documents per query text by TF-IDF cosine (V6 retrieval, V7).
 
     cosine(q, d) = sum_t qw_t * tf_dt * idf_t / |d|, with ``qw`` the unit
-    query weights.  Query terms are few (checked) and broadcast with their
-    idf, so scoring joins them to the document term counts without a
-    shuffle of the documents and pre-aggregates the per-(query, doc) sums.
-    Document norms are one partial aggregation over the (term-joined)
-    counts; no per-document window over all terms is needed.  Ties go to
-    the smaller document id.
+    query weights, written as a table of (query, term, weight).  Where that
+    table is small enough for Spark to broadcast it, a document's scores are
+    summed where its counts lie; a window group limit then leaves ``k`` rows
+    per query and task to shuffle.  Ties go to the smaller document id.
     """
-    # the corpus is tokenised once: three branches read the counts
-    tf = cut_lineage(term_counts(docs, doc_id, text_col))
-    dfs = document_frequency(tf)
-    n_docs = docs.select(F.count("*").cast("double")).scalar()
-    norms = (tf.join(dfs, "term")
-               .select(doc_id, (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
-               .groupBy(doc_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")))
-    # bound proven on the query side alone; the join to the corpus document
-    # frequencies keeps at most one row per query term
-    q_tf = term_counts(queries.select(query_id, text_col), query_id, text_col)
-    checked_rows(q_tf, max_query_terms)
-    q_terms = (_normalise(q_tf.join(dfs, "term", "left").select(
-                   query_id, "term", "df",
-                   (F.col("tf") * _idf(F.coalesce(F.col("df"), F.lit(0)), n_docs)).alias("w")), query_id)
+    tf, dfs, n_docs = _fitted(docs, doc_id, text_col)
+    idf = _idf(F.col("df"), n_docs)
+    norms = (_join_term(tf, dfs, doc_id).groupBy(doc_id)
+             .agg(F.sqrt(F.sum((F.col("tf") * idf) ** 2)).alias("norm")))
+    q_tf = term_counts(queries, query_id, text_col)
+    absent = _idf(F.coalesce(F.col("df"), F.lit(0)), n_docs)
+    q_terms = (_normalise(_join_term(q_tf, dfs, query_id, "left")
+                          .select(query_id, "term", "df", (F.col("tf") * absent).alias("w")), query_id)
                .where(F.col("df").isNotNull())
-               .select(query_id, "term", (F.col("weight") * _idf(F.col("df"), n_docs)).alias("qwi")))
-    dots = (tf.join(F.broadcast(q_terms), "term")
-              .groupBy(query_id, doc_id).agg(F.sum(F.col("qwi") * F.col("tf")).alias("dot")))
+               .select(query_id, "term", (F.col("weight") * idf).alias("qwi")))
+    # dealt by document (a written table has lost that) so that the sums need no shuffle of pairs
+    dots = (_join_term(tf.repartition(doc_id), materialize(q_terms, "query-terms"), doc_id)
+            .groupBy(doc_id, query_id).agg(F.sum(F.col("qwi") * F.col("tf")).alias("dot")))
     scores = dots.join(norms, doc_id).select(
         query_id, doc_id, F.round(F.col("dot") / F.col("norm"), SCORE_DIGITS).alias("score"))
     rank = F.row_number().over(Window.partitionBy(query_id)

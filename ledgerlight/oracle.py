@@ -423,8 +423,15 @@ _q("split_hash", """
 
 _q("src_csv_roundtrip", "SELECT * FROM stg_customers")
 _q("src_csv_multi", "SELECT * FROM stg_taxi")
-_q("src_file_listing", """
-    SELECT relative_path, customer_id, strlen(transcript) + 1 AS size FROM stg_calls""")
+HELPERS["folders_q"] = """
+    SELECT CAST(CAST(customer_id AS BIGINT) % 16 AS VARCHAR) AS folder,
+           CAST(sum(strlen(transcript) + 1) AS BIGINT) AS size
+    FROM stg_calls GROUP BY ALL"""
+_q("src_file_listing", "SELECT * FROM folders_q", **HELPERS)
+_q("src_file_lookup", "SELECT * FROM folders_q WHERE folder = '1'", **HELPERS)
+_q("sink_new_table", """
+    SELECT utm_medium AS medium, CAST(sum(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE) AS revenue FROM touches_q
+    WHERE utm_medium IS NOT NULL AND revenue IS NOT NULL GROUP BY utm_medium""", **_month)
 _q("sink_overwrite", "SELECT * FROM customers_q", **HELPERS)
 _q("catalog_ddl", "SELECT * FROM stg_customers")
 _q("catalog_cleanup", "SELECT * FROM customers_q", **HELPERS)

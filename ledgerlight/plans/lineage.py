@@ -1,9 +1,9 @@
 """Shared-folder locations for lineage cuts and written intermediates.
 
 On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared file
-system every executor can reach).  Only when it is unset -- local tests -- a
-scratch folder is created and registered.  A machine-local folder is never
-chosen when the cluster names one.
+system every executor can reach).  Only a local session without one gets a
+scratch folder; on a cluster a missing setting is an error, as executors do
+not share machine-local folders.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
-    # Unset everywhere: only happens in local runs and tests.
+    if not sc.master.startswith("local"):
+        raise ValueError(f"{_CONF} must name a folder that all executors share")
     current = tempfile.mkdtemp(prefix="ledgerlight-ckpt-")
     sc.setCheckpointDir(current)
     try:

@@ -1,7 +1,9 @@
 """Registered queries: one per operator of the inventory.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame built from
-the driver's tables through the adapters.  Keys with a DuckDB statement in
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame built from the
+driver's tables through the adapters.  Drill-down ranks, the pivot, searches,
+models and the file and catalog keys write intermediates when called; the
+others are lazy.  Keys with a DuckDB statement in
 ``ledgerlight.oracle`` are checked value for value; the rest (model fitting,
 file and catalog round trips) are checked by rows.
 """
@@ -9,6 +11,7 @@ file and catalog round trips) are checked by rows.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -375,30 +378,56 @@ def q_src_csv_multi(spark, d):
     trips = fx.stg_taxi(spark, d)
     root = files.write_csv(trips.withColumn("pickup_day", F.to_date("pickup_datetime")),
                            scratch_path(spark, "csv-trips"), partition_by=["pickup_day"])
-    return files.read_csv(spark, files.csv_files(spark, root), trips.schema)
+    return files.read_csv(spark, root, trips.schema)
+
+
+#: Folders that the call files are dealt to, by customer.
+CALL_FOLDERS = 16
+
+
+def _call_files(spark, d):
+    folder = (F.col("customer_id").cast("long") % CALL_FOLDERS).alias("customer_group")
+    calls = fx.stg_calls(spark, d).select(folder, "transcript")
+    return files.list_files(spark, files.write_text_files(calls, scratch_path(spark, "call-files"),
+                                                          "customer_group", "transcript"))
+
+
+def _folder_sizes(listing):
+    return listing.groupBy("folder").agg(F.sum("size").alias("size"))
 
 
 @query("src_file_listing")
 def q_src_file_listing(spark, d):
-    """Call files listed by metadata only; customer id read from the file name."""
-    root = files.write_text_files(fx.stg_calls(spark, d), scratch_path(spark, "call-files"),
-                                  "relative_path", "transcript")
-    return files.list_files(spark, root).select("relative_path", "customer_id", "size")
+    """Call files listed by metadata only: folder read from the path, size."""
+    return _folder_sizes(_call_files(spark, d))
+
+
+@query("src_file_lookup")
+def q_src_file_lookup(spark, d):
+    """The files of one group of customers, found by their relative path."""
+    return _folder_sizes(files.files_like(_call_files(spark, d), "customer_group=1/"))
 
 
 @query("sink_overwrite")
 def q_sink_overwrite(spark, d):
     """The customer rollup saved twice with overwrite; the table holds one copy."""
-    name = f"{catalog.work_database(spark)}.customers"
+    name = catalog.fresh_table(spark, "customers")
     result = q_customers(spark, d)
     catalog.save_table(result, name, "overwrite")
     return catalog.save_table(result, name, "overwrite")
 
 
+@query("sink_new_table")
+def q_sink_new_table(spark, d):
+    """Ad spend by medium saved with the default mode, which fails where the table exists."""
+    name = catalog.fresh_table(spark, "ad_spend")
+    return catalog.save_table(attribution.ad_spend(_window_sessions(spark, d)), name, "errorifexists")
+
+
 @query("catalog_ddl")
 def q_catalog_ddl(spark, d):
     """Database and NOT NULL table created if missing, then filled."""
-    name = f"{catalog.work_database(spark)}.dim_customers"
+    name = catalog.fresh_table(spark, "dim_customers")
     catalog.create_table_if_not_exists(
         spark, name, "customer_id BIGINT NOT NULL, first_name STRING NOT NULL, last_name STRING NOT NULL")
     return catalog.insert_overwrite(fx.stg_customers(spark, d), name)
@@ -407,25 +436,25 @@ def q_catalog_ddl(spark, d):
 @query("catalog_cleanup")
 def q_catalog_cleanup(spark, d):
     """Steps materialised under a prefix, final table written, intermediates dropped."""
-    db = catalog.work_database(spark)
+    db, prefix = catalog.work_database(spark), f"tmp_{uuid.uuid4().hex[:12]}__"
     orders, payments = fx.stg_orders(spark, d), fx.stg_payments(spark, d)
-    per_customer = catalog.materialize_step(commerce.customer_orders(orders), "tmp__", "customer_orders", db)
-    paid = catalog.materialize_step(commerce.customer_payments(payments, orders), "tmp__",
+    per_customer = catalog.materialize_step(commerce.customer_orders(orders), prefix, "customer_orders", db)
+    paid = catalog.materialize_step(commerce.customer_payments(payments, orders), prefix,
                                     "customer_payments", db)
     final = (fx.stg_customers(spark, d).join(per_customer, "customer_id", "left")
              .join(paid, "customer_id", "left")
              .withColumnRenamed("total_amount", "customer_lifetime_value"))
-    table = catalog.save_table(final, f"{db}.customers_final", "overwrite")
-    catalog.drop_tables_with_prefix(spark, db, "tmp__")
+    table = catalog.save_table(final, catalog.fresh_table(spark, "customers_final"), "overwrite")
+    catalog.drop_tables_with_prefix(spark, db, prefix)
     return table
 
 
 @query("snapshot_restore")
 def q_snapshot_restore(spark, d):
     """Collection written as a snapshot, restored over the live table, read back."""
-    snap = catalog.write_snapshot({"embedding_collection": _embedding_collection(spark, d)},
-                                  scratch_path(spark, "snapshot"))
-    table = catalog.restore_snapshot(spark, snap, ["embedding_collection"])["embedding_collection"]
+    name = catalog.fresh_table(spark, "embedding_collection").split(".")[1]
+    snap = catalog.write_snapshot({name: _embedding_collection(spark, d)}, scratch_path(spark, "snapshot"))
+    table = catalog.restore_snapshot(spark, snap, [name])[name]
     return vectors.flatten(spark.table(table))
 
 

@@ -7,6 +7,8 @@ steps (S12).  Cleanup works on catalog metadata only.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,11 @@ def work_database(spark: SparkSession) -> str:
     return db
 
 
+def fresh_table(spark: SparkSession, name: str) -> str:
+    """A name in the work database that no earlier call has used: frames already returned keep their table."""
+    return f"{work_database(spark)}.{name}_{uuid.uuid4().hex[:12]}"
+
+
 def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
     """Write ``df`` as table ``name`` (S8, S10); ``mode='errorifexists'`` is the default of S9."""
     df.write.mode(mode).saveAsTable(name)

@@ -35,26 +35,25 @@ def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType) ->
             .option("mode", "FAILFAST").option("recursiveFileLookup", "true").csv(paths))
 
 
-def csv_files(spark: SparkSession, root: str) -> list[str]:
-    """Paths of the CSV part files under ``root`` (metadata only)."""
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-               .option("recursiveFileLookup", "true").load(root).select("path"))
-    return sorted(r[0] for r in listing.collect())
-
-
-def write_text_files(df: DataFrame, root: str, name_col: str, text_col: str) -> str:
-    """One folder per ``name_col`` value holding its text (stand-in for a stage of files)."""
-    df.select(name_col, text_col).write.mode("overwrite").partitionBy(name_col).text(root)
+def write_text_files(df: DataFrame, root: str, folder_col: str, text_col: str, per_folder: int = 1) -> str:
+    """Texts as files, one folder per ``folder_col`` value (few) of ``per_folder`` files each."""
+    part = F.pmod(F.xxhash64(text_col), F.lit(per_folder))
+    (df.select(folder_col, text_col).repartition(F.col(folder_col), part)
+       .write.mode("overwrite").partitionBy(folder_col).text(root))
     return root
 
 
-def list_files(spark: SparkSession, root: str, name_col: str = "relative_path") -> DataFrame:
-    """File listing: name, size, modification time, customer id read from the name."""
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """File listing from metadata: path below the root, its folder, size, modification time."""
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt")
-               .option("basePath", root).load(root)
-               .drop("content"))
+               .option("recursiveFileLookup", "true").load(root).drop("content"))
+    relative = F.element_at(F.split("path", "/"), -2)
     return listing.select(
-        F.col(name_col).cast("string").alias(name_col),
-        F.split_part(F.col(name_col).cast("string"), F.lit("-"), F.lit(1)).alias("customer_id"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"))
+        F.concat(relative, F.lit("/"), F.element_at(F.split("path", "/"), -1)).alias("relative_path"),
+        F.substring_index(relative, "=", -1).alias("folder"),
+        F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
+def files_like(listing: DataFrame, prefix: str) -> DataFrame:
+    """Files whose relative path starts with ``prefix``, taken literally."""
+    return listing.where(F.col("relative_path").startswith(prefix))

@@ -1,22 +1,17 @@
+"""The written intermediates go to the shared folder the session names."""
+
+from types import SimpleNamespace
+
 import pytest
 
-from ledgerlight.plans.broadcast import TooLargeToBroadcast, checked_collect, checked_rows
-from ledgerlight.plans.parallelism import spread
+from ledgerlight.plans.lineage import shared_dir
 
 
-def test_bounded_collect_and_count(spark):
-    df = spark.range(10)
-    assert checked_rows(df, 10) == 10
-    assert len(checked_collect(df, 10)) == 10
-    with pytest.raises(TooLargeToBroadcast):
-        checked_rows(df, 9)
-    with pytest.raises(TooLargeToBroadcast):
-        checked_collect(df, 9)
+def test_cluster_without_shared_folder_is_an_error():
+    context = SimpleNamespace(getConf=lambda: {}, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        shared_dir(SimpleNamespace(sparkContext=context, conf={}))
 
 
-def test_spread_only_when_under_split(spark):
-    slots = spark.sparkContext.defaultParallelism
-    few = spark.range(100).coalesce(1)
-    assert spread(few).rdd.getNumPartitions() == slots
-    many = spark.range(100).repartition(slots * 2)
-    assert spread(many) is many
+def test_shared_folder_is_the_one_set(spark):
+    assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -63,18 +63,29 @@ def test_centroids(spark):
     assert got == {1: [2.0, 3.0], 2: [0.0, 1.0]}
 
 
-
-def test_score_with_local_model(spark):
-    import os
-
-    from ledgerlight.operators.sentiment import score_with_model
-    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(__file__), "local_models.py"))
-    from local_models import Logistic
-
-    rows = [(i, [float(i % 3) - 1.0, 0.5]) for i in range(50)]
-    df = spark.createDataFrame(rows, "id long, v array<double>")
-    model = Logistic([2.0, 0.0])
-    got = {r.id: r.sentiment for r in score_with_model(df, model, "id", "v").collect()}
-    want = {i: float(model.predict_proba(np.array([v]))[0, 1]) for i, v in rows}
-    assert got.keys() == want.keys()
-    assert all(abs(got[i] - want[i]) < 1e-12 for i in got)
+def test_topk_in_tiles_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "QUERY_TILE", 7)
+    monkeypatch.setattr(vectors, "ROW_TILE", 5)
+    rng = np.random.default_rng(5)
+    rows = np.repeat(rng.integers(-2, 3, size=(30, 3)), 3, axis=0).astype(float)     # copies: many ties
+    rows[[4, 17]] = 0
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)] + [(500, None)],
+                                   "id long, vector array<double>")
+    queries = corpus.withColumnRenamed("id", "query_id")
+    got = sorted((r.query_id, r.rank, r.id, r.similarity) for r in vectors.top_k_similar(queries, corpus, 4, "id").collect())
+    live = [i for i, v in enumerate(rows) if v.any()]
+    unit = {i: rows[i] / np.linalg.norm(rows[i]) for i in live}
+    want = []
+    for q in live:
+        best = sorted((-round(float(unit[q] @ unit[i]), 6), i) for i in live)[:4]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert [g[:3] for g in got] == [w[:3] for w in sorted(want)]
+    assert all(abs(g[3] - w[3]) < 1e-6 for g, w in zip(got, sorted(want), strict=True))
+
+
+def test_scores_of_a_document_are_summed_where_it_lies(spark):
+    docs = spark.createDataFrame([(i, f"the word{i % 5} and word{i % 3}") for i in range(60)], "doc_id long, text string")
+    found = vectors.search_text(docs.withColumnRenamed("doc_id", "item_id"), docs, k=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "item_id" in line and "doc_id" in line]
+    assert found.count() == 120
