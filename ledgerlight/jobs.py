@@ -13,12 +13,17 @@ be re-run on its own.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.ml.classification import GBTClassificationModel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlight.operators import attribution, commerce, presentation, registry, revenue, taxi
+from ledgerlight.operators import attribution, commerce, presentation, registry, revenue, taxi, text, vectors
+from ledgerlight.operators import sentiment as classifier
 from ledgerlight.sources import catalog
 from ledgerlight.sources import fixtures as fx
 
+SENTIMENT_MODEL = "sentiment_classifier"
+
 RESULT_TABLES = ["pres_sentiment", "pres_ad_spend", "pres_clv", "pres_churn", "pred_customer_calls",
                  "pred_twitter_comments", "attribution_touches"]
 
@@ -36,11 +41,18 @@ def customer_analytics(spark: SparkSession, sf_dir: str, start_month=None, as_of
         "customers": fx.stg_customers, "orders": fx.stg_orders, "payments": fx.stg_payments,
         "subscription_periods": fx.stg_subscription_periods, "sessions": fx.stg_sessions,
         "customer_conversions": fx.stg_conversions,
-        "scored_calls": fx.scored_calls, "scored_comments": fx.scored_comments,
     }
     staged = {name: catalog.save_table(fn(spark, sf_dir), table(staging_prefix + name))
               for name, fn in sources.items()}
 
+    # text objects scored by the classifier that is trained on labelled texts,
+    # logged and loaded by version
+    model = sentiment_model(spark, sf_dir)
+    objects = {"scored_calls": (text.clean_calls(fx.stg_calls(spark, sf_dir)), "transcript"),
+               "scored_comments": (text.clean_comments(fx.stg_comments(spark, sf_dir)), "review_text")}
+    for name, (rows, column) in objects.items():
+        staged[name] = catalog.save_table(classifier.score_objects(model, rows, column), table(staging_prefix + name))
+
     # transforms, materialised as intermediate tables
     customers = catalog.materialize_step(
         commerce.customers(staged["customers"], staged["orders"], staged["payments"]),
@@ -75,6 +87,24 @@ def customer_analytics(spark: SparkSession, sf_dir: str, start_month=None, as_of
     return written
 
 
+def sentiment_model(spark: SparkSession, sf_dir: str):
+    """Fit the classifier on the vectors of labelled texts, log it with its metrics, load it by version."""
+    model, metrics = classifier.train(training_vectors(spark, sf_dir), "uuid")
+    reg, version = registry.Registry(spark), taxi.new_version()
+    reg.log_model(model, SENTIMENT_MODEL, version)
+    for metric, value in metrics.items():
+        reg.set_metric(SENTIMENT_MODEL, version, metric, value)
+    return reg.load_model(GBTClassificationModel, SENTIMENT_MODEL, version)
+
+
+def training_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(uuid, features, label) of the labelled texts, through a collection of objects with vectors."""
+    objects = classifier.with_text_vector(text.clean_training(fx.stg_training(spark, sf_dir)), "review_text")
+    coll = vectors.flatten(vectors.collection(
+        objects, ["doc_id", "review_text", "label"], "vector", text.TRAINING_CLASS))
+    return classifier.labelled_vectors(coll, "uuid", "vector", F.col("label") == "1")
+
+
 def taxi_regression(spark: SparkSession, sf_dir: str, database: str | None = None,
                     write_mode: str = "errorifexists") -> dict:
     """Stage trips, fit and log the model, write predictions (default: fail if present, S9)."""

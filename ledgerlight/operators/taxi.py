@@ -19,6 +19,7 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import MaxAbsScaler, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -118,5 +119,26 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
     return model.transform(featurise_input(features)).select(*CATEGORIES, PREDICTION)
 
 
+def long_features(featurised: DataFrame) -> DataFrame:
+    """One row per trip and non-zero feature: (trip_id, position, value)."""
+    return (featurised.select("trip_id", F.posexplode(vector_to_array("features")).alias("position", "value"))
+            .where("value != 0"))
+
+
+def residuals(model: PipelineModel, features: DataFrame, seed: int = SPLIT_SEED) -> DataFrame:
+    """Rows and mean residual of the training rows of every category value.
+
+    Least squares with a column per category value leaves no mean residual on
+    the rows it was fitted on, whatever the data: a check of any fit.  In units
+    of the label's mean, to two digits.
+    """
+    data, _ = split(featurise_input(features), seed)
+    gap = F.col(LABEL) - F.col(PREDICTION)
+    value = F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).alias("value")) for c in CATEGORIES]))
+    sums = model.transform(data).select(value.alias("v"), gap.alias("gap"), F.abs(LABEL).alias("size"))
+    mean = F.round(F.sum("gap") / F.sum("size"), 2) + F.lit(0.0)     # no negative zero
+    return sums.groupBy("v.category", "v.value").agg(F.count("*").alias("train_rows"), mean.alias("mean_residual"))
+
+
 def new_version() -> str:
     return uuid.uuid4().urn
