@@ -63,3 +63,19 @@ def test_revenue_by_medium_names_null_medium(spark):
     assert float(piv["s1"]["NONE"]) == 10.0 and piv["s1"]["web"] is None
     spend = {r.medium: float(r.revenue) for r in attribution.ad_spend(touches).collect()}
     assert spend == {"web": 10.0}
+
+
+def test_hot_customer_is_numbered_as_by_one_window(spark):
+    rnd = random.Random(11)
+    conv_at = T(2024, 1, 31, 12)
+    sessions = [(i, 0 if i % 3 == 0 else rnd.randint(1, 40),
+                 conv_at - dt.timedelta(seconds=rnd.randint(-86_400, 33 * 86_400) // 600 * 600), "a", "s")
+                for i in range(3000)]                                 # a third on customer 0, many ties
+    got = sorted((r.customer_id, r.session_index, r.session_id, r.total_sessions)
+                 for r in _run(spark, sessions, [(c, conv_at, 1.0) for c in range(41)]))
+    want = []
+    for c in range(41):
+        inside = sorted((at, i) for i, k, at, *_ in sessions
+                        if k == c and conv_at - dt.timedelta(days=30) <= at <= conv_at)
+        want += [(c, n + 1, i, len(inside)) for n, (_, i) in enumerate(inside)]
+    assert got == sorted(want)
