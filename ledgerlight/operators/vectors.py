@@ -11,8 +11,9 @@ asks it for the nearest objects to a text.  Here a collection is a table
 * text retrieval (``text_vectors`` / ``search_text``): TF-IDF weights in long
   form ``(doc, term, weight)``.  Texts are dealt by document before they are
   split into terms, so term counts and scores of a document stay in its task.
-  Joins on a term are salted by document: a word that most documents hold is
-  spread over ``SALTS`` tasks.
+  What a term is joined to is a written table, so Spark broadcasts it where it
+  is small, and else AQE can split the rows of a word that most documents hold
+  (it can't where an aggregation lies between a join and its shuffle).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 from ledgerlight.functions.hashing import row_uuid
 from ledgerlight.functions.text import tokens
-from ledgerlight.plans.lineage import cut_lineage, materialize
+from ledgerlight.plans.lineage import materialize
 
 # Search depth of near-text (3) and question (1) search.
 NEAR_TEXT_K = 3
@@ -36,8 +37,6 @@ SCORE_DIGITS = 6
 
 #: Queries shipped to the tasks at a time, and corpus rows scored at a time.
 QUERY_TILE, ROW_TILE = 4096, 1024
-#: Parts that a term's rows are spread over in joins on the term.
-SALTS = 16
 
 
 # -- collections --------------------------------------------------------------
@@ -176,17 +175,6 @@ def _idf(df_col: Column, n_docs: Column) -> Column:
     return F.ln((n_docs + F.lit(1.0)) / (df_col + F.lit(1.0)))
 
 
-def _join_term(tf: DataFrame, per_term: DataFrame, id_col: str, how: str = "inner") -> DataFrame:
-    """``tf`` joined to a table by term, a term's rows spread over ``SALTS`` parts by their document.
-
-    ``per_term`` is a written table: Spark knows its size, broadcasts it where it is
-    small and else shuffles both sides by (term, part).
-    """
-    parts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    return (tf.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
-            .join(per_term.withColumn("_part", parts), ["term", "_part"], how).drop("_part"))
-
-
 def _normalise(weights: DataFrame, id_col: str) -> DataFrame:
     # a document's rows are its distinct terms: the window group is bounded
     # by the vocabulary of one text, not by the data size
@@ -195,15 +183,15 @@ def _normalise(weights: DataFrame, id_col: str) -> DataFrame:
 
 
 def _fitted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, Column]:
-    """Term counts (checkpointed), document frequencies (written) and the number of documents."""
-    tf = cut_lineage(term_counts(docs, id_col, text_col))   # tokenised once, read by every use
+    """Term counts (written), document frequencies (written) and the number of documents."""
+    tf = materialize(term_counts(docs, id_col, text_col), "tf")   # tokenised once, read by every use
     return tf, materialize(document_frequency(tf), "df"), docs.select(F.count("*").cast("double")).scalar()
 
 
 def text_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """Unit-length TF-IDF vectors in long form plus the fitted (term, df) table and N."""
     tf, dfs, n_docs = _fitted(docs, id_col, text_col)
-    w = _join_term(tf, dfs, id_col).select(id_col, "term", (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
+    w = tf.join(dfs, "term").select(id_col, "term", (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
     return _normalise(w, id_col), dfs, n_docs
 
 
@@ -211,27 +199,21 @@ def search_text(queries: DataFrame, docs: DataFrame, k: int = 1,
                 query_id: str = "item_id", doc_id: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Top-``k`` documents per query text by TF-IDF cosine (V6 retrieval, V7).
 
-    cosine(q, d) = sum_t qw_t * tf_dt * idf_t / |d|, with ``qw`` the unit
-    query weights, written as a table of (query, term, weight).  Where that
-    table is small enough for Spark to broadcast it, a document's scores are
-    summed where its counts lie; a window group limit then leaves ``k`` rows
-    per query and task to shuffle.  Ties go to the smaller document id.
+    cosine(q, d) = sum_t qw_t * dw_t over the unit vectors of ``text_vectors``,
+    the query's written as a table of (query, term, weight).  Where that table
+    is small enough for Spark to broadcast it, a document's scores are summed
+    where its vector lies; a window group limit then leaves ``k`` rows per
+    query and task to shuffle.  Ties go to the smaller document id.
     """
-    tf, dfs, n_docs = _fitted(docs, doc_id, text_col)
-    idf = _idf(F.col("df"), n_docs)
-    norms = (_join_term(tf, dfs, doc_id).groupBy(doc_id)
-             .agg(F.sqrt(F.sum((F.col("tf") * idf) ** 2)).alias("norm")))
-    q_tf = term_counts(queries, query_id, text_col)
+    vectors, dfs, n_docs = text_vectors(docs, doc_id, text_col)
     absent = _idf(F.coalesce(F.col("df"), F.lit(0)), n_docs)
-    q_terms = (_normalise(_join_term(q_tf, dfs, query_id, "left")
+    q_terms = (_normalise(term_counts(queries, query_id, text_col).join(dfs, "term", "left")
                           .select(query_id, "term", "df", (F.col("tf") * absent).alias("w")), query_id)
                .where(F.col("df").isNotNull())
-               .select(query_id, "term", (F.col("weight") * idf).alias("qwi")))
-    # dealt by document (a written table has lost that) so that the sums need no shuffle of pairs
-    dots = (_join_term(tf.repartition(doc_id), materialize(q_terms, "query-terms"), doc_id)
-            .groupBy(doc_id, query_id).agg(F.sum(F.col("qwi") * F.col("tf")).alias("dot")))
-    scores = dots.join(norms, doc_id).select(
-        query_id, doc_id, F.round(F.col("dot") / F.col("norm"), SCORE_DIGITS).alias("score"))
+               .select(query_id, "term", F.col("weight").alias("qw")))
+    scores = (vectors.join(materialize(q_terms, "query-terms"), "term")
+              .groupBy(doc_id, query_id)
+              .agg(F.round(F.sum(F.col("qw") * F.col("weight")), SCORE_DIGITS).alias("score")))
     rank = F.row_number().over(Window.partitionBy(query_id)
                                .orderBy(F.col("score").desc(), F.col(doc_id)))
     return (scores.withColumn("rank", rank).where(F.col("rank") <= k)

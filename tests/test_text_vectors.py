@@ -89,3 +89,24 @@ def test_scores_of_a_document_are_summed_where_it_lies(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "item_id" in line and "doc_id" in line]
     assert found.count() == 120
+
+
+def test_rows_of_a_hot_word_are_split(spark):
+    docs = spark.createDataFrame([(i, f"the word{i}") for i in range(4000)], "doc_id long, text string")
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+           "spark.sql.adaptive.coalescePartitions.enabled": "false",
+           "spark.sql.files.openCostInBytes": str(128 << 20)}     # a task per file: several writers to split between
+    before = {key: spark.conf.get(key, None) for key in low}
+    try:
+        for key, value in low.items():
+            spark.conf.set(key, value)
+        weights, _, _ = vectors.text_vectors(docs)
+        assert weights.count() == 8000
+        weights.collect()
+        assert "SortMergeJoin(skew=true)" in weights._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
