@@ -60,9 +60,10 @@ def calendar_spanning(periods: DataFrame) -> DataFrame:
 
 
 def calendar_bounds(periods: DataFrame) -> tuple[Column, Column]:
-    """First and last day of the calendar that covers the periods, as scalar subqueries."""
+    """First and last day of the calendar that covers the periods, read by one scalar subquery."""
     last = F.greatest(F.col("start_date"), F.coalesce(F.col("end_date"), F.col("start_date")))
-    return periods.select(F.min("start_date")).scalar(), periods.select(F.max(last)).scalar()
+    bounds = periods.select(F.struct(F.min("start_date").alias("lo"), F.max(last).alias("hi"))).scalar()
+    return bounds["lo"], bounds["hi"]
 
 
 def customer_span(periods: DataFrame) -> DataFrame:
@@ -116,14 +117,14 @@ def mrr_monthly(periods: DataFrame, start_month, as_of) -> DataFrame:
     """Revenue per customer month with activity flags (Q5)."""
     # paid month ranges per customer: at most one per first month
     paid = (period_months(periods, start_month, as_of, bounds_only=True).where("monthly_amount > 0")
-            .groupBy("customer_id", "lo").agg(F.max("hi").alias("hi"))
-            .groupBy("customer_id").agg(F.collect_list(F.struct("lo", "hi")).alias("paid")))
-    reached = F.filter("paid", lambda r: r["lo"] <= F.col("hi"))
-    months = _clipped_span(periods, start_month, as_of).join(paid, "customer_id", "left").select(
-        "customer_id",
-        F.array_min(F.transform(reached, lambda r: r["lo"])).alias("first_active_month"),
-        F.array_max(F.transform(reached, lambda r: F.least(r["hi"], F.col("hi")))).alias("last_active_month"),
-        F.explode(F.sequence("lo", "hi", _month_step())).alias("date_month"))
+            .groupBy("customer_id", F.col("lo").alias("paid_lo")).agg(F.max("hi").alias("paid_hi")))
+    reached = F.col("paid_lo") <= F.col("hi")
+    months = (_clipped_span(periods, start_month, as_of).join(paid, "customer_id", "left")
+              .groupBy("customer_id", "lo", "hi")
+              .agg(F.min(F.when(reached, F.col("paid_lo"))).alias("first_active_month"),
+                   F.max(F.when(reached, F.least("paid_hi", "hi"))).alias("last_active_month"))
+              .select("customer_id", "first_active_month", "last_active_month",
+                      F.explode(F.sequence("lo", "hi", _month_step())).alias("date_month")))
     covered = period_months(periods, start_month, as_of)
     mrr_ = F.coalesce(F.col("monthly_amount"), F.lit(0.0))
     return months.join(covered, ["customer_id", "date_month"], "left").select(
