@@ -9,9 +9,13 @@ table.  P(word) = P(class | state) * P(word | class, state), where the last
 factor is a softmax for a frequency class and the smoothed share of the counts
 for the last two classes, so the model is a proper distribution over all words.
 
-The network is trained by truncated backpropagation (Adam) on a bounded hash
-sample of the training documents, from a start at which it equals the smoothed
-unigram model.  Scoring runs the documents of a batch in lockstep, in windows
+The network starts as the smoothed unigram model and is trained by truncated
+backpropagation (Adam) on every training text, inside the tasks.  The texts are
+dealt over ``ROUNDS`` by hash; in each round a task trains on its partition's
+texts from the weights of the round before, and the tasks' weights, a written
+table, are averaged by their tokens.  Only the averages, of fixed size, come to
+the driver.  Which texts share a task follows the partitions of the input, and
+so do the weights.  Scoring runs the documents of a batch in lockstep, in windows
 of ``STEPS`` tokens; the state is carried from window to window, so that whole
 texts of any length are scored in bounded memory.
 
@@ -34,9 +38,12 @@ from ledgerlight.plans.lineage import materialize
 TOP, CLASSES, PER_CLASS, HIDDEN = 65_536, 24, 24, 16
 MID, RARE = CLASSES, CLASSES + 1               # numbers of the last two classes
 VOCABULARY = CLASSES * PER_CLASS               # ids 0 (the end) to VOCABULARY - 1, then MID, then RARE
-#: Training documents and tokens that the network's weights are fitted on, at most (about).
-FIT_DOCUMENTS, FIT_TOKENS = 3_000, 1_500_000
-STREAMS, STEPS, RATE = 64, 24, 0.008
+#: Rounds that the training texts are dealt over, and tokens that a task trains on at a time (its memory, not a bound).
+ROUNDS, SLAB = 5, 1_000_000
+#: Sub-streams of a slab, fewer where it would give fewer than UPDATES updates.
+STREAMS, LEAST_STREAMS, UPDATES, STEPS, RATE = 64, 8, 600, 24, 0.008
+#: Weights are averaged as whole multiples of 1 / UNIT, so that no order of the tasks shows.
+UNIT = 1 << 20
 LOCKSTEP = 1024
 END = np.uint64(0x2545F4914F6CDD1D)
 
@@ -67,6 +74,9 @@ class Counts:
     rare: tuple[float, int]
     by_id: np.ndarray = field(default_factory=lambda: np.zeros(VOCABULARY))
 
+    def parts(self) -> list:
+        return [self.tokens, self.ids, self.count, self.total, self.distinct, self.mid, self.rare, self.by_id]
+
 
 def _token_counts(batches):
     for batch in batches:
@@ -173,49 +183,62 @@ def _outputs(net: Net, h: np.ndarray, target: np.ndarray, grads: list | None = N
     return out, dh
 
 
-def fit(net: Net, stream: np.ndarray, epochs: int = 2) -> Net:
-    """Truncated backpropagation over a stream of ids (each text ends with 0), in parallel sub-streams."""
-    length = (len(stream) - 1) // STREAMS
-    if length < 2:
-        return net
-    lanes = np.stack([stream[k * length:(k + 1) * length + 1] for k in range(STREAMS)])
-    m, v = [np.zeros_like(p) for p in net.parts()], [np.zeros_like(p) for p in net.parts()]
-    total, t = epochs * -(-length // STEPS), 0
-    for _ in range(epochs):
-        h = np.zeros((STREAMS, HIDDEN), np.float32)
-        for a in range(0, length, STEPS):
-            ids, target = lanes[:, a:min(a + STEPS, length)], lanes[:, a + 1:min(a + STEPS, length) + 1]
-            kept, states = [], []
-            for k in range(ids.shape[1]):
-                h = h * (ids[:, k] != 0)[:, None].astype(np.float32)
-                new, z, r, n, hn = _step(net, ids[:, k], h)
-                kept.append((h, z, r, n, hn))
-                states.append(new)
-                h = new
-            grads = [np.zeros_like(p) for p in net.parts()]
-            _, dout = _outputs(net, np.concatenate(states), target.T.reshape(-1), grads)
-            dout = dout.reshape(len(states), STREAMS, HIDDEN)
-            dh = np.zeros((STREAMS, HIDDEN), np.float32)
-            for k in range(len(states) - 1, -1, -1):
-                before, z, r, n, hn = kept[k]
-                dh = dh + dout[k]
-                dn = dh * (1 - z) * (1 - n * n)
-                dz, dr = dh * (before - n) * z * (1 - z), dn * hn * r * (1 - r)
-                np.add.at(grads[0], ids[:, k], np.concatenate([dz, dr, dn], axis=1))
-                dhu = np.concatenate([dz, dr, dn * r], axis=1)
-                grads[1] += before.T @ dhu
-                dh = (dh * z + dhu @ net.u.T) * (ids[:, k] != 0)[:, None]
-            t += 1
-            scale = 1.0 / target.size
-            norm = scale * np.sqrt(sum(float((g * g).sum()) for g in grads))
-            scale *= min(1.0, 1.0 / max(norm, 1e-9))
-            rate = RATE * max(0.05, 1 - t / total)
-            for p, g, mi, vi in zip(net.parts(), grads, m, v, strict=True):
-                g *= scale
-                mi += 0.1 * (g - mi)
-                vi += 0.001 * (g * g - vi)
-                p -= (rate * (mi / (1 - 0.9**t)) / (np.sqrt(vi / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
-    return net
+@dataclass
+class Moments:
+    """Adam's running means, and the updates so far."""
+
+    m: list[np.ndarray]
+    v: list[np.ndarray]
+    t: int = 0
+
+
+def fit(net: Net, stream: np.ndarray, moments: Moments, rate: float) -> None:
+    """Truncated backpropagation once over a stream of ids (each text ends with 0), in parallel
+    sub-streams that share its tokens; what is left over by the division forms a last, shorter run."""
+    streams = int(np.clip((len(stream) - 1) // (UPDATES * STEPS), LEAST_STREAMS, STREAMS))
+    while len(stream) > 1:
+        length = (len(stream) - 1) // streams
+        if length == 0:
+            streams = len(stream) - 1
+            continue
+        _fit_lanes(net, np.stack([stream[k * length:(k + 1) * length + 1] for k in range(streams)]), moments, rate)
+        stream, streams = stream[streams * length:], 1
+
+
+def _fit_lanes(net: Net, lanes: np.ndarray, moments: Moments, rate: float) -> None:
+    streams, length = len(lanes), lanes.shape[1] - 1
+    h = np.zeros((streams, HIDDEN), np.float32)
+    for a in range(0, length, STEPS):
+        ids, target = lanes[:, a:min(a + STEPS, length)], lanes[:, a + 1:min(a + STEPS, length) + 1]
+        kept, states = [], []
+        for k in range(ids.shape[1]):
+            h = h * (ids[:, k] != 0)[:, None].astype(np.float32)
+            new, z, r, n, hn = _step(net, ids[:, k], h)
+            kept.append((h, z, r, n, hn))
+            states.append(new)
+            h = new
+        grads = [np.zeros_like(p) for p in net.parts()]
+        _, dout = _outputs(net, np.concatenate(states), target.T.reshape(-1), grads)
+        dout = dout.reshape(len(states), streams, HIDDEN)
+        dh = np.zeros((streams, HIDDEN), np.float32)
+        for k in range(len(states) - 1, -1, -1):
+            before, z, r, n, hn = kept[k]
+            dh = dh + dout[k]
+            dn = dh * (1 - z) * (1 - n * n)
+            dz, dr = dh * (before - n) * z * (1 - z), dn * hn * r * (1 - r)
+            np.add.at(grads[0], ids[:, k], np.concatenate([dz, dr, dn], axis=1))
+            dhu = np.concatenate([dz, dr, dn * r], axis=1)
+            grads[1] += before.T @ dhu
+            dh = (dh * z + dhu @ net.u.T) * (ids[:, k] != 0)[:, None]
+        moments.t += 1
+        scale = 1.0 / target.size
+        norm = scale * np.sqrt(sum(float((g * g).sum()) for g in grads))
+        scale *= min(1.0, 1.0 / max(norm, 1e-9))
+        for p, g, mi, vi in zip(net.parts(), grads, moments.m, moments.v, strict=True):
+            g *= scale
+            mi += 0.1 * (g - mi)
+            vi += 0.001 * (g * g - vi)
+            p -= (rate * (mi / (1 - 0.9**moments.t)) / (np.sqrt(vi / (1 - 0.999**moments.t)) + 1e-8)).astype(np.float32)
 
 
 def likelihood(net: Net, ids: np.ndarray, bound: np.ndarray) -> np.ndarray:
@@ -259,29 +282,56 @@ def _encoded(column, counts: Counts):
         yield w.first, all_ids, bound, all_c, w.row[~top], w.hash[~top].view(np.int64)
 
 
-def _fit_ids(counts: Counts):
-    def ids(column: pa.Array) -> pa.Array:
-        parts, offsets = [np.zeros(0, np.int64)], [0]
-        for _, i, bound, _, _, _ in _encoded(column, counts):
-            parts.append(i)
-            offsets.extend((offsets[-1] + bound[1:]).tolist())
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts).astype(np.int32)))
+def _task_weights(shipped, rate: float):
+    """mapInArrow function: trains on the texts of a partition, then gives its weights and tokens."""
+
+    def run(batches):
+        parts, c = shipped.value
+        counts, net = Counts(*c), Net(*[p.copy() for p in parts])
+        moments = Moments([np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts])
+        slab, held, tokens = [], 0, 0
 
-    return F.arrow_udf(ids, "array<int>")
+        def flush():
+            fit(net, np.concatenate([[0], *slab]), moments, rate)
+            slab.clear()
+
+        for batch in batches:
+            for _, ids, bound, _, _, _ in _encoded(batch.column(0), counts):
+                slab.append(ids)
+                held, tokens = held + int(bound[-1]), tokens + int(bound[-1])
+                if held >= SLAB:
+                    flush()
+                    held = 0
+        if held:
+            flush()
+        if tokens:
+            flat = np.concatenate([p.reshape(-1) for p in net.parts()])
+            lists = pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), lists], ["tokens", "weights"])
+
+    return run
 
 
 def train(documents: DataFrame, in_training: Column, counts: Counts) -> Net:
-    """Fit the network on a bounded hash sample of the training documents."""
-    rows = documents.select("doc_id", "text").where(in_training)
-    n = rows.count()
-    share = min(1.0, FIT_DOCUMENTS / max(n, 1), FIT_TOKENS / max(counts.total, 1))
-    order = F.xxhash64("doc_id", F.lit("fit"))
-    if share < 1:
-        rows = rows.where(F.pmod(order, F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = rows.select(order.alias("o"), _fit_ids(counts)("text").alias("ids")).toPandas()
-    sample = sample.assign(n=sample["ids"].map(len)).sort_values(["o", "n"], kind="stable")
-    stream = np.concatenate([[0], *sample["ids"]]).astype(np.int64)
-    return fit(first_net(counts), stream)
+    """Fit the network on all training texts, in tasks: each text in one of the rounds."""
+    spark = documents.sparkSession
+    net = first_net(counts)
+    order = F.pmod(F.xxhash64("doc_id", "text", F.lit("round")), F.lit(ROUNDS))
+    rows = documents.where(in_training).select("text", order.alias("round"))
+    for k in range(ROUNDS):
+        shipped = spark.sparkContext.broadcast((net.parts(), counts.parts()))
+        own = rows.where(F.col("round") == k).select("text")
+        sets = materialize(own.mapInArrow(_task_weights(shipped, RATE * (1 - k / ROUNDS)), "tokens long, weights array<float>"), "weights")
+        share = F.sum(F.round(F.col("w").cast("double") * UNIT).cast("bigint") * F.col("tokens")) / (F.sum("tokens") * F.lit(float(UNIT)))
+        mean = sets.select("tokens", F.posexplode("weights").alias("at", "w")).groupBy("at").agg(share.alias("w")).toPandas()
+        shipped.unpersist()
+        if len(mean):
+            flat, first, parts = mean.sort_values("at")["w"].to_numpy(np.float32), 0, []
+            for p in net.parts():
+                parts.append(flat[first:first + p.size].reshape(p.shape))
+                first += p.size
+            net = Net(*parts)
+    return net
 
 
 def scored(documents: DataFrame, held_out: Column) -> DataFrame:
@@ -290,8 +340,7 @@ def scored(documents: DataFrame, held_out: Column) -> DataFrame:
     table = count_tokens(documents, ~held_out)
     counts = summary(table)
     net = train(documents, ~held_out, counts)
-    shipped = spark.sparkContext.broadcast((net.parts(), [counts.tokens, counts.ids, counts.count, counts.total, counts.distinct,
-                                                          counts.mid, counts.rare, counts.by_id]))
+    shipped = spark.sparkContext.broadcast((net.parts(), counts.parts()))
 
     def score(column: pa.Array) -> pa.Array:
         parts, c = shipped.value

@@ -265,6 +265,18 @@ def test_language_model_base_and_counts(docs):
     assert sum(r.score for r in out) > sum(r.base_score for r in out) * 1.02
 
 
+def test_every_training_text_moves_the_weights(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(rng.choices("abcdefghij", k=12))) for k in range(6000)]
+    weights = []
+    for changed in (None, 5, 2999, 4700):                # the same words in another order: counts stay
+        own = [(k, " ".join(sorted(t.split())) if k == changed else t) for k, t in rows]
+        docs = spark.createDataFrame(own, "doc_id long, text string").coalesce(2)
+        counts = language_model.summary(language_model.count_tokens(docs, F.lit(True)))
+        weights.append(np.concatenate([p.ravel() for p in language_model.train(docs, F.lit(True), counts).parts()]))
+    assert all((weights[0] != w).any() for w in weights[1:])
+
+
 def test_segments_match_brute_force():
     rng = random.Random(4)
     for _ in range(300):
