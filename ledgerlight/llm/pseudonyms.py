@@ -29,11 +29,29 @@ KEY = "pseudonym-trial-key"
 
 _EDGE, _END = r"(?<![0-9A-Za-z.+-])", r"(?![0-9A-Za-z]|[.-][0-9])"
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}"
-IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
+#: IBAN lengths by country (the registry's, then those in use beside it): a known length ends a match
+#: before a next word of upper-case letters or digits, which the check digits would else take in.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST AO CV GW MZ",
+    26: "IS TR DZ IR", 27: "BI DJ FR GR IT MC MR SM CF CG CM GA GQ KM MG TD", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV BF BJ CI MA ML NE SN TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_NO_MORE = "(?![0-9A-Za-z])"
+_KNOWN_IBAN = "(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(
+    f"(?:{'|'.join(names.split())})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, names in IBAN_LENGTHS.items()) + ")" + _NO_MORE
+#: Of another country: as long as it goes, but not into a next IBAN of known length.
+_OTHER_IBAN = f"[A-Z]{{2}}[0-9]{{2}}(?:(?: (?!{_KNOWN_IBAN}))?[A-Z0-9]{{4}}){{2,7}}(?:(?: (?!{_KNOWN_IBAN}))?[A-Z0-9]{{1,3}})?" + _NO_MORE
+IBAN = f"(?<![0-9A-Za-z])(?:{_KNOWN_IBAN}|{_OTHER_IBAN})"
 DATE = _EDGE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})" + _END
 SSN = _EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _END
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"
-PLAIN_PHONE = r"\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4}(?![0-9])|" + _EDGE + r"[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}" + _END
+#: After a plus, up to 15 digits: without separators, or with a long last part; then in parts of two to four digits.
+PLAIN_PHONE = (r"\+(?:[0-9]{7,15}|(?!(?:[0-9][ .-]?){16})[0-9]{1,3}(?:[ .-][0-9]{2,4}){0,3}[ .-][0-9]{5,12}|[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,4})(?![0-9])|"
+               + _EDGE + r"[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}" + _END)
+#: Calling codes; no code begins another.
+COUNTRY = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 #: Values start where a word starts (but for a phone number's bracket), which keeps the search linear.
@@ -170,7 +188,7 @@ def _email(v: Column, key: str, back: bool) -> Column:
 
 
 def _phone(v: Column, key: str, back: bool) -> Column:
-    country = F.regexp_extract(v, r"^\+[0-9]{1,3}[ .-]?", 0)
+    country = F.regexp_extract(v, r"^\+(?:[0-9]{1,3}(?=[ .(-])|" + COUNTRY + ")[ .-]?", 0)
     own = F.substring(v, F.length(country) + 1, F.length(v))
     return F.concat(country, let(own, lambda o: _kept_form(o, key, "phone", back)))
 
