@@ -2,7 +2,9 @@
 
 ``op4``: all pairs of different texts that share a run of five words, compared
 on their whole sets, and classes by repeated steps along the links.  ``op7``:
-the rules and the beta posteriors, level by level.  The other queries return
+the rules and the beta posteriors, level by level.  ``op11``: each round of the
+clustering as a join with its few centroids.  ``op13``: CRC-32 bit by bit over
+the distinct words, gains by the counts of buckets.  The other queries return
 learned scores, keyed digests or draws; ``tests/llm`` holds them against
 brute-force versions.
 """
@@ -95,5 +97,74 @@ SELECT page_id, host, path, {case(lambda r: r[0] + r[1])} AS rule,
 FROM parsed JOIN hosts h USING (host)"""
 
 
+def _centroids() -> str:
+    from ledgerlight.llm.centroids import CLUSTERS, DIMENSIONS, LIMIT, ROUNDS, SCALE, SEED
+    steps = [f"""
+vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: floor({SCALE} * e::DOUBLE)) AS x FROM embeddings
+    WHERE len(embedding) = {DIMENSIONS}
+      AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e::DOUBLE) AND abs({SCALE} * e::DOUBLE) < {LIMIT})) = {DIMENSIONS}),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('{SEED}:' || vec_id::VARCHAR) NULLS LAST, x) - 1 AS c, x FROM vectors
+    ORDER BY c LIMIT {CLUSTERS})"""]
+    for n in range(ROUNDS + 1):
+        steps.append(f"""
+a{n} AS MATERIALIZED (
+    SELECT v.r, any_value(v.vec_id) AS vec_id, any_value(v.x) AS x, min({{'d': (list_dot_product(v.x, v.x)
+        - 2 * list_dot_product(v.x, c.x) + list_dot_product(c.x, c.x))::BIGINT, 'c': c.c}}) AS best
+    FROM vectors v, c{n} c GROUP BY v.r)""")
+        if n < ROUNDS:
+            steps.append(f"""
+c{n + 1} AS MATERIALIZED (
+    SELECT c{n}.c, coalesce(m.x, c{n}.x) AS x FROM c{n} LEFT JOIN (
+        SELECT c, list(floor(s / n) ORDER BY place) AS x FROM (
+            SELECT c, place, sum(e) AS s, count(*) AS n FROM (
+                SELECT best.c AS c, unnest(x) AS e, unnest(range({DIMENSIONS})) AS place FROM a{n}) GROUP BY c, place) GROUP BY c) m
+    ON m.c = c{n}.c)""")
+    return "WITH" + ",".join(steps) + f"""
+SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance, sum(best.d) OVER (PARTITION BY best.c)::BIGINT AS cluster_inertia,
+       sum(best.d) OVER ()::BIGINT AS inertia,
+       (SELECT sha256(array_to_string(list_transform(c.x, lambda e: e::BIGINT), ',')) FROM c{ROUNDS} c WHERE c.c = best.c) AS centroid_sha256
+FROM a{ROUNDS}"""
+
+
+def _resample() -> str:
+    from ledgerlight.llm.resampling import BUCKETS, MIN_WORDS, PERCENT, SEED
+    word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+    split = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{word}')"
+    place = "strpos('0123456789ABCDEF', substr(x, {}, 1)) - 1"
+    byte = f"(({place.format('2 * i + 1')}) * 16 + {place.format('2 * i + 2')})"
+    return f"""
+WITH
+docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {split} AS w FROM documents),
+items AS (SELECT {split} AS w FROM benchmark),
+own AS MATERIALIZED (SELECT r, unnest(w) AS word FROM docs),
+wanted AS MATERIALIZED (SELECT unnest(w) AS word FROM items),
+hexed AS (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM own UNION SELECT word FROM wanted)),
+bits AS (
+    SELECT word, flatten(list_transform(range(length(x) // 2), lambda i: list_transform(range(8), lambda k: ({byte} >> k) & 1))) AS b FROM hexed),
+hashed AS MATERIALIZED (
+    SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, e: xor(c >> 1, 3988292384 * (xor(c, e) & 1))), 4294967295) % {BUCKETS} AS bucket
+    FROM bits),
+s AS (SELECT bucket, count(*) AS n FROM own JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM wanted JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+    SELECT b.bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1) * ((SELECT count(*) FROM own) + {BUCKETS}))::DOUBLE
+        / ((coalesce(s.n, 0) + 1) * ((SELECT count(*) FROM wanted) + {BUCKETS}))::DOUBLE))::BIGINT AS gain
+    FROM (SELECT unnest(range({BUCKETS})) AS bucket) b LEFT JOIN s ON s.bucket = b.bucket LEFT JOIN t ON t.bucket = b.bucket),
+sums AS (SELECT r, sum(gain) AS total FROM own JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY r),
+weights AS (
+    SELECT docs.r, doc_id, len(w) AS n_features, CASE WHEN len(w) = 0 THEN 0
+        ELSE (total - (((total % len(w)) + len(w)) % len(w))) // len(w) END::BIGINT AS weight
+    FROM docs LEFT JOIN sums USING (r)),
+scored AS (
+    SELECT *, weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+        / 4294967296::DOUBLE)))::BIGINT AS score FROM weights),
+able AS (
+    SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= {MIN_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * {PERCENT} // 100 THEN place END AS rank
+FROM scored LEFT JOIN able USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_ngram_join": _NGRAM_JOIN, "op7_url_filter": _url_filter()}
+    return {"op4_ngram_join": _NGRAM_JOIN, "op7_url_filter": _url_filter(), "op11_centroids": _centroids(), "op13_resample": _resample()}

@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlight.llm import (decontamination, language_model, mixing, ngram_join, pseudonyms, quality_classifier, quality_rules,
-                             token_counts, toxicity, url_reputation)
+from ledgerlight.llm import (centroids, decontamination, language_model, mixing, ngram_join, packing, pseudonyms, quality_classifier,
+                             quality_rules, resampling, token_counts, toxicity, url_reputation)
 from ledgerlight.llm.common import in_fold
 
 
 #: Vocabulary of the token counts, a ranks file on the driver.
 VOCABULARY = os.environ.get("TOKENIZER_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+#: Tokenizer of the packing, a JSON file on the driver.
+TOKENIZER = os.environ.get("TOKENIZER_JSON", "/opt/tokenizers/byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,10 +72,24 @@ def op10_quality(spark, d):
                        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_centroids(spark, d):
+    return centroids.clusters(_table(spark, d, "embeddings")).drop("checked")
+
+
+def op12_best_fit(spark, d):
+    with open(TOKENIZER, encoding="utf-8") as vocabulary:
+        return packing.packed(_table(spark, d, "documents"), vocabulary.read())
+
+
+def op13_resample(spark, d):
+    return resampling.resampled(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_mix, op2_token_counts, op3_pseudonyms, op4_ngram_join, op5_quality_rules, op6_decontaminate,
-                                   op7_url_filter, op8_language_model, op9_toxicity, op10_quality, pipeline)}
+                                   op7_url_filter, op8_language_model, op9_toxicity, op10_quality,
+                                   op11_centroids, op12_best_fit, op13_resample, pipeline)}
