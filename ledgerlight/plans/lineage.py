@@ -54,4 +54,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    written = spark.read.parquet(path)
+    written.written_path = path
+    return written
+
+
+def discard(*written: DataFrame | None) -> None:
+    """Remove the files of ``materialize`` results that no later step reads (None is passed over)."""
+    for df in written:
+        path = getattr(df, "written_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
