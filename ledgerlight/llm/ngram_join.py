@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.llm.common import fresh, row_key
 from ledgerlight.llm.words import U64, mix, multipliers, words
-from ledgerlight.plans.lineage import materialize
+from ledgerlight.plans.lineage import discard, materialize
 
 N_GRAM = 5
 #: Similarity of 0.8 as a fraction: 5 * common >= 4 * joint.
@@ -42,6 +42,8 @@ BUCKET, BLOCK = 512, 1024
 #: A child that keeps this share of its parent has stopped shrinking.
 STUCK = 0.5
 MAX_DEPTH = 8
+#: Classes of a bucket (or block of it) whose groups are tied all pairs, and classes that stand for a larger bucket.
+STAR, STAR_REPRESENTATIVES = 256, 8
 
 _RECORD = "struct<ka:bigint,kb:bigint,n:int,paths:array<bigint>>"
 
@@ -264,7 +266,9 @@ def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     where a band is empty, and parts of one class go."""
     sums = (rows.groupBy("bucket").agg(F.count("*").alias("size"), F.bit_or(F.expr("shiftleft(1L, band)")).alias("bands"))
             .where("size > 1 AND (bit_count(bands) < size OR (bands & shiftleft(bands, 1)) != 0)").select("bucket"))
-    rows = materialize(rows.join(materialize(sums, "buckets"), "bucket"), "rows")
+    sums = materialize(sums, "buckets")
+    rows = materialize(rows.join(sums, "bucket"), "rows")
+    discard(sums)
     bands = (rows.groupBy("bucket", "band")
              .agg(F.count("*").alias("c"), F.first("parent").alias("parent"),
                   F.bit_xor(F.xxhash64("ka", "kb")).alias("s1"), F.bit_xor(F.xxhash64("kb", "ka", F.lit(1))).alias("s2")))
@@ -289,41 +293,49 @@ def _split(texts: DataFrame, build_sets) -> tuple[DataFrame, DataFrame]:
     """((bucket, size, ka, kb) of the final buckets of all paths, the sets of their classes)."""
     band = F.least(F.lit(62), F.floor(F.log(F.col("n")) / F.log(F.lit(BELOW / ABOVE)) + 1e-9)).cast("int")
     rows = texts.select(F.explode("paths").alias("bucket"), "ka", "kb", band.alias("band"), F.lit(None).cast("bigint").alias("parent"))
-    leaves = sets = splitting = None
+    leaves = sets = splitting = paths = None
     for depth in range(1, MAX_DEPTH + 1):
         rows, nodes = _nodes(rows)
+        discard(paths)
         if sets is None:
-            sets = build_sets(materialize(_of(rows, nodes).select("ka", "kb").distinct(), "wanted"))
+            wanted = materialize(_of(rows, nodes).select("ka", "kb").distinct(), "wanted")
+            sets = build_sets(wanted)
+            discard(wanted)
         final = (F.col("size") <= BUCKET) | (F.col("size") >= STUCK * F.coalesce("parent", F.lit(float("inf")))) | F.lit(depth == MAX_DEPTH)
         # buckets of the same classes are one
         first = nodes.where(final).groupBy("size", "s1", "s2").agg(F.min_by(F.struct("node", "bucket", "low", "high"), "node").alias("x"))
-        part = _of(rows, materialize(first.select("size", "x.*"), "kept"))
+        part = materialize(_of(rows, first.select("size", "x.*")).drop("band"), "leaves")
         leaves = part if leaves is None else leaves.unionByName(part)
         hot = nodes.where(~final)
-        if hot.isEmpty():
+        last = hot.isEmpty()
+        members = None if last else materialize(_of(rows, hot), "hot")
+        discard(rows, nodes)
+        if last:
             break
-        members = materialize(_of(rows, hot), "hot")
         # classes of deeper buckets are among those of the first ones that are split
         if splitting is None:
             splitting = materialize(sets.join(members.select("ka", "kb").distinct(), ["ka", "kb"], "left_semi"), "splitting")
         rows = (members.join(splitting, ["ka", "kb"])
                 .select("ka", "kb", "band", F.col("size").alias("parent"),
                         F.explode(F.arrow_udf(_children, "array<bigint>")("bucket", "tokens")).alias("bucket")))
-        rows = materialize(rows, "paths")
-    return materialize(leaves.drop("band"), "leaves"), sets
+        rows = paths = materialize(rows, "paths")
+        discard(members)
+    discard(splitting)
+    return leaves, sets
 
 
-def join(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(records, texts, links): (doc_id, t, ka, kb, n) per row; per class of equal
-    texts its first row and number of rows; per linked class its links and root."""
-    spark = documents.sparkSession
+def _candidates(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(records, texts, leaves, sets): (doc_id, t, ka, kb, n) per row; per class of equal texts its
+    first row and number of rows; its final buckets; the sets of classes in any bucket."""
     docs = documents.select("doc_id", F.xxhash64("text").alias("t"), "text")
     record = F.arrow_udf(_records, _RECORD).asNondeterministic()
-    records = materialize(docs.select("doc_id", "t", record("text").alias("r")).select("doc_id", "t", "r.*"), "records")
+    whole = materialize(docs.select("doc_id", "t", record("text").alias("r")).select("doc_id", "t", "r.*"), "records")
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t")
-    texts = (records.where("n > 0").groupBy("ka", "kb")
+    texts = (whole.where("n > 0").groupBy("ka", "kb")
              .agg(F.min(first).alias("first"), F.first("paths").alias("paths"), F.first("n").alias("n"), F.count("*").alias("copies")))
     texts = materialize(texts, "texts")
+    records = materialize(whole.drop("paths"), "rows-of-texts")
+    discard(whole)
 
     def sets(wanted: DataFrame) -> DataFrame:
         named = texts.join(wanted, ["ka", "kb"], "left_semi").select("ka", "kb", F.col("first.doc_id").alias("w"), F.col("first.t").alias("wt"))
@@ -331,25 +343,80 @@ def join(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         named = materialize(named.select("ka", "kb", k1.alias("k1"), k2.alias("k2")), "named")
         k1, k2 = row_key("doc_id", "t")
         found = docs.select(k1.alias("k1"), k2.alias("k2"), "text").join(named, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
-        return materialize(found.select("ka", "kb", F.arrow_udf(_sets, "array<int>")("text").alias("tokens")), "sets")
+        out = materialize(found.select("ka", "kb", F.arrow_udf(_sets, "array<int>")("text").alias("tokens")), "sets")
+        discard(named)
+        return out
 
     leaves, tokens = _split(texts, sets)
+    return records, texts, leaves, tokens
+
+
+def _solved(cells: DataFrame, members: DataFrame, name: str) -> DataFrame:
+    """(ka, kb, links, ca, cb) of the classes with a hit in ``cells`` (bucket, i, j, block, ka, kb)."""
+    rows = (cells.join(members, ["ka", "kb"])
+            .repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), "bucket", "i", "j")
+            .sortWithinPartitions("bucket", "i", "j"))
+    return materialize(rows.mapInArrow(_cells, "ka long, kb long, links long, ca long, cb long"), name)
+
+
+def _roots(found: DataFrame) -> DataFrame:
+    """(ka, kb, root) of the classes that any hit ties to another."""
+    roots = components(found.select(F.struct(F.col("ka").alias("a"), F.col("kb").alias("b")).alias("u"),
+                                    F.struct(F.col("ca").alias("a"), F.col("cb").alias("b")).alias("v")))
+    return roots.select(F.col("v.a").alias("ka"), F.col("v.b").alias("kb"), "root")
+
+
+def _own_root() -> F.Column:
+    return F.struct(F.col("ka").alias("a"), F.col("kb").alias("b"))
+
+
+def join(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, texts, links): as ``_candidates``, and per linked class its links and root."""
+    records, texts, leaves, tokens = _candidates(documents)
     met = leaves.groupBy("ka", "kb").agg(F.collect_set("bucket").alias("buckets"))
-    members = tokens.join(met, ["ka", "kb"])
     n = F.ceil(F.col("size") / BLOCK).cast("int")
     cells = (leaves.withColumn("block", F.when(F.col("size") <= BLOCK, F.lit(0)).otherwise(F.pmod(F.xxhash64("ka", "kb"), n).cast("int")))
              .withColumn("k", F.explode(F.when(F.col("size") <= BLOCK, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1))))
              .select("bucket", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "ka", "kb"))
-    cells = (cells.join(members, ["ka", "kb"])
-             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket", "i", "j")
-             .sortWithinPartitions("bucket", "i", "j"))
-    found = materialize(cells.mapInArrow(_cells, "ka long, kb long, links long, ca long, cb long"), "found")
-    links = found.groupBy("ka", "kb").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.struct(F.col("ka").alias("a"), F.col("kb").alias("b")).alias("u"),
-                                    F.struct(F.col("ca").alias("a"), F.col("cb").alias("b")).alias("v")))
-    roots = roots.select(F.col("v.a").alias("ka"), F.col("v.b").alias("kb"), "root")
-    links = (links.join(roots, ["ka", "kb"], "left")
-             .select("ka", "kb", "links", F.coalesce("root", F.struct(F.col("ka").alias("a"), F.col("kb").alias("b"))).alias("root")))
+    found = _solved(cells, tokens.join(met, ["ka", "kb"]), "found")
+    links = found.groupBy("ka", "kb").agg(F.sum("links").alias("links")).join(_roots(found), ["ka", "kb"], "left")
+    return records, texts, links.select("ka", "kb", "links", F.coalesce("root", _own_root()).alias("root"))
+
+
+def ties(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, texts, links) with the same roots as ``join``, without counting links.
+
+    A bucket above ``STAR`` classes is cut into blocks, and each block is compared with the bucket's
+    ``STAR_REPRESENTATIVES`` only: a group of near copies is tied together by rows in proportion to
+    it.  What then still isn't in a bucket's largest group is compared with all of the bucket."""
+    records, texts, leaves, tokens = _candidates(documents)
+    members = tokens.withColumn("buckets", F.array().cast("array<bigint>"))
+    small = leaves.where(F.col("size") <= STAR).select("bucket", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("block"), "ka", "kb")
+    large = materialize(leaves.where(F.col("size") > STAR).select("bucket", "size", "ka", "kb"), "large-buckets")
+    n = F.ceil(F.col("size") / STAR).cast("int")
+    own = large.select("bucket", F.pmod(F.xxhash64("ka", "kb"), n).cast("int").alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("block"), "ka", "kb")
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("kb", "ka"), "ka", "kb"))
+    stars = (large.withColumn("place", place).where(F.col("place") <= STAR_REPRESENTATIVES)
+             .select("bucket", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"), F.lit(-1).alias("j"), F.lit(1).alias("block"), "ka", "kb"))
+    found = _solved(small.unionByName(own).unionByName(stars), members, "found")
+    roots = materialize(_roots(found), "roots")
+
+    labelled = large.join(roots, ["ka", "kb"], "left").withColumn("root", F.coalesce("root", _own_root()))
+    labelled = materialize(labelled, "labelled")
+    groups = labelled.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    main = groups.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("size"), F.max("n").alias("most"))
+    main = materialize(main.where("most < size").withColumn("rest", F.col("size") - F.col("most")).drop("most", "size"), "main-groups")
+    if not main.isEmpty():
+        m = F.ceil(F.col("rest") / STAR).cast("int")
+        open_ = labelled.join(main, "bucket")
+        queries = (open_.where("root != main")
+                   .select("bucket", F.pmod(F.xxhash64("ka", "kb"), m).cast("int").alias("i"), F.explode(F.sequence(F.lit(1), n)).alias("k"), "ka", "kb")
+                   .select("bucket", "i", (-F.col("k")).alias("j"), F.lit(0).alias("block"), "ka", "kb"))
+        all_ = (open_.select("bucket", F.explode(F.sequence(F.lit(0), m - 1)).alias("i"), (-1 - F.pmod(F.xxhash64("ka", "kb"), n).cast("int")).alias("j"),
+                             F.lit(1).alias("block"), "ka", "kb"))
+        rest = _solved(queries.unionByName(all_), members, "found-rest")
+        roots = _roots(found.unionByName(rest))
+    links = roots.select("ka", "kb", F.lit(None).cast("bigint").alias("links"), "root")
     return records, texts, links
 
 
@@ -385,7 +452,7 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     """``documents`` with one row of each near-duplicate class: that of the least id.
 
     Rows without words stay, once for each id and text."""
-    records, texts, links = join(documents)
+    records, texts, links = ties(documents)
     heads = _classes(texts, links).select("head.doc_id", "head.t").distinct()
     alone = records.where("n = 0").select("doc_id", "t").distinct()
     keep = materialize(heads.unionByName(alone), "keep").select(F.col("doc_id").alias("__keep"), F.col("t").alias("__keep_t"))

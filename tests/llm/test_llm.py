@@ -109,6 +109,26 @@ def test_one_of_each_keeps_whole_rows(docs):
     assert len(keys) == len(set(keys)) and set(keys) == every
 
 
+@pytest.mark.parametrize("star,representatives", [(256, 8), (4, 1), (2, 2)])
+def test_ties_are_the_classes_of_all_links(spark, docs, monkeypatch, star, representatives):
+    """Large buckets tied by a few representatives and the rest compared: the groups of the all-pairs join."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(300)]
+    step, chains = words[:120], []
+    for k in range(60):                      # a chain: neighbours are similar, ends aren't
+        step = step[1:] + [rng.choice(words)]
+        chains.append(" ".join(step))
+    group = [" ".join(words[:60] + [f"w{k}"]) for k in range(40)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(chains + group + texts())], "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "STAR", star)
+    monkeypatch.setattr(ngram_join, "STAR_REPRESENTATIVES", representatives)
+    links, find = brute_classes(rows.collect())
+    kept = [tuple(WORD.findall(lower(r.text))) for r in ngram_join.one_of_each(rows).collect()]
+    heads = [find(key) for key in kept if key]
+    expected = {find(tuple(WORD.findall(lower(r.text)))) for r in rows.collect() if WORD.findall(lower(r.text))}
+    assert len(heads) == len(set(heads)) and set(heads) == expected
+
+
 def test_masks_catch_every_placement_of_substitutions():
     w = decontamination.WINDOW
     for places in itertools.combinations(range(w), decontamination.SUBSTITUTIONS):
