@@ -13,7 +13,13 @@ equality.
 
 Everything is a per-row expression beside the scan: nothing is shuffled or
 looked up.  Null texts stay null, empty ones empty; other columns are not
-touched.  Invalid look-alikes stay as they are.
+touched.  Invalid look-alikes stay as they are, as do dates outside 1700-05-29
+to 2099-08-04, dates with one-digit days or months, and addresses longer than
+the standards allow.  Patterns are flat and bounded, so the cost of a text is in
+proportion to its length.
+
+The key comes from the Spark setting ``KEY_SETTING``; ``KEY`` is a published
+default for trials only.
 """
 
 from __future__ import annotations
@@ -24,11 +30,13 @@ from pyspark.sql import functions as F
 from ledgerlight.llm.common import fresh, let
 
 ROUNDS = 10
-#: Only for tests and trials: give a real run a secret key of its own.
-KEY = "pseudonym-trial-key"
+#: Only for tests and trials: a real run sets a secret key of its own.
+KEY, KEY_SETTING = "pseudonym-trial-key", "spark.ledgerlight.pseudonymKey"
 
 _EDGE, _END = r"(?<![0-9A-Za-z.+-])", r"(?![0-9A-Za-z]|[.-][0-9])"
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}"
+#: Local parts of up to 64 and domains of up to 253 characters, the standards' limits: flat and bounded, so that no text,
+#: however long, costs more than its length or deepens the search.
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9][A-Za-z0-9.-]{0,251}\.[A-Za-z]{2,63}"
 #: IBAN lengths by country (the registry's, then those in use beside it): a known length ends a match
 #: before a next word of upper-case letters or digits, which the check digits would else take in.
 IBAN_LENGTHS = {
@@ -61,6 +69,10 @@ HINT = "[0-9]{2}|[0-9][.][0-9]|@"
 
 #: First day of the blocks of dates, and days in a block (270 * 270).
 _DAY_0, _SIDE = "1900-01-01", 270
+#: The days of whole blocks around it, which are permuted.
+_FIRST_DAY, _LAST_DAY = "1700-05-29", "2099-08-04"
+#: Steps allowed to a walk to a day over 12; each step gets there with a chance of about 0.6.
+_WALK = 200
 
 
 def _digest(key: str, kind: str, round_: Column, other: Column) -> Column:
@@ -218,21 +230,33 @@ def _ssn(v: Column, key: str, back: bool) -> Column:
 
 
 def _date(v: Column, key: str, back: bool) -> Column:
-    """Days of the calendar, permuted within blocks of 72,900 days; day.month.year, month/day/year
-    (day/month/year where only that is a date) and ISO; the same day is the same value in each."""
+    """Days of the calendar, permuted within blocks of 72,900 days; day.month.year, month/day/year and
+    ISO, where the same day is the same value in each.  A slash date that is a date only as day/month/year
+    (a day over 12) is permuted among the days over 12, so that its image reads back the same way: the
+    permutation is applied until it gives such a day, which keeps it a permutation."""
     block_days = F.lit(_SIDE**2).cast("bigint")
+    as_day = lambda n: F.date_add(F.lit(_DAY_0).cast("date"), n.cast("int"))
 
-    def new(n: Column) -> Column:
+    def moved(n: Column) -> Column:
         block, within = F.floor(n / block_days), F.pmod(n, block_days)
         pair = _pair(F.floor(within / _SIDE), within % _SIDE, (_SIDE, _SIDE), key, "date", back)
-        return let(pair, lambda p: F.date_add(F.lit(_DAY_0).cast("date"), (block * block_days + p["a"] * _SIDE + p["b"]).cast("int")))
+        return let(pair, lambda p: block * block_days + p["a"] * _SIDE + p["b"])
+
+    def walked(n: Column) -> Column:
+        def go(s: Column, _: Column) -> Column:
+            return F.when(s["there"], s).otherwise(let(moved(s["n"]), lambda m: F.struct(
+                m.alias("n"), (F.dayofmonth(as_day(m)) > 12).alias("there"))))
+
+        start = F.struct(n.alias("n"), F.lit(False).alias("there"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(_WALK)), start, go)["n"]
 
     out = v
-    for form, like in (("dd/MM/yyyy", "__/__/____"), ("MM/dd/yyyy", "__/__/____"), ("dd.MM.yyyy", "__.__.____"), ("yyyy-MM-dd", "____-__-__")):
+    for form, like, image in (("dd/MM/yyyy", "__/__/____", walked), ("MM/dd/yyyy", "__/__/____", moved),
+                              ("dd.MM.yyyy", "__.__.____", moved), ("yyyy-MM-dd", "____-__-__", moved)):
         day = F.try_to_timestamp(v, F.lit(form)).cast("date")
-        fits = v.like(like) & day.between(F.lit("1700-06-01").cast("date"), F.lit("2099-08-05").cast("date"))
-        moved = let(F.datediff(day, F.lit(_DAY_0).cast("date")).cast("bigint"), new)
-        out = F.when(fits, F.date_format(moved, form)).otherwise(out)
+        fits = v.like(like) & day.between(F.lit(_FIRST_DAY).cast("date"), F.lit(_LAST_DAY).cast("date"))
+        new = let(let(F.datediff(day, F.lit(_DAY_0).cast("date")).cast("bigint"), image), as_day)
+        out = F.when(fits, F.date_format(new, form)).otherwise(out)
     return out
 
 
@@ -262,12 +286,16 @@ def _replaced(documents: DataFrame, key: str, back: bool, count: str | None) ->
                        *([changed.cast("int").alias(count)] if count else []))
 
 
-def pseudonymised(documents: DataFrame, key: str = KEY, count: str | None = None) -> DataFrame:
+def _key(documents: DataFrame, key: str | None) -> str:
+    return key or documents.sparkSession.conf.get(KEY_SETTING, KEY)
+
+
+def pseudonymised(documents: DataFrame, key: str | None = None, count: str | None = None) -> DataFrame:
     """``documents`` with personal values in ``text`` replaced; ``count`` names a column for
     the number of values replaced in a row (it replaces one of that name)."""
-    return _replaced(documents, key, False, count)
+    return _replaced(documents, _key(documents, key), False, count)
 
 
-def reveal(documents: DataFrame, key: str = KEY) -> DataFrame:
+def reveal(documents: DataFrame, key: str | None = None) -> DataFrame:
     """The inverse of ``pseudonymised`` for the holder of the key."""
-    return _replaced(documents, key, True, None)
+    return _replaced(documents, _key(documents, key), True, None)
