@@ -29,7 +29,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.llm.common import WORD, fresh, row_key, salted_join
@@ -41,8 +41,11 @@ TOTAL_SHARE = 1.5
 MAX_COPIES = 2.0
 BUCKET, FAN = 2048, 64
 
-_UNIT = ("doc_id long, size long, source string, source_size long, target double, m long, certain long, "
+#: Ids travel as text, so that a null beside them changes none; ``h`` is a hash of id, source and size.
+_UNIT = ("doc_id string, h long, size long, source string, source_size long, target double, m long, certain long, "
          "fraction double, bucket long, settled boolean")
+#: Copies of a row numbered by one array.
+STRETCH = 4096
 
 
 def sizes(documents: DataFrame) -> DataFrame:
@@ -96,9 +99,8 @@ def settle(size: np.ndarray, p: np.ndarray, draws: np.ndarray) -> tuple[np.ndarr
 
 
 def _hash(values: pd.Series, seed: int) -> np.ndarray:
-    h = pd.util.hash_array(values.to_numpy(dtype=np.int64, na_value=-1) if values.isna().any() else values.to_numpy(np.int64), categorize=False)
     with np.errstate(over="ignore"):
-        h = (h ^ np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (values.to_numpy(np.int64).view(np.uint64) ^ np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         return h ^ (h >> np.uint64(29))
 
@@ -107,18 +109,18 @@ def _settle_bucket(level: int, last: bool):
     """Round the units of a bucket, source by source; residuals are marked unsettled unless ``last``."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        order = _hash(pdf["doc_id"], 2 * level + 1)
+        order = _hash(pdf["h"], 2 * level + 1)
         pdf = (pdf.assign(__o=order, __s=pdf["source"].fillna(""), __n=pdf["source"].isna(), __z=-pdf["size"])
                .sort_values(["__n", "__s", "__z", "__o", "doc_id", "fraction"], kind="stable").reset_index(drop=True))
         p, settled = pdf["fraction"].to_numpy().copy(), np.ones(len(pdf), bool)
-        size, draws = pdf["size"].to_numpy(), _hash(pdf["doc_id"], 2 * level + 2) / 2.0**64
+        size, draws = pdf["size"].to_numpy(), _hash(pdf["h"], 2 * level + 2) / 2.0**64
         change = np.flatnonzero(np.concatenate([[True], (pdf["__s"].to_numpy()[1:] != pdf["__s"].to_numpy()[:-1])
                                                 | (pdf["__n"].to_numpy()[1:] != pdf["__n"].to_numpy()[:-1]), [True]]))
         for a, b in zip(change[:-1], change[1:], strict=True):
             p[a:b], held = settle(size[a:b], p[a:b], draws[a:b])
             if held is not None:
                 if last:
-                    draw = float(_hash(pdf["doc_id"].iloc[[a + held]], 977)[0] / 2.0**64)
+                    draw = float(_hash(pdf["h"].iloc[[a + held]], 977)[0] / 2.0**64)
                     p[a + held] = float(draw < p[a + held])
                 else:
                     settled[a + held] = False
@@ -137,11 +139,12 @@ def settled_units(documents: DataFrame) -> DataFrame:
     owed = F.when(F.col("source_size") > 0, F.col("m") * F.col("target") / F.col("source_size")).otherwise(0.0)
     owed = F.when(F.col("size") > 0, owed).otherwise(0.0)
     owed = F.when(F.abs(owed - F.round(owed)) < 1e-9, F.round(owed)).otherwise(owed)
-    rows = (salted_join(units, per, "source", F.coalesce("doc_id", F.lit(0)))
+    rows = (salted_join(units.withColumn("h", F.xxhash64("doc_id", "source", "size", F.lit("mix"))), per, "source", F.col("h"))
             .withColumn("certain", F.floor(owed)).withColumn("fraction", owed - F.col("certain"))
-            .withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(buckets)))
+            .withColumn("bucket", F.pmod(F.col("h"), F.lit(buckets)))
             .withColumn("settled", F.lit(True))
-            .select("doc_id", "size", "source", "source_size", "target", "m", "certain", "fraction", "bucket", "settled"))
+            .select(F.col("doc_id").cast("string").alias("doc_id"), "h", "size", "source", "source_size", "target", "m", "certain",
+                    "fraction", "bucket", "settled"))
     keys, level, done = ["bucket"], 0, None
     while True:
         last = buckets == 1
@@ -156,37 +159,44 @@ def settled_units(documents: DataFrame) -> DataFrame:
         rows = out.where("NOT settled").withColumn("bucket", F.floor(F.col("bucket") / FAN))
         keys, level = ["source", "bucket"], level + 1
     copies = (F.col("certain") + F.round("fraction")).cast("bigint")
-    return done.select("doc_id", "size", "source", "source_size", "target", "m", copies.alias("taken_copies"))
+    return done.select(F.col("doc_id").cast(units.schema["doc_id"].dataType).alias("doc_id"), "size", "source", "source_size", "target", "m",
+                       copies.alias("taken_copies"))
 
 
-def _share(unit_row) -> F.Column:
-    """Copies of the ``unit_row``-th of the ``m`` rows of a unit."""
-    each, more = F.floor(F.col("taken_copies") / F.col("m")), F.col("taken_copies") % F.col("m")
-    return (each + F.when(unit_row <= more, 1).otherwise(0)).cast("bigint")
+def _share(nth, m, taken_copies) -> F.Column:
+    """Copies of the ``nth`` of the ``m`` rows of a unit."""
+    return (F.floor(taken_copies / m) + F.when(nth <= taken_copies % m, 1).otherwise(0)).cast("bigint")
 
 
 def plan(documents: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken): a row for each document."""
-    rows = settled_units(documents).withColumn("__r", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("m"))))
-    copies = _share(F.col("__r"))
+    one, m = F.lit(1).cast("bigint"), F.col("m")
+    rows = settled_units(documents).withColumn("__first", F.explode(F.sequence(one, m, F.lit(STRETCH).cast("bigint"))))
+    rows = rows.withColumn("__r", F.explode(F.sequence(F.col("__first"), F.least(F.col("__first") + (STRETCH - 1), m))))
+    copies = _share(F.col("__r"), m, F.col("taken_copies"))
     return rows.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mixed(documents: DataFrame) -> DataFrame:
     """The documents that the mix takes, with the columns ``size``, ``copies`` and ``taken``
-    (replacing columns of those names)."""
-    units = settled_units(documents).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
-                                            F.col("size").alias("__size"), "m", "taken_copies")
+    (replacing columns of those names).
+
+    Only rows that share id, source and size with others are numbered, over slices of their own order."""
     own = [c for c in documents.columns if c.lower() not in ("size", "copies", "taken")]
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     rows = documents.select(*own, size.alias("size"))
-    names, source = [fresh(rows, "k1"), fresh(rows, "k2")], fresh(rows, "source")
-    units = units.where("taken_copies > 0").select("m", "taken_copies", *[
-        k.alias(n) for k, n in zip(row_key("__id", "__source", "__size"), names, strict=True)])
+    names, source, m, taken, nth, at = [fresh(rows, "k1"), fresh(rows, "k2")], *(fresh(rows, c) for c in ("source", "m", "taken", "nth", "at"))
+    units = settled_units(documents).where("taken_copies > 0").select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "m", "taken_copies")
+    units = materialize(units.select(F.col("m").alias(m), F.col("taken_copies").alias(taken), *[
+        k.alias(n) for k, n in zip(row_key("__id", "__source", "__size"), names, strict=True)]), "taken")
     rows = rows.withColumn(source, F.col("source").cast("string"))
     rows = rows.withColumns(dict(zip(names, row_key("doc_id", source, "size"), strict=True))).drop(source)
     joined = rows.join(units, names)
-    nth = F.row_number().over(Window.partitionBy(*names).orderBy(*names))
-    copies = _share(F.col("__r"))
-    return (joined.withColumn("__r", nth).select(*own, "size", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    result = joined.where(F.col(m) == 1).withColumn(nth, F.lit(1).cast("bigint"))
+    if not units.where(F.col(m) > 1).isEmpty():
+        several = joined.where(F.col(m) > 1).withColumn(at, F.monotonically_increasing_id())
+        result = result.unionByName(group_index(several, names, [F.col(at)], nth).drop(at))
+    copies = _share(F.col(nth), F.col(m), F.col(taken))
+    return (result.select(*[F.col(c) for c in own], "size", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
             .where("copies > 0"))
