@@ -8,9 +8,13 @@ Each class follows paths of sampled shared tokens: at a node it goes on by
 every token whose hash, salted with the node, falls below ``c / (0.8 * size)``,
 so that two linked texts are expected to share ``c`` children (5/2 at the root,
 3/2 below).  Classes that share a node are a bucket.  Buckets of at most
-``BUCKET`` classes are brute-forced; larger ones are split again, until they
-stop shrinking (groups of near copies), and those are brute-forced block by
-block.  ``RUNS`` independent runs bring the recall of a pair at exactly 0.8
+``BUCKET`` classes are brute-forced; larger ones are split again.  A passage that
+most of a large bucket shares would only lead to the same bucket again, so its
+tokens are set aside there: a class of ``n`` tokens, ``s`` of them set aside, has
+at least ``0.8 n - s`` of the others in common with a linked one, and goes on by
+those below ``c / (0.8 n - s)``, which leaves the expected shared children as they
+were.  Classes made up mostly of such tokens (groups of near copies) are a bucket
+of their own that isn't split and is brute-forced block by block.  ``RUNS`` independent runs bring the recall of a pair at exactly 0.8
 above 0.999 for one split and above 0.99 for three; it is higher for more
 similar pairs, and whatever is reported has been verified on the whole sets.
 
@@ -39,6 +43,12 @@ RUNS = 4
 ROOT_CHILDREN, NODE_CHILDREN = 2.5, 1.5
 #: Classes of a bucket that isn't split, and of a block of a bucket that can't be.
 BUCKET, BLOCK = 512, 1024
+#: Tokens of at least this share of a large bucket's classes, seen on ``SAMPLE`` of them, are set aside.  Which ones are
+#: bears on the work only: whatever is set aside, linked classes share as many children, or both are in the core.
+COMMON, SAMPLE = 0.5, 64
+#: Classes with a smaller share of other tokens than ``SPLIT_FROM`` are core only, below ``CORE_BELOW`` core as well: a
+#: class linked to one with a share of 0.22 has at most (0.22 + 0.25) / 1.25 = 0.376.
+SPLIT_FROM, CORE_BELOW = 0.22, 0.38
 #: A child that keeps this share of its parent has stopped shrinking.
 STUCK = 0.5
 MAX_DEPTH = 8
@@ -51,7 +61,7 @@ _RECORD = "struct<ka:bigint,kb:bigint,n:int,paths:array<bigint>>"
 def _chosen(tokens: np.ndarray, sizes: np.ndarray, node, children: float) -> tuple[np.ndarray, np.ndarray]:
     """Which tokens continue a path at ``node``, and the children they lead to."""
     u = mix(tokens.astype(U64) * U64(0x9E3779B97F4A7C15) + node)
-    share = np.minimum(children * BELOW / (ABOVE * np.maximum(sizes, 1)), 0.9999999)
+    share = np.minimum(children * BELOW / (ABOVE * np.maximum(sizes, 1e-9)), 0.9999999)
     take = u < (share * 2.0**64).astype(U64)
     return take, mix(u + U64(0x632BE59BD9B4E019)).view(np.int64)
 
@@ -124,13 +134,24 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], lists.values.to_numpy()[offsets[0]:offsets[-1]]
 
 
-def _children(node: pa.Array, tokens: pa.Array) -> pa.Array:
+def _children(node: pa.Array, tokens: pa.Array, common: pa.Array) -> pa.Array:
+    """(children of each class by the tokens that aren't set aside, whether it is of the core)."""
     offsets, values = _flat(tokens)
     length = np.diff(offsets)
+    row = np.repeat(np.arange(len(length), dtype=np.uint64), length) << U64(32)
+    aside_offsets, aside = _flat(common)
+    aside_row = np.repeat(np.arange(len(length), dtype=np.uint64), np.diff(aside_offsets)) << U64(32)
+    own = ~np.isin(row | values.view(np.uint32).astype(U64), aside_row | aside.view(np.uint32).astype(U64))
+    n_own = np.diff(np.concatenate([[0], np.cumsum(own)])[offsets])
+    splits = n_own >= SPLIT_FROM * length
+    # 0.8 of these "sizes" are the tokens that a linked class has at least in common, beside those set aside
+    sizes = np.maximum(length - (length - n_own) * BELOW / ABOVE, 1e-9)
     at = np.repeat(mix(node.to_numpy().view(U64)), length)
-    take, child = _chosen(values.view(np.uint32), np.repeat(length, length), at, NODE_CHILDREN)
+    take, child = _chosen(values.view(np.uint32), np.repeat(np.maximum(sizes, 0.02 * length), length), at, NODE_CHILDREN)
+    take &= own & np.repeat(splits, length)
     kept = np.concatenate([[0], np.cumsum(take)])[offsets].astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(kept), pa.array(child[take]))
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(kept), pa.array(child[take])),
+                                       pa.array(n_own < CORE_BELOW * length)], ["paths", "core"])
 
 
 def _common(offsets: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -289,39 +310,73 @@ def _of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
             .select(F.col("node").alias("bucket"), "size", "ka", "kb", "band"))
 
 
+def _leaves(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(bucket, size, ka, kb) of the members of ``nodes``, buckets of the same classes once."""
+    first = nodes.groupBy("size", "s1", "s2").agg(F.min_by(F.struct("node", "bucket", "low", "high"), "node").alias("x"))
+    return materialize(_of(rows, first.select("size", "x.*")).drop("band"), "leaves")
+
+
+def _merged(leaves: DataFrame) -> DataFrame:
+    """Large buckets whose member of the least hash is the same as one bucket: independent runs find a group of
+    near copies again and again, each time but for a few, and two buckets have the same least member
+    with the chance of their overlap.  All pairs that met still meet."""
+    least = F.xxhash64(F.lit("least"), "ka", "kb")
+    names = materialize(leaves.groupBy("bucket").agg(F.min(least).alias("name")), "names")
+    rows = materialize(leaves.join(names, "bucket").select(F.col("name").alias("bucket"), "ka", "kb").distinct(), "merged")
+    sizes = materialize(rows.groupBy("bucket").agg(F.count("*").alias("size")), "sizes")
+    return materialize(rows.join(sizes, "bucket").select("bucket", "size", "ka", "kb"), "leaves")
+
+
+def _set_aside(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(bucket, common): the tokens that most classes of each bucket have, by a sample of fixed size."""
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("ka", "kb"), "ka", "kb"))
+    sample = members.withColumn("place", place).where(F.col("place") <= SAMPLE).select("bucket", "size", "ka", "kb")
+    tokens = sample.join(sets, ["ka", "kb"]).select("bucket", "size", F.explode("tokens").alias("token"))
+    common = tokens.groupBy("bucket", "token").agg(F.count("*").alias("c"), F.first("size").alias("size"))
+    return materialize(common.where(F.col("c") >= COMMON * F.least(F.col("size"), F.lit(SAMPLE)))
+                       .groupBy("bucket").agg(F.collect_list("token").alias("common")), "set-aside")
+
+
 def _split(texts: DataFrame, build_sets) -> tuple[DataFrame, DataFrame]:
     """((bucket, size, ka, kb) of the final buckets of all paths, the sets of their classes)."""
     band = F.least(F.lit(62), F.floor(F.log(F.col("n")) / F.log(F.lit(BELOW / ABOVE)) + 1e-9)).cast("int")
     rows = texts.select(F.explode("paths").alias("bucket"), "ka", "kb", band.alias("band"), F.lit(None).cast("bigint").alias("parent"))
-    leaves = sets = splitting = paths = None
+    leaves, sets, splitting, paths = [], None, None, None
     for depth in range(1, MAX_DEPTH + 1):
         rows, nodes = _nodes(rows)
-        discard(paths)
         if sets is None:
             wanted = materialize(_of(rows, nodes).select("ka", "kb").distinct(), "wanted")
             sets = build_sets(wanted)
             discard(wanted)
         final = (F.col("size") <= BUCKET) | (F.col("size") >= STUCK * F.coalesce("parent", F.lit(float("inf")))) | F.lit(depth == MAX_DEPTH)
-        # buckets of the same classes are one
-        first = nodes.where(final).groupBy("size", "s1", "s2").agg(F.min_by(F.struct("node", "bucket", "low", "high"), "node").alias("x"))
-        part = materialize(_of(rows, first.select("size", "x.*")).drop("band"), "leaves")
-        leaves = part if leaves is None else leaves.unionByName(part)
+        leaves.append(_leaves(rows, nodes.where(final)))
         hot = nodes.where(~final)
         last = hot.isEmpty()
         members = None if last else materialize(_of(rows, hot), "hot")
-        discard(rows, nodes)
+        discard(rows, nodes, paths)
         if last:
             break
         # classes of deeper buckets are among those of the first ones that are split
         if splitting is None:
             splitting = materialize(sets.join(members.select("ka", "kb").distinct(), ["ka", "kb"], "left_semi"), "splitting")
-        rows = (members.join(splitting, ["ka", "kb"])
-                .select("ka", "kb", "band", F.col("size").alias("parent"),
-                        F.explode(F.arrow_udf(_children, "array<bigint>")("bucket", "tokens")).alias("bucket")))
-        rows = paths = materialize(rows, "paths")
-        discard(members)
+        common = _set_aside(members, splitting)
+        children = F.arrow_udf(_children, "struct<paths:array<bigint>,core:boolean>").asNondeterministic()
+        none = F.array().cast("array<int>")
+        paths = (members.join(splitting, ["ka", "kb"]).join(common, "bucket", "left")
+                 .select("bucket", "ka", "kb", "band", F.col("size").alias("parent"),
+                         children("bucket", "tokens", F.coalesce("common", none)).alias("x"))
+                 .select("bucket", "ka", "kb", "band", "parent", "x.*"))
+        paths = materialize(paths, "paths")
+        discard(members, common)
+        core, nodes = _nodes(paths.where("core").select(F.xxhash64("bucket", F.lit("core")).alias("bucket"), "ka", "kb", "band", "parent"))
+        leaves.append(_leaves(core, nodes))
+        discard(core, nodes)
+        rows = paths.select("ka", "kb", "band", "parent", F.explode("paths").alias("bucket"))
     discard(splitting)
-    return leaves, sets
+    union = leaves[0]
+    for part in leaves[1:]:
+        union = union.unionByName(part)
+    return union.where(F.col("size") <= BUCKET).unionByName(_merged(union.where(F.col("size") > BUCKET))), sets
 
 
 def _candidates(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
