@@ -17,12 +17,13 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.operators import attribution, commerce, presentation, registry, revenue, taxi, text, vectors
+from ledgerlight.operators import attribution, commerce, dense_text, presentation, registry, revenue, taxi, text, vectors
 from ledgerlight.operators import sentiment as classifier
+from ledgerlight.operators.dense_text import DenseText
 from ledgerlight.sources import catalog
 from ledgerlight.sources import fixtures as fx
 
-SENTIMENT_MODEL = "sentiment_classifier"
+SENTIMENT_MODEL, SENTIMENT_VECTORS = "sentiment_classifier", "sentiment_text_vectors"
 
 RESULT_TABLES = ["pres_sentiment", "pres_ad_spend", "pres_clv", "pres_churn", "pred_customer_calls",
                  "pred_twitter_comments", "attribution_touches"]
@@ -47,11 +48,11 @@ def customer_analytics(spark: SparkSession, sf_dir: str, start_month=None, as_of
 
     # text objects scored by the classifier that is trained on labelled texts,
     # logged and loaded by version
-    model = sentiment_model(spark, sf_dir)
+    dense, model = sentiment_model(spark, sf_dir)
     objects = {"scored_calls": (text.clean_calls(fx.stg_calls(spark, sf_dir)), "transcript"),
                "scored_comments": (text.clean_comments(fx.stg_comments(spark, sf_dir)), "review_text")}
     for name, (rows, column) in objects.items():
-        staged[name] = catalog.save_table(classifier.score_objects(model, rows, column), table(staging_prefix + name))
+        staged[name] = catalog.save_table(classifier.score_objects(model, dense, rows, column), table(staging_prefix + name))
 
     # transforms, materialised as intermediate tables
     customers = catalog.materialize_step(
@@ -88,21 +89,27 @@ def customer_analytics(spark: SparkSession, sf_dir: str, start_month=None, as_of
 
 
 def sentiment_model(spark: SparkSession, sf_dir: str):
-    """Fit the classifier on the vectors of labelled texts, log it with its metrics, load it by version."""
-    model, metrics = classifier.train(training_vectors(spark, sf_dir), "uuid")
+    """Fit the text vectors and the classifier on labelled texts, log both with the metrics, load them by version:
+    (dense text model, classifier)."""
+    dense, data = training_vectors(spark, sf_dir)
+    model, metrics = classifier.train(data, "uuid")
     reg, version = registry.Registry(spark), taxi.new_version()
+    reg.log_model(dense, SENTIMENT_VECTORS, version)
     reg.log_model(model, SENTIMENT_MODEL, version)
     for metric, value in metrics.items():
         reg.set_metric(SENTIMENT_MODEL, version, metric, value)
-    return reg.load_model(GBTClassificationModel, SENTIMENT_MODEL, version)
+    return reg.load_model(DenseText, SENTIMENT_VECTORS, version), reg.load_model(GBTClassificationModel, SENTIMENT_MODEL, version)
 
 
-def training_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(uuid, features, label) of the labelled texts, through a collection of objects with vectors."""
-    objects = classifier.with_text_vector(text.clean_training(fx.stg_training(spark, sf_dir)), "review_text")
+def training_vectors(spark: SparkSession, sf_dir: str) -> tuple[DenseText, DataFrame]:
+    """The dense text model of the labelled texts, and their (uuid, features, label) through a collection of
+    objects with vectors."""
+    texts = text.clean_training(fx.stg_training(spark, sf_dir))
+    dense = dense_text.fit(texts, "review_text")
+    objects = dense_text.transform(dense, texts, "review_text")
     coll = vectors.flatten(vectors.collection(
         objects, ["doc_id", "review_text", "label"], "vector", text.TRAINING_CLASS))
-    return classifier.labelled_vectors(coll, "uuid", "vector", F.col("label") == "1")
+    return dense, classifier.labelled_vectors(coll, "uuid", "vector", F.col("label") == "1")
 
 
 def taxi_regression(spark: SparkSession, sf_dir: str, database: str | None = None,

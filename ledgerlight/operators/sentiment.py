@@ -1,6 +1,6 @@
 """Sentiment classifier on object vectors.
 
-A gradient-boosted tree classifier over the vectors of labelled objects,
+A gradient-boosted tree classifier over the dense text vectors of labelled objects,
 trained on a 70/30 hash split (seed 1883), evaluated by area under ROC on
 the held-out part; scoring adds the probability of the positive class.
 Training is Spark ML's distributed tree learner; nothing is stacked into a
@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.hashing import in_train
-from ledgerlight.functions.text import tokens
+from ledgerlight.operators.dense_text import DenseText, transform
+from ledgerlight.operators.evaluation import auc
 
 # 70/30 split with seed 1883, model seed 42.
 SPLIT_SEED = 1883
@@ -25,23 +25,6 @@ TRAIN_PERCENT = 70
 MODEL_SEED = 42
 
 
-#: Length of an object's vector.
-DIMENSIONS = 256
-
-
-def with_text_vector(df: DataFrame, text_col: str, out_col: str = "vector", dimensions: int = DIMENSIONS) -> DataFrame:
-    """A unit vector of hashed token counts per object, over its whole text (V7).
-
-    No vocabulary is gathered, so the step needs no shuffle and a text's vector
-    is the same in training and scoring.
-    """
-    count, unit = "_token_counts", "_unit"
-    counted = HashingTF(numFeatures=dimensions, inputCol="_tokens", outputCol=count).transform(
-        df.withColumn("_tokens", tokens(F.coalesce(F.col(text_col), F.lit("")))))
-    return (Normalizer(inputCol=count, outputCol=unit).transform(counted)
-            .withColumn(out_col, vector_to_array(unit)).drop("_tokens", count, unit))
-
-
 def labelled_vectors(df: DataFrame, key: str, vector_col: str, positive: Column) -> DataFrame:
     return df.select(key, array_to_vector(F.col(vector_col)).alias("features"),
                      positive.cast("double").alias("label"))
@@ -58,13 +41,19 @@ def train(data: DataFrame, key: str, max_iter: int = 20, max_depth: int = 5):
     return model, {"test_auc": auc}
 
 
-def score_objects(model: GBTClassificationModel, objects: DataFrame, text_col: str) -> DataFrame:
+def score_objects(model: GBTClassificationModel, dense: DenseText, objects: DataFrame, text_col: str) -> DataFrame:
     """``objects`` with a ``sentiment``: the probability of the positive class of their text."""
-    vectors = with_text_vector(objects, text_col, "_vector").withColumn("features", array_to_vector("_vector"))
+    vectors = transform(dense, objects, text_col, "_vector").withColumn("features", array_to_vector("_vector"))
     return model.transform(vectors).select(
         *objects.columns, vector_to_array("probability")[1].alias("sentiment"))
 
 
+def auc_by_split(scored: DataFrame, key: str) -> DataFrame:
+    """(is_train, positives, negatives, auc) of scored rows (key, label, sentiment) on both sides of the split (M8, M9)."""
+    flag = in_train(F.col(key), SPLIT_SEED, TRAIN_PERCENT)
+    return auc(scored.withColumn("is_train", flag), ["is_train"], "label", "sentiment")
+
+
 def score(model: GBTClassificationModel, data: DataFrame, key: str) -> DataFrame:
     """Probability of the positive class per object."""
     return model.transform(data).select(

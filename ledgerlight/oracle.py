@@ -460,6 +460,16 @@ _q("sentiment_score", """
     SELECT uuid, true AS is_probability FROM clean_comments_q
     UNION ALL SELECT uuid, true FROM clean_calls_q""", **HELPERS)
 
+HELPERS["length_scored_q"] = f"""
+    SELECT row_number() OVER () AS n, {in_train_sql('uuid', 1883)} AS is_train, label = '1' AS positive,
+           (length(review_text) % 129) / 128.0::DOUBLE AS score FROM clean_training_q"""
+#: The share of (positive, negative) pairs that the score puts in order, equal scores counting half.
+_q("length_auc", """
+    SELECT p.is_train, count(DISTINCT p.n) AS positives, count(DISTINCT q.n) AS negatives,
+           avg(CASE WHEN p.score > q.score THEN 1.0 WHEN p.score = q.score THEN 0.5 ELSE 0.0 END)::DOUBLE AS auc
+    FROM length_scored_q p JOIN length_scored_q q ON p.is_train = q.is_train AND p.positive AND NOT q.positive
+    GROUP BY p.is_train""", **HELPERS)
+
 # -- Sources, sinks, catalog: the data read back equals its source ------------------
 
 _q("src_csv_roundtrip", "SELECT * FROM stg_customers")

@@ -21,7 +21,7 @@ from pyspark.sql.types import DateType
 from ledgerlight import jobs
 from ledgerlight.functions import hashing
 from ledgerlight.functions.hashing import row_uuid
-from ledgerlight.operators import (attribution, commerce, presentation, registry, revenue, sentiment,
+from ledgerlight.operators import (attribution, commerce, dense_text, presentation, registry, revenue, sentiment,
                                    taxi, text, vectors)
 from ledgerlight.plans.lineage import scratch_path
 from ledgerlight.sources import catalog, files
@@ -276,6 +276,29 @@ def q_text_embed(spark, d):
     return weights.withColumn("weight", F.round("weight", 9))
 
 
+def _dense_documents(spark, d):
+    """(dense model, documents with their dense vector)."""
+    docs = fx.stg_documents(spark, d)
+    model = dense_text.fit(docs)
+    return model, dense_text.transform(model, docs)
+
+
+@query("text_dense")
+def q_text_dense(spark, d):
+    """The dense vector of each document (V7)."""
+    return _dense_documents(spark, d)[1].select(
+        "doc_id", F.transform("vector", lambda x: F.round(x, 4) + F.lit(0.0)).alias("vector"))
+
+
+@query("text_dense_topk")
+def q_text_dense_topk(spark, d):
+    """Three nearest objects to each benchmark passage over a collection of dense text vectors (V4, V7)."""
+    model, docs = _dense_documents(spark, d)
+    coll = vectors.collection(docs, ["doc_id", "lang"], "vector", "DenseDocument")
+    passages = dense_text.transform(model, fx.stg_benchmark(spark, d)).select(F.col("item_id").alias("query_id"), "vector")
+    return vectors.top_k_similar(passages, coll, vectors.NEAR_TEXT_K, "uuid")
+
+
 @query("text_search_top1")
 def q_text_search_top1(spark, d):
     """Best document for each benchmark passage (V6 retrieval)."""
@@ -358,7 +381,7 @@ def q_registry_roundtrip(spark, d):
 @query("sentiment_model")
 def q_sentiment_model(spark, d):
     """Labelled texts by split and label, and whether the classifier ranks each label's mean rightly (M8, M9)."""
-    data = jobs.training_vectors(spark, d)
+    _, data = jobs.training_vectors(spark, d)
     model, _ = sentiment.train(data, "uuid")
     scored = sentiment.score(model, data, "uuid").join(data.select("uuid", "label"), "uuid")
     train = hashing.in_train(F.col("uuid"), sentiment.SPLIT_SEED, sentiment.TRAIN_PERCENT)
@@ -369,11 +392,37 @@ def q_sentiment_model(spark, d):
 @query("sentiment_score")
 def q_sentiment_score(spark, d):
     """Comments and calls scored by the logged classifier, each with a probability."""
-    model = jobs.sentiment_model(spark, d)
+    return _scored_objects(spark, d).select("uuid", F.col("sentiment").between(0, 1).alias("is_probability"))
+
+
+def _scored_objects(spark, d):
+    dense, model = jobs.sentiment_model(spark, d)
     comments = text.clean_comments(fx.stg_comments(spark, d)).select("uuid", F.col("review_text").alias("text"))
     calls = text.clean_calls(fx.stg_calls(spark, d)).select("uuid", F.col("transcript").alias("text"))
-    scored = sentiment.score_objects(model, comments.unionByName(calls), "text")
-    return scored.select("uuid", F.col("sentiment").between(0, 1).alias("is_probability"))
+    return sentiment.score_objects(model, dense, comments.unionByName(calls), "text")
+
+
+@query("sentiment_probability")
+def q_sentiment_probability(spark, d):
+    """The probability of each comment and call."""
+    return _scored_objects(spark, d).select("uuid", F.round("sentiment", 6).alias("sentiment"))
+
+
+@query("sentiment_auc")
+def q_sentiment_auc(spark, d):
+    """Area under ROC of the classifier on its training and its held-out texts (M9)."""
+    _, data = jobs.training_vectors(spark, d)
+    model, _ = sentiment.train(data, "uuid")
+    scored = sentiment.score(model, data, "uuid").join(data.select("uuid", "label"), "uuid")
+    return sentiment.auc_by_split(scored, "uuid")
+
+
+@query("length_auc")
+def q_length_auc(spark, d):
+    """Area under ROC, ties and all, of the labelled texts' length score on both sides of the split (M8, M9)."""
+    rows = text.clean_training(fx.stg_training(spark, d)).select(
+        "uuid", (F.col("label") == "1").cast("int").alias("label"), ((F.length("review_text") % 129) / 128.0).alias("sentiment"))
+    return sentiment.auc_by_split(rows, "uuid")
 
 
 # -- S1-S16: sources, sinks, catalog -------------------------------------------
