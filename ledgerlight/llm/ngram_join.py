@@ -45,13 +45,15 @@ ROOT_CHILDREN, NODE_CHILDREN = 2.5, 1.5
 BUCKET, BLOCK = 512, 1024
 #: Tokens of at least this share of a large bucket's classes, seen on ``SAMPLE`` of them, are set aside.  Which ones are
 #: bears on the work only: whatever is set aside, linked classes share as many children, or both are in the core.
-COMMON, SAMPLE = 0.5, 64
+COMMON, SAMPLE = 0.5, 32
 #: Classes with a smaller share of other tokens than ``SPLIT_FROM`` are core only, below ``CORE_BELOW`` core as well: a
 #: class linked to one with a share of 0.22 has at most (0.22 + 0.25) / 1.25 = 0.376.
 SPLIT_FROM, CORE_BELOW = 0.22, 0.38
 #: A child that keeps this share of its parent has stopped shrinking.
 STUCK = 0.5
 MAX_DEPTH = 8
+#: Tokens worked on at a time when classes are split.
+CHUNK_TOKENS = 1 << 18
 #: Classes of a bucket (or block of it) whose groups are tied all pairs, and classes that stand for a larger bucket.
 STAR, STAR_REPRESENTATIVES = 256, 8
 
@@ -134,8 +136,29 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], lists.values.to_numpy()[offsets[0]:offsets[-1]]
 
 
+def _usual(lists: pa.Array) -> pa.Array:
+    """The tokens that at least the share ``COMMON`` of a row's sets have."""
+    offsets, out = [0], [np.zeros(0, np.int32)]
+    for at in range(len(lists)):
+        sets = lists[at].values
+        token, count = np.unique(sets.flatten().to_numpy(), return_counts=True)
+        out.append(token[count >= COMMON * len(sets)].astype(np.int32))
+        offsets.append(offsets[-1] + len(out[-1]))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(out)))
+
+
 def _children(node: pa.Array, tokens: pa.Array, common: pa.Array) -> pa.Array:
-    """(children of each class by the tokens that aren't set aside, whether it is of the core)."""
+    """(children of each class by the tokens that aren't set aside, whether it is of the core), by runs of rows."""
+    offsets, (aside_offsets, _) = _flat(tokens)[0], _flat(common)
+    load, parts, at = offsets + aside_offsets, [], 0
+    while at < len(node):
+        stop = max(at + 1, int(np.searchsorted(load, load[at] + CHUNK_TOKENS, "right")) - 1)
+        parts.append(_children_of(node[at:stop], tokens[at:stop], common[at:stop]))
+        at = stop
+    return pa.concat_arrays(parts or [_children_of(node, tokens, common)])
+
+
+def _children_of(node: pa.Array, tokens: pa.Array, common: pa.Array) -> pa.Array:
     offsets, values = _flat(tokens)
     length = np.diff(offsets)
     row = np.repeat(np.arange(len(length), dtype=np.uint64), length) << U64(32)
@@ -145,9 +168,9 @@ def _children(node: pa.Array, tokens: pa.Array, common: pa.Array) -> pa.Array:
     n_own = np.diff(np.concatenate([[0], np.cumsum(own)])[offsets])
     splits = n_own >= SPLIT_FROM * length
     # 0.8 of these "sizes" are the tokens that a linked class has at least in common, beside those set aside
-    sizes = np.maximum(length - (length - n_own) * BELOW / ABOVE, 1e-9)
+    sizes = np.maximum(length - (length - n_own) * BELOW / ABOVE, 0.02 * length)
     at = np.repeat(mix(node.to_numpy().view(U64)), length)
-    take, child = _chosen(values.view(np.uint32), np.repeat(np.maximum(sizes, 0.02 * length), length), at, NODE_CHILDREN)
+    take, child = _chosen(values.view(np.uint32), np.repeat(sizes, length), at, NODE_CHILDREN)
     take &= own & np.repeat(splits, length)
     kept = np.concatenate([[0], np.cumsum(take)])[offsets].astype(np.int32)
     return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(kept), pa.array(child[take])),
@@ -331,10 +354,8 @@ def _set_aside(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(bucket, common): the tokens that most classes of each bucket have, by a sample of fixed size."""
     place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("ka", "kb"), "ka", "kb"))
     sample = members.withColumn("place", place).where(F.col("place") <= SAMPLE).select("bucket", "size", "ka", "kb")
-    tokens = sample.join(sets, ["ka", "kb"]).select("bucket", "size", F.explode("tokens").alias("token"))
-    common = tokens.groupBy("bucket", "token").agg(F.count("*").alias("c"), F.first("size").alias("size"))
-    return materialize(common.where(F.col("c") >= COMMON * F.least(F.col("size"), F.lit(SAMPLE)))
-                       .groupBy("bucket").agg(F.collect_list("token").alias("common")), "set-aside")
+    lists = sample.join(sets, ["ka", "kb"]).groupBy("bucket").agg(F.collect_list("tokens").alias("lists"))
+    return materialize(lists.select("bucket", F.arrow_udf(_usual, "array<int>")("lists").alias("common")), "set-aside")
 
 
 def _split(texts: DataFrame, build_sets) -> tuple[DataFrame, DataFrame]:

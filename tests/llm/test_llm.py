@@ -109,8 +109,8 @@ def test_one_of_each_keeps_whole_rows(docs):
     assert len(keys) == len(set(keys)) and set(keys) == every
 
 
-@pytest.mark.parametrize("star,representatives", [(256, 8), (4, 1), (2, 2)])
-def test_ties_are_the_classes_of_all_links(spark, docs, monkeypatch, star, representatives):
+@pytest.mark.parametrize("star,representatives,bucket", [(256, 8, 512), (4, 1, 512), (2, 2, 16)])
+def test_ties_are_the_classes_of_all_links(spark, docs, monkeypatch, star, representatives, bucket):
     """Large buckets tied by a few representatives and the rest compared: the groups of the all-pairs join."""
     rng = random.Random(11)
     words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(300)]
@@ -121,6 +121,7 @@ def test_ties_are_the_classes_of_all_links(spark, docs, monkeypatch, star, repre
     group = [" ".join(words[:60] + [f"w{k}"]) for k in range(40)]
     rows = spark.createDataFrame([(k, t) for k, t in enumerate(chains + group + texts())], "doc_id long, text string")
     monkeypatch.setattr(ngram_join, "STAR", star)
+    monkeypatch.setattr(ngram_join, "BUCKET", bucket)
     monkeypatch.setattr(ngram_join, "STAR_REPRESENTATIVES", representatives)
     links, find = brute_classes(rows.collect())
     kept = [tuple(WORD.findall(lower(r.text))) for r in ngram_join.one_of_each(rows).collect()]
@@ -129,6 +130,24 @@ def test_ties_are_the_classes_of_all_links(spark, docs, monkeypatch, star, repre
     assert len(heads) == len(set(heads)) and set(heads) == expected
 
 
+def test_a_shared_passage_is_set_aside_when_a_bucket_is_split():
+    """Texts with a long passage in common go on by their own tokens, and near copies are left as a core."""
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 2**31, 150)
+    own = [np.concatenate([passage, rng.integers(0, 2**31, 150)]) for _ in range(40)]
+    base = np.concatenate([passage, rng.integers(0, 2**31, 150)])
+    near = [np.concatenate([base[:-10], rng.integers(0, 2**31, 10)]) for _ in range(40)]
+    lists = [np.unique(x.astype(np.int32)) for x in own + near]
+    usual = ngram_join._usual(pa.array([[x.tolist() for x in lists]], pa.list_(pa.list_(pa.int32()))))
+    common = set(usual[0].as_py())
+    assert set(passage.tolist()) <= common
+    got = ngram_join._children(pa.array([5] * 80), pa.array([x.tolist() for x in lists], pa.list_(pa.int32())), pa.array([sorted(common)] * 80, pa.list_(pa.int32()))).to_pylist()
+    assert not any(r["core"] for r in got[:40]) and all(r["core"] and not r["paths"] for r in got[40:])
+    assert 1 < np.mean([len(r["paths"]) for r in got[:40]]) < 6
+    assert len(set(itertools.chain.from_iterable(r["paths"] for r in got[:40]))) > 40       # no child holds them all
+
+
 def test_masks_catch_every_placement_of_substitutions():
     w = decontamination.WINDOW
     for places in itertools.combinations(range(w), decontamination.SUBSTITUTIONS):
