@@ -44,7 +44,7 @@ LENGTH, END = 2048, 0
 PART = 8192
 LEAST_GAIN = 0.001
 ORDERS = 24
-MEMORY, LONG_WORD = 300_000, 64
+MEMORY, LONG_WORD = 500_000, 64
 #: Bytes of text split at a time.
 CHUNK = 1 << 18
 #: Characters whose class no version of Unicode's tables changes: Latin, Greek and Cyrillic letters, general marks.
