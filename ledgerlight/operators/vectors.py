@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from ledgerlight.functions.hashing import row_uuid
 from ledgerlight.functions.text import tokens
+from ledgerlight.operators.pruning import best_scores
 from ledgerlight.plans.lineage import materialize
 
 # Search depth of near-text (3) and question (1) search.
@@ -195,25 +196,29 @@ def text_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return _normalise(w, id_col), dfs, n_docs
 
 
+def query_terms(queries: DataFrame, dfs: DataFrame, n_docs: Column, query_id: str, text_col: str = "text") -> DataFrame:
+    """(query, term, qw): unit TF-IDF vectors of query texts, the terms that occur in the documents (written)."""
+    absent = _idf(F.coalesce(F.col("df"), F.lit(0)), n_docs)
+    weights = _normalise(term_counts(queries, query_id, text_col).join(dfs, "term", "left")
+                         .select(query_id, "term", "df", (F.col("tf") * absent).alias("w")), query_id)
+    return materialize(weights.where(F.col("df").isNotNull())
+                       .select(query_id, "term", F.col("weight").alias("qw")), "query-terms")
+
+
 def search_text(queries: DataFrame, docs: DataFrame, k: int = 1,
                 query_id: str = "item_id", doc_id: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Top-``k`` documents per query text by TF-IDF cosine (V6 retrieval, V7).
 
     cosine(q, d) = sum_t qw_t * dw_t over the unit vectors of ``text_vectors``,
-    the query's written as a table of (query, term, weight).  Where that table
-    is small enough for Spark to broadcast it, a document's scores are summed
+    the query's written as a table of (query, term, weight).  Only documents that
+    can be among a query's best are scored (``pruning``).  Where the query tables
+    are small enough for Spark to broadcast them, a document's scores are summed
     where its vector lies; a window group limit then leaves ``k`` rows per
     query and task to shuffle.  Ties go to the smaller document id.
     """
     vectors, dfs, n_docs = text_vectors(docs, doc_id, text_col)
-    absent = _idf(F.coalesce(F.col("df"), F.lit(0)), n_docs)
-    q_terms = (_normalise(term_counts(queries, query_id, text_col).join(dfs, "term", "left")
-                          .select(query_id, "term", "df", (F.col("tf") * absent).alias("w")), query_id)
-               .where(F.col("df").isNotNull())
-               .select(query_id, "term", F.col("weight").alias("qw")))
-    scores = (vectors.join(materialize(q_terms, "query-terms"), "term")
-              .groupBy(doc_id, query_id)
-              .agg(F.round(F.sum(F.col("qw") * F.col("weight")), SCORE_DIGITS).alias("score")))
+    q_terms = query_terms(queries, dfs, n_docs, query_id, text_col)
+    scores = best_scores(vectors, q_terms, k, query_id, doc_id).withColumn("score", F.round("score", SCORE_DIGITS))
     rank = F.row_number().over(Window.partitionBy(query_id)
                                .orderBy(F.col("score").desc(), F.col(doc_id)))
     return (scores.withColumn("rank", rank).where(F.col("rank") <= k)
