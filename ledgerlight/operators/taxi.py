@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.functions.dates import seconds_between
 from ledgerlight.functions.hashing import in_train, split_bucket
+from ledgerlight.operators import normal_equations
 
 # Encoded columns, label and prediction names, the 70/30 split
 # with seed 42, and the model name and tags the registry records.
@@ -119,25 +120,45 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
     return model.transform(featurise_input(features)).select(*CATEGORIES, PREDICTION)
 
 
+def fit_sums(features: DataFrame, seed: int = SPLIT_SEED) -> normal_equations.Fit:
+    """The same regression from one aggregation, with R^2 of both splits (M5, M7)."""
+    return normal_equations.fit(featurise_input(features), CATEGORIES, "trip_distance", LABEL,
+                                in_train(F.col("trip_id"), seed, TRAIN_PERCENT))
+
+
+def predict_trips(model: normal_equations.Fit, features: DataFrame) -> DataFrame:
+    """The trips with their predicted seconds (M6)."""
+    return normal_equations.predict(model, featurise_input(features), "trip_distance", PREDICTION)
+
+
+def cross_counts(features: DataFrame, seed: int = SPLIT_SEED) -> DataFrame:
+    """Trips and their seconds by split over each category, each pair of them and all trips: the normal equations."""
+    flag = in_train(F.col("trip_id"), seed, TRAIN_PERCENT)
+    return normal_equations.cross_sums(featurise_input(features), CATEGORIES, "trip_distance", LABEL, flag).select(
+        "is_train", *CATEGORIES, F.col("n").alias("trips"), F.col("y").cast("long").alias("seconds"))
+
+
 def long_features(featurised: DataFrame) -> DataFrame:
     """One row per trip and non-zero feature: (trip_id, position, value)."""
     return (featurised.select("trip_id", F.posexplode(vector_to_array("features")).alias("position", "value"))
             .where("value != 0"))
 
 
-def residuals(model: PipelineModel, features: DataFrame, seed: int = SPLIT_SEED) -> DataFrame:
+def residuals(model: normal_equations.Fit, features: DataFrame, seed: int = SPLIT_SEED) -> DataFrame:
     """Rows and mean residual of the training rows of every category value.
 
     Least squares with a column per category value leaves no mean residual on
     the rows it was fitted on, whatever the data: a check of any fit.  In units
     of the label's mean, to two digits.
     """
-    data, _ = split(featurise_input(features), seed)
+    data, _ = split(features, seed)
     gap = F.col(LABEL) - F.col(PREDICTION)
+    cells = predict_trips(model, data).groupBy(*CATEGORIES).agg(
+        F.count("*").alias("n"), F.sum(gap).alias("gap"), F.sum(F.abs(LABEL)).alias("size"))
     value = F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).alias("value")) for c in CATEGORIES]))
-    sums = model.transform(data).select(value.alias("v"), gap.alias("gap"), F.abs(LABEL).alias("size"))
     mean = F.round(F.sum("gap") / F.sum("size"), 2) + F.lit(0.0)     # no negative zero
-    return sums.groupBy("v.category", "v.value").agg(F.count("*").alias("train_rows"), mean.alias("mean_residual"))
+    return (cells.select(value.alias("v"), "n", "gap", "size").groupBy("v.category", "v.value")
+            .agg(F.sum("n").alias("train_rows"), mean.alias("mean_residual")))
 
 
 def new_version() -> str:

@@ -450,6 +450,13 @@ _q("taxi_model", """
 _q("taxi_predict", """
     SELECT pickup_location_id, hour_of_day, count(*) AS trips, count(*) AS predicted FROM trips_q
     GROUP BY pickup_location_id, hour_of_day""", **HELPERS)
+_q("taxi_cross_counts", """
+    SELECT is_train, pickup_location_id, dropoff_location_id, hour_of_day, count(*) AS trips,
+           CAST(sum(trip_duration_sec) AS BIGINT) AS seconds
+    FROM trips_q GROUP BY GROUPING SETS (
+        (is_train), (is_train, pickup_location_id), (is_train, dropoff_location_id), (is_train, hour_of_day),
+        (is_train, pickup_location_id, dropoff_location_id), (is_train, pickup_location_id, hour_of_day),
+        (is_train, dropoff_location_id, hour_of_day))""", **HELPERS)
 _q("registry_roundtrip", """
     SELECT pickup_location_id, count(*) AS trips, CAST(0 AS BIGINT) AS differ, CAST(2 AS BIGINT) AS metrics
     FROM trips_q GROUP BY pickup_location_id""", **HELPERS)

@@ -341,17 +341,38 @@ def q_taxi_features(spark, d):
 def q_taxi_model(spark, d):
     """The fit checked on its training rows, by category value (M5, M7)."""
     features = _taxi(spark, d)
-    model, _ = taxi.train(features)
-    return taxi.residuals(model, features)
+    return taxi.residuals(taxi.fit_sums(features), features)
+
+
+@query("taxi_cross_counts")
+def q_taxi_cross_counts(spark, d):
+    """The counts and sums that the regression is solved from, by split and by one or two categories (M5)."""
+    return taxi.cross_counts(_taxi(spark, d))
+
+
+@query("taxi_r2")
+def q_taxi_r2(spark, d):
+    """Rows and R squared of the training and the test split (M7)."""
+    model = taxi.fit_sums(_taxi(spark, d))
+    return spark.createDataFrame([(s, model.rows[s], model.r2[s]) for s in (True, False)],
+                                 "is_train boolean, trips long, r2 double").withColumn("r2", F.round("r2", 9))
+
+
+@query("taxi_trip_predictions")
+def q_taxi_trip_predictions(spark, d):
+    """The predicted seconds of each trip (M6)."""
+    features = _taxi(spark, d)
+    return taxi.predict_trips(taxi.fit_sums(features), features).select(
+        "trip_id", F.round(taxi.PREDICTION, 4).alias(taxi.PREDICTION))
 
 
 @query("taxi_predict")
 def q_taxi_predict(spark, d):
     """Trips and finite predictions by pickup zone and hour (M6)."""
     features = _taxi(spark, d)
-    model, _ = taxi.train(features)
+    model = taxi.fit_sums(features)
     finite = F.col(taxi.PREDICTION).isNotNull() & ~F.isnan(taxi.PREDICTION)
-    return taxi.predict(model, features).groupBy("pickup_location_id", "hour_of_day").agg(
+    return taxi.predict_trips(model, features).groupBy("pickup_location_id", "hour_of_day").agg(
         F.count("*").alias("trips"), F.count_if(finite).alias("predicted"))
 
 
