@@ -69,8 +69,10 @@ def _counts(batches):
 def segments(place: np.ndarray, score: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (first place, last place, score), best order of places.
 
-    ``place``: positions of the scored tokens, ascending; every other position costs ``drift``."""
-    held: list[list] = []                     # [first, last, total before, total through]
+    ``place``: positions of the scored tokens, ascending; every other position costs ``drift``.  Each held
+    segment knows the last one before it whose total before is lower, so that no search steps over the
+    same segments twice: the scan is linear in the scored tokens."""
+    held: list[tuple] = []                    # (first, last, total before, total through, last lower one)
     total, behind = 0.0, -1
     for at, s in zip(place.tolist(), score.tolist(), strict=True):
         total -= drift * (at - behind - 1)
@@ -78,18 +80,19 @@ def segments(place: np.ndarray, score: np.ndarray, drift: float) -> list[tuple[i
         if s <= 0:
             total += s
             continue
-        new = [at, at, total, total + s]
-        total += s
+        first, low, high = at, total, total + s
+        total = high
+        k = len(held) - 1
         while True:
-            k = len(held) - 1
-            while k >= 0 and held[k][2] >= new[2]:
-                k -= 1
-            if k < 0 or held[k][3] >= new[3]:
-                held.append(new)
+            while k >= 0 and held[k][2] >= low:
+                k = held[k][4]
+            if k < 0 or held[k][3] >= high:
+                held.append((first, at, low, high, k))
                 break
-            new = [held[k][0], at, held[k][2], new[3]]
+            first, low, lower = held[k][0], held[k][2], held[k][4]
             del held[k:]
-    return [(a, b, high - low) for a, b, low, high in held]
+            k = lower
+    return [(a, b, high - low) for a, b, low, high, _ in held]
 
 
 def evidence(column, tokens: np.ndarray, scores: np.ndarray, lam: float) -> tuple[np.ndarray, list]:
