@@ -8,7 +8,9 @@ strength comes from the spread of the units' rates (method of moments for the
 beta-binomial).  A host is blocked if the lower posterior bound of its bad rate
 exceeds ``BLOCK_ABOVE``; a host without outcomes has its domain's posterior.
 
-The pages of a hot host are dealt over salts when the reputation is joined.
+Pages join the reputation as a written table, one row a host: Spark broadcasts it
+where it is small, and else splits the pages of a hot host at run time (no
+aggregation follows the join).  Nothing is repeated per host.
 Null urls and urls without ``://`` have an empty host and path and form one
 unit; null labels don't count; an id with several labels has the largest;
 repeated pages are judged alike, and each counts as an outcome.
@@ -19,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import salted_join
 from ledgerlight.plans.lineage import materialize
 
 #: (host, path, verdict); a rule fits its host and all subdomains, the longest wins.
@@ -103,7 +104,7 @@ def judged(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     known = materialize(reputation(rows, labels), "reputation")
-    joined = salted_join(rows, known, "host", F.coalesce(F.col("page_id"), F.lit(0)))
+    joined = rows.join(known, "host")
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     by_method = F.when(F.col("bad_at_least") > BLOCK_ABOVE, "block").otherwise("allow")
     return joined.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_method).alias("verdict"),
