@@ -101,15 +101,18 @@ def count_tokens(documents: DataFrame, in_training: Column) -> DataFrame:
 
 def summary(counts: DataFrame) -> Counts:
     total, distinct = counts.agg(F.sum("c"), F.sum((F.col("c") > 0).cast("bigint"))).first()
+    # held-out texts have no say: tokens of training texts, and the end, by their training counts
+    is_end = F.col("token") == int(np.array([END], np.uint64).view(np.int64)[0])
+    seen_in_training = counts.where((F.col("c") > 0) | is_end)
     # a bound on the counts of the TOP tokens first, so that few others are sorted for them
-    eighth = F.floor(8 * F.log2(F.col("n")))
-    by_size = sorted(((r.e, r["count"]) for r in counts.groupBy(eighth.alias("e")).count().collect()), reverse=True)
+    eighth = F.floor(8 * F.log2(F.col("c") + 1))
+    by_size = sorted(((r.e, r["count"]) for r in seen_in_training.groupBy(eighth.alias("e")).count().collect()), reverse=True)
     least, seen = 0, 0
     for least, size in by_size:
         seen += size
         if seen >= TOP:
             break
-    top = counts.where(eighth >= least).orderBy(F.col("n").desc(), "token").limit(TOP).toPandas()
+    top = seen_in_training.where((eighth >= least) | is_end).orderBy(is_end.desc(), F.col("c").desc(), "token").limit(TOP).toPandas()
     token, c = top["token"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     rank = np.lexsort((token, -c, token != END))       # the end first, then by training count
     ids = np.empty(len(token), np.int64)
