@@ -7,6 +7,7 @@ steps (S12).  Cleanup works on catalog metadata only.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,11 +84,68 @@ def write_snapshot(collections: dict[str, DataFrame], snapshot_dir: str) -> str:
 
 def restore_snapshot(spark: SparkSession, snapshot_dir: str, names: list[str],
                      database: str | None = None) -> dict[str, str]:
-    """Replace each named collection table by its snapshot copy."""
+    """Replace the named collection tables by their snapshot copies, all or none of them.
+
+    Every copy is first written whole beside its target; a failure up to here
+    leaves all tables as they were.  Then the renames are noted in a journal and
+    done.  A failure between them is made good by ``recover_restore``, which the
+    next restore calls first, and which ends with all tables restored.  One
+    restore of a database runs at a time.
+    """
     db = database or work_database(spark)
-    restored = {}
-    for name in names:
-        table = f"{db}.{name}"
-        spark.read.parquet(f"{snapshot_dir}/{name}").write.mode("overwrite").saveAsTable(table)
-        restored[name] = table
-    return restored
+    recover_restore(spark, db)
+    run = uuid.uuid4().hex[:12]
+    staged = {name: f"{name}__staged_{run}" for name in names}
+    try:
+        for name, copy in staged.items():
+            spark.read.parquet(f"{snapshot_dir}/{name}").write.mode("overwrite").saveAsTable(f"{db}.{copy}")
+        _write_journal(spark, db, {name: [copy, f"{name}__old_{run}"] for name, copy in staged.items()})
+    except BaseException:
+        for copy in staged.values():
+            spark.sql(f"DROP TABLE IF EXISTS {db}.{copy}")
+        raise
+    recover_restore(spark, db)
+    return {name: f"{db}.{name}" for name in names}
+
+
+def recover_restore(spark: SparkSession, database: str) -> list[str]:
+    """Finish the renames of a restore that was interrupted; the names of its tables (none without a journal)."""
+    journal = _read_journal(spark, database)
+    for name, (copy, old) in journal.items():
+        if spark.catalog.tableExists(f"{database}.{copy}"):
+            if spark.catalog.tableExists(f"{database}.{name}"):
+                _rename(spark, database, name, old)
+            _rename(spark, database, copy, name)
+    for _, old in journal.values():
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{old}")
+    files, path, _ = _journal(spark, database)
+    files.delete(path, False)
+    return list(journal)
+
+
+def _rename(spark: SparkSession, database: str, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {database}.{name} RENAME TO {database}.{to}")
+
+
+def _journal(spark: SparkSession, database: str):
+    """(file system, journal, its unfinished form) in the database's folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = spark.catalog.getDatabase(database).locationUri
+    at = path(f"{folder}/restore_journal.json")
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at, path(f"{folder}/restore_journal.tmp")
+
+
+def _write_journal(spark: SparkSession, database: str, renames: dict[str, list[str]]) -> None:
+    files, at, unfinished = _journal(spark, database)
+    out = files.create(unfinished, True)
+    out.write(bytearray(json.dumps(renames).encode()))
+    out.close()
+    if not files.rename(unfinished, at):
+        raise OSError(f"could not write {at.toString()}")
+
+
+def _read_journal(spark: SparkSession, database: str) -> dict[str, list[str]]:
+    files, at, _ = _journal(spark, database)
+    if not files.exists(at):
+        return {}
+    return json.loads("".join(r.value for r in spark.read.text(at.toString(), wholetext=True).collect()))
