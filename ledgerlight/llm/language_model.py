@@ -40,8 +40,8 @@ MID, RARE = CLASSES, CLASSES + 1               # numbers of the last two classes
 VOCABULARY = CLASSES * PER_CLASS               # ids 0 (the end) to VOCABULARY - 1, then MID, then RARE
 #: Rounds that the training texts are dealt over, and tokens that a task trains on at a time (its memory, not a bound).
 ROUNDS, SLAB = 5, 1_000_000
-#: Sub-streams of a slab, fewer where it would give fewer than UPDATES updates.
-STREAMS, LEAST_STREAMS, UPDATES, STEPS, RATE = 64, 8, 600, 24, 0.008
+#: Sub-streams of a slab, at every size; tokens of each in an update; Adam's rate in the first round.
+LANES, STEPS, RATE = 64, 24, 0.03
 #: Weights are averaged as whole multiples of 1 / UNIT, so that no order of the tasks shows.
 UNIT = 1 << 20
 LOCKSTEP = 1024
@@ -143,8 +143,9 @@ def _sigmoid(v: np.ndarray) -> np.ndarray:
     return np.reciprocal(v, out=v)
 
 
-def _step(net: Net, ids: np.ndarray, h: np.ndarray) -> tuple:
-    g, hu = net.x[ids], h @ net.u
+def _step(net: Net, g: np.ndarray, h: np.ndarray) -> tuple:
+    """The next state of each row, from the inputs ``g`` of its gates; with the gates."""
+    hu = h @ net.u
     zr = _sigmoid(g[:, :2 * HIDDEN] + hu[:, :2 * HIDDEN])
     z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
     n = np.tanh(g[:, 2 * HIDDEN:] + r * hu[:, 2 * HIDDEN:])
@@ -152,96 +153,126 @@ def _step(net: Net, ids: np.ndarray, h: np.ndarray) -> tuple:
 
 
 def _log_softmax(v: np.ndarray) -> np.ndarray:
-    v = v - v.max(axis=1, keepdims=True)
-    return v - np.log(np.exp(v).sum(axis=1, keepdims=True))
+    """Over the first axis, in place."""
+    v -= v.max(axis=0)
+    v -= np.log(np.exp(v).sum(axis=0))
+    return v
 
 
-def _outputs(net: Net, h: np.ndarray, target: np.ndarray, grads: list | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+def _outputs(net: Net, h: np.ndarray, target: np.ndarray, grads: Net | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log P(class) + log P(word | class) of each target (class alone for the last two);
     with ``grads`` also adds the gradients of minus their sum and returns that by ``h``."""
     cls = np.where(target < VOCABULARY, target // PER_CLASS, target - VOCABULARY + CLASSES)
-    logp = _log_softmax(h @ net.c + net.cb)
-    out = logp[np.arange(len(h)), cls]
-    dh = None
-    if grads is not None:
-        d = np.exp(logp)
-        d[np.arange(len(h)), cls] -= 1
-        grads[2] += h.T @ d
-        grads[3] += d.sum(axis=0)
-        dh = d @ net.c.T
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        i = order[edges[k]:edges[k + 1]]
-        if len(i):
-            hi, word = h[i], target[i] - k * PER_CLASS
-            lw = _log_softmax(hi @ net.w[k] + net.wb[k])
-            out[i] += lw[np.arange(len(i)), word]
-            if grads is not None:
-                d = np.exp(lw)
-                d[np.arange(len(i)), word] -= 1
-                grads[4][k] += hi.T @ d
-                grads[5][k] += d.sum(axis=0)
-                dh[i] += d @ net.w[k].T
+    order = np.argsort(cls, kind="stable")               # by class, the last two behind
+    cls, h = cls[order], h[order]
+    edges = np.searchsorted(cls, np.arange(CLASSES + 1))
+    m = edges[-1]
+    runs = [(k, slice(edges[k], edges[k + 1])) for k in np.flatnonzero(np.diff(edges))]
+    logp = _log_softmax(net.c.T @ h.T + net.cb[:, None])                 # (class, row)
+    at = np.arange(len(h))
+    ordered = logp[cls, at]
+    in_class = np.empty((PER_CLASS, m), h.dtype)                         # (word of the class, row)
+    for k, run in runs:
+        np.matmul(net.w[k].T, h[run].T, out=in_class[:, run])
+        in_class[:, run] += net.wb[k][:, None]
+    word = target[order[:m]] - cls[:m] * PER_CLASS
+    ordered[:m] += _log_softmax(in_class)[word, at[:m]]
+    out = np.empty_like(ordered)
+    out[order] = ordered
+    if grads is None:
+        return out, None
+    d = np.exp(logp, out=logp)
+    d[cls, at] -= 1
+    grads.c += (d @ h).T
+    grads.cb += d.sum(axis=1)
+    by_h = d.T @ net.c.T
+    d = np.exp(in_class, out=in_class)
+    d[word, at[:m]] -= 1
+    for k, run in runs:
+        grads.w[k] += (d[:, run] @ h[run]).T
+        grads.wb[k] += d[:, run].sum(axis=1)
+        by_h[run] += d[:, run].T @ net.w[k].T
+    dh = np.empty_like(by_h)
+    dh[order] = by_h
     return out, dh
 
 
-@dataclass
-class Moments:
-    """Adam's running means, and the updates so far."""
-
-    m: list[np.ndarray]
-    v: list[np.ndarray]
-    t: int = 0
-
-
-def fit(net: Net, stream: np.ndarray, moments: Moments, rate: float) -> None:
-    """Truncated backpropagation once over a stream of ids (each text ends with 0), in parallel
-    sub-streams that share its tokens; what is left over by the division forms a last, shorter run."""
-    streams = int(np.clip((len(stream) - 1) // (UPDATES * STEPS), LEAST_STREAMS, STREAMS))
-    while len(stream) > 1:
-        length = (len(stream) - 1) // streams
-        if length == 0:
-            streams = len(stream) - 1
-            continue
-        _fit_lanes(net, np.stack([stream[k * length:(k + 1) * length + 1] for k in range(streams)]), moments, rate)
-        stream, streams = stream[streams * length:], 1
-
-
-def _fit_lanes(net: Net, lanes: np.ndarray, moments: Moments, rate: float) -> None:
-    streams, length = len(lanes), lanes.shape[1] - 1
-    h = np.zeros((streams, HIDDEN), np.float32)
-    for a in range(0, length, STEPS):
-        ids, target = lanes[:, a:min(a + STEPS, length)], lanes[:, a + 1:min(a + STEPS, length) + 1]
-        kept, states = [], []
-        for k in range(ids.shape[1]):
-            h = h * (ids[:, k] != 0)[:, None].astype(np.float32)
-            new, z, r, n, hn = _step(net, ids[:, k], h)
-            kept.append((h, z, r, n, hn))
-            states.append(new)
-            h = new
-        grads = [np.zeros_like(p) for p in net.parts()]
-        _, dout = _outputs(net, np.concatenate(states), target.T.reshape(-1), grads)
-        dout = dout.reshape(len(states), streams, HIDDEN)
-        dh = np.zeros((streams, HIDDEN), np.float32)
-        for k in range(len(states) - 1, -1, -1):
-            before, z, r, n, hn = kept[k]
-            dh = dh + dout[k]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz, dr = dh * (before - n) * z * (1 - z), dn * hn * r * (1 - r)
-            np.add.at(grads[0], ids[:, k], np.concatenate([dz, dr, dn], axis=1))
-            dhu = np.concatenate([dz, dr, dn * r], axis=1)
-            grads[1] += before.T @ dhu
-            dh = (dh * z + dhu @ net.u.T) * (ids[:, k] != 0)[:, None]
-        moments.t += 1
-        scale = 1.0 / target.size
-        norm = scale * np.sqrt(sum(float((g * g).sum()) for g in grads))
-        scale *= min(1.0, 1.0 / max(norm, 1e-9))
-        for p, g, mi, vi in zip(net.parts(), grads, moments.m, moments.v, strict=True):
-            g *= scale
-            mi += 0.1 * (g - mi)
-            vi += 0.001 * (g * g - vi)
-            p -= (rate * (mi / (1 - 0.9**moments.t)) / (np.sqrt(vi / (1 - 0.999**moments.t)) + 1e-8)).astype(np.float32)
+def gradients(net: Net, ids: np.ndarray, target: np.ndarray, h: np.ndarray, grads: Net) -> tuple[float, np.ndarray]:
+    """Minus the log-likelihood of the targets of a window (step, lane) and the last state;
+    its gradients, cut off at the first state ``h``, are added to ``grads``."""
+    steps, lanes = ids.shape
+    live = (ids != 0)[:, :, None].astype(h.dtype)          # a text's end clears the state
+    inputs = net.x[ids]
+    kept, states, before = [], np.empty((steps, lanes, HIDDEN), h.dtype), np.empty((steps, lanes, HIDDEN), h.dtype)
+    for k in range(steps):
+        before[k] = h * live[k]
+        h, *gates = _step(net, inputs[k], before[k])
+        states[k] = h
+        kept.append(gates)
+    out, dout = _outputs(net, states.reshape(-1, HIDDEN), target.reshape(-1), grads)
+    dout = dout.reshape(steps, lanes, HIDDEN)
+    dx = np.empty((steps, lanes, 3 * HIDDEN), h.dtype)    # by the gates' inputs
+    dhu = np.empty_like(dx)                               # by the state's share of them
+    dh = np.zeros((lanes, HIDDEN), h.dtype)
+    for k in range(steps - 1, -1, -1):
+        z, r, n, hn = kept[k]
+        dh = dh + dout[k]
+        dn = dh * (1 - z) * (1 - n * n)
+        dx[k, :, :HIDDEN] = dh * (before[k] - n) * z * (1 - z)
+        dx[k, :, HIDDEN:2 * HIDDEN] = dn * hn * r * (1 - r)
+        dx[k, :, 2 * HIDDEN:] = dn
+        dhu[k] = dx[k]
+        dhu[k, :, 2 * HIDDEN:] *= r
+        dh = (dh * z + dhu[k] @ net.u.T) * live[k]
+    grads.u += before.reshape(-1, HIDDEN).T @ dhu.reshape(-1, 3 * HIDDEN)
+    flat = ids.reshape(-1)
+    order = np.argsort(flat, kind="stable")               # each id's gradients are added up once a window
+    first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+    grads.x[flat[order[first]]] += np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+    return -float(out.sum()), h
+
+
+class Trainer:
+    """A copy of a network that learns by Adam; weights, gradients and means lie in flat arrays."""
+
+    def __init__(self, parts: list[np.ndarray], rate: float):
+        self.weights = np.concatenate([p.reshape(-1) for p in parts])
+        self.net, self.rate, self.t = _viewed(self.weights, parts), rate, 0
+        self.g, self.m, self.v = (np.zeros_like(self.weights) for _ in range(3))
+        self.grads = _viewed(self.g, parts)
+
+    def fit(self, stream: np.ndarray) -> None:
+        """Truncated backpropagation once over a stream of ids (each text ends with 0), in ``LANES``
+        sub-streams whose lengths differ by one token at most (fewer lanes where it has fewer tokens)."""
+        lanes = min(LANES, len(stream) - 1)
+        if lanes < 1:
+            return
+        length, longer = divmod(len(stream) - 1, lanes)
+        start = np.arange(lanes) * length + np.minimum(np.arange(lanes), longer)
+        h = np.zeros((lanes, HIDDEN), np.float32)
+        for a in range(0, length, STEPS):
+            at = np.arange(a, min(a + STEPS, length))[:, None] + start
+            h = self._update(stream[at], stream[at + 1], h)
+        if longer:
+            at = start[None, :longer] + length
+            self._update(stream[at], stream[at + 1], h[:longer])
+
+    def _update(self, ids: np.ndarray, target: np.ndarray, h: np.ndarray) -> np.ndarray:
+        g, m, v = self.g, self.m, self.v
+        g[:] = 0
+        _, h = gradients(self.net, ids, target, h, self.grads)
+        g *= 1 / target.size
+        g *= min(1.0, 1.0 / max(float(np.sqrt(g @ g)), 1e-9))
+        self.t += 1
+        m += 0.1 * (g - m)
+        v += 0.001 * (g * g - v)
+        self.weights -= self.rate / (1 - 0.9**self.t) * m / (np.sqrt(v / (1 - 0.999**self.t)) + 1e-8)
+        return h
+
+
+def _viewed(flat: np.ndarray, like: list[np.ndarray]) -> Net:
+    edges = np.cumsum([p.size for p in like])[:-1]
+    return Net(*[part.reshape(p.shape) for part, p in zip(np.split(flat, edges), like, strict=True)])
 
 
 def likelihood(net: Net, ids: np.ndarray, bound: np.ndarray) -> np.ndarray:
@@ -260,7 +291,7 @@ def likelihood(net: Net, ids: np.ndarray, bound: np.ndarray) -> np.ndarray:
                 live = int(np.searchsorted(-n, -k, "left"))     # texts longer than k come first
                 if live < len(h):
                     h, before = h[:live], before[:live]
-                h = _step(net, before, h)[0]
+                h = _step(net, net.x[before], h)[0]
                 before = ids[start[:live] + k]
                 rows.append(docs[:live])
                 targets.append(before)
@@ -290,12 +321,11 @@ def _task_weights(shipped, rate: float):
 
     def run(batches):
         parts, c = shipped.value
-        counts, net = Counts(*c), Net(*[p.copy() for p in parts])
-        moments = Moments([np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts])
+        counts, trainer = Counts(*c), Trainer(parts, rate)
         slab, held, tokens = [], 0, 0
 
         def flush():
-            fit(net, np.concatenate([[0], *slab]), moments, rate)
+            trainer.fit(np.concatenate([[0], *slab]))
             slab.clear()
 
         for batch in batches:
@@ -308,7 +338,7 @@ def _task_weights(shipped, rate: float):
         if held:
             flush()
         if tokens:
-            flat = np.concatenate([p.reshape(-1) for p in net.parts()])
+            flat = trainer.weights
             lists = pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), lists], ["tokens", "weights"])
 
@@ -329,11 +359,7 @@ def train(documents: DataFrame, in_training: Column, counts: Counts) -> Net:
         mean = sets.select("tokens", F.posexplode("weights").alias("at", "w")).groupBy("at").agg(share.alias("w")).toPandas()
         shipped.unpersist()
         if len(mean):
-            flat, first, parts = mean.sort_values("at")["w"].to_numpy(np.float32), 0, []
-            for p in net.parts():
-                parts.append(flat[first:first + p.size].reshape(p.shape))
-                first += p.size
-            net = Net(*parts)
+            net = _viewed(mean.sort_values("at")["w"].to_numpy(np.float32), net.parts())
     return net
 
 
