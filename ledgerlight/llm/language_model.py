@@ -174,7 +174,7 @@ def _outputs(net: Net, h: np.ndarray, target: np.ndarray, grads: Net | None = No
     in_class = np.empty((PER_CLASS, m), h.dtype)                         # (word of the class, row)
     for k, run in runs:
         np.matmul(net.w[k].T, h[run].T, out=in_class[:, run])
-        in_class[:, run] += net.wb[k][:, None]
+    in_class += net.wb.T[:, cls[:m]]
     word = target[order[:m]] - cls[:m] * PER_CLASS
     ordered[:m] += _log_softmax(in_class)[word, at[:m]]
     out = np.empty_like(ordered)
@@ -190,8 +190,10 @@ def _outputs(net: Net, h: np.ndarray, target: np.ndarray, grads: Net | None = No
     d[word, at[:m]] -= 1
     for k, run in runs:
         grads.w[k] += (d[:, run] @ h[run]).T
-        grads.wb[k] += d[:, run].sum(axis=1)
         by_h[run] += d[:, run].T @ net.w[k].T
+    if runs:
+        present = [k for k, _ in runs]
+        grads.wb[present] += np.add.reduceat(d, edges[present], axis=1).T
     dh = np.empty_like(by_h)
     dh[order] = by_h
     return out, dh
@@ -203,27 +205,32 @@ def gradients(net: Net, ids: np.ndarray, target: np.ndarray, h: np.ndarray, grad
     steps, lanes = ids.shape
     live = (ids != 0)[:, :, None].astype(h.dtype)          # a text's end clears the state
     inputs = net.x[ids]
-    kept, states, before = [], np.empty((steps, lanes, HIDDEN), h.dtype), np.empty((steps, lanes, HIDDEN), h.dtype)
+    states, before, z, r, n, hn = (np.empty((steps, lanes, HIDDEN), h.dtype) for _ in range(6))
     for k in range(steps):
-        before[k] = h * live[k]
-        h, *gates = _step(net, inputs[k], before[k])
+        np.multiply(h, live[k], out=before[k])
+        h, z[k], r[k], n[k], hn[k] = _step(net, inputs[k], before[k])
         states[k] = h
-        kept.append(gates)
     out, dout = _outputs(net, states.reshape(-1, HIDDEN), target.reshape(-1), grads)
     dout = dout.reshape(steps, lanes, HIDDEN)
-    dx = np.empty((steps, lanes, 3 * HIDDEN), h.dtype)    # by the gates' inputs
-    dhu = np.empty_like(dx)                               # by the state's share of them
+    # what a state's gradient becomes at the gates (update, reset, new), and at the state's share of them
+    to_gates = np.empty((steps, lanes, 3, HIDDEN), h.dtype)
+    to_gates[:, :, 0] = (before - n) * z * (1 - z)
+    to_gates[:, :, 2] = (1 - z) * (1 - n * n)
+    to_gates[:, :, 1] = to_gates[:, :, 2] * hn * r * (1 - r)
+    to_share = to_gates.copy()
+    to_share[:, :, 2] *= r
+    passed = z * live
+    back = np.ascontiguousarray(net.u.T)
+    all_dh = np.empty_like(states)
     dh = np.zeros((lanes, HIDDEN), h.dtype)
     for k in range(steps - 1, -1, -1):
-        z, r, n, hn = kept[k]
-        dh = dh + dout[k]
-        dn = dh * (1 - z) * (1 - n * n)
-        dx[k, :, :HIDDEN] = dh * (before[k] - n) * z * (1 - z)
-        dx[k, :, HIDDEN:2 * HIDDEN] = dn * hn * r * (1 - r)
-        dx[k, :, 2 * HIDDEN:] = dn
-        dhu[k] = dx[k]
-        dhu[k, :, 2 * HIDDEN:] *= r
-        dh = (dh * z + dhu[k] @ net.u.T) * live[k]
+        np.add(dh, dout[k], out=all_dh[k])
+        by_share = np.multiply(to_share[k], all_dh[k][:, None], out=to_share[k])
+        dh = by_share.reshape(lanes, -1) @ back
+        dh *= live[k]
+        dh += all_dh[k] * passed[k]
+    to_gates *= all_dh[:, :, None]
+    dx, dhu = to_gates, to_share
     grads.u += before.reshape(-1, HIDDEN).T @ dhu.reshape(-1, 3 * HIDDEN)
     flat = ids.reshape(-1)
     order = np.argsort(flat, kind="stable")               # each id's gradients are added up once a window
