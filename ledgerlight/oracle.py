@@ -481,12 +481,15 @@ _q("length_auc", """
 
 _q("src_csv_roundtrip", "SELECT * FROM stg_customers")
 _q("src_csv_multi", "SELECT * FROM stg_taxi")
-HELPERS["folders_q"] = """
-    SELECT CAST(CAST(customer_id AS BIGINT) % 16 AS VARCHAR) AS folder,
-           CAST(sum(strlen(transcript) + 1) AS BIGINT) AS size
-    FROM stg_calls GROUP BY ALL"""
-_q("src_file_listing", "SELECT * FROM folders_q", **HELPERS)
-_q("src_file_lookup", "SELECT * FROM folders_q WHERE folder = '1'", **HELPERS)
+HELPERS["files_q"] = """
+    SELECT 'customer_group=' || folder || '/file=' || (before // 8192) AS name, folder, CAST(sum(size) AS BIGINT) AS size
+    FROM (SELECT folder, size, CAST(coalesce(sum(size) OVER (PARTITION BY folder ORDER BY relative_path, transcript
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+          FROM (SELECT CAST(CAST(customer_id AS BIGINT) % 16 AS VARCHAR) AS folder, relative_path, transcript,
+                       coalesce(strlen(transcript), 0) + 1 AS size FROM stg_calls))
+    GROUP BY ALL"""
+_q("src_file_listing", "SELECT * FROM files_q", **HELPERS)
+_q("src_file_lookup", "SELECT * FROM files_q WHERE folder = '1'", **HELPERS)
 _q("sink_new_table", """
     SELECT utm_medium AS medium, CAST(sum(CAST(revenue AS DECIMAL(38,6))) AS DOUBLE) AS revenue FROM touches_q
     WHERE utm_medium IS NOT NULL AND revenue IS NOT NULL GROUP BY utm_medium""", **_month)

@@ -58,3 +58,24 @@ def group_index(df: DataFrame, keys: list[str], order: list[Column],
     return (ranged.join(offsets, [*keys, "_slice"], "inner")
                   .withColumn(index_col, index.cast("long"))
                   .drop("_slice", "_pos", "_first", "_offset"))
+
+
+def running_before(df: DataFrame, keys: list[str], order: list[Column], value: Column, out: str,
+                   slices: int | None = None) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` over the rows of the same keys that come earlier (0 for the first).
+
+    As ``group_index``, with sums in place of counts: a hot key spreads over
+    the slices.  Rows equal in keys and order share a slice.
+    """
+    n = slices or _slices(df)
+    by = [F.col(k) for k in keys]
+    ranged = (df.withColumn("_value", value).repartitionByRange(n, *by, *order).sortWithinPartitions(*by, *order)
+                .withColumn("_slice", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()))
+    ranged = cut_lineage(ranged)              # sampled bounds: one slicing for both branches
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(*keys, "_slice").agg(F.sum("_value").alias("_sum"))
+               .select(*keys, "_slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset")))
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+                  .join(offsets, [*keys, "_slice"]).withColumn(out, F.col("_offset") + F.col("_inside"))
+                  .drop("_slice", "_pos", "_value", "_inside", "_offset"))

@@ -465,31 +465,27 @@ def q_src_csv_multi(spark, d):
     return files.read_csv(spark, root, trips.schema)
 
 
-#: Folders that the call files are dealt to, by customer.
-CALL_FOLDERS = 16
+#: Folders that the call files are dealt to, by customer; size of a file (some eight calls: the listing of many files is the query).
+CALL_FOLDERS, CALL_FILE_BYTES = 16, 1 << 13
 
 
 def _call_files(spark, d):
     folder = (F.col("customer_id").cast("long") % CALL_FOLDERS).alias("customer_group")
-    calls = fx.stg_calls(spark, d).select(folder, "transcript")
-    return files.list_files(spark, files.write_text_files(calls, scratch_path(spark, "call-files"),
-                                                          "customer_group", "transcript"))
-
-
-def _folder_sizes(listing):
-    return listing.groupBy("folder").agg(F.sum("size").alias("size"))
+    calls = fx.stg_calls(spark, d).select(folder, F.col("relative_path").alias("call"), "transcript")
+    root = files.write_text_files(calls, scratch_path(spark, "call-files"), "customer_group", ["call"], "transcript", CALL_FILE_BYTES)
+    return files.list_files(spark, root)
 
 
 @query("src_file_listing")
 def q_src_file_listing(spark, d):
-    """Call files listed by metadata only: folder read from the path, size."""
-    return _folder_sizes(_call_files(spark, d))
+    """Call files listed by metadata only: each file's name, its folder read from the path, its size."""
+    return _call_files(spark, d).select("name", "folder", "size")
 
 
 @query("src_file_lookup")
 def q_src_file_lookup(spark, d):
     """The files of one group of customers, found by their relative path."""
-    return _folder_sizes(files.files_like(_call_files(spark, d), "customer_group=1/"))
+    return files.files_like(_call_files(spark, d), "customer_group=1/").select("name", "folder", "size")
 
 
 @query("sink_overwrite")

@@ -4,6 +4,7 @@
   or a whole directory of part files, become one DataFrame in one read.
 * A directory of binary files is listed with the ``binaryFile`` source
   without its ``content`` column, so only file metadata is read.
+* Texts are packed into files of a bounded size, whose names follow from the rows.
 """
 
 from __future__ import annotations
@@ -12,6 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlight.plans.ordering import running_before
+
+#: Size of a packed text file, to within one text.
+FILE_BYTES = 128 << 20
+
 # Text forms of timestamps in CSV files (microseconds kept).
 CSV_OPTIONS = {
     "header": "true",
@@ -35,22 +41,42 @@ def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType) ->
             .option("mode", "FAILFAST").option("recursiveFileLookup", "true").csv(paths))
 
 
-def write_text_files(df: DataFrame, root: str, folder_col: str, text_col: str, per_folder: int = 1) -> str:
-    """Texts as files, one folder per ``folder_col`` value (few) of ``per_folder`` files each."""
-    part = F.pmod(F.xxhash64(text_col), F.lit(per_folder))
-    (df.select(folder_col, text_col).repartition(F.col(folder_col), part)
-       .write.mode("overwrite").partitionBy(folder_col).text(root))
+def pack(df: DataFrame, folder_col: str, order: list[str], text_col: str, file_bytes: int) -> DataFrame:
+    """Adds ``file``: the number of the file, within its folder, that a text goes to.
+
+    A folder's texts lie one after another in ``order`` (a key of the texts, ties
+    by text), a line each; a text goes to the file in whose ``file_bytes`` it
+    starts.  So a file outgrows the bound by less than one text, the number of
+    files follows the data, and the numbers are a function of the rows alone.
+    """
+    line = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint") + 1
+    placed = running_before(df, [folder_col], [F.col(c) for c in (*order, text_col)], line, "_before")
+    return placed.withColumn("file", F.floor(F.col("_before") / F.lit(file_bytes)).cast("bigint")).drop("_before")
+
+
+def write_text_files(df: DataFrame, root: str, folder_col: str, order: list[str], text_col: str,
+                     file_bytes: int = FILE_BYTES) -> str:
+    """Texts as files of about ``file_bytes`` (``pack``), each alone under its stable name ``<folder>/file=<number>``.
+
+    A file is one task's work, whatever share of the texts its folder holds.
+    """
+    packed = pack(df.select(folder_col, *order, text_col), folder_col, order, text_col, file_bytes)
+    (packed.repartition(folder_col, "file").sortWithinPartitions(folder_col, "file", *order, text_col)
+           .select(folder_col, "file", text_col).write.mode("overwrite").partitionBy(folder_col, "file").text(root))
     return root
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """File listing from metadata: path below the root, its folder, size, modification time."""
+    """File listing from metadata: path below the root, its stable name (the path without the part
+    file that Spark names), its outer folder's value, size, modification time (S5, V8)."""
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt")
                .option("recursiveFileLookup", "true").load(root).drop("content"))
-    relative = F.element_at(F.split("path", "/"), -2)
+    base = root.rstrip("/").rsplit("/", 1)[-1]
+    relative = F.substring_index("path", f"/{base}/", -1)
     return listing.select(
-        F.concat(relative, F.lit("/"), F.element_at(F.split("path", "/"), -1)).alias("relative_path"),
-        F.substring_index(relative, "=", -1).alias("folder"),
+        relative.alias("relative_path"),
+        F.regexp_replace(relative, "/[^/]*$", "").alias("name"),
+        F.substring_index(F.substring_index(relative, "/", 1), "=", -1).alias("folder"),
         F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
