@@ -26,7 +26,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import IDF, HashingTF, IDFModel, Normalizer
 from pyspark.sql import DataFrame, SparkSession
@@ -71,10 +70,14 @@ class Writer:
     def save(self, path: str) -> None:
         spark = SparkSession.getActiveSession()
         self.model.idf.write().overwrite().save(f"{path}/idf")
-        basis = pd.DataFrame({"term": np.arange(len(self.model.basis)), "v": list(self.model.basis)})
-        spark.createDataFrame(basis, "term long, v array<double>").write.mode("overwrite").parquet(f"{path}/basis")
-        values = pd.DataFrame({"place": np.arange(len(self.model.singular_values)), "value": self.model.singular_values})
-        spark.createDataFrame(values, "place long, value double").write.mode("overwrite").parquet(f"{path}/singular_values")
+        basis = np.ascontiguousarray(self.model.basis, dtype=np.float64)
+        vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(basis) + 1, dtype=np.int32) * basis.shape[1]), pa.array(basis.ravel()))
+        # Arrow tables: rows of a pandas frame are refused where the session has no Arrow transfer
+        spark.createDataFrame(pa.table({"term": np.arange(len(basis)), "v": vectors}), "term long, v array<double>") \
+            .write.mode("overwrite").parquet(f"{path}/basis")
+        values = np.asarray(self.model.singular_values, dtype=np.float64)
+        spark.createDataFrame(pa.table({"place": np.arange(len(values)), "value": values}), "place long, value double") \
+            .write.mode("overwrite").parquet(f"{path}/singular_values")
 
 
 def _counted(df: DataFrame, text_col: str, features: int) -> DataFrame:

@@ -78,3 +78,17 @@ def test_a_logged_model_gives_the_same_vectors(spark, docs, tmp_path):
     assert (loaded.basis == model.basis).all() and (loaded.singular_values == model.singular_values).all()
     one, two = ({r.doc_id: r.vector for r in dense_text.transform(m, docs).collect()} for m in (model, loaded))
     assert one == two
+
+
+def test_a_model_is_logged_where_the_session_has_no_arrow_transfer(spark, tmp_path):
+    values = np.arange(12.0).reshape(4, 3)
+    counts = dense_text._counted(spark.createDataFrame([("a b",), ("b c",)], "text string"), "text", 4).select("_counts")
+    idf = dense_text.IDF(inputCol="_counts", outputCol="_weights").fit(counts)
+    before = spark.conf.get("spark.sql.execution.arrow.pyspark.enabled")
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "false")
+    try:
+        dense_text.DenseText(idf, values, np.array([3.0, 2.0, 1.0])).write().save(str(tmp_path / "model"))
+        loaded = dense_text.DenseText.load(str(tmp_path / "model"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", before)
+    assert (loaded.basis == values).all() and loaded.singular_values.tolist() == [3.0, 2.0, 1.0]
