@@ -70,3 +70,24 @@ def test_calendar_and_customer_months(spark):
     periods = spark.createDataFrame([(1, 1, D(2019, 6, 1), D(2021, 1, 1), 1.0)], SCHEMA)
     months = revenue.customer_months(periods, "2020-01-01", "2020-03-31").collect()
     assert [r.date_month for r in months] == [D(2020, 1, 1), D(2020, 2, 1), D(2020, 3, 1)]
+
+
+def test_tasks_grow_with_the_months_and_the_rows_stay(spark, monkeypatch):
+    rows = [(1, 1, D(2020, 1, 1), D(2020, 3, 1), 10.0), (1, 1, D(2020, 2, 1), D(2020, 5, 1), 20.0),      # overlap
+            (2, None, D(2020, 1, 1), D(2020, 6, 1), 10.0), (3, 2, D(2020, 3, 1), D(2020, 9, 1), 0.0),
+            (4, 3, D(2020, 1, 1), None, 5.0), (5, 3, D(2020, 2, 1), D(2020, 12, 1), None)]
+    rows += [(9 + c, 9 + c, D(2020, 1, 1), D(2020, 12, 1), 10.0 + c) for c in range(20)]
+    periods = spark.createDataFrame(rows, SCHEMA)
+
+    def run():
+        df = revenue.mrr(periods, "2020-01-01", "2020-12-31")
+        return df.rdd.getNumPartitions(), sorted(map(str, df.collect()))
+
+    few, one = run()
+    monkeypatch.setattr(revenue, "TASK_MONTHS", 10)
+    many, two = run()
+    assert few == 1 and many > 40                  # some 500 months of spans and periods
+    assert one == two
+    by_month = sorted((r.date_month, r.mrr, r.previous_month_mrr) for r in revenue.mrr(periods, "2020-01-01", "2020-12-31").collect() if r.customer_id == 1)
+    assert by_month == [(D(2020, 1, 1), 10.0, 0.0), (D(2020, 2, 1), 10.0, 10.0), (D(2020, 2, 1), 20.0, 10.0),
+                        (D(2020, 3, 1), 20.0, 20.0), (D(2020, 4, 1), 20.0, 20.0), (D(2020, 5, 1), 0.0, 20.0)]
