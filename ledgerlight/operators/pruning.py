@@ -19,8 +19,8 @@ Common words weigh little and have most rows, so they are set aside and cost
 nothing.  A query with fewer than ``k`` seeds sets nothing aside: its result is
 exact as well.  Rows that are read are dealt by document right after the join on
 the term (which AQE can split, as no aggregation follows before the shuffle); the
-candidates of a document are summed and scored in its task.  What a query holds is
-bounded by its terms times ``LAYERS``.
+candidates of a document are summed and scored in its task, and the number of these
+tasks grows with the rows.  What a query holds is bounded by its terms times ``LAYERS``.
 """
 
 from __future__ import annotations
@@ -28,12 +28,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlight.plans.lineage import materialize
+from ledgerlight.plans.lineage import dealt, materialize, tasks_for
 
 #: Layers of a term's weights (the last is open) and entries of a query whose heaviest document is scored first.
 LAYERS, SEEDS = 12, 48
 #: Scores are compared after rounding to six digits, and sums differ in their last bits.
 SLACK = 2e-6
+#: Rows (document, term) that a task sorts to score its documents.
+TASK_ROWS = 500_000
 
 
 def layered(vectors: DataFrame, q_terms: DataFrame) -> DataFrame:
@@ -50,9 +52,9 @@ def query_entries(q_terms: DataFrame, postings: DataFrame, doc_id: str) -> DataF
     return q_terms.join(entries, "term")
 
 
-def scores(pairs: DataFrame, postings: DataFrame, q_terms: DataFrame, query_id: str, doc_id: str) -> DataFrame:
+def scores(pairs: DataFrame, postings: DataFrame, q_terms: DataFrame, query_id: str, doc_id: str, tasks: int = 1) -> DataFrame:
     """(doc, query, score) of distinct (doc, query) pairs over all their shared terms."""
-    return (pairs.join(postings.select(doc_id, "term", "weight"), doc_id).join(q_terms, [query_id, "term"])
+    return (pairs.join(dealt(postings.select(doc_id, "term", "weight"), tasks, doc_id), doc_id).join(q_terms, [query_id, "term"])
             .groupBy(doc_id, query_id).agg(F.sum(F.col("qw") * F.col("weight")).alias("score")))
 
 
@@ -67,7 +69,7 @@ def floors(entries: DataFrame, postings: DataFrame, q_terms: DataFrame, k: int,
 
 
 def read_entries(entries: DataFrame, least: DataFrame, query_id: str) -> DataFrame:
-    """(query, term, layer, qw, floor, aside): the entries that must be read; ``aside`` is what the others can add.
+    """(query, term, layer, qw, n, floor, aside): the entries that must be read; ``aside`` is what the others can add.
 
     A term's layers are set aside from its smallest weights up: each costs its
     largest weight over that of the layer below.  The order is by rows per cost,
@@ -85,12 +87,18 @@ def read_entries(entries: DataFrame, least: DataFrame, query_id: str) -> DataFra
     whole = Window.partitionBy(query_id)
     aside = F.sum(F.when(F.col("cut"), F.col("cost")).otherwise(0.0)).over(whole)
     return (rows.withColumn("aside", aside).where(~F.col("cut"))
-            .select(query_id, "term", "layer", "qw", F.coalesce("floor", F.lit(0.0)).alias("floor"), "aside"))
+            .select(query_id, "term", "layer", "qw", "n", F.coalesce("floor", F.lit(0.0)).alias("floor"), "aside"))
 
 
-def candidates(to_read: DataFrame, postings: DataFrame, query_id: str, doc_id: str) -> DataFrame:
+def _tasks(to_read: DataFrame, postings: DataFrame) -> int:
+    """Tasks by the rows that the queries read (each entry knows its own) or those of all entries."""
+    return tasks_for(max(to_read.agg(F.sum("n")).first()[0] or 0, postings.count()), TASK_ROWS)
+
+
+def candidates(to_read: DataFrame, postings: DataFrame, query_id: str, doc_id: str, tasks: int = 1) -> DataFrame:
     """(doc, query) pairs that can still be among the best."""
-    return (postings.join(to_read, ["term", "layer"]).repartition(doc_id).groupBy(doc_id, query_id)
+    read = postings.join(to_read.drop("n"), ["term", "layer"]).repartition(doc_id)
+    return (dealt(read, tasks, doc_id).groupBy(doc_id, query_id)
             .agg(F.sum(F.col("qw") * F.col("weight")).alias("part"), F.first("floor").alias("floor"), F.first("aside").alias("aside"))
             .where(F.col("part") + F.col("aside") >= F.col("floor") - SLACK).select(doc_id, query_id))
 
@@ -111,4 +119,5 @@ def best_scores(vectors: DataFrame, q_terms: DataFrame, k: int, query_id: str, d
     term that occurs have no row.
     """
     postings, to_read = prepare(vectors, q_terms, k, query_id, doc_id)
-    return scores(candidates(to_read, postings, query_id, doc_id), postings, q_terms, query_id, doc_id)
+    tasks = _tasks(to_read, postings)
+    return scores(candidates(to_read, postings, query_id, doc_id, tasks), postings, q_terms, query_id, doc_id, tasks)

@@ -13,7 +13,11 @@ asks it for the nearest objects to a text.  Here a collection is a table
   split into terms, so term counts and scores of a document stay in its task.
   What a term is joined to is a written table, so Spark broadcasts it where it
   is small, and else AQE can split the rows of a word that most documents hold
-  (it can't where an aggregation lies between a join and its shuffle).
+  (it can't where an aggregation lies between a join and its shuffle).  The
+  number of tasks grows with the characters of the texts and with the rows, so
+  that what a task counts or sorts stays the same at any size; from where this
+  is more than the session's partitions, a word with more rows than a task
+  takes is dealt to several by document.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from pyspark.sql import types as T
 from ledgerlight.functions.hashing import row_uuid
 from ledgerlight.functions.text import tokens
 from ledgerlight.operators.pruning import best_scores
-from ledgerlight.plans.lineage import materialize
+from ledgerlight.plans.lineage import dealt, materialize, tasks_for
 
 # Search depth of near-text (3) and question (1) search.
 NEAR_TEXT_K = 3
@@ -38,6 +42,10 @@ SCORE_DIGITS = 6
 
 #: Queries shipped to the tasks at a time, and corpus rows scored at a time.
 QUERY_TILE, ROW_TILE = 4096, 1024
+#: Characters that a task splits into terms and counts (some 160 MB), and rows (document, term) that it sorts.
+TASK_CHARS, TASK_ROWS = 4_000_000, 500_000
+#: Up to this many terms, Spark decides alone how their frequencies reach the rows: it broadcasts them.
+FEW_TERMS = 1 << 19
 
 
 # -- collections --------------------------------------------------------------
@@ -162,7 +170,10 @@ def _scorer(tile, k: int, id_col: str, vector_col: str):
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, term, tf) over the whole text, a document's rows in one partition."""
-    return (docs.select(id_col, text_col).repartition(id_col)
+    chars = docs.select(F.sum(F.length(text_col))).first()[0] or 0
+    tasks = tasks_for(chars, TASK_CHARS)
+    texts = docs.select(id_col, text_col)
+    return (dealt(texts.repartition(id_col), tasks, id_col)
             .select(id_col, F.explode(tokens(F.col(text_col))).alias("term"))
             .groupBy(id_col, "term").agg(F.count("*").alias("tf")))
 
@@ -176,11 +187,11 @@ def _idf(df_col: Column, n_docs: Column) -> Column:
     return F.ln((n_docs + F.lit(1.0)) / (df_col + F.lit(1.0)))
 
 
-def _normalise(weights: DataFrame, id_col: str) -> DataFrame:
+def _normalise(weights: DataFrame, id_col: str, tasks: int = 1) -> DataFrame:
     # a document's rows are its distinct terms: the window group is bounded
     # by the vocabulary of one text, not by the data size
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return weights.withColumn("weight", F.col("w") / norm).drop("w")
+    return dealt(weights, tasks, id_col).withColumn("weight", F.col("w") / norm).drop("w")
 
 
 def _fitted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, Column]:
@@ -189,11 +200,28 @@ def _fitted(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
     return tf, materialize(document_frequency(tf), "df"), docs.select(F.count("*").cast("double")).scalar()
 
 
+def _with_frequency(tf: DataFrame, dfs: DataFrame, id_col: str, tasks: int) -> DataFrame:
+    """``tf`` with the ``df`` of each term, sorted by term in ``tasks`` tasks where there are many terms and rows.
+
+    Terms with more than ``TASK_ROWS`` rows (at most as many as tasks) go to several tasks by document.
+    """
+    if tasks <= int(tf.sparkSession.conf.get("spark.sql.shuffle.partitions")) or dfs.count() <= FEW_TERMS:
+        return tf.join(dfs, "term")
+    shares = F.floor(F.col("df") / TASK_ROWS).cast("int") + 1
+    hot = dfs.select("term", shares.alias("_shares")).where("_shares > 1")
+    share = F.coalesce(F.pmod(F.xxhash64(id_col), F.col("_shares")).cast("int"), F.lit(0))
+    rows = tf.join(F.broadcast(hot), "term", "left").withColumn("_share", share).drop("_shares")
+    spread = dfs.withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    keys = ["term", "_share"]
+    return rows.repartition(tasks, *keys).join(spread.repartition(tasks, *keys), keys).drop("_share")
+
+
 def text_vectors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """Unit-length TF-IDF vectors in long form plus the fitted (term, df) table and N."""
     tf, dfs, n_docs = _fitted(docs, id_col, text_col)
-    w = tf.join(dfs, "term").select(id_col, "term", (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
-    return _normalise(w, id_col), dfs, n_docs
+    tasks = tasks_for(tf.count(), TASK_ROWS)
+    w = _with_frequency(tf, dfs, id_col, tasks).select(id_col, "term", (F.col("tf") * _idf(F.col("df"), n_docs)).alias("w"))
+    return _normalise(w, id_col, tasks), dfs, n_docs
 
 
 def query_terms(queries: DataFrame, dfs: DataFrame, n_docs: Column, query_id: str, text_col: str = "text") -> DataFrame:

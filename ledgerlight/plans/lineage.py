@@ -59,6 +59,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return written
 
 
+def tasks_for(amount: int, most: int) -> int:
+    """Tasks that ``amount`` of work goes to, about ``most`` each."""
+    return int(amount // most) + 1
+
+
+def dealt(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in ``tasks`` tasks, where these are more than the partitions that Spark would deal it to."""
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(tasks, *keys)
+
+
 def discard(*written: DataFrame | None) -> None:
     """Remove the files of ``materialize`` results that no later step reads (None is passed over)."""
     for df in written:

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.hashing import row_name, uuid5
-from ledgerlight.operators import text, vectors
+from ledgerlight.operators import pruning, text, vectors
 
 
 def test_uuid5_equals_python(spark):
@@ -110,3 +110,27 @@ def test_rows_of_a_hot_word_are_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_tasks_grow_with_the_texts_and_the_rows_stay(spark, monkeypatch):
+    rows = [(i, f"the and word{i % 40} word{i % 7} own{i}") for i in range(300)]
+    docs = spark.createDataFrame([*rows, (3, "the other word3"), (None, "the null id"), (301, None), (302, "")], "doc_id long, text string")
+    queries = docs.where("doc_id < 20").withColumnRenamed("doc_id", "item_id").dropDuplicates(["item_id"])
+
+    def run():
+        counts = vectors.term_counts(docs, "doc_id", "text").rdd.getNumPartitions()
+        weights, _, _ = vectors.text_vectors(docs)
+        best = sorted(map(str, vectors.search_text(queries, docs, k=2).collect()))
+        return counts, weights.rdd.getNumPartitions(), sorted((str(r.doc_id), r.term, round(r.weight, 9)) for r in weights.collect()), best
+
+    few = run()
+    monkeypatch.setattr(vectors, "TASK_CHARS", 300)
+    monkeypatch.setattr(vectors, "TASK_ROWS", 40)             # "the" and "and" have more rows than a task takes
+    monkeypatch.setattr(pruning, "TASK_ROWS", 40)
+    broadcast = run()
+    monkeypatch.setattr(vectors, "FEW_TERMS", 0)
+    sorted_ = run()
+    assert few[0] <= 8 and few[1] <= 8
+    assert all(x[0] > 16 and x[1] > 16 for x in (broadcast, sorted_))
+    assert few[2:] == broadcast[2:] == sorted_[2:]
+    assert len(few[2]) > 1200
