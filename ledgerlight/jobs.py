@@ -105,8 +105,7 @@ def training_vectors(spark: SparkSession, sf_dir: str) -> tuple[DenseText, DataF
     """The dense text model of the labelled texts, and their (uuid, features, label) through a collection of
     objects with vectors."""
     texts = text.clean_training(fx.stg_training(spark, sf_dir))
-    dense = dense_text.fit(texts, "review_text")
-    objects = dense_text.transform(dense, texts, "review_text")
+    dense, objects = dense_text.fit_transform(texts, "review_text")
     coll = vectors.flatten(vectors.collection(
         objects, ["doc_id", "review_text", "label"], "vector", text.TRAINING_CLASS))
     return dense, classifier.labelled_vectors(coll, "uuid", "vector", F.col("label") == "1")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.text import tokens
-from ledgerlight.plans.lineage import materialize
+from ledgerlight.plans.lineage import discard, materialize
 
 DIMENSIONS, OVERSAMPLE, POWER = 64, 16, 2
 FEATURES, SEED = 1 << 15, 7
@@ -98,30 +98,28 @@ def _functions():
         import numpy as np
         terms, weights = rows.field("indices"), rows.field("values")
         offsets = terms.offsets.to_numpy().astype(np.int64)
-        return offsets - offsets[0], terms.flatten().to_numpy(), weights.flatten().to_numpy()
+        return offsets - offsets[0], terms.flatten().to_numpy().astype(np.int64), weights.flatten().to_numpy()
 
-    def projected(offsets, terms, weights, basis, most=1 << 15):
-        """Rows times ``basis``, by runs of rows of about ``most`` terms."""
+    def projected(offsets, terms, weights, basis):
+        """Rows times ``basis``: a product of a row's weights and its terms' rows of ``basis`` at a time, which stay in cache."""
         import numpy as np
         out = np.zeros((len(offsets) - 1, basis.shape[1]))
-        filled = np.flatnonzero(np.diff(offsets))
-        at = 0
-        while at < len(filled):
-            stop = max(at + 1, int(np.searchsorted(offsets[filled + 1], offsets[filled[at]] + most, "right")))
-            a, b = offsets[filled[at]], offsets[filled[stop - 1] + 1]
-            out[filled[at:stop]] = np.add.reduceat(weights[a:b, None] * basis[terms[a:b]], offsets[filled[at:stop]] - a, axis=0)
-            at = stop
+        bounds = offsets.tolist()
+        for i in np.flatnonzero(np.diff(offsets)).tolist():
+            a, b = bounds[i], bounds[i + 1]
+            np.dot(weights[a:b], basis.take(terms[a:b], axis=0), out=out[i])
         return out
 
-    def pulled_back(offsets, terms, weights, y, total, most=1 << 15):
-        """Add the transposed rows times ``y`` to ``total``."""
+    def pulled_back(offsets, terms, weights, y, total):
+        """Add the transposed rows times ``y`` to ``total``; a row has a term once."""
         import numpy as np
-        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        order = np.argsort(terms, kind="stable")
-        for low in range(0, len(order), most):
-            part = order[low:low + most]
-            first = np.flatnonzero(np.diff(terms[part], prepend=-1))
-            total[terms[part[first]]] += np.add.reduceat(weights[part, None] * y[row[part]], first, axis=0)
+        bounds = offsets.tolist()
+        for i in np.flatnonzero(np.diff(offsets)).tolist():
+            a, b = bounds[i], bounds[i + 1]
+            own = terms[a:b]
+            sums = total.take(own, axis=0)
+            sums += weights[a:b, None] * y[i]
+            total[own] = sums
 
     def emit(total):
         """The rows of a task's sum that hold anything."""
@@ -147,7 +145,7 @@ def _table(rows: DataFrame, fold, keys: int, width: int) -> np.ndarray:
 
 def _power_step(rows: DataFrame, z: np.ndarray) -> np.ndarray:
     """A^T (A z) over all rows."""
-    shipped = rows.sparkSession.sparkContext.broadcast(z)
+    shipped = rows.sparkSession.sparkContext.broadcast(np.ascontiguousarray(z))
     sparse, projected, pulled_back, emit = _functions()
     shape = z.shape
 
@@ -166,7 +164,7 @@ def _power_step(rows: DataFrame, z: np.ndarray) -> np.ndarray:
 
 def _gram(rows: DataFrame, q: np.ndarray) -> np.ndarray:
     """(A q)^T (A q) over all rows."""
-    shipped = rows.sparkSession.sparkContext.broadcast(q)
+    shipped = rows.sparkSession.sparkContext.broadcast(np.ascontiguousarray(q))
     sparse, projected, _, emit = _functions()
     width = q.shape[1]
 
@@ -186,11 +184,26 @@ def _gram(rows: DataFrame, q: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, text_col: str = "text", dimensions: int = DIMENSIONS, oversample: int = OVERSAMPLE,
         power: int = POWER, features: int = FEATURES, seed: int = SEED) -> DenseText:
     """The model of the rows of ``docs``."""
-    counted = materialize(_counted(docs.select(text_col), text_col, features).select("_counts"), "term-counts")
+    return _fit(docs.select(text_col), text_col, dimensions, oversample, power, features, seed)[0]
+
+
+def fit_transform(docs: DataFrame, text_col: str = "text", out_col: str = "vector", dimensions: int = DIMENSIONS,
+                  oversample: int = OVERSAMPLE, power: int = POWER, features: int = FEATURES, seed: int = SEED) -> tuple[DenseText, DataFrame]:
+    """``fit`` and ``transform`` of the same ``docs``: their texts are split and counted once, beside their columns."""
+    model, rows = _fit(docs, text_col, dimensions, oversample, power, features, seed)
+    return model, _projected(model, rows, out_col).select(*docs.columns, out_col)
+
+
+def _fit(docs: DataFrame, text_col: str, dimensions: int, oversample: int, power: int, features: int,
+         seed: int) -> tuple[DenseText, DataFrame]:
+    """(the model, ``docs`` with their unit TF-IDF rows, written)."""
+    written = materialize(_counted(docs, text_col, features), "term-counts")
+    counted = written.select("_counts")
     if counted.isEmpty():                # one empty text: no term has a weight
         counted = _counted(docs.sparkSession.createDataFrame([("",)], f"`{text_col}` string"), text_col, features).select("_counts")
     idf = IDF(inputCol="_counts", outputCol="_weights").fit(counted)
-    rows = materialize(_unit_rows(counted, idf).select("_row"), "tfidf-rows")
+    rows = materialize(_unit_rows(written, idf), "tfidf-rows")
+    discard(written)
     z = np.random.default_rng(seed).standard_normal((features, min(dimensions + oversample, features)))
     for _ in range(1 + power):
         z = np.linalg.qr(_power_step(rows, z))[0]
@@ -200,13 +213,17 @@ def fit(docs: DataFrame, text_col: str = "text", dimensions: int = DIMENSIONS, o
     basis = z @ vectors[:, order]
     basis *= np.sign(basis[np.abs(basis).argmax(axis=0), np.arange(basis.shape[1])])     # a vector's largest component is positive
     basis[:, singular <= 1e-9 * max(singular.max(initial=0.0), 1e-300)] = 0.0
-    return DenseText(idf, basis, singular)
+    return DenseText(idf, basis, singular), rows
 
 
 def transform(model: DenseText, df: DataFrame, text_col: str = "text", out_col: str = "vector") -> DataFrame:
     """``df`` with the dense unit vector of each text (zeros where a text has no known direction)."""
-    rows = _unit_rows(_counted(df, text_col, model.basis.shape[0]), model.idf)
-    shipped = df.sparkSession.sparkContext.broadcast(model.basis)
+    return _projected(model, _unit_rows(_counted(df, text_col, model.basis.shape[0]), model.idf), out_col)
+
+
+def _projected(model: DenseText, rows: DataFrame, out_col: str) -> DataFrame:
+    """``rows`` with the dense unit vector of their unit TF-IDF row, in place of that."""
+    shipped = rows.sparkSession.sparkContext.broadcast(np.ascontiguousarray(model.basis))
     sparse, projected, _, _ = _functions()
     ready = {}
 

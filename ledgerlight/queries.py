@@ -278,9 +278,7 @@ def q_text_embed(spark, d):
 
 def _dense_documents(spark, d):
     """(dense model, documents with their dense vector)."""
-    docs = fx.stg_documents(spark, d)
-    model = dense_text.fit(docs)
-    return model, dense_text.transform(model, docs)
+    return dense_text.fit_transform(fx.stg_documents(spark, d))
 
 
 @query("text_dense")

@@ -92,3 +92,17 @@ def test_a_model_is_logged_where_the_session_has_no_arrow_transfer(spark, tmp_pa
     finally:
         spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", before)
     assert (loaded.basis == values).all() and loaded.singular_values.tolist() == [3.0, 2.0, 1.0]
+
+
+def test_texts_are_counted_once_for_the_model_and_their_vectors(docs, monkeypatch):
+    model = dense_text.fit(docs, dimensions=R, features=FEATURES)
+    want = {r.doc_id: np.array(r.vector) for r in dense_text.transform(model, docs).collect()}
+    counted, calls = dense_text._counted, []
+    monkeypatch.setattr(dense_text, "_counted", lambda *given: calls.append(given) or counted(*given))
+    again, rows = dense_text.fit_transform(docs, dimensions=R, features=FEATURES)
+    got = {r.doc_id: np.array(r.vector) for r in rows.collect()}
+    assert rows.columns == ["doc_id", "text", "vector"] and len(calls) == 1
+    assert np.allclose(again.singular_values, model.singular_values, rtol=1e-9)
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], atol=1e-6) for k in want)
+    none, empty = dense_text.fit_transform(docs.where("doc_id < 0"), dimensions=R, features=FEATURES)
+    assert empty.collect() == [] and not none.basis.any()
