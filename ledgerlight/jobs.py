@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ledgerlight.operators import attribution, commerce, dense_text, presentation, registry, revenue, taxi, text, vectors
 from ledgerlight.operators import sentiment as classifier
 from ledgerlight.operators.dense_text import DenseText
+from ledgerlight.plans.lineage import materialize
 from ledgerlight.sources import catalog
 from ledgerlight.sources import fixtures as fx
 
@@ -103,12 +104,12 @@ def sentiment_model(spark: SparkSession, sf_dir: str):
 
 def training_vectors(spark: SparkSession, sf_dir: str) -> tuple[DenseText, DataFrame]:
     """The dense text model of the labelled texts, and their (uuid, features, label) through a collection of
-    objects with vectors."""
+    objects with vectors, written: the tree learner and the scores read them several times."""
     texts = text.clean_training(fx.stg_training(spark, sf_dir))
     dense, objects = dense_text.fit_transform(texts, "review_text")
     coll = vectors.flatten(vectors.collection(
         objects, ["doc_id", "review_text", "label"], "vector", text.TRAINING_CLASS))
-    return dense, classifier.labelled_vectors(coll, "uuid", "vector", F.col("label") == "1")
+    return dense, materialize(classifier.labelled_vectors(coll, "uuid", "vector", F.col("label") == "1"), "labelled-vectors")
 
 
 def taxi_regression(spark: SparkSession, sf_dir: str, database: str | None = None,

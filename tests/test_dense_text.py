@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 
+from ledgerlight import jobs
 from ledgerlight.operators import dense_text, vectors
 from ledgerlight.operators.registry import Registry
 
@@ -106,3 +107,12 @@ def test_texts_are_counted_once_for_the_model_and_their_vectors(docs, monkeypatc
     assert got.keys() == want.keys() and all(np.allclose(got[k], want[k], atol=1e-6) for k in want)
     none, empty = dense_text.fit_transform(docs.where("doc_id < 0"), dimensions=R, features=FEATURES)
     assert empty.collect() == [] and not none.basis.any()
+
+
+def test_labelled_vectors_are_written_before_they_are_read_again(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "good fine text", "1"), (2, "bad poor\ntext", "0"), (3, " ", "1"), (4, "good", None)],
+                                 "doc_id long, review_text string, label string")
+    monkeypatch.setattr(jobs.fx, "stg_training", lambda spark, d: rows)
+    dense, data = jobs.training_vectors(spark, "unused")
+    assert sorted(r.label for r in data.collect()) == [0.0, 1.0] and data.columns == ["uuid", "features", "label"]
+    assert "ArrowEvalPython" not in data._jdf.queryExecution().executedPlan().toString()
