@@ -362,12 +362,15 @@ def _split(texts: DataFrame, build_sets) -> tuple[DataFrame, DataFrame]:
     """((bucket, size, ka, kb) of the final buckets of all paths, the sets of their classes)."""
     band = F.least(F.lit(62), F.floor(F.log(F.col("n")) / F.log(F.lit(BELOW / ABOVE)) + 1e-9)).cast("int")
     rows = texts.select(F.explode("paths").alias("bucket"), "ka", "kb", band.alias("band"), F.lit(None).cast("bigint").alias("parent"))
-    leaves, sets, splitting, paths = [], None, None, None
+    leaves, sets, paths = [], None, None
     for depth in range(1, MAX_DEPTH + 1):
         rows, nodes = _nodes(rows)
         if sets is None:
-            wanted = materialize(_of(rows, nodes).select("ka", "kb").distinct(), "wanted")
+            # classes of deeper buckets are among those of the first ones that are split
+            split = F.max((F.col("size") > BUCKET).cast("int")).alias("split")
+            wanted = materialize(_of(rows, nodes).groupBy("ka", "kb").agg(split), "wanted")
             sets = build_sets(wanted)
+            splitting = sets.where("split = 1").select("ka", "kb", "tokens")
             discard(wanted)
         final = (F.col("size") <= BUCKET) | (F.col("size") >= STUCK * F.coalesce("parent", F.lit(float("inf")))) | F.lit(depth == MAX_DEPTH)
         leaves.append(_leaves(rows, nodes.where(final)))
@@ -377,9 +380,6 @@ def _split(texts: DataFrame, build_sets) -> tuple[DataFrame, DataFrame]:
         discard(rows, nodes, paths)
         if last:
             break
-        # classes of deeper buckets are among those of the first ones that are split
-        if splitting is None:
-            splitting = materialize(sets.join(members.select("ka", "kb").distinct(), ["ka", "kb"], "left_semi"), "splitting")
         common = _set_aside(members, splitting)
         children = F.arrow_udf(_children, "struct<paths:array<bigint>,core:boolean>").asNondeterministic()
         none = F.array().cast("array<int>")
@@ -393,7 +393,6 @@ def _split(texts: DataFrame, build_sets) -> tuple[DataFrame, DataFrame]:
         leaves.append(_leaves(core, nodes))
         discard(core, nodes)
         rows = paths.select("ka", "kb", "band", "parent", F.explode("paths").alias("bucket"))
-    discard(splitting)
     union = leaves[0]
     for part in leaves[1:]:
         union = union.unionByName(part)
@@ -402,7 +401,7 @@ def _split(texts: DataFrame, build_sets) -> tuple[DataFrame, DataFrame]:
 
 def _candidates(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(records, texts, leaves, sets): (doc_id, t, ka, kb, n) per row; per class of equal texts its
-    first row and number of rows; its final buckets; the sets of classes in any bucket."""
+    first row and number of rows; its final buckets; the sets of classes in any bucket, those of large ones (split = 1) apart."""
     docs = documents.select("doc_id", F.xxhash64("text").alias("t"), "text")
     record = F.arrow_udf(_records, _RECORD).asNondeterministic()
     whole = materialize(docs.select("doc_id", "t", record("text").alias("r")).select("doc_id", "t", "r.*"), "records")
@@ -414,12 +413,12 @@ def _candidates(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame,
     discard(whole)
 
     def sets(wanted: DataFrame) -> DataFrame:
-        named = texts.join(wanted, ["ka", "kb"], "left_semi").select("ka", "kb", F.col("first.doc_id").alias("w"), F.col("first.t").alias("wt"))
+        named = texts.join(wanted, ["ka", "kb"]).select("ka", "kb", "split", F.col("first.doc_id").alias("w"), F.col("first.t").alias("wt"))
         k1, k2 = row_key("w", "wt")
-        named = materialize(named.select("ka", "kb", k1.alias("k1"), k2.alias("k2")), "named")
+        named = materialize(named.select("ka", "kb", "split", k1.alias("k1"), k2.alias("k2")), "named")
         k1, k2 = row_key("doc_id", "t")
         found = docs.select(k1.alias("k1"), k2.alias("k2"), "text").join(named, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
-        out = materialize(found.select("ka", "kb", F.arrow_udf(_sets, "array<int>")("text").alias("tokens")), "sets")
+        out = materialize(found.select("ka", "kb", "split", F.arrow_udf(_sets, "array<int>")("text").alias("tokens")), "sets", ("split",))
         discard(named)
         return out
 
@@ -454,7 +453,8 @@ def join(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     cells = (leaves.withColumn("block", F.when(F.col("size") <= BLOCK, F.lit(0)).otherwise(F.pmod(F.xxhash64("ka", "kb"), n).cast("int")))
              .withColumn("k", F.explode(F.when(F.col("size") <= BLOCK, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1))))
              .select("bucket", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "ka", "kb"))
-    found = _solved(cells, tokens.join(met, ["ka", "kb"]), "found")
+    found = _solved(cells, tokens.select("ka", "kb", "tokens").join(met, ["ka", "kb"]), "found")
+    discard(tokens)
     links = found.groupBy("ka", "kb").agg(F.sum("links").alias("links")).join(_roots(found), ["ka", "kb"], "left")
     return records, texts, links.select("ka", "kb", "links", F.coalesce("root", _own_root()).alias("root"))
 
@@ -466,7 +466,7 @@ def ties(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     ``STAR_REPRESENTATIVES`` only: a group of near copies is tied together by rows in proportion to
     it.  What then still isn't in a bucket's largest group is compared with all of the bucket."""
     records, texts, leaves, tokens = _candidates(documents)
-    members = tokens.withColumn("buckets", F.array().cast("array<bigint>"))
+    members = tokens.select("ka", "kb", "tokens", F.array().cast("array<bigint>").alias("buckets"))
     small = leaves.where(F.col("size") <= STAR).select("bucket", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("block"), "ka", "kb")
     large = materialize(leaves.where(F.col("size") > STAR).select("bucket", "size", "ka", "kb"), "large-buckets")
     n = F.ceil(F.col("size") / STAR).cast("int")

@@ -100,6 +100,33 @@ def test_blocks_of_an_unsplittable_group(spark, monkeypatch):
     assert {r.doc_id: r.n_links for r in got} == {k: links[tuple(t.split())] for k, t in rows}
 
 
+def test_sets_are_written_once(spark, monkeypatch):
+    """The sets of the classes that are split are read where they lie, not dealt and written a second time."""
+    written, write = [], ngram_join.materialize
+
+    def noted(df, name, *more):
+        if "tokens" in df.columns:
+            written.append(name)
+        return write(df, name, *more)
+
+    monkeypatch.setattr(ngram_join, "materialize", noted)
+    monkeypatch.setattr(ngram_join, "BUCKET", 8)
+    rng = random.Random(5)
+    shared = [f"w{k}" for k in range(60)]
+    near = [" ".join(shared[:k] + [f"x{k}"] + shared[k + 1:]) for k in range(30)]
+    passages = [" ".join(shared[:25] + rng.choices("abcdefghijklmn", k=40)) for _ in range(30)]
+    pairs = [" ".join([f"p{k // 2}w{i}" for i in range(40)] + [f"y{k}"]) for k in range(20)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(near + passages + pairs)], "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.near_duplicates(rows).collect()}
+    assert written == ["sets"]
+    links, find = brute_classes(rows.collect())
+    keys = {r.doc_id: tuple(r.text.split()) for r in rows.collect()}
+    heads = {}
+    for k in sorted(keys):
+        heads.setdefault(find(keys[k]), k)
+    assert got == {k: (heads[find(key)], links[key]) for k, key in keys.items()}
+
+
 def test_one_of_each_keeps_whole_rows(docs):
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns
