@@ -17,8 +17,8 @@ followed by the rounding function of each order up to ``ORDERS``; all in
 integers, from the histogram of lengths.
 
 Text is split as the vocabulary's byte-level rule splits it and each distinct
-word goes through the vocabulary's merges once a task (``MEMORY`` words are
-remembered); a text with characters beyond ``PLAIN`` is encoded whole by the
+word goes through the vocabulary's merges once a worker (``MEMORY`` words are
+remembered, from task to task); a text with characters beyond ``PLAIN`` is encoded whole by the
 tokenizer, so no other library's character classes decide.  The ids are those
 of the tokenizer for every text, special tokens' strings taken as plain text.
 
@@ -29,6 +29,7 @@ and other columns are not read.  An empty table packs to nothing.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import zlib
@@ -51,6 +52,8 @@ CHUNK = 1 << 18
 PLAIN = "\x00-ɏΑ-ΡΣ-ϿЀ-ҁҊ-ԯ‐-‧‰-⁞₠-₰"
 #: The byte-level rule's split of a text into words (a fixed value of the vocabulary).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same split of texts of ``PLAIN`` characters, whose classes are spelled out; words of letters are tried first.
+PLAIN_SPLIT = " ?[{L}]+| ?[{N}]+|'(?:[stmd]|re|ve|ll)| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 
 _PIECES = "array<struct<start:bigint,length:int,ids_crc32:bigint>>"
 _PACKED = "uid long, doc_id {id}, piece int, start long, length int, ids_crc32 long, bin long, offset int, settled boolean"
@@ -63,39 +66,45 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(other)}
 
 
+def plain_split():
+    """texts of ``PLAIN`` characters -> their words, as ``SPLIT`` gives them."""
+    import regex
+
+    plain = "".join(map(chr, range(0x10000)))
+    plain = "".join(re.findall(f"[{PLAIN}]", plain))
+    members = {name: "".join(map(re.escape, regex.findall(rule, plain))) for name, rule in (("L", r"\p{L}"), ("N", r"\p{N}"), ("S", r"\s"))}
+    return re.compile(PLAIN_SPLIT.format(**members)).findall
+
+
+class Merges(dict):
+    """Words' ids as bytes; a word that is asked for the first time goes through the vocabulary's merges."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, byte_letters()
+
+    def __missing__(self, w: str) -> bytes:
+        got = np.array([t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))], "<u4").tobytes()
+        if len(w) <= LONG_WORD:
+            if len(self) >= MEMORY:
+                self.clear()
+            self[w] = got
+        return got
+
+
+@functools.lru_cache(maxsize=1)
 def encoder(vocabulary: str):
     """texts -> little-endian 32-bit ids of each, as bytes, for a byte-level vocabulary given as JSON text."""
-    import regex
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(vocabulary)
     tokenizer.encode_special_tokens = True
-    model, letters, odd = tokenizer.model, byte_letters(), re.compile(f"[^{PLAIN}]")
-    split = regex.compile(SPLIT).findall
-    seen: dict[str, bytes] = {}
-
-    def word(w: str) -> bytes:
-        return np.array([t.id for t in model.tokenize(w.encode().decode("latin-1").translate(letters))], "<u4").tobytes()
+    odd, split, ids_of = re.compile(f"[^{PLAIN}]"), plain_split(), Merges(tokenizer.model).__getitem__
 
     def ids(text: str) -> bytes:
         if odd.search(text):
             return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = split(text)
-        try:
-            return b"".join(map(seen.__getitem__, words))
-        except KeyError:
-            pass
-        out = []
-        for w in words:
-            got = seen.get(w)
-            if got is None:
-                got = word(w)
-                if len(w) <= LONG_WORD:
-                    if len(seen) >= MEMORY:
-                        seen.clear()
-                    seen[w] = got
-            out.append(got)
-        return b"".join(out)
+        return b"".join(map(ids_of, split(text)))
 
     return ids
 

@@ -141,6 +141,25 @@ def test_every_plain_character_is_split_as_the_tokenizer_splits_it(vocabulary):
         assert np.frombuffer(ids(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, hex(ord(c))
 
 
+def test_the_plain_split_is_the_rules_split():
+    """The faster split of plain texts gives the words of the rule, in any context."""
+    import regex
+    split, rule, rng = packing.plain_split(), regex.compile(packing.SPLIT).findall, random.Random(7)
+    plain = re.findall(f"[{packing.PLAIN}]", "".join(map(chr, range(0x2100))))
+    alphabet = ["'", "'s", "'ll", " ", "  ", "\n", "\x1c", "\x85", "\xa0", "a", "é", "7", "²", "]", "^", "-", "\\", "’"] * 20 + plain
+    for _ in range(20_000):
+        text = "".join(rng.choices(alphabet, k=rng.randint(1, 12)))
+        assert split(text) == rule(text), repr(text)
+    assert split("".join(plain)) == rule("".join(plain))
+
+
+def test_words_merged_once_stay_for_the_workers_next_task(vocabulary, monkeypatch):
+    ids = packing.encoder(vocabulary)
+    first = ids("merged but once, unquestionably")
+    monkeypatch.setattr(packing.Merges, "__missing__", lambda self, w: pytest.fail(f"{w!r} was merged again"))
+    assert packing.encoder(vocabulary)("merged but once, unquestionably") == first
+
+
 def hold(rows, docs, vocabulary, length):
     """Whole documents, in pieces by the rule, in sequences without gaps or overflow; the number of sequences."""
     t = tokenizer(vocabulary)
