@@ -45,6 +45,9 @@ LANES, STEPS, RATE = 64, 24, 0.03
 #: Weights are averaged as whole multiples of 1 / UNIT, so that no order of the tasks shows.
 UNIT = 1 << 20
 LOCKSTEP = 1024
+#: Class of each id, and its place in a frequency class; of few bits, which sort fast.
+CLASS_OF = np.append(np.arange(VOCABULARY) // PER_CLASS, [MID, RARE]).astype(np.uint8)
+WORD_OF = np.append(np.arange(VOCABULARY) % PER_CLASS, [0, 0])
 END = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -136,47 +139,69 @@ def first_net(counts: Counts, seed: int = 5) -> Net:
                np.log(mass / mass.sum(axis=1, keepdims=True)).astype(np.float32))
 
 
-def _sigmoid(v: np.ndarray) -> np.ndarray:
-    np.negative(v, out=v)
-    np.exp(v, out=v)
-    v += 1
-    return np.reciprocal(v, out=v)
+def _blocks(v: np.ndarray) -> np.ndarray:
+    """(gate, row, HIDDEN) from rows of the three gates side by side, each gate's in one piece of memory;
+    the update and reset are negated, as ``_advance`` takes them."""
+    v = np.ascontiguousarray(v.reshape(len(v), 3, HIDDEN).swapaxes(0, 1))
+    np.negative(v[:2], out=v[:2])
+    return v
+
+
+def _advance(u: np.ndarray, g: np.ndarray, h: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """The next state of each row, into ``state``, from the blocks ``g`` of its gates' inputs, which
+    become the gates; gives the state's share of the new state."""
+    hu = np.matmul(h, u)
+    zr, n, share = g[:2], g[2], hu[2]
+    zr += hu[:2]
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
+    n += zr[1] * share
+    np.tanh(n, out=n)
+    np.subtract(h, n, out=state)
+    state *= zr[0]
+    state += n
+    return share
 
 
 def _step(net: Net, g: np.ndarray, h: np.ndarray) -> tuple:
     """The next state of each row, from the inputs ``g`` of its gates; with the gates."""
-    hu = h @ net.u
-    zr = _sigmoid(g[:, :2 * HIDDEN] + hu[:, :2 * HIDDEN])
-    z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = np.tanh(g[:, 2 * HIDDEN:] + r * hu[:, 2 * HIDDEN:])
-    return n + z * (h - n), z, r, n, hu[:, 2 * HIDDEN:]
+    gates, state = _blocks(g), np.empty_like(h)
+    share = _advance(_blocks(net.u), gates, h, state)
+    return state, *gates, share
 
 
-def _log_softmax(v: np.ndarray) -> np.ndarray:
-    """Over the first axis, in place."""
+def _picked(v: np.ndarray, row: np.ndarray, at: np.ndarray, keep: bool) -> np.ndarray:
+    """Log-softmax over the first axis at the given places; ``keep``: ``v`` becomes the log-softmax, else it is lost."""
     v -= v.max(axis=0)
-    v -= np.log(np.exp(v).sum(axis=0))
-    return v
+    if keep:
+        v -= np.log(np.exp(v).sum(axis=0))
+        return v[row, at]
+    out = v[row, at]
+    out -= np.log(np.exp(v, out=v).sum(axis=0))
+    return out
 
 
 def _outputs(net: Net, h: np.ndarray, target: np.ndarray, grads: Net | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log P(class) + log P(word | class) of each target (class alone for the last two);
     with ``grads`` also adds the gradients of minus their sum and returns that by ``h``."""
-    cls = np.where(target < VOCABULARY, target // PER_CLASS, target - VOCABULARY + CLASSES)
+    cls = CLASS_OF[target]
     order = np.argsort(cls, kind="stable")               # by class, the last two behind
     cls, h = cls[order], h[order]
-    edges = np.searchsorted(cls, np.arange(CLASSES + 1))
+    edges = np.searchsorted(cls, np.arange(CLASSES + 1, dtype=cls.dtype))
     m = edges[-1]
     runs = [(k, slice(edges[k], edges[k + 1])) for k in np.flatnonzero(np.diff(edges))]
-    logp = _log_softmax(net.c.T @ h.T + net.cb[:, None])                 # (class, row)
+    logp = net.c.T @ h.T                                                 # (class, row)
+    logp += net.cb[:, None]
     at = np.arange(len(h))
-    ordered = logp[cls, at]
+    ordered = _picked(logp, cls, at, grads is not None)
     in_class = np.empty((PER_CLASS, m), h.dtype)                         # (word of the class, row)
     for k, run in runs:
-        np.matmul(net.w[k].T, h[run].T, out=in_class[:, run])
-    in_class += net.wb.T[:, cls[:m]]
-    word = target[order[:m]] - cls[:m] * PER_CLASS
-    ordered[:m] += _log_softmax(in_class)[word, at[:m]]
+        part = in_class[:, run]
+        np.matmul(net.w[k].T, h[run].T, out=part)
+        part += net.wb[k][:, None]
+    word = WORD_OF[target[order[:m]]]
+    ordered[:m] += _picked(in_class, word, at[:m], grads is not None)
     out = np.empty_like(ordered)
     out[order] = ordered
     if grads is None:
@@ -204,12 +229,12 @@ def gradients(net: Net, ids: np.ndarray, target: np.ndarray, h: np.ndarray, grad
     its gradients, cut off at the first state ``h``, are added to ``grads``."""
     steps, lanes = ids.shape
     live = (ids != 0)[:, :, None].astype(h.dtype)          # a text's end clears the state
-    inputs = net.x[ids]
-    states, before, z, r, n, hn = (np.empty((steps, lanes, HIDDEN), h.dtype) for _ in range(6))
+    z, r, n = gates = _blocks(net.x).take(ids, axis=1)
+    u = _blocks(net.u)
+    states, before, hn = (np.empty((steps, lanes, HIDDEN), h.dtype) for _ in range(3))
     for k in range(steps):
-        np.multiply(h, live[k], out=before[k])
-        h, z[k], r[k], n[k], hn[k] = _step(net, inputs[k], before[k])
-        states[k] = h
+        hn[k] = _advance(u, gates[:, k], np.multiply(h, live[k], out=before[k]), states[k])
+        h = states[k]
     out, dout = _outputs(net, states.reshape(-1, HIDDEN), target.reshape(-1), grads)
     dout = dout.reshape(steps, lanes, HIDDEN)
     # what a state's gradient becomes at the gates (update, reset, new), and at the state's share of them
@@ -232,9 +257,9 @@ def gradients(net: Net, ids: np.ndarray, target: np.ndarray, h: np.ndarray, grad
     to_gates *= all_dh[:, :, None]
     dx, dhu = to_gates, to_share
     grads.u += before.reshape(-1, HIDDEN).T @ dhu.reshape(-1, 3 * HIDDEN)
-    flat = ids.reshape(-1)
+    flat = ids.reshape(-1).astype(np.uint16)
     order = np.argsort(flat, kind="stable")               # each id's gradients are added up once a window
-    first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+    first = np.flatnonzero(np.diff(flat[order].astype(np.int32), prepend=-1))
     grads.x[flat[order[first]]] += np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
     return -float(out.sum()), h
 
@@ -288,23 +313,23 @@ def likelihood(net: Net, ids: np.ndarray, bound: np.ndarray) -> np.ndarray:
     length = np.diff(bound)
     total = np.zeros(len(length))
     order = np.argsort(-length, kind="stable")
+    x, u = _blocks(net.x), _blocks(net.u)
     for low in range(0, len(order), LOCKSTEP):
         docs = order[low:low + LOCKSTEP]
         start, n = bound[docs], length[docs]
-        h, before = np.zeros((len(docs), HIDDEN), np.float32), np.zeros(len(docs), np.int64)
+        h, before, shorter = np.zeros((len(docs), HIDDEN), x.dtype), np.zeros(len(docs), np.int64), -n
         for a in range(0, int(n[0]), 2 * STEPS):
-            rows, targets, states = [], [], []
-            for k in range(a, min(a + 2 * STEPS, int(n[0]))):
-                live = int(np.searchsorted(-n, -k, "left"))     # texts longer than k come first
-                if live < len(h):
-                    h, before = h[:live], before[:live]
-                h = _step(net, net.x[before], h)[0]
-                before = ids[start[:live] + k]
-                rows.append(docs[:live])
-                targets.append(before)
-                states.append(h)
-            out, _ = _outputs(net, np.concatenate(states), np.concatenate(targets))
-            total += np.bincount(np.concatenate(rows), out, minlength=len(total))
+            # texts longer than each step come first
+            live = np.searchsorted(shorter, -np.arange(a, min(a + 2 * STEPS, int(n[0]))), "left")
+            edge = np.concatenate([[0], np.cumsum(live)])
+            states, targets = np.empty((edge[-1], HIDDEN), x.dtype), np.empty(edge[-1], np.int64)
+            for k, (m, first, last) in enumerate(zip(live.tolist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True), a):
+                state = states[first:last]
+                _advance(u, x.take(before[:m], axis=1), h[:m], state)
+                h, before = state, ids.take(start[:m] + k, out=targets[first:last])
+            out, _ = _outputs(net, states, targets)
+            rows = docs[np.arange(edge[-1]) - np.repeat(edge[:-1], live)]
+            total += np.bincount(rows, out, minlength=len(total))
     return total
 
 

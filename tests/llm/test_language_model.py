@@ -58,6 +58,28 @@ def test_likelihood_is_the_sum_over_single_texts():
         assert abs(total - want) < 1e-6
 
 
+def test_gates_in_blocks_equal_the_formula():
+    """Blocks by gate, updated in place, give the unit's states and gates; what is read is left as it was."""
+    rng, net = np.random.default_rng(6), network()
+    before, h = rng.integers(0, lm.VOCABULARY + 2, 7), rng.standard_normal((7, lm.HIDDEN))
+    kept, g, hu = h.copy(), np.split(net.x[before], 3, axis=1), np.split(h @ net.u, 3, axis=1)
+    z, r = (1 / (1 + np.exp(-(g[k] + hu[k]))) for k in (0, 1))
+    n = np.tanh(g[2] + r * hu[2])
+    gates, state = lm._blocks(net.x).take(before, axis=1), np.empty_like(h)
+    share = lm._advance(lm._blocks(net.u), gates, h, state)
+    for got, want in zip((state, *gates, share, h), (n + z * (h - n), z, r, n, hu[2], kept), strict=True):
+        assert np.allclose(got, want, rtol=0, atol=1e-12)
+
+
+def test_scores_pick_what_the_whole_softmax_holds():
+    rng = np.random.default_rng(8)
+    v, row, at = rng.standard_normal((26, 300)).astype(np.float32), rng.integers(0, 26, 300), np.arange(300)
+    whole = v.copy()
+    kept = lm._picked(whole, row, at, True)
+    assert np.allclose(np.exp(whole).sum(axis=0), 1, atol=1e-5)
+    assert (lm._picked(v, row, at, False) == kept).all() and (kept == whole[row, at]).all()
+
+
 def test_training_learns_an_order_that_counts_do_not_show():
     rng = np.random.default_rng(5)
     texts = [np.append((rng.integers(0, 20) + np.arange(30)) % 20 + 1, 0) for _ in range(4000)]
